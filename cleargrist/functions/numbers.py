@@ -14,9 +14,8 @@ from cleargrist.functions.columns import named
 
 # Spark ignores these characters around a number: ASCII control characters and the space.
 _PAD = r"[\x00-\x20\x7f]*"
-_INTEGER = rf"^{_PAD}[+-]?[0-9]+{_PAD}$"
-_DECIMAL = rf"^{_PAD}([+-]?[0-9]+)\.[0-9]*{_PAD}$"
-_NO_WHOLE_PART = rf"^{_PAD}[+-]?\.[0-9]*{_PAD}$"
+_WHOLE_PART = rf"^{_PAD}[+-]?[0-9]+(?:\.[0-9]*)?{_PAD}$"
+_FRACTION_ONLY = rf"^{_PAD}[+-]?\.[0-9]*{_PAD}$"
 # Every text that casts to double begins this way; not every such text casts.
 _DOUBLE_START = rf"^{_PAD}[+-]?(?:\.?[0-9]|(?i:inf|nan))"
 
@@ -28,11 +27,9 @@ def tolerant_int(column: Column | str) -> Column:
     of the 32-bit range give NULL. ``try_cast`` alone would reject every fraction.
     """
     text = named(column)
-    whole = F.nullif(F.regexp_extract(text, _DECIMAL, 1), F.lit(""))
-    return (
-        F.when(text.rlike(_INTEGER), text.try_cast("int"))
-        .when(text.rlike(_NO_WHOLE_PART), F.lit(0))
-        .otherwise(whole.try_cast("int"))
+    whole_part = F.substring_index(text, ".", 1)
+    return F.when(text.rlike(_WHOLE_PART), whole_part.try_cast("int")).when(
+        text.rlike(_FRACTION_ONLY), F.lit(0)
     )
 
 
