@@ -91,7 +91,7 @@ def write_quarantine(
     """
     spark = df.sparkSession
     flagged = flag_rows(df, rules)
-    if mode == "ignore":  # may write nothing, and then there is nothing to observe
+    if mode.lower() == "ignore":  # may write nothing, and then there is nothing to observe
         write_table(quarantine_rows(flagged), path, fmt, mode)
         return profile(flagged, rules)
     counts = Observation()
@@ -180,8 +180,9 @@ def curate(spark: SparkSession, options: CurationOptions) -> Curated:
     kept = drop_sparse(valid, ratios, threshold, options.include_metadata, protect)
     clean = store(stamp(kept, datetime.now(timezone.utc)), options.clean_path)
     # The stored clean table is the cheaper input, if it holds just these rows unchanged:
-    # appending adds to older rows, and CSV cannot tell an empty text from a missing one.
-    reusable = options.mode == "overwrite" and options.write_format.lower() in ("parquet", "orc")
+    # other modes leave older rows, and CSV cannot tell an empty text from a missing one.
+    columnar = options.write_format.lower() in ("parquet", "orc")
+    reusable = columnar and options.mode.lower() not in ("append", "ignore")
     stats = store(
         price_stats(
             clean if reusable else kept,
@@ -197,4 +198,5 @@ def curate(spark: SparkSession, options: CurationOptions) -> Curated:
 
 def _read_back(spark: SparkSession, path: str, fmt: str, schema: StructType) -> DataFrame:
     """Read a stored output under the schema it was written with, which inference could miss."""
-    return read_table(spark, path, schema, ReadOptions(fmt=fmt, check=False, multiline=fmt.lower() == "csv"))
+    options = ReadOptions(fmt=fmt, check=False, multiline=fmt.lower() == "csv")
+    return read_table(spark, path, schema, options)
