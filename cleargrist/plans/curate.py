@@ -106,7 +106,8 @@ class CurationOptions:
 
     ``checkpoint_path`` stores the tagged rows, so that the source is read once, and not at all
     by a later run over the same input. The columns that the statistics need are never dropped
-    as sparse.
+    as sparse. Each run adds a row to the JSON tables at ``schema_report_path`` and
+    ``summary_path``, where given.
     """
 
     input_path: str | Sequence[str]
@@ -125,6 +126,8 @@ class CurationOptions:
     write_format: str = "parquet"
     mode: str = "overwrite"
     checkpoint_path: str | None = None
+    schema_report_path: str | None = None
+    summary_path: str | None = None
 
     def checkpoint_key(self, spark: SparkSession) -> str:
         """Changes with the input files, how they are read, and how rows are cleaned."""
@@ -151,7 +154,10 @@ def curate(spark: SparkSession, options: CurationOptions) -> Curated:
     and normalises only the columns that stay. Statistics come from the clean table.
     """
     rules, threshold = options.rules, options.null_threshold
-    source = read_table(spark, options.input_path, options.contract, options.read)
+    started = datetime.now(timezone.utc)
+    source = read_table(
+        spark, options.input_path, options.contract, options.read, options.schema_report_path
+    )
 
     def store(df: DataFrame, path: str, partition: str | None = None) -> DataFrame:
         write_table(df, path, options.write_format, options.mode, partition)
@@ -173,12 +179,14 @@ def curate(spark: SparkSession, options: CurationOptions) -> Curated:
 
     protect = (*options.stats_keys, options.stats_value)
     summary = cleaning_summary(profiled, threshold, rules, options.include_metadata, protect)
+    if options.summary_path is not None:
+        write_table(stamp(summary, started), options.summary_path, "json", "append")
     ratios = null_ratios(profiled, rules).first().asDict()
     if ratios[FLAG] is None:
         return Curated(summary, quarantine, None, None)
 
     kept = drop_sparse(valid, ratios, threshold, options.include_metadata, protect)
-    clean = store(stamp(kept, datetime.now(timezone.utc)), options.clean_path)
+    clean = store(stamp(kept, started), options.clean_path)
     # The stored clean table is the cheaper input, if it holds just these rows unchanged:
     # other modes leave older rows, and CSV cannot tell an empty text from a missing one.
     columnar = options.write_format.lower() in ("parquet", "orc")

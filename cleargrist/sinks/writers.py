@@ -6,7 +6,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame
 
-from cleargrist.sources.tables import checked_format
+from cleargrist.formats import checked_format
 
 # A CSV dialect that the default reader dialect reads back unchanged.
 _CSV_OPTIONS = {

@@ -8,19 +8,11 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
-from cleargrist.functions.columns import named
+from cleargrist.formats import checked_format
+from cleargrist.functions import named
+from cleargrist.sinks.writers import write_table
 from cleargrist.sources.contract import SchemaReport, compare_schema
 
-FORMATS = ("csv", "json", "parquet", "orc")
-
-
-def checked_format(fmt: str) -> str:
-    """Return the format name in lower case, or raise ValueError if it is not supported."""
-    name = fmt.lower()
-    if name not in FORMATS:
-        raise ValueError(f"unsupported format {fmt!r}, use one of {', '.join(FORMATS)}")
-    return name
-
 
 @dataclass(frozen=True)
 class ReadOptions:
@@ -31,8 +23,10 @@ class ReadOptions:
     as many files. ``infer`` costs one more pass over CSV data and ignores the contract.
     ``coerce`` casts typed columns to the contract instead of refusing them. ``check=False``
     reads straight under the contract, without gate or casts; for JSON that saves the pass
-    that finds its field names, and accepts files that leave out null fields. ``extra`` goes
-    to Spark's reader as is.
+    that finds its field names, and accepts files that leave out null fields. ``spread``
+    redistributes the rows of files that Spark cannot split, at the price of a shuffle, so
+    that only the reading itself is bound to one task per file. ``extra`` goes to Spark's
+    reader as is.
     """
 
     fmt: str = "csv"
@@ -44,6 +38,7 @@ class ReadOptions:
     infer: bool = False
     check: bool = True
     coerce: bool = True
+    spread: bool = False
     extra: Mapping[str, str] = field(default_factory=dict)
 
     def reader_options(self) -> dict[str, str | bool]:
@@ -77,40 +72,50 @@ def read_table(
     path: str | Sequence[str],
     contract: StructType | None = None,
     options: ReadOptions = ReadOptions(),
+    report_path: str | None = None,
 ) -> DataFrame:
     """Read files as one DataFrame, under a contract if one is given.
 
     The gate compares the files' own columns with the contract and raises ContractError before
     any data is read. Under a contract, CSV columns are matched to it by header name, so a
     file with its columns in another order reads right, and Spark checks the header of each
-    file against the first one's. A CSV without a header is read by position.
+    file against the first one's. A CSV without a header is read by position. The gate's
+    report is added to the JSON table at ``report_path``, passed or not.
     """
     fmt = checked_format(options.fmt)
     reader = spark.read.format(fmt).options(**options.reader_options())
 
+    def gate(found: StructType) -> None:
+        report = compare_schema(found, contract)
+        if report_path is not None:
+            write_table(report.document_frame(spark), report_path, "json", "append")
+        report.require(allow_type_changes=options.coerce)
+
     if options.infer or contract is None:
         if fmt == "csv" and options.infer:
             reader = reader.option("inferSchema", True)
-        return reader.load(path)
-
-    if fmt == "csv" and options.header:
+        table = reader.load(path)
+    elif fmt == "csv" and options.header:
         found = preview_schema(spark, path, options)
         if options.check:
-            compare_schema(found, contract).require(options.coerce)
+            gate(found)
         if set(found.names) == set(contract.names):
             in_file_order = StructType([contract[name] for name in found.names])
-            reader = reader.schema(in_file_order).option("enforceSchema", False)
+            table = reader.schema(in_file_order).option("enforceSchema", False).load(path)
         else:
-            reader = reader.schema(contract)
-        return reader.load(path).select(*map(named, contract.names))
-
-    if fmt != "csv" and options.check:
+            table = reader.schema(contract).load(path)
+        table = table.select(*map(named, contract.names))
+    elif fmt == "csv" or not options.check:
+        table = reader.schema(contract).load(path).select(*map(named, contract.names))
+    else:
         table = reader.load(path)
-        compare_schema(table.schema, contract).require(options.coerce)
-        if fmt != "json":
-            casts = (named(f.name).cast(f.dataType).alias(f.name) for f in contract.fields)
-            return table.select(*casts)
-    return reader.schema(contract).load(path).select(*map(named, contract.names))
+        gate(table.schema)
+        if fmt == "json":
+            table = reader.schema(contract).load(path)
+        table = table.select(
+            *(named(f.name).cast(f.dataType).alias(f.name) for f in contract.fields)
+        )
+    return table.hint("rebalance") if options.spread else table
 
 
 def contract_report(

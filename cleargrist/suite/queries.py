@@ -304,7 +304,7 @@ def orc_roundtrip(spark, sf_dir):
 
 @query("partitioned_roundtrip")
 def partitioned_roundtrip(spark, sf_dir):
-    stats = price_stats(valid_rows(tag(dirty_materials(spark, sf_dir))))
+    stats = price_stats(valid_rows(tag(dirty_materials(spark, sf_dir))), exact=True)
     path = stored(stats, "parquet", "partitioned", partition_by="category_cleaned")
     return read_table(spark, path, stats.schema, ReadOptions(fmt="parquet", check=False))
 
@@ -364,9 +364,10 @@ def staged_valid_rows(spark, sf_dir):
 def curated_category_stats(spark, sf_dir):
     source = stored(dirty_materials(spark, sf_dir), "csv", "curate-input")
     out = scratch_path(spark, "curate")
-    return curate(
-        spark, CurationOptions(source, f"{out}/clean", f"{out}/quarantine", f"{out}/stats")
-    ).stats
+    options = CurationOptions(
+        source, f"{out}/clean", f"{out}/quarantine", f"{out}/stats", exact_stats=True
+    )
+    return curate(spark, options).stats
 
 
 @query("curated_order_line_stats")

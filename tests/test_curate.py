@@ -183,3 +183,19 @@ def test_observed_profile_equals_the_aggregate(spark, out, mode):
     assert summary["columns_removed_due_to_nulls"] == [
         "long_description", "competitor_name_cleaned", "competitor_part_name", "competitor_part_id"
     ]
+
+
+def test_records_of_each_run(spark, options, out):
+    recorded = replace(options, schema_report_path=out("reports"), summary_path=out("summaries"))
+    curate(spark, recorded)
+    curate(spark, recorded)
+    assert [r["status"] for r in spark.read.json(out("reports")).collect()] == ["PASSED"] * 2
+    summaries = spark.read.json(out("summaries"))
+    assert summaries.select("ingestion_time").distinct().count() == 2
+    assert rows(summaries.select("total_rows", "columns_retained")) == [(2000, CLEAN)] * 2
+
+
+def test_spread_input_is_counted_once(spark, options):
+    read = ReadOptions(multiline=True, spread=True)
+    check(spark, curate(spark, replace(options, read=read)))
+    check(spark, curate(spark, replace(options, read=read, checkpoint_path=options.clean_path + "-k")))

@@ -1,4 +1,5 @@
 import json
+import random
 from pathlib import Path
 
 import pytest
@@ -178,3 +179,32 @@ def test_only_needed_columns_are_parsed(spark, csv):
     plan = read._jdf.queryExecution().executedPlan().toString()
     assert "ReadSchema: struct<b:string>" in plan
     assert "EqualTo(b,2)" in plan
+
+
+def test_reports_are_kept_passed_or_not(spark, csv, out):
+    path = csv("a,b,c\n1,2,3\n")
+    read_table(spark, path, ABC, report_path=out("reports"))
+    wider = StructType([*ABC.fields, StructField("d", StringType())])
+    with pytest.raises(ContractError):
+        read_table(spark, path, wider, report_path=out("reports"))
+    kept = spark.read.json(out("reports")).select("status", F.concat_ws(",", "missing_columns"))
+    assert rows(kept) == [("FAILED", "d"), ("PASSED", "")]
+
+
+def test_spread_rows_of_files_that_cannot_be_split(spark, tmp_path):
+    rng = random.Random(1)
+    lines = "".join(f'{i},"x\ny{i}",{rng.randbytes(200).hex()}\n' for i in range(40_000))
+    (tmp_path / "one.csv").write_text("a,b,c\n" + lines)
+    size = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    before = spark.conf.get(size)
+    spark.conf.set(size, "100kb")
+    try:
+        whole = read_table(spark, str(tmp_path / "one.csv"), ABC, ReadOptions(multiline=True))
+        spread = read_table(spark, str(tmp_path / "one.csv"), ABC, ReadOptions(multiline=True, spread=True))
+        whole.write.parquet(str(tmp_path / "whole"))
+        spread.write.parquet(str(tmp_path / "spread"))
+        assert len(list((tmp_path / "whole").glob("*.parquet"))) == 1
+        assert len(list((tmp_path / "spread").glob("*.parquet"))) > 4
+        assert rows(whole) == rows(spread)
+    finally:
+        spark.conf.set(size, before)
