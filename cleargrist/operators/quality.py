@@ -6,13 +6,13 @@ keeps depend on the data.
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping
+from collections.abc import Callable, Iterable, Mapping
 from dataclasses import dataclass
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType, StructField, StructType
+from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from cleargrist.functions import (
     all_null,
@@ -57,12 +57,19 @@ class CleaningRules:
     def output_names(self) -> list[str]:
         return [self.result_name(name) for name in self.output]
 
-    def numeric_columns(self) -> dict[str, Column]:
-        integers = {self.result_name(c): tolerant_int(c) for c in self.integers}
-        return integers | {self.result_name(c): tolerant_double(c) for c in self.doubles}
+    def numeric_columns(self, schema: StructType) -> dict[str, Column]:
+        """The cleaned numbers; a column that is not text, as after inference, is just cast."""
+
+        def number(name: str, parse: Callable[[str], Column], kind: str) -> Column:
+            is_text = isinstance(schema[name].dataType, StringType)
+            return parse(name) if is_text else named(name).try_cast(kind)
+
+        integers = {self.result_name(c): number(c, tolerant_int, "int") for c in self.integers}
+        doubles = {self.result_name(c): number(c, tolerant_double, "double") for c in self.doubles}
+        return integers | doubles
 
     def text_columns(self) -> dict[str, Column]:
-        return {self.result_name(c): normalize_text(c) for c in self.text}
+        return {self.result_name(c): normalize_text(named(c).cast("string")) for c in self.text}
 
     def null_probe(self, name: str) -> Column:
         """A column that is null exactly when the cleaned value is, at the least cost.
@@ -113,7 +120,7 @@ def flag_rows(df: DataFrame, rules: CleaningRules = MATERIALS_RULES) -> DataFram
     else:
         invalid = all_null(df.columns)
     flag = F.when(invalid, INVALID).otherwise(VALID)
-    return df.withColumns(rules.numeric_columns()).withColumn(FLAG, flag)
+    return df.withColumns(rules.numeric_columns(df.schema)).withColumn(FLAG, flag)
 
 
 def tag(df: DataFrame, rules: CleaningRules = MATERIALS_RULES) -> DataFrame:
@@ -122,7 +129,7 @@ def tag(df: DataFrame, rules: CleaningRules = MATERIALS_RULES) -> DataFrame:
 
 
 def quarantine_rows(tagged: DataFrame) -> DataFrame:
-    """The invalid rows with their raw columns and the flag."""
+    """The invalid rows with the flag and all columns not named ``*_cleaned``."""
     raw = [c for c in tagged.columns if not c.endswith(CLEANED_SUFFIX)]
     return tagged.filter(named(FLAG) == INVALID).select(*map(named, raw))
 

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from dataclasses import asdict, dataclass, field
+from dataclasses import asdict, dataclass, field, replace
 from datetime import datetime, timezone
 from hashlib import sha256
 
@@ -33,7 +33,7 @@ from cleargrist.operators.reuse import input_fingerprint, materialize
 from cleargrist.operators.stats import MATERIALS_KEYS, MATERIALS_VALUE, price_stats
 from cleargrist.sinks.writers import write_table
 from cleargrist.sources.contract import MATERIALS_CONTRACT
-from cleargrist.sources.tables import ReadOptions, read_table
+from cleargrist.sources.tables import KEEP_NUL, ReadOptions, read_table
 
 
 @dataclass(frozen=True)
@@ -206,5 +206,7 @@ def curate(spark: SparkSession, options: CurationOptions) -> Curated:
 
 def _read_back(spark: SparkSession, path: str, fmt: str, schema: StructType) -> DataFrame:
     """Read a stored output under the schema it was written with, which inference could miss."""
-    options = ReadOptions(fmt=fmt, check=False, multiline=fmt.lower() == "csv")
+    options = ReadOptions(fmt=fmt, check=False)
+    if fmt.lower() == "csv":
+        options = replace(options, multiline=True, extra=KEEP_NUL)
     return read_table(spark, path, schema, options)

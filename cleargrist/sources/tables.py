@@ -13,6 +13,9 @@ from cleargrist.functions import named
 from cleargrist.sinks.writers import write_table
 from cleargrist.sources.contract import SchemaReport, compare_schema
 
+# Spark's CSV reader drops NUL characters from quoted fields, unless ``extra`` holds this.
+KEEP_NUL = {"charToEscapeQuoteEscaping": '"'}
+
 
 @dataclass(frozen=True)
 class ReadOptions:

@@ -185,6 +185,7 @@ ORACLE_SQL: dict[str, str] = {
     "checkpoint_reuse": f"with {_VALID} select *, true as reused from valid",
     "staged_valid_rows": f"with {_LINES} select {', '.join(_LINE_OUTPUT)}, is_valid from valid_lines",
     "curated_category_stats": _EXACT_CATEGORY_STATS,
+    "curated_inferred_stats": _EXACT_CATEGORY_STATS,
     "curated_order_line_stats": f"with {_LINES} "
     + _stats("valid_lines", "supplier, status_cleaned", "price_cleaned", exact=True),
 }

@@ -370,6 +370,23 @@ def curated_category_stats(spark, sf_dir):
     return curate(spark, options).stats
 
 
+@query("curated_inferred_stats")
+def curated_inferred_stats(spark, sf_dir):
+    """Without a contract: types come from the data, and numbers arrive as numbers."""
+    source = stored(dirty_materials(spark, sf_dir), "csv", "curate-infer-input")
+    out = scratch_path(spark, "curate-infer")
+    options = CurationOptions(
+        source,
+        f"{out}/clean",
+        f"{out}/quarantine",
+        f"{out}/stats",
+        read=ReadOptions(infer=True),
+        contract=None,
+        exact_stats=True,
+    )
+    return curate(spark, options).stats
+
+
 @query("curated_order_line_stats")
 def curated_order_line_stats(spark, sf_dir):
     source = stored(dirty_order_lines(spark, sf_dir), "csv", "curate-lines-input")

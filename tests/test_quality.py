@@ -147,3 +147,13 @@ def test_column_names_with_dots_and_spaces(spark):
     assert [tuple(r) for r in valid_rows(out, rules).collect()] == [("A B", 1, "Y")]
     assert [tuple(r) for r in quarantine_rows(out).collect()] == [(None, "2", "N")]
     assert clean(out, 0.9, rules).columns == ["na.me_cleaned", "Unnamed: 0_cleaned", "ingestion_time"]
+
+
+def test_typed_columns(spark):
+    rules = CleaningRules(
+        text=("code",), integers=("id",), doubles=("price",), required=("id",), output=("id", "code", "price")
+    )
+    rows = [(1e7, 12, 3), (12.9, None, None), (float("nan"), 1, 1), (None, 1, 1)]
+    frame = spark.createDataFrame(rows, "id double, code int, price int")
+    good = valid_rows(tag(frame, rules), rules).collect()
+    assert [tuple(r) for r in good] == [(10_000_000, "12", 3.0, "Y"), (12, None, None, "Y")]

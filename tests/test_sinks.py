@@ -1,3 +1,4 @@
+import random
 from pathlib import Path
 from types import SimpleNamespace
 
@@ -7,6 +8,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from cleargrist import ReadOptions, read_table, write_jdbc, write_table
+from cleargrist.sources.tables import KEEP_NUL
 
 ABC = StructType([StructField(c, StringType()) for c in ("a", "b", "c")])
 TRICKY = [
@@ -35,6 +37,21 @@ def test_csv_turns_empty_text_into_null(spark, out):
     assert rows(read_table(spark, out("t"), ABC)) == [(None, " ", "x")]
 
 
+def test_csv_can_keep_nul_characters(spark, out):
+    data = [('a\x00"b', "\x00", ",\x00")]
+    write_table(spark.createDataFrame(data, ABC), out("t"), "csv")
+    assert rows(read_table(spark, out("t"), ABC, ReadOptions(multiline=True, extra=KEEP_NUL))) == data
+
+
+def test_random_text_survives_csv(spark, out):
+    rng = random.Random(3)
+    alphabet = '",\n\r\\ \t\'a\x00#b; \x0b\x0c\u00a0\ufeff|'
+    cells = ["".join(rng.choices(alphabet, k=rng.randint(1, 6))) for _ in range(9_000)]
+    data = sorted(zip(*[iter(cells)] * 3), key=repr)
+    write_table(spark.createDataFrame(data, ABC), out("t"), "csv")
+    assert rows(read_table(spark, out("t"), ABC, ReadOptions(multiline=True, extra=KEEP_NUL))) == data
+
+
 def test_csv_has_a_header(spark, out):
     write_table(spark.createDataFrame([("1", "2", "3")], ABC).coalesce(1), out("t"), "csv")
     (file,) = Path(out("t")).glob("*.csv")
