@@ -11,6 +11,8 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from cleargrist.operators.observed import observed_metrics
+
 
 @dataclass(frozen=True)
 class Materialized:
@@ -66,6 +68,9 @@ def materialize(
     schema = json.loads(df.schema.json())
     wanted = {"key": key, "schema": schema, "metrics": [str(m) for m in metrics]}
 
+    def read_data() -> DataFrame:
+        return spark.read.schema(StructType.fromJson(schema)).parquet(data)
+
     def write_manifest(entries: list[dict]) -> None:
         rows = [(json.dumps(entry),) for entry in entries]
         frame = spark.createDataFrame(rows, "content string").coalesce(1)
@@ -79,8 +84,11 @@ def materialize(
         observation = Observation()
         rows = df.observe(observation, *metrics) if metrics else df
         rows.write.mode("overwrite").parquet(data)
-        manifest = {"wanted": wanted, "observed": observation.get if metrics else {}}
+        observed = {}
+        if metrics:
+            observed = observed_metrics(observation, lambda: read_data().agg(*metrics).first())
+        manifest = {"wanted": wanted, "observed": observed}
         write_manifest([manifest])
 
-    table = spark.read.schema(StructType.fromJson(schema)).parquet(data)
+    table = read_data()
     return Materialized(table, manifest["observed"], reused)

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from cleargrist.functions import named
+from cleargrist.operators.observed import observed_metrics
 from cleargrist.operators.quality import (
     FLAG,
     MATERIALS_RULES,
@@ -97,7 +98,8 @@ def write_quarantine(
     counts = Observation()
     watched = flagged.observe(counts, *profile_measures(rules.null_probes()))
     write_table(quarantine_rows(watched), path, fmt, mode)
-    return _profile_frame(spark, counts.get, rules)
+    metrics = observed_metrics(counts, lambda: profile(flagged, rules).first())
+    return _profile_frame(spark, metrics, rules)
 
 
 @dataclass(frozen=True)

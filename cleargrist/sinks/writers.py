@@ -24,16 +24,18 @@ def write_table(
     mode: str = "overwrite",
     partition_by: str | Sequence[str] | None = None,
     options: Mapping[str, str] | None = None,
+    rebalance: bool = True,
 ) -> None:
     """Write a table as Parquet, ORC, JSON lines or CSV, optionally in Hive-style partitions.
 
     A partitioned write first rebalances the rows on the partition columns. Otherwise every
     task would leave one small file in every partition. Adaptive execution splits a partition
     value that holds too many rows over several tasks, so a hot value does not end in one.
+    Rows that lie together by those columns already need no such shuffle: ``rebalance=False``.
     """
     name = checked_format(fmt)
     keys = [partition_by] if isinstance(partition_by, str) else list(partition_by or ())
-    if keys:
+    if keys and rebalance:
         df = df.hint("rebalance", *keys)
     writer = df.write.format(name).mode(mode)
     if name == "csv":

@@ -1,9 +1,11 @@
 from pathlib import Path
+from threading import Event
 
 import pytest
 from pyspark.sql import functions as F
 
 from cleargrist import input_fingerprint, materialize
+from cleargrist.operators.observed import observed_metrics
 from cleargrist.workspace import scratch_path
 
 def count():
@@ -54,6 +56,21 @@ def test_column_names_survive(spark, out):
     assert [tuple(r) for r in stored.collect()] == [(1, 2)]
 
 
+class LostEvent:
+    """An observation whose event never comes."""
+
+    @property
+    def get(self):
+        Event().wait()
+
+
+def test_metrics_are_computed_again_if_their_event_is_lost(spark):
+    def recompute():
+        return spark.range(5).agg(count()).first()
+
+    assert observed_metrics(LostEvent(), recompute, patience=0.1) == {"n": 5}
+
+
 def test_fingerprint_follows_the_files(spark, tmp_path):
     folder = tmp_path / "in"
     folder.mkdir()

@@ -110,6 +110,12 @@ def test_few_files_per_small_partition(spark, out):
     assert all(len(list(p.glob("*.parquet"))) == 1 for p in Path(out("t")).glob("k=*"))
 
 
+def test_no_shuffle_when_told_so(spark, out):
+    frame = spark.range(0, 400, 1, 4).select((F.col("id") % 2).cast("string").alias("k"), "id")
+    write_table(frame, out("t"), partition_by="k", rebalance=False)
+    assert [len(list(p.glob("*.parquet"))) for p in Path(out("t")).glob("k=*")] == [4, 4]
+
+
 def test_a_hot_partition_is_written_by_several_tasks(spark, out):
     size = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
     before = spark.conf.get(size)
