@@ -7,6 +7,7 @@ sparse columns, compute grouped statistics, and write the results.
 from cleargrist.operators.quality import (
     MATERIALS_RULES,
     CleaningRules,
+    Profile,
     clean,
     cleaning_summary,
     drop_sparse,
@@ -39,6 +40,7 @@ __all__ = [
     "ContractError",
     "Curated",
     "CurationOptions",
+    "Profile",
     "ReadOptions",
     "SchemaReport",
     "Staged",

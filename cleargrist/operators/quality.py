@@ -10,7 +10,7 @@ from collections.abc import Callable, Iterable, Mapping
 from dataclasses import dataclass
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
@@ -150,17 +150,34 @@ def profile_measures(values: Mapping[str, Column]) -> list[Column]:
     ]
 
 
-def profile_schema(rules: CleaningRules = MATERIALS_RULES) -> StructType:
-    """The columns of a profile."""
-    names = [TOTAL, VALID_COUNT, *(_NULLS + name for name in rules.output_names)]
-    return StructType([StructField(name, LongType()) for name in names])
-
-
 def profile(tagged: DataFrame, rules: CleaningRules = MATERIALS_RULES) -> DataFrame:
     """Row and null counts as one row, from one pass that shuffles one row per task."""
     return tagged.agg(*profile_measures(rules.null_probes()))
 
 
+@dataclass(frozen=True)
+class Profile:
+    """A profile that a pass over the rows has brought to the driver: one number per column."""
+
+    counts: Mapping[str, int]
+    rules: CleaningRules = MATERIALS_RULES
+
+    def frame(self, spark: SparkSession) -> DataFrame:
+        """The same row as ``profile`` computes."""
+        names = [TOTAL, VALID_COUNT, *(_NULLS + name for name in self.rules.output_names)]
+        schema = StructType([StructField(name, LongType()) for name in names])
+        return spark.createDataFrame([tuple(self.counts[name] for name in names)], schema)
+
+    @property
+    def ratios(self) -> dict[str, float] | None:
+        """Null ratio per column of the valid rows; None if there are none."""
+        rows = self.counts[VALID_COUNT]
+        if rows == 0:
+            return None
+        nulls = {name: self.counts[_NULLS + name] / rows for name in self.rules.output_names}
+        return nulls | {FLAG: 0.0}
+
+
 def _ratios(rules: CleaningRules) -> dict[str, Column]:
     """Null ratio per column of the valid rows, over a profile; null if there are none.
 
@@ -232,8 +249,8 @@ def clean(
     at: datetime | Column | None = None,
 ) -> DataFrame | None:
     """The valid rows without sparse columns, stamped; None if no row is valid."""
-    ratios = null_ratios(profile(tagged, rules), rules).first().asDict()
-    if ratios[FLAG] is None:
+    ratios = Profile(profile(tagged, rules).first().asDict(), rules).ratios
+    if ratios is None:
         return None
     kept = drop_sparse(valid_rows(tagged, rules), ratios, threshold, include_metadata, protect)
     return stamp(kept, at)

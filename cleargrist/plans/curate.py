@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Sequence
 from dataclasses import asdict, dataclass, field, replace
 from datetime import datetime, timezone
 from hashlib import sha256
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -18,13 +18,12 @@ from cleargrist.operators.quality import (
     MATERIALS_RULES,
     VALID,
     CleaningRules,
+    Profile,
     cleaning_summary,
     drop_sparse,
     flag_rows,
-    null_ratios,
     profile,
     profile_measures,
-    profile_schema,
     quarantine_rows,
     stamp,
     tag,
@@ -39,19 +38,14 @@ from cleargrist.sources.tables import KEEP_NUL, ReadOptions, read_table
 
 @dataclass(frozen=True)
 class Staged:
-    """Tagged rows stored once: the two halves, and their profile as a one-row DataFrame."""
+    """Tagged rows stored once: the two halves, and their profile."""
 
     valid: DataFrame
     quarantine: DataFrame
-    profile: DataFrame
+    profile: Profile
     reused: bool
 
 
-def _profile_frame(spark: SparkSession, counts: Mapping[str, int], rules: CleaningRules) -> DataFrame:
-    schema = profile_schema(rules)
-    return spark.createDataFrame([tuple(counts[name] for name in schema.names)], schema)
-
-
 def stage(
     df: DataFrame, path: str, key: str, rules: CleaningRules = MATERIALS_RULES
 ) -> Staged:
@@ -74,7 +68,7 @@ def stage(
     return Staged(
         valid=valid_rows(stored.table, rules),
         quarantine=quarantine_rows(stored.table),
-        profile=_profile_frame(df.sparkSession, stored.metrics, rules),
+        profile=Profile(stored.metrics, rules),
         reused=stored.reused,
     )
 
@@ -85,21 +79,23 @@ def write_quarantine(
     fmt: str = "parquet",
     mode: str = "overwrite",
     rules: CleaningRules = MATERIALS_RULES,
-) -> DataFrame:
+) -> Profile:
     """Write the invalid rows and profile all rows in the same pass; return the profile.
 
     The pass parses numbers and looks at nulls, but normalises no text.
     """
-    spark = df.sparkSession
     flagged = flag_rows(df, rules)
+
+    def profile_again() -> Row:
+        return profile(flagged, rules).first()
+
     if mode.lower() == "ignore":  # may write nothing, and then there is nothing to observe
         write_table(quarantine_rows(flagged), path, fmt, mode)
-        return profile(flagged, rules)
+        return Profile(profile_again().asDict(), rules)
     counts = Observation()
     watched = flagged.observe(counts, *profile_measures(rules.null_probes()))
     write_table(quarantine_rows(watched), path, fmt, mode)
-    metrics = observed_metrics(counts, lambda: profile(flagged, rules).first())
-    return _profile_frame(spark, metrics, rules)
+    return Profile(observed_metrics(counts, profile_again), rules)
 
 
 @dataclass(frozen=True)
@@ -180,11 +176,13 @@ def curate(spark: SparkSession, options: CurationOptions) -> Curated:
         quarantine = store(staged.quarantine, options.quarantine_path)
 
     protect = (*options.stats_keys, options.stats_value)
-    summary = cleaning_summary(profiled, threshold, rules, options.include_metadata, protect)
+    summary = cleaning_summary(
+        profiled.frame(spark), threshold, rules, options.include_metadata, protect
+    )
     if options.summary_path is not None:
         write_table(stamp(summary, started), options.summary_path, "json", "append")
-    ratios = null_ratios(profiled, rules).first().asDict()
-    if ratios[FLAG] is None:
+    ratios = profiled.ratios
+    if ratios is None:
         return Curated(summary, quarantine, None, None)
 
     kept = drop_sparse(valid, ratios, threshold, options.include_metadata, protect)

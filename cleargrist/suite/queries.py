@@ -231,7 +231,8 @@ def summary(spark, sf_dir):
 def summary_while_writing(spark, sf_dir):
     """The counts observed as the quarantine is written."""
     path = scratch_path(spark, "quarantine")
-    return _flat_summary(cleaning_summary(write_quarantine(dirty_materials(spark, sf_dir), path), THRESHOLD))
+    observed = write_quarantine(dirty_materials(spark, sf_dir), path)
+    return _flat_summary(cleaning_summary(observed.frame(spark), THRESHOLD))
 
 
 @query("order_line_ratios")
