@@ -6,7 +6,6 @@ import json
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -43,16 +42,6 @@ def input_fingerprint(spark: SparkSession, path: str | Sequence[str]) -> str:
     return f"{row['n']}-{row['size']}-{row['files']}"
 
 
-def _read_manifest(spark: SparkSession, path: str) -> dict | None:
-    try:
-        row = spark.read.schema("content string").json(path).first()
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return None
-    return json.loads(row["content"]) if row else None
-
-
 def materialize(
     df: DataFrame, path: str, key: str, metrics: Sequence[Column] = ()
 ) -> Materialized:
@@ -71,16 +60,19 @@ def materialize(
     def read_data() -> DataFrame:
         return spark.read.schema(StructType.fromJson(schema)).parquet(data)
 
-    def write_manifest(entries: list[dict]) -> None:
+    def write_manifest(entries: list[dict], mode: str) -> None:
         rows = [(json.dumps(entry),) for entry in entries]
         frame = spark.createDataFrame(rows, "content string").coalesce(1)
-        frame.write.mode("overwrite").json(manifest_path)
+        frame.write.mode(mode).json(manifest_path)
 
-    manifest = _read_manifest(spark, manifest_path)
+    write_manifest([], "ignore")
+    stored = spark.read.schema("content string").json(manifest_path).first()
+    manifest = json.loads(stored["content"]) if stored else None
     reused = manifest is not None and manifest["wanted"] == wanted
     if not reused:
         # Emptied first and filled last, the manifest never vouches for unfinished data.
-        write_manifest([])
+        if manifest is not None:
+            write_manifest([], "overwrite")
         observation = Observation()
         rows = df.observe(observation, *metrics) if metrics else df
         rows.write.mode("overwrite").parquet(data)
@@ -88,7 +80,7 @@ def materialize(
         if metrics:
             observed = observed_metrics(observation, lambda: read_data().agg(*metrics).first())
         manifest = {"wanted": wanted, "observed": observed}
-        write_manifest([manifest])
+        write_manifest([manifest], "overwrite")
 
     table = read_data()
     return Materialized(table, manifest["observed"], reused)
