@@ -30,7 +30,12 @@ from cleargrist.plans.curate import (
     write_quarantine,
 )
 from cleargrist.sinks.writers import write_jdbc, write_table
-from cleargrist.sources.contract import MATERIALS_CONTRACT, ContractError, SchemaReport, compare_schema
+from cleargrist.sources.contract import (
+    MATERIALS_CONTRACT,
+    ContractError,
+    SchemaReport,
+    compare_schema,
+)
 from cleargrist.sources.tables import ReadOptions, contract_report, preview_schema, read_table
 
 __all__ = [

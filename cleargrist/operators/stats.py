@@ -17,8 +17,9 @@ MATERIALS_VALUE = "requested_unit_price_cleaned"
 def _exact_average(value: Column, scale: int) -> Column:
     """Average rounded half up, independent of row order, for values with few decimals.
 
-    Sums decimals and divides whole numbers of the last decimal place. A group that holds a value which is not
-    a decimal of this scale (more decimals, NaN, too large) gets the floating-point average.
+    Sums decimals and divides whole numbers of the last decimal place. A group that holds a
+    value which is not a decimal of this scale (more decimals, NaN, too large) gets the
+    floating-point average.
     """
     as_decimal = value.try_cast(f"decimal(18,{scale})")
     fits = F.when(as_decimal.cast("double") == value, as_decimal)

@@ -131,7 +131,8 @@ class CurationOptions:
         """Changes with the input files, how they are read, and how rows are cleaned."""
         contract = self.contract.json() if self.contract else ""
         settings = repr((asdict(self.read), contract, self.rules))
-        return f"{input_fingerprint(spark, self.input_path)}-{sha256(settings.encode()).hexdigest()}"
+        files = input_fingerprint(spark, self.input_path)
+        return f"{files}-{sha256(settings.encode()).hexdigest()}"
 
 
 @dataclass(frozen=True)

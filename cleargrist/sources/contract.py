@@ -42,6 +42,7 @@ MISSING = "missing_column"
 TYPE_MISMATCH = "type_mismatch"
 UNEXPECTED = "unexpected_column"
 
+# The fields of a report.
 _ISSUE_SCHEMA = "kind string, column string, expected string, actual string"
 _TEXT_LIST = ArrayType(StringType())
 _DOCUMENT_SCHEMA = StructType(
@@ -74,8 +75,10 @@ class SchemaIssue:
     actual: str | None = None
 
     def __str__(self) -> str:
-        detail = f" (expected {self.expected}, got {self.actual})" if self.kind == TYPE_MISMATCH else ""
-        return f"{self.kind.replace('_', ' ')} '{self.column}'{detail}"
+        text = f"{self.kind.replace('_', ' ')} '{self.column}'"
+        if self.kind == TYPE_MISMATCH:
+            text += f" (expected {self.expected}, got {self.actual})"
+        return text
 
 
 @dataclass(frozen=True)
@@ -138,6 +141,8 @@ def compare_schema(actual: StructType, expected: StructType) -> SchemaReport:
         if n in have and have[n] != t
     ]
     issues += [
-        SchemaIssue(UNEXPECTED, n, actual=t.simpleString()) for n, t in have.items() if n not in want
+        SchemaIssue(UNEXPECTED, n, actual=t.simpleString())
+        for n, t in have.items()
+        if n not in want
     ]
     return SchemaReport(actual, expected, tuple(issues))

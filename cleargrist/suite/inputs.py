@@ -46,7 +46,8 @@ def dirty_materials(spark: SparkSession, sf_dir: str) -> DataFrame:
 def dirty_order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every order line as text, with faults worked in: a large table of another shape."""
     return table(spark, sf_dir, "lineitem").selectExpr(
-        "case when l_orderkey % 11 = 0 then concat('#', l_orderkey) else cast(l_orderkey as string) end as order_id",
+        """case when l_orderkey % 11 = 0 then concat('#', l_orderkey)
+                else cast(l_orderkey as string) end as order_id""",
         "case when l_suppkey % 23 = 0 then null else cast(l_suppkey as string) end as supplier",
         "concat('  ', lower(l_returnflag), '   ', lower(l_linestatus), ' ') as status",
         "cast(l_quantity as string) as quantity",
@@ -63,9 +64,7 @@ ORDER_LINE_RULES = CleaningRules(
     output=("order_id", "supplier", "status", "quantity", "price", "note"),
 )
 
-ORDER_LINE_CONTRACT = StructType(
-    [StructField(c, StringType()) for c in ("order_id", "supplier", "status", "quantity", "price", "note")]
-)
+ORDER_LINE_CONTRACT = StructType([StructField(c, StringType()) for c in ORDER_LINE_RULES.output])
 
 
 def stored(

@@ -78,7 +78,8 @@ def csv_dialect_scan(spark, sf_dir):
         "text",
     )
     path = scratch_path(spark, "dialect")
-    write_table(documents, path, "csv", options={"sep": "|", "quote": "'", "escape": "'", "header": "false"})
+    written = {"sep": "|", "quote": "'", "escape": "'", "header": "false"}
+    write_table(documents, path, "csv", options=written)
     dialect = ReadOptions(header=False, delimiter="|", quote="'", escape="'", multiline=True)
     contract = StructType([StructField(c, StringType()) for c in documents.columns])
     return read_table(spark, path, contract, dialect)
@@ -93,9 +94,8 @@ def csv_infer_scan(spark, sf_dir):
 @query("typed_contract_scan")
 def typed_contract_scan(spark, sf_dir):
     """A Parquet table with typed columns, cast to an all-text contract."""
-    contract = StructType(
-        [StructField(c, StringType()) for c in ("c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment")]
-    )
+    names = ("c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment")
+    contract = StructType([StructField(c, StringType()) for c in names])
     return read_table(spark, f"{sf_dir}/customer.parquet", contract, ReadOptions(fmt="parquet"))
 
 
@@ -103,9 +103,12 @@ def typed_contract_scan(spark, sf_dir):
 def report_of_changed_table(spark, sf_dir):
     """A table that lacks a column, has another one, and has one of another type."""
     source = dirty_materials(spark, sf_dir)
-    changed = source.drop("category").withColumn("id", tolerant_int("id")).withColumn("colour", F.lit("red"))
+    changed = source.drop("category").withColumns(
+        {"id": tolerant_int("id"), "colour": F.lit("red")}
+    )
     path = stored(changed, "parquet", "report")
-    return contract_report(spark, path, MATERIALS_CONTRACT, ReadOptions(fmt="parquet")).issues_frame(spark)
+    report = contract_report(spark, path, MATERIALS_CONTRACT, ReadOptions(fmt="parquet"))
+    return report.issues_frame(spark)
 
 
 # Expressions
@@ -253,14 +256,14 @@ def category_stats(spark, sf_dir):
 @query("category_only_stats")
 def category_only_stats(spark, sf_dir):
     """Grouped by category alone: few groups, and large ones."""
-    return price_stats(valid_rows(tag(dirty_materials(spark, sf_dir))), ["category_cleaned"], exact=True)
+    good = valid_rows(tag(dirty_materials(spark, sf_dir)))
+    return price_stats(good, ["category_cleaned"], exact=True)
 
 
 @query("grouped_price_stats")
 def grouped_price_stats(spark, sf_dir):
-    return price_stats(
-        table(spark, sf_dir, "lineitem"), ["l_suppkey", "l_returnflag", "l_linestatus"], "l_extendedprice"
-    )
+    keys = ["l_suppkey", "l_returnflag", "l_linestatus"]
+    return price_stats(table(spark, sf_dir, "lineitem"), keys, "l_extendedprice")
 
 
 @query("grouped_price_stats_exact")
@@ -277,10 +280,8 @@ def event_value_stats_exact(spark, sf_dir):
 
 
 def _roundtrip(spark, sf_dir, fmt: str) -> DataFrame:
-    source = dirty_materials(spark, sf_dir)
-    return read_table(
-        spark, stored(source, fmt, f"{fmt}-roundtrip"), MATERIALS_CONTRACT, ReadOptions(fmt=fmt, check=False)
-    )
+    path = stored(dirty_materials(spark, sf_dir), fmt, f"{fmt}-roundtrip")
+    return read_table(spark, path, MATERIALS_CONTRACT, ReadOptions(fmt=fmt, check=False))
 
 
 @query("csv_roundtrip")
