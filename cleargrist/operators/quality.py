@@ -29,7 +29,7 @@ VALID, INVALID = "Y", "N"
 LOAD_TIME = "ingestion_time"
 
 TOTAL, VALID_COUNT = "total_rows", "valid_rows"
-_NULLS = "nulls in "
+_VALUES = "values in "
 
 
 @dataclass(frozen=True)
@@ -140,18 +140,17 @@ def valid_rows(tagged: DataFrame, rules: CleaningRules = MATERIALS_RULES) -> Dat
 
 
 def profile_measures(values: Mapping[str, Column]) -> list[Column]:
-    """Aggregates over flagged rows: all rows, valid rows, and the nulls per value if valid."""
+    """Aggregates over flagged rows: all rows, valid rows, and the non-null values among those."""
     valid = named(FLAG) == VALID
-    nulls = {name: F.count_if(valid & value.isNull()) for name, value in values.items()}
     return [
         F.count(F.lit(1)).alias(TOTAL),
-        F.count_if(valid).alias(VALID_COUNT),
-        *(count.alias(_NULLS + name) for name, count in nulls.items()),
+        F.count(F.when(valid, 1)).alias(VALID_COUNT),
+        *(F.count(F.when(valid, value)).alias(_VALUES + name) for name, value in values.items()),
     ]
 
 
 def profile(tagged: DataFrame, rules: CleaningRules = MATERIALS_RULES) -> DataFrame:
-    """Row and null counts as one row, from one pass that shuffles one row per task."""
+    """Row and value counts as one row, from one pass that shuffles one row per task."""
     return tagged.agg(*profile_measures(rules.null_probes()))
 
 
@@ -164,7 +163,7 @@ class Profile:
 
     def frame(self, spark: SparkSession) -> DataFrame:
         """The same row as ``profile`` computes."""
-        names = [TOTAL, VALID_COUNT, *(_NULLS + name for name in self.rules.output_names)]
+        names = [TOTAL, VALID_COUNT, *(_VALUES + name for name in self.rules.output_names)]
         schema = StructType([StructField(name, LongType()) for name in names])
         return spark.createDataFrame([tuple(self.counts[name] for name in names)], schema)
 
@@ -174,8 +173,8 @@ class Profile:
         rows = self.counts[VALID_COUNT]
         if rows == 0:
             return None
-        nulls = {name: self.counts[_NULLS + name] / rows for name in self.rules.output_names}
-        return nulls | {FLAG: 0.0}
+        values = {name: self.counts[_VALUES + name] for name in self.rules.output_names}
+        return {name: (rows - n) / rows for name, n in values.items()} | {FLAG: 0.0}
 
 
 def _ratios(rules: CleaningRules) -> dict[str, Column]:
@@ -183,8 +182,10 @@ def _ratios(rules: CleaningRules) -> dict[str, Column]:
 
     The flag is one of those columns, and never null.
     """
-    nulls = {name: named(_NULLS + name) for name in rules.output_names} | {FLAG: F.lit(0)}
-    return {c: F.try_divide(n.cast("double"), named(VALID_COUNT)) for c, n in nulls.items()}
+    values = {name: named(_VALUES + name) for name in rules.output_names}
+    values[FLAG] = named(VALID_COUNT)
+    rows = named(VALID_COUNT)
+    return {c: F.try_divide((rows - n).cast("double"), rows) for c, n in values.items()}
 
 
 def null_ratios(profiled: DataFrame, rules: CleaningRules = MATERIALS_RULES) -> DataFrame:
