@@ -14,21 +14,26 @@ MATERIALS_KEYS = ("name_cleaned", "manufacturer_name_cleaned", "category_cleaned
 MATERIALS_VALUE = "requested_unit_price_cleaned"
 
 
+# Up to here a double holds every whole number.
+_WHOLE = float(2**53)
+
+
 def _exact_average(value: Column, scale: int) -> Column:
     """Average rounded half up, independent of row order, for values with few decimals.
 
-    Sums decimals and divides whole numbers of the last decimal place. A group that holds a
-    value which is not a decimal of this scale (more decimals, NaN, too large) gets the
-    floating-point average.
+    Sums and divides whole numbers of the last decimal place. A group gets the floating-point
+    average if it holds a value that is not a decimal of this scale (more decimals, NaN, too
+    large) or if its sum exceeds 64 bits.
     """
-    as_decimal = value.try_cast(f"decimal(18,{scale})")
-    fits = F.when(as_decimal.cast("double") == value, as_decimal)
-    total = (F.sum(fits) * F.lit(10**scale)).cast("decimal(38,0)")
-    n = F.count(fits)
-    doubled = (F.abs(total) * 2 + n).cast("decimal(38,0)")
-    units = F.call_function("div", doubled, (n * 2).cast("decimal(38,0)"))
-    exact = F.signum(total) * units / F.lit(float(10**scale))
-    return F.when((n > 0) & (n == F.count(value)), exact).otherwise(F.round(F.avg(value), scale))
+    unit = F.lit(float(10**scale))
+    units = F.rint(value * unit)
+    fits = F.when((units / unit == value) & (F.abs(units) <= _WHOLE), units.cast("bigint"))
+    total, n = F.try_sum(fits), F.count(fits)
+    doubled = F.abs(total.cast("decimal(20,0)")) * 2 + n
+    rounded = F.call_function("div", doubled, (n * 2).cast("decimal(20,0)"))
+    exact = F.signum(total) * rounded / unit
+    complete = (n > 0) & (n == F.count(value)) & total.isNotNull()
+    return F.when(complete, exact).otherwise(F.round(F.avg(value), scale))
 
 
 def price_stats(
