@@ -107,7 +107,9 @@ def test_ignore_keeps_what_is_there(spark, options):
     check(spark, result)
 
 
-def test_stale_quarantine_is_replaced(spark, options, out):
+@pytest.mark.parametrize("fmt", ["parquet", "orc", "json", "csv"])
+def test_stale_quarantine_is_replaced(spark, options, out, fmt):
+    options = replace(options, write_format=fmt)
     curate(spark, options)
     good = dirty_materials(spark, SF_DIR).withColumns(
         {"id": F.lit("1"), "name": F.lit("n"), "category": F.lit("c")}
@@ -130,9 +132,10 @@ def test_no_valid_rows(spark, options, out, checkpoint):
     assert result.summary.first()["valid_rows"] == 0
 
 
-def test_no_rows_at_all(spark, options, out):
+@pytest.mark.parametrize("fmt", ["parquet", "orc", "json", "csv"])
+def test_no_rows_at_all(spark, options, out, fmt):
     write_table(dirty_materials(spark, SF_DIR).limit(0), out("empty"), "csv")
-    result = curate(spark, replace(options, input_path=out("empty")))
+    result = curate(spark, replace(options, input_path=out("empty"), write_format=fmt))
     assert result.clean is None and result.quarantine.count() == 0
     assert result.summary.first()["total_rows"] == 0
 
