@@ -45,12 +45,13 @@ UNEXPECTED = "unexpected_column"
 # The fields of a report.
 _ISSUE_SCHEMA = "kind string, column string, expected string, actual string"
 _TEXT_LIST = ArrayType(StringType())
+_MISMATCH = StructType([StructField(name, StringType()) for name in ("column", "expected", "actual")])
 _DOCUMENT_SCHEMA = StructType(
     [
         StructField("status", StringType()),
         StructField("errors", _TEXT_LIST),
         StructField("missing_columns", _TEXT_LIST),
-        StructField("type_mismatches", _TEXT_LIST),
+        StructField("type_mismatches", ArrayType(_MISMATCH)),
         StructField("unexpected_columns", _TEXT_LIST),
         StructField("actual_schema", StringType()),
         StructField("expected_schema", StringType()),
@@ -118,7 +119,7 @@ class SchemaReport:
             "PASSED" if self.passed else "FAILED",
             self.errors,
             self.columns(MISSING),
-            self.columns(TYPE_MISMATCH),
+            [(i.column, i.expected, i.actual) for i in self.issues if i.kind == TYPE_MISMATCH],
             self.columns(UNEXPECTED),
             json.dumps(self.actual.jsonValue()),
             json.dumps(self.expected.jsonValue()),

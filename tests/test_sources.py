@@ -160,7 +160,7 @@ def test_report_frames(spark):
     document = report.document_frame(spark).first()
     assert document["status"] == "FAILED"
     assert document["missing_columns"] == ["b", "c"]
-    assert document["type_mismatches"] == ["a"]
+    assert [tuple(m) for m in document["type_mismatches"]] == [("a", "string", "int")]
     assert document["unexpected_columns"] == ["z"]
     assert len(document["errors"]) == 4
     assert StructType.fromJson(json.loads(document["expected_schema"])) == ABC
