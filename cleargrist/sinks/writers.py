@@ -7,6 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame
 
 from cleargrist.formats import checked_format
+from cleargrist.functions import named
 
 # A CSV dialect that the default reader dialect reads back unchanged.
 _CSV_OPTIONS = {
@@ -36,7 +37,7 @@ def write_table(
     name = checked_format(fmt)
     keys = [partition_by] if isinstance(partition_by, str) else list(partition_by or ())
     if keys and rebalance:
-        df = df.hint("rebalance", *keys)
+        df = df.hint("rebalance", *map(named, keys))
     writer = df.write.format(name).mode(mode)
     if name == "csv":
         writer = writer.options(**_CSV_OPTIONS)

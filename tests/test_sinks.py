@@ -104,6 +104,13 @@ def test_partition_by_two_columns(spark, out):
     assert rows(spark.read.schema(ABC).parquet(out("t")).select("a", "b", "c")) == [("x", "1", "p"), ("y", "2", "q")]
 
 
+def test_partition_by_an_odd_name(spark, out):
+    frame = spark.createDataFrame([("x", "1"), ("y", "2")], "`Unnamed: 0` string, v string")
+    write_table(frame, out("t"), partition_by="Unnamed: 0")
+    read = read_table(spark, out("t"), frame.schema, ReadOptions(fmt="parquet", check=False))
+    assert rows(read) == [("x", "1"), ("y", "2")]
+
+
 def test_few_files_per_small_partition(spark, out):
     frame = spark.range(0, 20_000, 1, 16).select((F.col("id") % 10).cast("string").alias("k"), "id")
     write_table(frame, out("t"), partition_by="k")
