@@ -15,7 +15,9 @@ MATERIALS_VALUE = "requested_unit_price_cleaned"
 
 
 # Up to here a double holds every whole number.
-_WHOLE = float(2**53)
+_WHOLE = 2**53
+# Up to here a sum can be doubled without overflow.
+_SUM = 2**61
 
 
 def _exact_average(value: Column, scale: int) -> Column:
@@ -23,16 +25,15 @@ def _exact_average(value: Column, scale: int) -> Column:
 
     Sums and divides whole numbers of the last decimal place. A group gets the floating-point
     average if it holds a value that is not a decimal of this scale (more decimals, NaN, too
-    large) or if its sum exceeds 64 bits.
+    large) or if its sum exceeds 61 bits.
     """
     unit = F.lit(float(10**scale))
     units = F.rint(value * unit)
-    fits = F.when((units / unit == value) & (F.abs(units) <= _WHOLE), units.cast("bigint"))
+    fits = F.when((units / unit == value) & (F.abs(units) <= float(_WHOLE)), units.cast("bigint"))
     total, n = F.try_sum(fits), F.count(fits)
-    doubled = F.abs(total.cast("decimal(20,0)")) * 2 + n
-    rounded = F.call_function("div", doubled, (n * 2).cast("decimal(20,0)"))
+    rounded = F.call_function("div", F.abs(total) * 2 + n, n * 2)
     exact = F.signum(total) * rounded / unit
-    complete = (n > 0) & (n == F.count(value)) & total.isNotNull()
+    complete = (n > 0) & (n == F.count(value)) & total.between(-_SUM, _SUM)
     return F.when(complete, exact).otherwise(F.round(F.avg(value), scale))
 
 
