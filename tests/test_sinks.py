@@ -32,6 +32,17 @@ def test_round_trip(spark, out, fmt):
     assert rows(read) == sorted(TRICKY, key=repr)
 
 
+@pytest.mark.parametrize(
+    ("fmt", "codec", "suffix"),
+    [("csv", "gzip", ".csv.gz"), ("json", "gzip", ".json.gz"), ("parquet", "zstd", ".zstd.parquet")],
+)
+def test_writer_options_are_passed_on(spark, out, fmt, codec, suffix):
+    frame = spark.createDataFrame([("1", "2", "3")], ABC)
+    write_table(frame, out("t"), fmt, options={"compression": codec})
+    assert any(p.name.endswith(suffix) for p in Path(out("t")).iterdir())
+    assert rows(read_table(spark, out("t"), ABC, ReadOptions(fmt=fmt))) == [("1", "2", "3")]
+
+
 def test_csv_turns_empty_text_into_null(spark, out):
     write_table(spark.createDataFrame([("", " ", "x")], ABC), out("t"), "csv")
     assert rows(read_table(spark, out("t"), ABC)) == [(None, " ", "x")]
