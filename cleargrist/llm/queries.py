@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from cleargrist.llm import quality_rules
+from cleargrist.llm import decontamination, personal_data, quality_classifier, quality_rules
 from cleargrist.llm.tables import documents
 
 
@@ -14,6 +15,49 @@ def labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/labels.parquet")
 
 
+def benchmark(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+
+
+def digest(text: Column) -> Column:
+    """Lowercase hex SHA-256 of a text's UTF-8 bytes."""
+    return F.sha2(text.cast("binary"), 256)
+
+
+def op2_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    weights = quality_classifier.fit(docs, labels(spark, sf_dir))
+    return quality_classifier.score_documents(docs, weights)
+
+
+def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontamination.find_matches(documents(spark, sf_dir), benchmark(spark, sf_dir))
+    return found.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("items").cast("long").alias("n_items"),
+        digest(F.array_join("items", ",")).alias("items_sha256"),
+        (F.col("n_hit") > 0).alias("contaminated"),
+        "longest",
+    )
+
+
+def op9_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = personal_data.find_personal_data(documents(spark, sf_dir))
+    base = F.filter("spans", lambda s: ~s["disguised"])
+
+    def count(kind: str) -> Column:
+        return F.size(F.filter(base, lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    return found.select(
+        "doc_id",
+        *(count(kind) for kind in personal_data.KINDS),
+        digest(personal_data.span_list(base)).alias("base_sha256"),
+        personal_data.span_list(F.col("spans")).alias("spans"),
+    )
+
+
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
     trees = quality_rules.fit(docs, labels(spark, sf_dir))
@@ -22,6 +66,9 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_quality_classifier": op2_quality_classifier,
+    "op7_decontamination": op7_decontamination,
+    "op9_personal_data": op9_personal_data,
     "op10_quality_rules": op10_quality_rules,
 }
 

@@ -54,7 +54,7 @@ def training_rows(
     rank = F.xxhash64("id")
     chosen = known.orderBy(rank, "id").limit(max_rows)
     rows = keyed(docs, id_col, text_col).drop("key")
-    return rows.join(chosen, "id")
+    return rows.join(F.broadcast(chosen), "id")  # max_rows ids and labels
 
 
 def held_out(id_col: Column) -> Column:
