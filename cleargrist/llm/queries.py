@@ -7,7 +7,13 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cleargrist.llm import decontamination, personal_data, quality_classifier, quality_rules
+from cleargrist.llm import (
+    decontamination,
+    personal_data,
+    quality_classifier,
+    quality_rules,
+)
+from cleargrist.llm.line_dedup import LineIndex
 from cleargrist.llm.tables import documents
 
 
@@ -30,6 +36,14 @@ def op2_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_classifier.score_documents(docs, weights)
 
 
+def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    cleaned = LineIndex.build(docs).clean(docs)
+    return cleaned.select(
+        "doc_id", "n_lines", "n_dropped", digest(F.col("text")).alias("kept_sha256")
+    )
+
+
 def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontamination.find_matches(documents(spark, sf_dir), benchmark(spark, sf_dir))
     return found.select(
@@ -67,6 +81,7 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_quality_classifier": op2_quality_classifier,
+    "op3_line_dedup": op3_line_dedup,
     "op7_decontamination": op7_decontamination,
     "op9_personal_data": op9_personal_data,
     "op10_quality_rules": op10_quality_rules,
