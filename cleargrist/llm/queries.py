@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from cleargrist.llm import (
     decontamination,
+    near_dedup,
     personal_data,
     quality_classifier,
     quality_rules,
@@ -44,6 +45,11 @@ def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    linked = near_dedup.link_documents(documents(spark, sf_dir), size=4, threshold=80)
+    return linked.drop("key")
+
+
 def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontamination.find_matches(documents(spark, sf_dir), benchmark(spark, sf_dir))
     return found.select(
@@ -82,6 +88,7 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_quality_classifier": op2_quality_classifier,
     "op3_line_dedup": op3_line_dedup,
+    "op5_near_dedup": op5_near_dedup,
     "op7_decontamination": op7_decontamination,
     "op9_personal_data": op9_personal_data,
     "op10_quality_rules": op10_quality_rules,

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 from functools import reduce
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -77,3 +78,46 @@ def rows_between(source: pa.RecordBatch, column: str, first: int, n: int) -> pa.
 
 def all_of(parts: Iterator[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
+
+
+def sized(df: DataFrame, row_bytes: int, limit: int = 16 << 20) -> DataFrame:
+    """A small stored table, marked for broadcasting if its rows fit the limit; else as it is."""
+    return F.broadcast(df) if df.count() * row_bytes <= limit else df
+
+
+def whole_groups(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[pa.Table]:
+    """Tables of whole groups, from batches that are sorted by a key: many small, or one large."""
+    waiting: list[pa.RecordBatch] = []
+    for source in batches:
+        if not source.num_rows:
+            continue
+        keys = source.column(key).to_numpy(False)
+        cut = int(np.searchsorted(keys, keys[-1]))
+        if cut or (waiting and waiting[-1].column(key)[-1].as_py() != keys[-1]):
+            table = pa.Table.from_batches([*waiting, source.slice(0, cut)])
+            if table.num_rows:
+                yield table
+            waiting = []
+        waiting.append(source.slice(cut))
+    if waiting:
+        yield pa.Table.from_batches(waiting)
+
+
+def group_bounds(keys: np.ndarray) -> tuple[list[int], list[int]]:
+    """First row and end of each group of equal, sorted keys."""
+    firsts = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
+    return firsts.tolist(), np.append(firsts[1:], len(keys)).tolist()
+
+
+def block_pairs(df: DataFrame, group: str, blocks: Column, node: str) -> DataFrame:
+    """Rows of each group dealt to blocks by a hash, once for each pair of blocks they are in.
+
+    Adds ``pair``, a hash of the group and the two blocks: all rows of a pair of blocks share it,
+    so that every two rows of a group meet in some pair, and a pair holds two blocks at most.
+    """
+    own = F.pmod(F.xxhash64(node, F.lit(group)), F.col("n_blocks")).cast("int")
+    other = F.explode(F.sequence(F.lit(0), F.col("n_blocks") - 1))
+    dealt = df.withColumn("n_blocks", blocks.cast("int")).withColumn("block", own)
+    dealt = dealt.withColumn("other", other)
+    pair = F.xxhash64(group, F.least("block", "other"), F.greatest("block", "other"))
+    return dealt.withColumn("pair", pair)
