@@ -13,6 +13,7 @@ from cleargrist.llm import (
     personal_data,
     quality_classifier,
     quality_rules,
+    substring_dedup,
 )
 from cleargrist.llm.line_dedup import LineIndex
 from cleargrist.llm.tables import documents
@@ -50,6 +51,17 @@ def op5_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return linked.drop("key")
 
 
+def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    left = substring_dedup.remove_repeats(documents(spark, sf_dir), length=200)
+    return left.select(
+        "doc_id",
+        "n_bytes",
+        "n_removed",
+        F.size("spans").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontamination.find_matches(documents(spark, sf_dir), benchmark(spark, sf_dir))
     return found.select(
@@ -89,6 +101,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_quality_classifier": op2_quality_classifier,
     "op3_line_dedup": op3_line_dedup,
     "op5_near_dedup": op5_near_dedup,
+    "op6_substring_dedup": op6_substring_dedup,
     "op7_decontamination": op7_decontamination,
     "op9_personal_data": op9_personal_data,
     "op10_quality_rules": op10_quality_rules,
