@@ -9,14 +9,17 @@ from pyspark.sql import functions as F
 
 from cleargrist.llm import (
     decontamination,
+    mixing,
     near_dedup,
     personal_data,
     quality_classifier,
     quality_rules,
+    secret_scan,
     substring_dedup,
 )
 from cleargrist.llm.line_dedup import LineIndex
 from cleargrist.llm.tables import documents
+from cleargrist.workspace import scratch_path
 
 
 def labels(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -32,6 +35,23 @@ def digest(text: Column) -> Column:
     return F.sha2(text.cast("binary"), 256)
 
 
+def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ledger = scratch_path(spark, "blob-ledger")
+    found = secret_scan.scan_versions(documents(spark, sf_dir), ledger)
+    kinds = [rule.kind for rule in secret_scan.BASE_RULES]
+    base = F.filter("spans", lambda s: s["kind"].isin(kinds))
+
+    def count(kind: str) -> Column:
+        return F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    return found.select(
+        "doc_id",
+        *(count(kind) for kind in kinds),
+        digest(secret_scan.span_list(base)).alias("base_sha256"),
+        secret_scan.span_list(F.col("spans")).alias("spans"),
+    )
+
+
 def op2_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
     weights = quality_classifier.fit(docs, labels(spark, sf_dir))
@@ -75,6 +95,19 @@ def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixture = mixing.mix(documents(spark, sf_dir), weights=(1, 2, 3), most=3)
+    shards = F.array_sort(F.array_distinct(F.transform("draws", lambda d: d["shard"])))
+    return mixture.documents.select(
+        "doc_id",
+        "size",
+        "source_size",
+        "target",
+        "taken",
+        F.array_join(shards.cast("array<string>"), ",").alias("shards"),
+    )
+
+
 def op9_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = personal_data.find_personal_data(documents(spark, sf_dir))
     base = F.filter("spans", lambda s: ~s["disguised"])
@@ -98,11 +131,13 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_secret_scan": op1_secret_scan,
     "op2_quality_classifier": op2_quality_classifier,
     "op3_line_dedup": op3_line_dedup,
     "op5_near_dedup": op5_near_dedup,
     "op6_substring_dedup": op6_substring_dedup,
     "op7_decontamination": op7_decontamination,
+    "op8_mixing": op8_mixing,
     "op9_personal_data": op9_personal_data,
     "op10_quality_rules": op10_quality_rules,
 }

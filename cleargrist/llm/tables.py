@@ -80,9 +80,12 @@ def all_of(parts: Iterator[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
-def sized(df: DataFrame, row_bytes: int, limit: int = 16 << 20) -> DataFrame:
-    """A small stored table, marked for broadcasting if its rows fit the limit; else as it is."""
-    return F.broadcast(df) if df.count() * row_bytes <= limit else df
+def sized(df: DataFrame, row_bytes: int, limit: int = 32 << 20) -> DataFrame:
+    """A stored table to join texts with: broadcast if its rows fit the limit, by size in bytes.
+
+    Beyond the limit both sides are shuffled and this one is hashed, so texts are not sorted.
+    """
+    return F.broadcast(df) if df.count() * row_bytes <= limit else df.hint("shuffle_hash")
 
 
 def whole_groups(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[pa.Table]:
