@@ -4,9 +4,10 @@ Each source is a stream of words: its documents in the order of a hash, cut into
 width. A source's target gives its quota of blocks, exact in number. The quotas are split among
 output shards down a binary tree: a node's left child gets half of the node's blocks, and how
 many of each source they are is one draw from the multivariate hypergeometric distribution, so
-every shard is a fair sample of the mix. Then a source's blocks, permuted, are dealt to the
-shards in runs of those counts; a block is drawn again only when all blocks of its source have
-been drawn as often. Inside a shard pieces are put in the order of a hash.
+every shard is a fair sample of the mix. Then a source's blocks, whose documents the
+hash has permuted, are dealt to the shards in runs of those counts, from a random one on; a block
+is drawn again only when all blocks of its source have been drawn as often. Runs keep documents
+whole but for those at a border. Inside a shard pieces are put in the order of a hash.
 
 All work is built-in expressions. Draws are functions of the seed, so reruns agree.
 """
@@ -22,8 +23,6 @@ from pyspark.sql import functions as F
 from cleargrist.llm.tables import sized, stored
 
 WORD = r"[^\x20\x09-\x0D]+"
-#: Primes; one that does not divide n steps through all residues modulo n.
-_STEPS = (2654435761, 2246822519)
 
 
 @dataclass(frozen=True)
@@ -218,11 +217,9 @@ def mix(
         F.round(F.col("target") * (F.col("n_blocks") / F.greatest(size, F.lit(1)))).cast("long"),
     )
     quota = F.when(size > 0, quota).otherwise(0)
-    step = F.when(F.col("n_blocks") % _STEPS[0] == 0, _STEPS[1]).otherwise(_STEPS[0])
     sources = sources.withColumns(
         {
             "quota": quota,
-            "step": step,
             "shift": F.pmod(F.xxhash64(F.lit(seed), "source"), F.greatest("n_blocks", F.lit(1))),
             # A prefix sum over a source's documents takes two levels of about equal depth.
             "n_buckets": F.ceil(F.col("n_docs") / F.greatest(F.lit(2000), F.sqrt("n_docs"))),
@@ -276,30 +273,41 @@ def _draws(seed: int) -> Column:
         return F.call_function("div", block * total, n)
 
     first, last = block_of(F.col("start")), block_of(end - 1)
-    blocks = F.when(F.col("size") > 0, F.sequence(first, last))
-
-    def pieces(block: Column) -> Column:
-        at = F.pmod(block * F.col("step") + F.col("shift"), n)
-        rounds = F.floor(F.col("quota") / n) + F.when(at < F.col("quota") % n, 1).otherwise(0)
-        begin = F.greatest(F.col("start"), border(block))
-        words = F.least(end, border(block + 1)) - begin
-        turns = F.when(rounds > 0, F.sequence(F.lit(0).cast("long"), rounds.cast("long") - 1))
-        turns = F.coalesce(turns, F.array().cast("array<long>"))
-
-        def piece(turn: Column) -> Column:
-            draw = turn * n + at
-            place = F.xxhash64(F.lit(seed + 1), "source", draw, "start")
-            return F.struct(
-                F.size(F.filter("cuts", lambda c: c <= draw)).alias("shard"),
-                place.alias("place"),
-                (begin - F.col("start")).alias("first_word"),
-                words.alias("n_words"),
+    def pieces(turn: Column) -> Column:
+        def add(done: Column, block: Column) -> Column:
+            draw = turn * n + F.pmod(block + F.col("shift"), n)
+            shard = F.size(F.filter("cuts", lambda c: c <= draw))
+            begin = F.greatest(F.col("start"), border(block)) - F.col("start")
+            words = F.least(end, border(block + 1)) - F.col("start") - begin
+            last = F.get(done, F.size(done) - 1)
+            grows = (last["shard"] == shard) & (last["first_word"] + last["n_words"] == begin)
+            more = F.concat(
+                F.slice(done, 1, F.size(done) - 1),
+                F.array(_piece(shard, last["first_word"], last["n_words"] + words)),
             )
+            new = F.concat(done, F.array(_piece(shard, begin, words)))
+            taken = F.when(F.coalesce(grows, F.lit(False)), more).otherwise(new)
+            return F.when(draw < F.col("quota"), taken).otherwise(done)
+
+        none = F.array().cast("array<struct<shard:int,first_word:bigint,n_words:bigint>>")
+        found = F.aggregate(F.sequence(first, last), none, add)
+        place = F.xxhash64(F.lit(seed + 1), "source", "start", turn)
+
+        def placed(p: Column) -> Column:
+            where = F.xxhash64(place, p["first_word"])
+            return F.struct(p["shard"], where.alias("place"), p["first_word"], p["n_words"])
 
-        return F.transform(turns, piece)
+        return F.transform(found, placed)
 
+    n_turns = F.ceil(F.col("quota") / n)
+    turns = F.sequence(F.lit(0).cast("long"), n_turns.cast("long") - 1)
+    taken = F.flatten(F.transform(turns, pieces))
     none = F.array().cast("array<struct<shard:int,place:bigint,first_word:bigint,n_words:bigint>>")
-    return F.coalesce(F.flatten(F.transform(blocks, pieces)), none)
+    return F.when((F.col("size") > 0) & (F.col("quota") > 0), taken).otherwise(none)
+
+
+def _piece(shard: Column, first_word: Column, n_words: Column) -> Column:
+    return F.struct(shard.alias("shard"), first_word.alias("first_word"), n_words.alias("n_words"))
 
 
 def piece_text(text: Column, first_word: Column, n_words: Column, size: Column) -> Column:
