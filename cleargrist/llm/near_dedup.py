@@ -134,9 +134,25 @@ def forest(
 _EDGES = pa.schema([("u", pa.int64()), ("v", pa.int64())])
 
 
-def _edges(nodes: np.ndarray, pairs: list[tuple[int, int]]) -> pa.RecordBatch:
-    at = np.array(pairs, np.int64).reshape(-1, 2)
-    return pa.RecordBatch.from_arrays([pa.array(nodes[at[:, i]]) for i in (0, 1)], schema=_EDGES)
+def _stars(nodes: np.ndarray, pairs: list[tuple[int, int]]) -> pa.RecordBatch:
+    """Links between rows, as links from each node to the smallest that they connect it with."""
+    above: dict[int, int] = {}
+
+    def root(node: int) -> int:
+        path = []
+        while (up := above.setdefault(node, node)) != node:
+            path.append(node)
+            node = up
+        for passed in path:
+            above[passed] = node
+        return node
+
+    for one, two in pairs:
+        low, high = sorted((root(int(nodes[one])), root(int(nodes[two]))))
+        above[high] = low
+    links = [(node, low) for node in above if (low := root(node)) != node]
+    ends = np.array(links, np.int64).reshape(-1, 2)
+    return pa.RecordBatch.from_arrays([pa.array(ends[:, i]) for i in (0, 1)], schema=_EDGES)
 
 
 def sketches(rows: DataFrame, size: int) -> DataFrame:
@@ -198,7 +214,7 @@ def families(classes: DataFrame, cut: float) -> DataFrame:
                         lambda row, others, part=part: similarity(part[row], part[others]) >= cut,
                     )
                     pairs += [(first + a, first + b) for a, b in near]
-            yield _edges(nodes, pairs)
+            yield _stars(nodes, pairs)
 
     dealt = members.repartition("pair").sortWithinPartitions("pair")
     return components(dealt.select("pair", "node", "bands").mapInArrow(tie, "u long, v long"), "family")
@@ -219,7 +235,7 @@ def _linked(members: DataFrame, size: int, threshold: int) -> DataFrame:
                         sets += shingles(block, size)
                     found = forest(labels[first:end], _similar(sets, threshold))
                     pairs += [(first + a, first + b) for a, b in found]
-            yield _edges(nodes, pairs)
+            yield _stars(nodes, pairs)
 
     dealt = members.select("pair", "node", "label", "text")
     dealt = dealt.repartition("pair").sortWithinPartitions("pair")

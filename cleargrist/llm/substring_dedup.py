@@ -11,8 +11,9 @@ same positions; what a round has settled is never looked at again.
 2. Regions. An anchor's region is the union of the windows it serves. Anchors whose gram and
    region are equal repeat each other entirely: all their windows are settled.
 3. Cells. Where a gram has several regions, the windows of each are cut into cells by offset.
-   Windows of one cell share a core; a core that occurs once settles its cell as unique.
-4. Windows. Only the windows of the remaining cells are compared one by one.
+   Windows of one cell share a core, and a core that occurs once settles its cell as unique; cells
+   whose hulls, all their windows together, are equal repeat each other entirely.
+4. Windows. Only where a core has several hulls are windows compared one by one.
 
 Identifiers are 64-bit hashes of the strings' bytes, from running sums, so the identifier of any
 longer string costs the same. All rounds are grouped counts and joins on them, which combine
@@ -143,31 +144,46 @@ def _offsets(block: A.Block, back: np.ndarray, length: int) -> tuple[np.ndarray,
 
 
 def _cells(regions: DataFrame, length: int) -> DataFrame:
-    """(node, cell, core): identifiers of what all windows of a cell share."""
+    """(node, cell, core, hull, low, high): identifiers of each cell of the regions.
 
-    def cores(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    The core is what all windows of a cell share, the hull is all of them together. A cell that a
+    region holds in part only has a hull of its own. ``low`` and ``high`` are its windows.
+    """
+    names = ["node", "cell", "core", "hull", "low", "high"]
+
+    def identify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for source in batches:
             for block in A.blocks(source.column("bytes")):
                 back = rows_between(source, "back", block.first, len(block)).to_numpy()
                 node = rows_between(source, "node", block.first, len(block)).to_numpy()
                 of, offset = _offsets(block, back, length)
                 cell = offset // CELL
-                new = np.ones(len(of), bool)
-                new[1:] = (of[1:] != of[:-1]) | (cell[1:] != cell[:-1])
-                of, cell = of[new], cell[new]
-                start = block.starts[of] + back[of] - cell * CELL
-                core = A.Hasher(block.data, second=True)(start, start + length - CELL + 1)
-                core = A.mix(core + cell.astype(np.uint64))
+                first = np.flatnonzero((np.diff(of, prepend=-1) != 0) | (np.diff(cell, prepend=-1) != 0))
+                last = np.append(first[1:], len(of)) - 1
+                low, high = (back[of[x]] - offset[x] for x in (first, last))
+                of, cell = of[first], cell[first]
+                begin = block.starts[of] + back[of] - cell * CELL
+                salt = cell.astype(np.uint64)
+                hasher = A.Hasher(block.data, second=True)
+                core = A.mix(hasher(begin, begin + length - CELL + 1) + salt)
+                full = high - low + 1 == CELL
+                hull = A.mix(node[of].astype(np.uint64) * np.uint64(131) + salt)
+                begin = begin[full] - CELL + 1
+                hull[full] = A.mix(hasher(begin, begin + length + CELL - 1) + salt[full])
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array(node[of]),
                         pa.array(cell.astype(np.int32)),
                         pa.array(core.view(np.int64)),
+                        pa.array(hull.view(np.int64)),
+                        *(pa.array(x.astype(np.int32)) for x in (low, high)),
                     ],
-                    ["node", "cell", "core"],
+                    names,
                 )
 
-    return regions.mapInArrow(cores, "node long, cell int, core long")
+    return regions.mapInArrow(
+        identify, "node long, cell int, core long, hull long, low int, high int"
+    )
 
 
 def _windows(regions: DataFrame, length: int) -> DataFrame:
@@ -207,34 +223,52 @@ def _several(df: DataFrame, *keys: str) -> DataFrame:
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select(*keys)
 
 
-def repeated_spans(
-    rows: DataFrame, length: int, gram: int, broadcast_bytes: int
-) -> DataFrame:
+def _refine(rows: DataFrame, bucket: str, finer: str, limit: int) -> tuple[DataFrame, DataFrame]:
+    """One round: rows (node, bucket, finer) are told apart by the finer identifier.
+
+    Returns the finer classes of several rows, which are settled, and one node of each class of
+    the buckets that the finer identifier has split, which go on.
+    """
+    classes = rows.groupBy(bucket, finer).agg(F.count(F.lit(1)).alias("n"), F.min("node").alias("node"))
+    classes = stored(classes, f"{finer}-classes")
+    whole = stored(classes.filter("n > 1").select(bucket, finer), f"{finer}-whole")
+    split = stored(_several(classes, bucket), f"{bucket}-split")
+    reps = classes.join(sized(split, 16, limit), bucket).select("node", finer)
+    return sized(whole, 24, limit), stored(reps, f"{finer}-next")
+
+
+def repeated_spans(rows: DataFrame, length: int, gram: int, limit: int) -> DataFrame:
     """(id, key, low, high): first and last start of runs of repeated windows, several per text."""
     anchors = stored(_anchors(rows, length, gram), "anchors")
-    live = sized(stored(_several(anchors, "gram"), "live-grams"), 16, broadcast_bytes)
-    alive = stored(anchors.join(live, "gram"), "live-anchors")
-    first = F.min(F.struct(F.col("id").isNull(), "id", "key", "anchor", "low", "high")).alias("first")
-    classes = alive.groupBy("gram", "region").agg(F.count(F.lit(1)).alias("n"), first)
-    classes = stored(classes.withColumn("node", F.monotonically_increasing_id()), "regions")
-    whole = classes.filter("n > 1").select("gram", "region")
-    settled = alive.join(whole, ["gram", "region"]).select("id", "key", "low", "high")
-
-    mixed = classes.join(_several(classes, "gram"), "gram").select("node", "n", "first.*")
-    mixed = stored(mixed, "mixed-regions")
+    live = sized(stored(_several(anchors, "gram"), "live-grams"), 16, limit)
+    alive = anchors.join(live, "gram").withColumn("node", F.monotonically_increasing_id())
+    alive = stored(alive, "live-anchors")
+    whole, reps = _refine(alive, "gram", "region", limit)
+    by_region = alive.join(whole, ["gram", "region"]).select("id", "key", "low", "high")
+
+    mixed = alive.join(sized(reps.select("node"), 16, limit), "node")
+    mixed = stored(mixed.select("node", "id", "key", "anchor", "low", "high"), "mixed-regions")
     spots = stored(_per_document(mixed, ["node", "anchor", "low", "high"], "spots"), "spots")
     size = 64 + 24 * mixed.count() // max(1, spots.count())
-    texts = _with_texts(rows, spots, size, "inner", broadcast_bytes)
+    texts = _with_texts(rows, spots, size, "inner", limit)
+    # A text that repeats in full gives its regions as often.
     regions = stored(_regions(texts, length), "region-bytes")
 
     cells = stored(_cells(regions, length), "cells")
-    open_cells = cells.join(_several(cells, "core"), "core").groupBy("node")
-    open_cells = open_cells.agg(F.collect_set("cell").alias("cells"))
-    windows = stored(_windows(regions.join(open_cells, "node"), length), "windows")
-    again = windows.join(_several(windows, "string"), "string").select("node", "step")
-    single = mixed.filter("n = 1").select("node", "id", "key", "low")
-    found = single.join(again, "node").withColumn("low", F.col("low") + F.col("step"))
-    return settled.unionByName(found.select("id", "key", "low", F.col("low").alias("high")))
+    whole, reps = _refine(cells, "core", "hull", limit)
+    by_cell = cells.join(whole, ["core", "hull"]).select("node", "low", "high")
+    due = cells.join(sized(reps, 24, limit), ["node", "hull"])
+    due = stored(due.groupBy("node").agg(F.collect_set("cell").alias("cells")), "open-cells")
+    windows = stored(_windows(regions.join(sized(due, 64, limit), "node"), length), "windows")
+    again = windows.join(_several(windows, "string"), "string")
+    by_window = again.select("node", F.col("step").alias("low"), F.col("step").alias("high"))
+
+    steps = by_cell.unionByName(by_window).select("node", *(F.col(c).alias(f"{c}_step") for c in ("low", "high")))
+    start = mixed.select("node", "id", "key", "low")
+    found = start.join(steps, "node").select(
+        "id", "key", (F.col("low") + F.col("low_step")).alias("low"), (F.col("low") + F.col("high_step")).alias("high")
+    )
+    return by_region.unionByName(found)
 
 
 def remove_repeats(
