@@ -12,10 +12,11 @@ from pyspark.sql import functions as F
 
 from cleargrist.functions.columns import named
 
+# ``$`` would also match before a line end at the end of the text, ``\z`` does not.
 # Spark ignores these characters around a number: ASCII control characters and the space.
 _PAD = r"[\x00-\x20\x7f]*"
-_WHOLE_PART = rf"^{_PAD}[+-]?[0-9]+(?:\.[0-9]*)?{_PAD}$"
-_FRACTION_ONLY = rf"^{_PAD}[+-]?\.[0-9]*{_PAD}$"
+_WHOLE_PART = rf"^{_PAD}[+-]?[0-9]+(?:\.[0-9]*)?{_PAD}\z"
+_FRACTION_ONLY = rf"^{_PAD}[+-]?\.[0-9]*{_PAD}\z"
 # Every text that casts to double begins this way; not every such text casts.
 _DOUBLE_START = rf"^{_PAD}[+-]?(?:\.?[0-9]|(?i:inf|nan))"
 

@@ -12,7 +12,7 @@ from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType, StringType, StructField, StructType
+from pyspark.sql.types import LongType, NumericType, StructField, StructType
 
 from cleargrist.functions import (
     all_null,
@@ -58,11 +58,15 @@ class CleaningRules:
         return [self.result_name(name) for name in self.output]
 
     def numeric_columns(self, schema: StructType) -> dict[str, Column]:
-        """The cleaned numbers; a column that is not text, as after inference, is just cast."""
+        """The cleaned numbers; a column of numbers, as after inference, is just cast.
 
-        def number(name: str, parse: Callable[[str], Column], kind: str) -> Column:
-            is_text = isinstance(schema[name].dataType, StringType)
-            return parse(name) if is_text else named(name).try_cast(kind)
+        Dates, times and booleans are judged as the text they would be under a contract.
+        """
+
+        def number(name: str, parse: Callable[[Column], Column], kind: str) -> Column:
+            if isinstance(schema[name].dataType, NumericType):
+                return named(name).try_cast(kind)
+            return parse(named(name).cast("string"))
 
         integers = {self.result_name(c): number(c, tolerant_int, "int") for c in self.integers}
         doubles = {self.result_name(c): number(c, tolerant_double, "double") for c in self.doubles}
@@ -71,6 +75,16 @@ class CleaningRules:
     def text_columns(self) -> dict[str, Column]:
         return {self.result_name(c): normalize_text(named(c).cast("string")) for c in self.text}
 
+    @property
+    def added_names(self) -> list[str]:
+        """The names of the columns that cleaning adds."""
+        return [self.result_name(c) for c in (*self.text, *self.integers, *self.doubles)] + [FLAG]
+
+    def check(self, columns: Iterable[str]) -> None:
+        """Raise ValueError if a raw column has the name of one that cleaning adds."""
+        if taken := sorted(set(self.added_names) & set(columns)):
+            raise ValueError(f"columns that cleaning would replace: {', '.join(taken)}")
+
     def null_probe(self, name: str) -> Column:
         """A column that is null exactly when the cleaned value is, at the least cost.
 
@@ -115,6 +129,7 @@ def flag_rows(df: DataFrame, rules: CleaningRules = MATERIALS_RULES) -> DataFram
     A row is invalid if a required value is missing. Without required columns, it is invalid
     if all its columns are null; with them, such a row is invalid already.
     """
+    rules.check(df.columns)
     if rules.required:
         invalid = any_null(map(rules.null_probe, rules.required))
     else:
@@ -128,9 +143,10 @@ def tag(df: DataFrame, rules: CleaningRules = MATERIALS_RULES) -> DataFrame:
     return flag_rows(df, rules).withColumns(rules.text_columns())
 
 
-def quarantine_rows(tagged: DataFrame) -> DataFrame:
-    """The invalid rows with the flag and all columns not named ``*_cleaned``."""
-    raw = [c for c in tagged.columns if not c.endswith(CLEANED_SUFFIX)]
+def quarantine_rows(tagged: DataFrame, rules: CleaningRules = MATERIALS_RULES) -> DataFrame:
+    """The invalid rows with the flag and all columns but those that cleaning has added."""
+    added = set(rules.added_names) - {FLAG}
+    raw = [c for c in tagged.columns if c not in added]
     return tagged.filter(named(FLAG) == INVALID).select(*map(named, raw))
 
 
@@ -200,11 +216,15 @@ def cleaning_summary(
     include_metadata: bool = False,
     protect: Iterable[str] = (),
 ) -> DataFrame:
-    """Turn a profile into one row: counts, threshold, columns removed and columns retained."""
+    """Turn a profile into one row: counts, threshold, columns removed and columns retained.
+
+    Without valid rows there is no clean table, so no column is removed or retained.
+    """
     protected = set(protect)
 
     def kept(name: str, ratio: Column) -> Column:
-        return F.lit(True) if name in protected else ratio < threshold
+        some = named(VALID_COUNT) > 0
+        return some if name in protected else some & (ratio < threshold)
 
     def names_where(conditions: Mapping[str, Column]) -> Column:
         return F.array_compact(F.array(*(F.when(c, name) for name, c in conditions.items())))
@@ -212,11 +232,12 @@ def cleaning_summary(
     keep = {name: kept(name, ratio) for name, ratio in _ratios(rules).items()}
     shown = {name: c for name, c in keep.items() if include_metadata or name != FLAG}
     return profiled.select(
+        # The field names of a cleaning summary.
         named(TOTAL),
         named(VALID_COUNT),
         (named(TOTAL) - named(VALID_COUNT)).alias("invalid_rows"),
         F.lit(float(threshold)).alias("null_threshold"),
-        names_where({name: ~c for name, c in keep.items()}).alias("columns_removed_due_to_nulls"),
+        names_where({name: ~c & (named(VALID_COUNT) > 0) for name, c in keep.items()}).alias("columns_removed_due_to_nulls"),
         names_where(shown).alias("columns_retained"),
     )
 

@@ -3,14 +3,17 @@
 from __future__ import annotations
 
 import json
-from collections.abc import Sequence
+import warnings
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
+from hashlib import sha256
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from cleargrist.operators.observed import observed_metrics
+from cleargrist.operators.observed import PATIENCE, observed_metrics
 
 
 @dataclass(frozen=True)
@@ -43,44 +46,58 @@ def input_fingerprint(spark: SparkSession, path: str | Sequence[str]) -> str:
 
 
 def materialize(
-    df: DataFrame, path: str, key: str, metrics: Sequence[Column] = ()
+    df: DataFrame,
+    path: str,
+    key: str,
+    metrics: Sequence[Column] = (),
+    still_true: Callable[[], bool] | None = None,
+    patience: float = PATIENCE,
 ) -> Materialized:
     """Write a table as Parquet and read it back, which cuts its lineage; reuse it if present.
 
-    A table stored before is reused only if its write ended and its key and schema are the
-    same, so make the key from ``input_fingerprint`` and whatever else shapes the table.
-    ``metrics`` are aggregates over the table, computed as its rows pass by on their way into
-    the files, without a second scan, and stored along with it.
+    Every key has a folder of its own under the path, so a table that was returned before stays
+    readable. A stored table is reused only if its write ended and its key, schema and metrics
+    are the same: make the key from ``input_fingerprint``, taken before the input is read, and
+    whatever else shapes the table. ``still_true`` is asked after the write whether the key still
+    describes the input; if not, the table is returned but never reused. ``metrics`` are
+    aggregates over the table, computed as its rows pass by on their way into the files, without
+    a second scan, and stored along with it; ``patience`` is how many seconds to wait for them.
     """
     spark = df.sparkSession
-    data, manifest_path = f"{path}/data", f"{path}/manifest"
     schema = json.loads(df.schema.json())
     wanted = {"key": key, "schema": schema, "metrics": [str(m) for m in metrics]}
+    folder = f"{path}/{sha256(json.dumps(wanted).encode()).hexdigest()[:32]}"
+    data, manifest_path = f"{folder}/data", f"{folder}/manifest"
 
     def read_data() -> DataFrame:
         return spark.read.schema(StructType.fromJson(schema)).parquet(data)
 
-    def write_manifest(entries: list[dict], mode: str) -> None:
-        rows = [(json.dumps(entry),) for entry in entries]
-        frame = spark.createDataFrame(rows, "content string").coalesce(1)
-        frame.write.mode(mode).json(manifest_path)
-
-    write_manifest([], "ignore")
-    stored = spark.read.schema("content string").json(manifest_path).first()
-    manifest = json.loads(stored["content"]) if stored else None
-    reused = manifest is not None and manifest["wanted"] == wanted
-    if not reused:
-        # Emptied first and filled last, the manifest never vouches for unfinished data.
-        if manifest is not None:
-            write_manifest([], "overwrite")
-        observation = Observation()
-        rows = df.observe(observation, *metrics) if metrics else df
-        rows.write.mode("overwrite").parquet(data)
-        observed = {}
-        if metrics:
-            observed = observed_metrics(observation, lambda: read_data().agg(*metrics).first())
-        manifest = {"wanted": wanted, "observed": observed}
-        write_manifest([manifest], "overwrite")
-
-    table = read_data()
-    return Materialized(table, manifest["observed"], reused)
+    known = _manifest(spark, manifest_path)
+    if known is not None:
+        return Materialized(read_data(), known, True)
+    observation = Observation()
+    rows = df.observe(observation, *metrics) if metrics else df
+    rows.write.mode("overwrite").parquet(data)
+    observed = {}
+    if metrics:
+        observed = observed_metrics(
+            observation, lambda: read_data().agg(*metrics).first(), patience
+        )
+    if still_true is None or still_true():
+        # Written last, the manifest never vouches for unfinished data.
+        entry = spark.createDataFrame([(json.dumps(observed),)], "content string")
+        entry.coalesce(1).write.mode("overwrite").json(manifest_path)
+    else:
+        warnings.warn("the input changed while it was stored; the table is not kept", stacklevel=2)
+    return Materialized(read_data(), observed, False)
+
+
+def _manifest(spark: SparkSession, path: str) -> dict | None:
+    """The metrics of a table whose write has ended."""
+    try:
+        row = spark.read.schema("content string").json(path).first()
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
+    return json.loads(row["content"]) if row else None

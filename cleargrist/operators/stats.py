@@ -16,24 +16,32 @@ MATERIALS_VALUE = "requested_unit_price_cleaned"
 
 # Up to here a double holds every whole number.
 _WHOLE = 2**53
-# Up to here a sum can be doubled without overflow.
-_SUM = 2**61
+# Whole numbers are summed in three parts of 18 bits; none overflows below 2^45 rows of a group.
+_LIMB = 18
 
 
 def _exact_average(value: Column, scale: int) -> Column:
     """Average rounded half up, independent of row order, for values with few decimals.
 
-    Sums and divides whole numbers of the last decimal place. A group gets the floating-point
-    average if it holds a value that is not a decimal of this scale (more decimals, NaN, too
-    large) or if its sum exceeds 61 bits.
+    Sums and divides whole numbers of the last decimal place, however large the sum. A group gets
+    the floating-point average if it holds a value that is not a decimal of this scale.
     """
     unit = F.lit(float(10**scale))
     units = F.rint(value * unit)
     fits = F.when((units / unit == value) & (F.abs(units) <= float(_WHOLE)), units.cast("bigint"))
-    total, n = F.try_sum(fits), F.count(fits)
+    mask = F.lit((1 << _LIMB) - 1).cast("bigint")
+    limbs = (
+        F.shiftright(fits, 2 * _LIMB),
+        F.shiftright(fits, _LIMB).bitwiseAND(mask),
+        fits.bitwiseAND(mask),
+    )
+    high, middle, low = (F.sum(limb).cast("decimal(19,0)") for limb in limbs)
+    step = F.lit(1 << _LIMB).cast("decimal(6,0)")
+    total = (high * step + middle) * step + low
+    n = F.count(fits)
     rounded = F.call_function("div", F.abs(total) * 2 + n, n * 2)
     exact = F.signum(total) * rounded / unit
-    complete = (n > 0) & (n == F.count(value)) & total.between(-_SUM, _SUM)
+    complete = (n > 0) & (n == F.count(value))
     return F.when(complete, exact).otherwise(F.round(F.avg(value), scale))
 
 
@@ -48,7 +56,9 @@ def price_stats(
 
     Every task sums its own rows up first, so one row per group and task is shuffled, however
     many rows a group has. A floating-point average depends on the order of the rows in its
-    last bits, and so on a rounding tie; ``exact`` removes that for values of ``scale`` places.
+    last bits, and so on a rounding tie; ``exact`` removes that for values of ``scale`` places up to
+    2^53 units of the last one, beyond which a double has no such places. A group with any other
+    value, NaN included, gets the floating-point average.
     """
     price = named(value)
     average = _exact_average(price, scale) if exact else F.round(F.avg(price), scale)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import asdict, dataclass, field, replace
 from datetime import datetime, timezone
 from hashlib import sha256
@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from cleargrist.functions import named
-from cleargrist.operators.observed import observed_metrics
+from cleargrist.operators.observed import PATIENCE, observed_metrics
 from cleargrist.operators.quality import (
     FLAG,
     MATERIALS_RULES,
@@ -31,10 +31,13 @@ from cleargrist.operators.quality import (
 )
 from cleargrist.operators.reuse import input_fingerprint, materialize
 from cleargrist.operators.stats import MATERIALS_KEYS, MATERIALS_VALUE, price_stats
-from cleargrist.sinks.writers import write_table
+from cleargrist.sinks.writers import partitioned_schema, restore_keys, write_table
 from cleargrist.sources.contract import MATERIALS_CONTRACT
 from cleargrist.sources.tables import KEEP_NUL, ReadOptions, read_table
 
+#: Part of a checkpoint's key; to be raised when rows are cleaned in another way than before.
+CLEANING_VERSION = 2
+
 
 @dataclass(frozen=True)
 class Staged:
@@ -47,7 +50,12 @@ class Staged:
 
 
 def stage(
-    df: DataFrame, path: str, key: str, rules: CleaningRules = MATERIALS_RULES
+    df: DataFrame,
+    path: str,
+    key: str,
+    rules: CleaningRules = MATERIALS_RULES,
+    still_true: Callable[[], bool] | None = None,
+    patience: float = PATIENCE,
 ) -> Staged:
     """Tag rows and store them in one pass over the source, counting rows and nulls on the way.
 
@@ -64,10 +72,11 @@ def stage(
         *(F.when(is_valid, named(c)).alias(c) for c in output if c not in shared),
         named(FLAG),
     )
-    stored = materialize(halves, path, key, profile_measures({c: named(c) for c in output}))
+    measures = profile_measures({c: named(c) for c in output})
+    stored = materialize(halves, path, key, measures, still_true, patience)
     return Staged(
         valid=valid_rows(stored.table, rules),
-        quarantine=quarantine_rows(stored.table),
+        quarantine=quarantine_rows(stored.table, rules),
         profile=Profile(stored.metrics, rules),
         reused=stored.reused,
     )
@@ -79,10 +88,12 @@ def write_quarantine(
     fmt: str = "parquet",
     mode: str = "overwrite",
     rules: CleaningRules = MATERIALS_RULES,
+    patience: float = PATIENCE,
 ) -> Profile:
     """Write the invalid rows and profile all rows in the same pass; return the profile.
 
-    The pass parses numbers and looks at nulls, but normalises no text.
+    The pass parses numbers and looks at nulls, but normalises no text. If the profile does not
+    arrive within ``patience`` seconds after the pass, another pass computes it, with a warning.
     """
     flagged = flag_rows(df, rules)
 
@@ -90,12 +101,12 @@ def write_quarantine(
         return profile(flagged, rules).first()
 
     if mode.lower() == "ignore":  # may write nothing, and then there is nothing to observe
-        write_table(quarantine_rows(flagged), path, fmt, mode)
+        write_table(quarantine_rows(flagged, rules), path, fmt, mode)
         return Profile(profile_again().asDict(), rules)
     counts = Observation()
     watched = flagged.observe(counts, *profile_measures(rules.null_probes()))
-    write_table(quarantine_rows(watched), path, fmt, mode)
-    return Profile(observed_metrics(counts, profile_again), rules)
+    write_table(quarantine_rows(watched, rules), path, fmt, mode)
+    return Profile(observed_metrics(counts, profile_again, patience), rules)
 
 
 @dataclass(frozen=True)
@@ -105,7 +116,11 @@ class CurationOptions:
     ``checkpoint_path`` stores the tagged rows, so that the source is read once, and not at all
     by a later run over the same input. The columns that the statistics need are never dropped
     as sparse. Each run adds a row to the JSON tables at ``schema_report_path`` and
-    ``summary_path``, where given.
+    ``summary_path``, where given. With ``mode="append"`` every run adds its rows to the outputs:
+    the clean table is read back with the columns of all runs, and the statistics are those of
+    each run side by side, not of all rows together. CSV files cannot differ in their columns, so
+    an appended CSV keeps its sparse ones. Quoted line breaks in CSV input need
+    ``ReadOptions(multiline=True)``, or such a row becomes two bad ones.
     """
 
     input_path: str | Sequence[str]
@@ -120,17 +135,18 @@ class CurationOptions:
     stats_keys: Sequence[str] = MATERIALS_KEYS
     stats_value: str = MATERIALS_VALUE
     stats_partition: str | None = "category_cleaned"
-    exact_stats: bool = False
+    exact_stats: bool = True
     write_format: str = "parquet"
     mode: str = "overwrite"
     checkpoint_path: str | None = None
     schema_report_path: str | None = None
     summary_path: str | None = None
+    patience: float = PATIENCE
 
     def checkpoint_key(self, spark: SparkSession) -> str:
         """Changes with the input files, how they are read, and how rows are cleaned."""
         contract = self.contract.json() if self.contract else ""
-        settings = repr((asdict(self.read), contract, self.rules))
+        settings = repr((CLEANING_VERSION, asdict(self.read), contract, self.rules))
         files = input_fingerprint(spark, self.input_path)
         return f"{files}-{sha256(settings.encode()).hexdigest()}"
 
@@ -150,29 +166,53 @@ def curate(spark: SparkSession, options: CurationOptions) -> Curated:
 
     Which columns the clean table has depends on all rows, so the source is scanned twice:
     once for the quarantine and the profile, once for the clean rows. The second scan reads
-    and normalises only the columns that stay. Statistics come from the clean table.
+    and normalises only the columns that stay. Statistics come from the stored clean table, where
+    it holds just these rows unchanged; for CSV output, and where rows are appended, they take a
+    third scan of the source (of the stored rows, with ``checkpoint_path``).
+
+    If no row is valid, there is no clean table and there are no statistics; in overwrite mode
+    empty ones replace those of an earlier run.
     """
     rules, threshold = options.rules, options.null_threshold
     started = datetime.now(timezone.utc)
+    appends = options.mode.lower() == "append"
+    fmt = options.write_format.lower()
+    keys = [options.stats_partition] if options.stats_partition else []
+    # Before the source is listed: a file that arrives later is not covered by this key.
+    key = options.checkpoint_key(spark) if options.checkpoint_path else ""
     source = read_table(
         spark, options.input_path, options.contract, options.read, options.schema_report_path
     )
 
-    def store(df: DataFrame, path: str, partition: str | None = None) -> DataFrame:
-        write_table(df, path, options.write_format, options.mode, partition)
-        return _read_back(spark, path, options.write_format, df.schema)
+    def store(df: DataFrame, path: str) -> DataFrame:
+        write_table(df, path, fmt, options.mode)
+        return _read_back(spark, path, fmt, df.schema)
+
+    def write_stats(clean: DataFrame) -> StructType:
+        stats = price_stats(clean, options.stats_keys, options.stats_value, options.exact_stats)
+        write_table(stats, options.stats_path, fmt, options.mode, keys, key_copies=True)
+        return partitioned_schema(stats.schema, keys)
+
+    def store_stats(clean: DataFrame) -> DataFrame:
+        schema = write_stats(clean)
+        return restore_keys(_read_back(spark, options.stats_path, fmt, schema), keys)
 
     if options.checkpoint_path is None:
         profiled = write_quarantine(
-            source, options.quarantine_path, options.write_format, options.mode, rules
-        )
-        rejected = quarantine_rows(flag_rows(source, rules))
-        quarantine = _read_back(
-            spark, options.quarantine_path, options.write_format, rejected.schema
+            source, options.quarantine_path, fmt, options.mode, rules, options.patience
         )
+        rejected = quarantine_rows(flag_rows(source, rules), rules)
+        quarantine = _read_back(spark, options.quarantine_path, fmt, rejected.schema)
         valid = valid_rows(tag(source, rules), rules)
     else:
-        staged = stage(source, options.checkpoint_path, options.checkpoint_key(spark), rules)
+        staged = stage(
+            source,
+            options.checkpoint_path,
+            key,
+            rules,
+            lambda: options.checkpoint_key(spark) == key,
+            options.patience,
+        )
         profiled, valid = staged.profile, staged.valid
         quarantine = store(staged.quarantine, options.quarantine_path)
 
@@ -184,25 +224,31 @@ def curate(spark: SparkSession, options: CurationOptions) -> Curated:
         write_table(stamp(summary, started), options.summary_path, "json", "append")
     ratios = profiled.ratios
     if ratios is None:
+        if options.mode.lower() == "overwrite":
+            none = stamp(valid.limit(0), started)
+            kept = none if options.include_metadata else none.drop(FLAG)
+            write_table(kept, options.clean_path, fmt, options.mode)
+            write_stats(none)
         return Curated(summary, quarantine, None, None)
 
+    if appends and fmt == "csv":
+        protect = valid.columns
     kept = drop_sparse(valid, ratios, threshold, options.include_metadata, protect)
     clean = store(stamp(kept, started), options.clean_path)
+    if appends:
+        clean = _all_runs(spark, options.clean_path, fmt, stamp(valid, started).schema)
     # The stored clean table is the cheaper input, if it holds just these rows unchanged:
     # other modes leave older rows, and CSV cannot tell an empty text from a missing one.
-    columnar = options.write_format.lower() in ("parquet", "orc")
-    reusable = columnar and options.mode.lower() not in ("append", "ignore")
-    stats = store(
-        price_stats(
-            clean if reusable else kept,
-            options.stats_keys,
-            options.stats_value,
-            options.exact_stats,
-        ),
-        options.stats_path,
-        options.stats_partition,
-    )
-    return Curated(summary, quarantine, clean, stats)
+    reusable = fmt != "csv" and not appends and options.mode.lower() != "ignore"
+    return Curated(summary, quarantine, clean, store_stats(clean if reusable else kept))
+
+
+def _all_runs(spark: SparkSession, path: str, fmt: str, schema: StructType) -> DataFrame:
+    """An appended table with every column that some run has stored."""
+    if fmt in ("parquet", "orc"):
+        stored = spark.read.format(fmt).option("mergeSchema", True).load(path).schema
+        schema = StructType([f for f in schema.fields if f.name in stored.names])
+    return _read_back(spark, path, fmt, schema)
 
 
 def _read_back(spark: SparkSession, path: str, fmt: str, schema: StructType) -> DataFrame:

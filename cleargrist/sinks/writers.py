@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from cleargrist.formats import checked_format
 from cleargrist.functions import named
@@ -26,6 +28,7 @@ def write_table(
     partition_by: str | Sequence[str] | None = None,
     options: Mapping[str, str] | None = None,
     rebalance: bool = True,
+    key_copies: bool = False,
 ) -> None:
     """Write a table as Parquet, ORC, JSON lines or CSV, optionally in Hive-style partitions.
 
@@ -33,10 +36,19 @@ def write_table(
     task would leave one small file in every partition. Adaptive execution splits a partition
     value that holds too many rows over several tasks, so a hot value does not end in one.
     Rows that lie together by those columns already need no such shuffle: ``rebalance=False``.
+    The splitting is up to ``spark.sql.adaptive.enabled``; without it this is refused.
+
+    A folder's name cannot tell an empty text from a missing one, so a row whose partition key is
+    empty fails the write, unless ``key_copies`` stores text keys once more as columns of the
+    files; ``partitioned_schema`` and ``restore_keys`` read such a table.
     """
     name = checked_format(fmt)
     keys = [partition_by] if isinstance(partition_by, str) else list(partition_by or ())
+    if keys:
+        df = _with_key_copies(df, keys) if key_copies else _without_blank_keys(df, keys)
     if keys and rebalance:
+        if df.sparkSession.conf.get("spark.sql.adaptive.enabled").lower() != "true":
+            raise ValueError("rebalancing needs spark.sql.adaptive.enabled, or pass rebalance=False")
         df = df.hint("rebalance", *map(named, keys))
     writer = df.write.format(name).mode(mode)
     if name == "csv":
@@ -48,6 +60,38 @@ def write_table(
     writer.save(path)
 
 
+_COPY = "_key"
+
+
+def _text_keys(schema: StructType, keys: Sequence[str]) -> list[str]:
+    return [k for k in keys if isinstance(schema[k].dataType, StringType)]
+
+
+def _without_blank_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    def checked(key: str) -> Column:
+        blank = F.raise_error(F.lit(f"empty text in partition column {key}")).cast("string")
+        return F.when(named(key) == "", blank).otherwise(named(key))
+
+    return df.withColumns({key: checked(key) for key in _text_keys(df.schema, keys)})
+
+
+def _with_key_copies(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    return df.withColumns({key + _COPY: named(key) for key in _text_keys(df.schema, keys)})
+
+
+def partitioned_schema(schema: StructType, keys: Sequence[str]) -> StructType:
+    """The schema of a table as stored with ``key_copies``."""
+    copies = [StructField(key + _COPY, StringType()) for key in _text_keys(schema, keys)]
+    return StructType([*schema.fields, *copies])
+
+
+def restore_keys(stored: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """A table stored with ``key_copies``, its keys as they were written."""
+    copies = [key for key in keys if key + _COPY in stored.columns]
+    exact = stored.withColumns({key: named(key + _COPY) for key in copies})
+    return exact.drop(*(key + _COPY for key in copies))
+
+
 def write_jdbc(
     df: DataFrame,
     url: str,

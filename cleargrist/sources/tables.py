@@ -6,6 +6,7 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from cleargrist.formats import checked_format
@@ -25,7 +26,8 @@ class ReadOptions:
     so the read has one task per file: keep it off unless fields need it, and store such input
     as many files. ``infer`` costs one more pass over CSV data and ignores the contract.
     ``coerce`` casts typed columns to the contract instead of refusing them. ``check=False``
-    reads straight under the contract, without gate or casts; for JSON that saves the pass
+    reads without a gate; CSV columns are still matched by header name, those that a file lacks come
+    as null, and only a file without a header goes by position. For JSON it saves the pass
     that finds its field names, and accepts files that leave out null fields. ``spread``
     redistributes the rows of files that Spark cannot split, at the price of a shuffle, so
     that only the reading itself is bound to one task per file. ``extra`` goes to Spark's
@@ -82,8 +84,11 @@ def read_table(
     The gate compares the files' own columns with the contract and raises ContractError before
     any data is read. Under a contract, CSV columns are matched to it by header name, so a
     file with its columns in another order reads right, and Spark checks the header of each
-    file against the first one's. A CSV without a header is read by position. The gate's
-    report is added to the JSON table at ``report_path``, passed or not.
+    file against the first one's. A CSV without a header is read by position, and its number of
+    columns must be the contract's. Typed columns are cast to the contract; a value that does not
+    fit becomes null, with ANSI mode on or off. The gate's report is added to the JSON table at
+    ``report_path``, passed or not. For JSON the gate takes a pass over all records to find
+    their field names, so a large source is read twice unless ``check`` is off.
     """
     fmt = checked_format(options.fmt)
     reader = spark.read.format(fmt).options(**options.reader_options())
@@ -102,12 +107,18 @@ def read_table(
         found = preview_schema(spark, path, options)
         if options.check:
             gate(found)
-        if set(found.names) == set(contract.names):
-            in_file_order = StructType([contract[name] for name in found.names])
-            table = reader.schema(in_file_order).option("enforceSchema", False).load(path)
-        else:
-            table = reader.schema(contract).load(path)
-        table = table.select(*map(named, contract.names))
+        known = set(contract.names)
+        in_file_order = StructType([contract[n] if n in known else found[n] for n in found.names])
+        table = reader.schema(in_file_order).option("enforceSchema", False).load(path)
+        table = table.select(
+            *(
+                named(f.name) if f.name in found.names else F.lit(None).cast(f.dataType).alias(f.name)
+                for f in contract.fields
+            )
+        )
+    elif fmt == "csv" and options.check:
+        gate(_by_position(preview_schema(spark, path, options), contract))
+        table = reader.schema(contract).load(path).select(*map(named, contract.names))
     elif fmt == "csv" or not options.check:
         table = reader.schema(contract).load(path).select(*map(named, contract.names))
     else:
@@ -116,11 +127,17 @@ def read_table(
         if fmt == "json":
             table = reader.schema(contract).load(path)
         table = table.select(
-            *(named(f.name).cast(f.dataType).alias(f.name) for f in contract.fields)
+            *(named(f.name).try_cast(f.dataType).alias(f.name) for f in contract.fields)
         )
     return table.hint("rebalance") if options.spread else table
 
 
+def _by_position(found: StructType, contract: StructType) -> StructType:
+    """The columns of a file without a header, under the names that their places give them."""
+    places = [*contract.fields, *found.fields[len(contract) :]]
+    return StructType(places[: len(found)])
+
+
 def contract_report(
     spark: SparkSession,
     path: str | Sequence[str],
@@ -128,4 +145,7 @@ def contract_report(
     options: ReadOptions = ReadOptions(),
 ) -> SchemaReport:
     """Compare the files' own columns with the contract without reading the table."""
-    return compare_schema(preview_schema(spark, path, options), contract)
+    found = preview_schema(spark, path, options)
+    if checked_format(options.fmt) == "csv" and not options.header:
+        found = _by_position(found, contract)
+    return compare_schema(found, contract)
