@@ -18,7 +18,7 @@ def _int(c: str) -> str:
 
 def _exact_average(c: str) -> str:
     """Half up, for values of two decimals that are not negative."""
-    return f"((2 * sum(cast(round({c} * 100) as bigint)) + count({c})) // (2 * count({c}))) / 100.0"
+    return f"((2 * sum(cast(round({c} * 100) as hugeint)) + count({c})) // (2 * count({c}))) / 100.0"
 
 
 def _stats(source: str, keys: str, value: str, exact: bool = False) -> str:
@@ -57,6 +57,7 @@ _TAGGED = f"""{_RAW}, cleaned as (select *,
     tagged as (select *, case when id_cleaned is null or name_cleaned is null
     or category_cleaned is null then 'N' else 'Y' end as is_valid from cleaned)"""
 
+# The columns of the clean table, and those of them that are sparse here.
 _OUTPUT = (
     "id_cleaned",
     "name_cleaned",
@@ -112,6 +113,19 @@ _ISSUES = """select * from (values
     ('unexpected_column', 'colour', null, 'string')) t(kind, "column", expected, actual)"""
 
 
+_ORDERS_ISSUES = """select * from (values
+    ('missing_column', 'o_colour', 'string', null),
+    ('type_mismatch', 'o_orderkey', 'string', 'bigint')) t(kind, "column", expected, actual)
+    union all select 'unexpected_column', column_name, null, case column_type when 'VARCHAR' then 'string'
+        when 'TIMESTAMP' then 'timestamp_ntz' when 'INTEGER' then 'int' else lower(column_type) end
+    from (describe orders) where column_name not in
+        ('o_orderkey', 'o_custkey', 'o_orderstatus', 'o_totalprice')"""
+_BLANK = f"""{_VALID}, blank as (select * replace (
+    case when cast(manufacturer_part_id as int) % 5 = 0 then '' else category_cleaned end as category_cleaned)
+    from tagged where id_cleaned is not null and name_cleaned is not null
+    and (category_cleaned is not null or cast(manufacturer_part_id as int) % 5 = 0))"""
+
+
 def _ratios(columns: tuple[str, ...]) -> str:
     return ", ".join(f"count(*) filter ({c} is null) / count(*) as {c}" for c in (*columns, "is_valid"))
 
@@ -141,6 +155,16 @@ ORACLE_SQL: dict[str, str] = {
         cast(c_nationkey as varchar) as c_nationkey, cast(c_acctbal as varchar) as c_acctbal,
         c_mktsegment from customer""",
     "schema_report": _ISSUES,
+    "headerless_csv_scan": _ALL_RAW,
+    "csv_by_name_scan": _ALL_RAW,
+    "schema_report_orders": _ORDERS_ISSUES,
+    "schema_report_document": f"""with issues as ({_ORDERS_ISSUES}) select 'FAILED' as status,
+        (select string_agg("column", ',') from issues where kind = 'missing_column') as missing_columns,
+        (select string_agg("column" || ':' || expected || ':' || actual, ',') from issues
+         where kind = 'type_mismatch') as type_mismatches,
+        (select string_agg("column", ',' order by "column") from issues
+         where kind = 'unexpected_column') as unexpected_columns,
+        (select cast(count(*) as int) from issues) as n_errors, (select count(*) from orders) as n_rows""",
     "text_normalize": f"select doc_id, {_text('text')} as text_cleaned from documents",
     "text_normalize_turns": f"select conv_id, turn, {_text('text')} as text_cleaned from conversations",
     "text_normalize_pages": f"select page_id, {_text('html')} as html_cleaned from pages",
@@ -153,6 +177,11 @@ ORACLE_SQL: dict[str, str] = {
     "tolerant_double": """select event_id, try_cast(cast(value as varchar) as double) as value,
         try_cast(event_type as double) as event_type, try_cast(props as double) as props from events""",
     "tolerant_double_documents": "select doc_id, try_cast(text as double) as number from documents",
+    "tolerant_int_line_ends": f"""select l_orderkey, l_linenumber, case when l_linenumber % 5 in (0, 1)
+        then {_int("cast(l_quantity as varchar)")} end as quantity from lineitem""",
+    "inferred_other_ids": """select kind, cast(p_partkey as varchar) as manufacturer_part_id,
+        cast(null as int) as id_cleaned, 'N' as is_valid
+        from part, (values ('date'), ('time'), ('boolean')) t(kind)""",
     "validity_flag": f"with {_TAGGED} select manufacturer_part_id, is_valid from tagged",
     "all_null_rows": f"""with {_RAW} select * from raw
         where long_description is null and competitor_name is null""",
@@ -168,6 +197,13 @@ ORACLE_SQL: dict[str, str] = {
     "cleaning_summary_observed": _SUMMARY,
     "order_line_ratios": f"with {_LINES} select {_ratios(_LINE_OUTPUT)} from valid_lines",
     "category_stats": _CATEGORY_STATS,
+    "category_stats_exact": _EXACT_CATEGORY_STATS,
+    "grouped_line_stats_exact": _stats(
+        "lineitem", "l_suppkey, l_returnflag, l_linestatus", "l_extendedprice", exact=True
+    ),
+    "huge_sum_stats_exact": "with lines as (select l_returnflag, floor(l_extendedprice) * 1e8"
+    " + l_linenumber * cast(0.25 as double) as price from lineitem) "
+    + _stats("lines", "l_returnflag", "price", exact=True),
     "category_only_stats": f"with {_VALID} "
     + _stats("valid", "category_cleaned", _PRICE, exact=True),
     "grouped_price_stats": _stats("lineitem", "l_suppkey, l_returnflag, l_linestatus", "l_extendedprice"),
@@ -180,12 +216,21 @@ ORACLE_SQL: dict[str, str] = {
     "partitioned_roundtrip": _EXACT_CATEGORY_STATS,
     "partitioned_csv_roundtrip": "select o_orderkey, o_totalprice, o_orderpriority from orders",
     "append_mode": f"with {_RAW} select * from raw union all select * from raw",
+    "ignore_mode": _ALL_RAW,
+    "errorifexists_mode": f"with {_RAW} select *, true as refused from raw",
     "quarantine_roundtrip": f"""with {_TAGGED} select raw.*, 'N' as is_valid from raw
         semi join (select "Unnamed: 0" from tagged where is_valid = 'N') t using ("Unnamed: 0")""",
     "checkpoint_reuse": f"with {_VALID} select *, true as reused from valid",
     "staged_valid_rows": f"with {_LINES} select {', '.join(_LINE_OUTPUT)}, is_valid from valid_lines",
     "curated_category_stats": _EXACT_CATEGORY_STATS,
     "curated_inferred_stats": _EXACT_CATEGORY_STATS,
+    "curated_blank_category_stats": f"with {_BLANK} " + _stats("blank", _STATS_KEYS, _PRICE, exact=True),
+    "curated_rerun_without_valid_rows": f"""with {_VALID} select 'first' as run, count(*) as valid_rows,
+        0 as clean_left, 0 as stats_left from valid
+        union all select 'second', 0, 0, 0""",
+    "curated_appended_clean_rows": f"""with {_VALID} select id_cleaned,
+        cast(null as varchar) as competitor_name_cleaned from valid
+        union all select id_cleaned, 'Acme Corp' from valid""",
     "curated_order_line_stats": f"with {_LINES} "
     + _stats("valid_lines", "supplier, status_cleaned", "price_cleaned", exact=True),
 }

@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 from datetime import datetime, timezone
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, LongType, StringType, StructField, StructType
@@ -14,6 +16,7 @@ from cleargrist.operators.quality import (
     FLAG,
     clean,
     cleaning_summary,
+    flag_rows,
     null_ratios,
     profile,
     quarantine_rows,
@@ -111,6 +114,61 @@ def report_of_changed_table(spark, sf_dir):
     return report.issues_frame(spark)
 
 
+@query("headerless_csv_scan")
+def headerless_csv_scan(spark, sf_dir):
+    """A CSV without a header: its number of columns must be the contract's."""
+    path = scratch_path(spark, "headerless")
+    write_table(dirty_materials(spark, sf_dir), path, "csv", options={"header": "false"})
+    return read_table(spark, path, MATERIALS_CONTRACT, ReadOptions(header=False))
+
+
+@query("csv_by_name_scan")
+def csv_by_name_scan(spark, sf_dir):
+    """Read unchecked, a CSV that lacks a column and has another one: the rest goes by name."""
+    source = dirty_materials(spark, sf_dir).drop("long_description")
+    path = stored(source.withColumn("colour", F.lit("red")).select("colour", *source.columns), "csv", "by-name")
+    return read_table(spark, path, MATERIALS_CONTRACT, ReadOptions(check=False))
+
+
+# A contract that the orders table breaks in each of the three ways.
+_ORDERS_CONTRACT = StructType(
+    [
+        StructField("o_orderkey", StringType()),
+        StructField("o_custkey", LongType()),
+        StructField("o_orderstatus", StringType()),
+        StructField("o_totalprice", DoubleType()),
+        StructField("o_colour", StringType()),
+    ]
+)
+
+
+def _orders_report(spark, sf_dir):
+    path = f"{sf_dir}/orders.parquet"
+    return contract_report(spark, path, _ORDERS_CONTRACT, ReadOptions(fmt="parquet"))
+
+
+@query("schema_report_orders")
+def schema_report_orders(spark, sf_dir):
+    """The issues of a given table."""
+    return _orders_report(spark, sf_dir).issues_frame(spark)
+
+
+@query("schema_report_document")
+def schema_report_document(spark, sf_dir):
+    """The whole report as one row, and how many rows of the table it is about."""
+    document = _orders_report(spark, sf_dir).document_frame(spark)
+    n = table(spark, sf_dir, "orders").agg(F.count(F.lit(1)).alias("n_rows"))
+    mismatches = F.transform("type_mismatches", lambda m: F.concat_ws(":", m["column"], m["expected"], m["actual"]))
+    return document.crossJoin(F.broadcast(n)).select(
+        "status",
+        F.array_join("missing_columns", ",").alias("missing_columns"),
+        F.array_join(mismatches, ",").alias("type_mismatches"),
+        F.array_join(F.array_sort("unexpected_columns"), ",").alias("unexpected_columns"),
+        F.size("errors").alias("n_errors"),
+        "n_rows",
+    )
+
+
 # Expressions
 
 
@@ -245,6 +303,34 @@ def order_line_ratios(spark, sf_dir):
     return null_ratios(profile(tagged, ORDER_LINE_RULES), ORDER_LINE_RULES)
 
 
+@query("inferred_other_ids")
+def inferred_other_ids(spark, sf_dir):
+    """Ids that inference took for dates, times or booleans are judged as the text they are."""
+    source = dirty_materials(spark, sf_dir)
+    key = F.col("manufacturer_part_id").cast("int")
+    typed = {
+        "date": F.date_add(F.lit("2024-01-01").cast("date"), key % 1000),
+        "time": F.timestamp_seconds(key),
+        "boolean": key % 2 == 0,
+    }
+    kinds = [
+        flag_rows(source.withColumn("id", ids)).select(
+            F.lit(kind).alias("kind"), "manufacturer_part_id", "id_cleaned", FLAG
+        )
+        for kind, ids in typed.items()
+    ]
+    return kinds[0].unionByName(kinds[1]).unionByName(kinds[2])
+
+
+@query("tolerant_int_line_ends")
+def tolerant_int_line_ends(spark, sf_dir):
+    """Numbers that end in a line feed or in one of the line ends that are no ASCII."""
+    ends = F.array(F.lit(""), F.lit("\n"), F.lit("\u0085"), F.lit("\u2028"), F.lit("\u2029"))
+    number = F.concat(F.col("l_quantity").cast("string"), F.get(ends, F.col("l_linenumber") % 5))
+    lines = table(spark, sf_dir, "lineitem")
+    return lines.select("l_orderkey", "l_linenumber", tolerant_int(number).alias("quantity"))
+
+
 # Statistics
 
 
@@ -253,6 +339,11 @@ def category_stats(spark, sf_dir):
     return price_stats(valid_rows(tag(dirty_materials(spark, sf_dir))))
 
 
+@query("category_stats_exact")
+def category_stats_exact(spark, sf_dir):
+    return price_stats(valid_rows(tag(dirty_materials(spark, sf_dir))), exact=True)
+
+
 @query("category_only_stats")
 def category_only_stats(spark, sf_dir):
     """Grouped by category alone: few groups, and large ones."""
@@ -266,6 +357,20 @@ def grouped_price_stats(spark, sf_dir):
     return price_stats(table(spark, sf_dir, "lineitem"), keys, "l_extendedprice")
 
 
+@query("grouped_line_stats_exact")
+def grouped_line_stats_exact(spark, sf_dir):
+    keys = ["l_suppkey", "l_returnflag", "l_linestatus"]
+    return price_stats(table(spark, sf_dir, "lineitem"), keys, "l_extendedprice", exact=True)
+
+
+@query("huge_sum_stats_exact")
+def huge_sum_stats_exact(spark, sf_dir):
+    """Groups whose sums of cents pass 2^61."""
+    price = F.floor("l_extendedprice") * F.lit(1e8) + F.col("l_linenumber") * F.lit(0.25)
+    lines = table(spark, sf_dir, "lineitem").select("l_returnflag", price.alias("price"))
+    return price_stats(lines, ["l_returnflag"], "price", exact=True)
+
+
 @query("grouped_price_stats_exact")
 def grouped_price_stats_exact(spark, sf_dir):
     return price_stats(table(spark, sf_dir, "orders"), ["o_custkey"], "o_totalprice", exact=True)
@@ -334,6 +439,29 @@ def append_mode(spark, sf_dir):
     return read_table(spark, path, MATERIALS_CONTRACT, ReadOptions(fmt="parquet"))
 
 
+@query("ignore_mode")
+def ignore_mode(spark, sf_dir):
+    """What is there stays; a new path is written."""
+    source = dirty_materials(spark, sf_dir)
+    path = stored(source, "parquet", "ignore", mode="ignore")
+    write_table(source.limit(0), path, mode="ignore")
+    return read_table(spark, path, MATERIALS_CONTRACT, ReadOptions(fmt="parquet"))
+
+
+@query("errorifexists_mode")
+def errorifexists_mode(spark, sf_dir):
+    """A second write is refused and changes nothing."""
+    source = dirty_materials(spark, sf_dir)
+    path = stored(source, "parquet", "error", mode="errorifexists")
+    refused = False
+    try:
+        write_table(source, path, mode="errorifexists")
+    except AnalysisException as error:
+        refused = error.getCondition() == "PATH_ALREADY_EXISTS"
+    stored_once = read_table(spark, path, MATERIALS_CONTRACT, ReadOptions(fmt="parquet"))
+    return stored_once.withColumn("refused", F.lit(refused))
+
+
 @query("quarantine_roundtrip")
 def quarantine_roundtrip(spark, sf_dir):
     path = scratch_path(spark, "quarantine")
@@ -389,6 +517,50 @@ def curated_inferred_stats(spark, sf_dir):
     return curate(spark, options).stats
 
 
+def _curation(spark, source: str, label: str, **settings) -> CurationOptions:
+    out = scratch_path(spark, label)
+    return CurationOptions(source, f"{out}/clean", f"{out}/quarantine", f"{out}/stats", **settings)
+
+
+@query("curated_blank_category_stats")
+def curated_blank_category_stats(spark, sf_dir):
+    """Every fifth category is blank, which is a value, and stays one in partitioned files."""
+    source = dirty_materials(spark, sf_dir)
+    blank = F.when(F.col("manufacturer_part_id").cast("int") % 5 == 0, "  ").otherwise(F.col("category"))
+    path = stored(source.withColumn("category", blank), "csv", "curate-blank-input")
+    return curate(spark, _curation(spark, path, "curate-blank")).stats
+
+
+@query("curated_rerun_without_valid_rows")
+def curated_rerun_without_valid_rows(spark, sf_dir):
+    """Rows on disk after a second run in which no row is valid: nothing of the first is left."""
+    source = dirty_materials(spark, sf_dir)
+    good = stored(source, "csv", "curate-good-input")
+    bad = stored(source.withColumn("id", F.lit("bad")), "csv", "curate-bad-input")
+    options = _curation(spark, good, "curate-rerun")
+    first = curate(spark, options)
+    rows = first.summary.select(F.lit("first").alias("run"), "valid_rows")
+    second = curate(spark, replace(options, input_path=bad)).summary
+    left = {
+        name: spark.read.schema("name_cleaned string").parquet(path).count()
+        for name, path in (("clean", options.clean_path), ("stats", options.stats_path))
+    }
+    rows = rows.unionByName(second.select(F.lit("second").alias("run"), "valid_rows"))
+    return rows.withColumns({f"{name}_left": F.lit(n) for name, n in left.items()})
+
+
+@query("curated_appended_clean_rows")
+def curated_appended_clean_rows(spark, sf_dir):
+    """Two appended runs, the first of which drops a sparse column that the second keeps."""
+    source = dirty_materials(spark, sf_dir)
+    first = stored(source, "csv", "curate-append-input")
+    second = stored(source.withColumn("competitor_name", F.lit("acme corp")), "csv", "curate-append-input")
+    options = _curation(spark, first, "curate-append", mode="append")
+    curate(spark, options)
+    both = curate(spark, replace(options, input_path=second)).clean
+    return both.select("id_cleaned", "competitor_name_cleaned")
+
+
 @query("curated_order_line_stats")
 def curated_order_line_stats(spark, sf_dir):
     source = stored(dirty_order_lines(spark, sf_dir), "csv", "curate-lines-input")

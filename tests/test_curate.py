@@ -1,4 +1,5 @@
 from dataclasses import replace
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -22,6 +23,7 @@ from cleargrist import (
 from cleargrist.suite.inputs import dirty_materials
 
 SF_DIR = "/root/testdata/sf0.01"
+# The columns that the clean table of this input keeps.
 CLEAN = [
     "id_cleaned",
     "name_cleaned",
@@ -101,6 +103,20 @@ def test_overwrite_and_append(spark, options):
     assert again.stats.groupBy(*again.stats.columns).count().filter("count != 2").count() == 0
 
 
+@pytest.mark.parametrize("fmt", ["parquet", "orc", "json", "csv"])
+def test_appended_runs_are_read_back_with_all_their_columns(spark, options, out, fmt):
+    options = replace(options, mode="append", write_format=fmt)
+    curate(spark, options)
+    full = dirty_materials(spark, SF_DIR).withColumn("competitor_name", F.lit("acme corp"))
+    write_table(full, out("full"), "csv")
+    curate(spark, replace(options, input_path=out("full")))
+    again = curate(spark, options).clean
+    counts = {r[0]: r[1] for r in again.groupBy("competitor_name_cleaned").count().collect()}
+    if fmt != "csv":
+        assert counts == {None: 2 * 1706, "Acme Corp": 1706}
+    assert counts["Acme Corp"] >= 1706 and sum(counts.values()) == 3 * 1706
+
+
 def test_ignore_keeps_what_is_there(spark, options):
     curate(spark, options)
     result = curate(spark, replace(options, mode="ignore"))
@@ -130,6 +146,37 @@ def test_no_valid_rows(spark, options, out, checkpoint):
     assert result.clean is None and result.stats is None
     assert result.quarantine.count() == 2000
     assert result.summary.first()["valid_rows"] == 0
+    assert result.summary.first()["columns_retained"] == []
+
+
+@pytest.mark.parametrize("fmt", ["parquet", "orc", "json", "csv"])
+def test_outputs_of_an_earlier_run_are_emptied(spark, options, out, fmt):
+    options = replace(options, write_format=fmt)
+    curate(spark, options)
+    bad = dirty_materials(spark, SF_DIR).withColumn("id", F.lit("bad"))
+    write_table(bad, out("bad"), "csv")
+    curate(spark, replace(options, input_path=out("bad")))
+    for path in (options.clean_path, options.stats_path):
+        assert spark.read.schema("x string").option("header", True).format(fmt).load(path).count() == 0
+
+
+def test_a_file_that_arrives_while_the_job_runs_is_seen_by_the_next(spark, options, out, monkeypatch):
+    folder = Path(out("late"))
+    write_table(dirty_materials(spark, SF_DIR).limit(100), str(folder), "csv")
+    kept = replace(options, input_path=str(folder), checkpoint_path=out("kept"))
+    from cleargrist.plans import curate as module
+
+    write, arrived = module.materialize, []
+
+    def late(*args, **named):
+        if not arrived:
+            arrived.append(write_table(dirty_materials(spark, SF_DIR).limit(50), str(folder), "csv", "append"))
+        return write(*args, **named)
+
+    monkeypatch.setattr(module, "materialize", late)
+    with pytest.warns(UserWarning, match="changed"):
+        curate(spark, kept)
+    assert curate(spark, kept).summary.first()["total_rows"] == 150
 
 
 @pytest.mark.parametrize("fmt", ["parquet", "orc", "json", "csv"])
@@ -164,6 +211,15 @@ def test_blank_keys_survive(spark, options, out):
     assert rows(result.stats.select("manufacturer_name_cleaned").distinct()) == [("",)]
 
 
+@pytest.mark.parametrize("fmt", ["parquet", "orc", "json"])
+def test_a_blank_partition_key_survives(spark, options, out, fmt):
+    blank = dirty_materials(spark, SF_DIR).withColumn("category", F.lit("   "))
+    write_table(blank, out("blank"), "csv")
+    result = curate(spark, replace(options, input_path=out("blank"), write_format=fmt, read=ReadOptions(multiline=True)))
+    assert rows(result.stats.select("category_cleaned").distinct()) == [("",)]
+    assert result.stats.columns[:3] == ["name_cleaned", "manufacturer_name_cleaned", "category_cleaned"]
+
+
 def test_typed_input(spark, options, out):
     typed = dirty_materials(spark, SF_DIR).withColumn(
         "requested_unit_price", F.col("requested_unit_price").cast("double")

@@ -49,7 +49,7 @@ def test_without_required_columns_only_empty_rows_are_invalid(spark):
 def test_split_is_a_partition_of_the_rows(spark):
     rows = [(str(i) if i % 3 else "bad", "a" if i % 5 else None, "1", None) for i in range(100)]
     frame = tagged(spark, rows)
-    bad, good = quarantine_rows(frame), valid_rows(frame, RULES)
+    bad, good = quarantine_rows(frame, RULES), valid_rows(frame, RULES)
     assert bad.columns == ["id", "name", "price", "note", "is_valid"]
     assert good.columns == ["id_cleaned", "name_cleaned", "price_cleaned", "note", "is_valid"]
     assert bad.count() + good.count() == 100
@@ -145,7 +145,7 @@ def test_column_names_with_dots_and_spaces(spark):
     frame = spark.createDataFrame([(" a  B", "1.5"), (None, "2")], "`na.me` string, `Unnamed: 0` string")
     out = tag(frame, rules)
     assert [tuple(r) for r in valid_rows(out, rules).collect()] == [("A B", 1, "Y")]
-    assert [tuple(r) for r in quarantine_rows(out).collect()] == [(None, "2", "N")]
+    assert [tuple(r) for r in quarantine_rows(out, rules).collect()] == [(None, "2", "N")]
     assert clean(out, 0.9, rules).columns == ["na.me_cleaned", "Unnamed: 0_cleaned", "ingestion_time"]
 
 

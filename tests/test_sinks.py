@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from cleargrist import ReadOptions, read_table, write_jdbc, write_table
+from cleargrist.sinks.writers import partitioned_schema, restore_keys
 from cleargrist.sources.tables import KEEP_NUL
 
 ABC = StructType([StructField(c, StringType()) for c in ("a", "b", "c")])
@@ -94,7 +95,7 @@ def test_a_failed_write_raises(spark, out):
         write_table(bad, out("t"))
 
 
-PARTITION_KEYS = ["1", "01", "", None, "A/B: c", "2024-01-01"]
+PARTITION_KEYS = ["1", "01", None, "A/B: c", "2024-01-01"]
 
 
 def test_partition_values(spark, out):
@@ -102,9 +103,28 @@ def test_partition_values(spark, out):
     write_table(frame, out("t"), partition_by="k")
     read = read_table(spark, out("t"), frame.schema, ReadOptions(fmt="parquet", check=False))
     assert read.columns == ["k", "v"]
-    # Neither empty nor missing text can name a folder: both come back as missing.
-    expected = [(k or None, str(i)) for i, k in enumerate(PARTITION_KEYS)]
-    assert rows(read) == sorted(expected, key=repr)
+    assert rows(read) == rows(frame)
+
+
+def test_an_empty_partition_key_is_refused_or_kept(spark, out):
+    frame = spark.createDataFrame([("", 1, "x"), ("a", 2, "y"), (None, 3, "z")], "k string, n int, v string")
+    with pytest.raises(Exception, match="empty text in partition column k"):
+        write_table(frame, out("t"), partition_by="k")
+    write_table(frame, out("u"), partition_by=["k", "n"], key_copies=True)
+    schema = partitioned_schema(frame.schema, ["k", "n"])
+    read = read_table(spark, out("u"), schema, ReadOptions(fmt="parquet", check=False))
+    assert rows(restore_keys(read, ["k", "n"])) == rows(frame)
+
+
+def test_rebalancing_needs_adaptive_execution(spark, out):
+    frame = spark.createDataFrame([("a", 1)], "k string, n int")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        with pytest.raises(ValueError, match="adaptive"):
+            write_table(frame, out("t"), partition_by="k")
+        write_table(frame, out("t"), partition_by="k", rebalance=False)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
 
 
 def test_partition_by_two_columns(spark, out):

@@ -104,6 +104,25 @@ def test_no_header_reads_by_position(spark, csv):
     assert rows(read_table(spark, csv("1,2,3\n"), ABC, ReadOptions(header=False))) == [("1", "2", "3")]
 
 
+@pytest.mark.parametrize(("text", "message"), [("1,2\n", "missing column 'c'"), ("1,2,3,4\n", "unexpected column '_c3'")])
+def test_no_header_and_another_number_of_columns_is_refused(spark, csv, out, text, message):
+    with pytest.raises(ContractError, match=message):
+        read_table(spark, csv(text), ABC, ReadOptions(header=False), out("report"))
+    assert spark.read.json(out("report")).first()["status"] == "FAILED"
+
+
+def test_unchecked_columns_go_by_name(spark, csv):
+    path = csv("c,other,a\n3,x,1\n")
+    assert rows(read_table(spark, path, ABC, ReadOptions(check=False))) == [("1", None, "3")]
+
+
+def test_values_that_do_not_fit_become_null(spark, out):
+    spark.createDataFrame([("x", "1", "y")], ABC).write.parquet(out("t"))
+    contract = StructType([StructField("a", IntegerType()), StructField("b", IntegerType()), ABC["c"]])
+    read = read_table(spark, out("t"), contract, ReadOptions(fmt="parquet"))
+    assert rows(read) == [(None, 1, "y")]
+
+
 def test_inference(spark, csv):
     read = read_table(spark, csv("a,b,c\n1,x,2.5\n2,y,3\n"), ABC, ReadOptions(infer=True))
     assert read.dtypes == [("a", "int"), ("b", "string"), ("c", "double")]

@@ -57,10 +57,19 @@ def check_exact_average(spark):
 
 def test_exact_average_of_other_values_is_the_plain_one(spark):
     rows = [("thirds", 1 / 3), ("thirds", 2.0), ("huge", 1e20), ("huge", 3e20), ("low", -1e300)]
-    rows += [("sum beyond 64 bits", 9e13)] * 1100
     assert stats(spark, rows, exact=True) == stats(spark, rows)
 
 
+def test_sums_beyond_64_bits_are_exact(spark):
+    rows = [("a", 9e13)] * 1100 + [("b", 8e13 + i * 0.25) for i in range(295)]
+    rows += [("c", -(8e13 + i * 0.25)) for i in range(295)]
+    out = stats(spark, rows, exact=True)
+    assert out["a"][1] == 9e13
+    mean = sum(Decimal(80000000000000) + i * Decimal("0.25") for i in range(295)) / 295
+    rounded = float(mean.quantize(Decimal("0.01"), ROUND_HALF_UP))
+    assert (out["b"][1], out["c"][1]) == (rounded, -rounded)
+
+
 def test_other_scale(spark):
     assert stats(spark, [("a", 1.2345), ("a", 1.2346)], scale=4, exact=True)["a"] == (2, 1.2346, 1.2345, 1.2346)
 
@@ -69,4 +78,4 @@ def test_one_shuffle_after_partial_aggregation(spark):
     frame = price_stats(spark.createDataFrame([("a", 1.0)], "k string, v double"), ["k"], "v", exact=True)
     plan = frame._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange") == 1
-    assert "partial_try_sum" in plan and "partial_avg" in plan
+    assert "partial_sum" in plan and "partial_avg" in plan
