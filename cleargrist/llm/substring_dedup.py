@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cleargrist.llm import arrays as A
-from cleargrist.llm.tables import keyed, rows_between, sized, stored
+from cleargrist.llm.tables import keyed, possible_members, rows_between, sized, stored
 
 CELL = 16
 
@@ -103,9 +103,50 @@ def _per_document(spots: DataFrame, fields: list[str], name: str) -> DataFrame:
 
 
 def _with_texts(rows: DataFrame, per_doc: DataFrame, row_bytes: int, how: str, limit: int) -> DataFrame:
-    right = sized(per_doc.withColumnRenamed("id", "own_id").withColumnRenamed("key", "own_key"), row_bytes, limit)
+    """Texts with what ``per_doc`` has for them, which is broadcast if it fits the limit.
+
+    Beyond it, a fixed-size filter spares most other texts the shuffle.
+    """
+    right = per_doc.withColumnRenamed("id", "own_id").withColumnRenamed("key", "own_key")
     same = (F.col("key") == F.col("own_key")) & F.col("id").eqNullSafe(F.col("own_id"))
-    return rows.join(right, same, how)
+    if per_doc.count() * row_bytes <= limit:
+        return rows.join(F.broadcast(right), same, how)
+    marked = rows.withColumn("due", possible_members(per_doc, "key"))
+    joined = marked.filter("due").join(right.hint("shuffle_hash"), same, how)
+    if how == "inner":
+        return joined
+    others = marked.filter("not due")
+    missing = {f.name: F.lit(None).cast(f.dataType) for f in right.schema.fields}
+    return joined.unionByName(others.withColumns(missing))
+
+
+def _merged(per_doc: DataFrame) -> DataFrame:
+    """The runs of each document, those that overlap or touch as one."""
+
+    def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for source in batches:
+            n = source.num_rows
+            found = source.column("found")
+            of = np.repeat(np.arange(n), found.value_lengths().to_numpy(False))
+            low, high = (f.to_numpy(False).astype(np.int64) for f in found.flatten().flatten())
+            order = np.lexsort((low, of))
+            of, low, high = of[order], low[order], high[order]
+            reach = np.maximum.accumulate(high + (of << 32)) if n else high
+            new = np.ones(len(of), bool)
+            new[1:] = (low[1:] + (of[1:] << 32)) > reach[:-1] + 1
+            first = np.flatnonzero(new)
+            last = np.append(first[1:], len(of)) - 1
+            ends = (reach[last] - (of[last] << 32)).astype(np.int32) if len(of) else high
+            runs = pa.StructArray.from_arrays(
+                [pa.array(low[first].astype(np.int32)), pa.array(ends.astype(np.int32))], ["low", "high"]
+            )
+            cuts = np.searchsorted(of[first], np.arange(n + 1)).astype(np.int32)
+            yield pa.RecordBatch.from_arrays(
+                [source.column("id"), source.column("key"), pa.ListArray.from_arrays(cuts, runs)],
+                ["id", "key", "found"],
+            )
+
+    return per_doc.select("id", "key", "found").mapInArrow(merge, per_doc.schema)
 
 
 def _regions(texts: DataFrame, length: int) -> DataFrame:
@@ -240,9 +281,12 @@ def _refine(rows: DataFrame, bucket: str, finer: str, limit: int) -> tuple[DataF
 def repeated_spans(rows: DataFrame, length: int, gram: int, limit: int) -> DataFrame:
     """(id, key, low, high): first and last start of runs of repeated windows, several per text."""
     anchors = stored(_anchors(rows, length, gram), "anchors")
-    live = sized(stored(_several(anchors, "gram"), "live-grams"), 16, limit)
-    alive = anchors.join(live, "gram").withColumn("node", F.monotonically_increasing_id())
-    alive = stored(alive, "live-anchors")
+    live = stored(_several(anchors, "gram"), "live-grams")
+    if live.count() * 16 <= limit:
+        alive = anchors.join(F.broadcast(live), "gram")
+    else:
+        alive = anchors.filter(possible_members(live, "gram")).join(live, "gram")
+    alive = stored(alive.withColumn("node", F.monotonically_increasing_id()), "live-anchors")
     whole, reps = _refine(alive, "gram", "region", limit)
     by_region = alive.join(whole, ["gram", "region"]).select("id", "key", "low", "high")
 
@@ -290,8 +334,7 @@ def remove_repeats(
     """
     rows = keyed(docs, id_col, text_col)
     found = repeated_spans(rows, length, gram, broadcast_bytes)
-    # Touching runs of one text meet again below; here each is two numbers.
-    per_doc = stored(_per_document(found, ["low", "high"], "found"), "spans")
+    per_doc = stored(_merged(_per_document(found, ["low", "high"], "found")), "spans")
     total = per_doc.agg(F.sum(F.size("found"))).first()[0] or 0
     size = 64 + 8 * total // max(1, per_doc.count())
     texts = _with_texts(rows, per_doc, size, "left", broadcast_bytes).select("id", "text", "found")

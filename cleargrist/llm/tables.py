@@ -6,6 +6,7 @@ from collections.abc import Iterator
 from functools import reduce
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -88,6 +89,29 @@ def sized(df: DataFrame, row_bytes: int, limit: int = 32 << 20) -> DataFrame:
     return F.broadcast(df) if df.count() * row_bytes <= limit else df.hint("shuffle_hash")
 
 
+def possible_members(df: DataFrame, column: str, bits: int = 27) -> Column:
+    """A test for a column of that name: false only for values that the table does not hold.
+
+    One bit for each of 2^bits hash values, whatever the size of the table: the driver gets at
+    most a 64-bit word for 64 of them, and broadcasts 16 MB. A full table only filters less.
+    """
+    slot = F.pmod(F.xxhash64(column), F.lit(1 << bits))
+    words = df.select(F.shiftright(slot, 6).alias("word"), (slot % 64).cast("int").alias("bit"))
+    mask = F.expr("bit_or(shiftleft(1L, bit))").alias("mask")
+    found = words.groupBy("word").agg(mask).toArrow()
+    table = np.zeros(1 << (bits - 6), np.uint64)
+    table[found["word"].to_numpy()] = found["mask"].to_numpy().view(np.uint64)
+    shared = df.sparkSession.sparkContext.broadcast(table)
+
+    @F.pandas_udf("boolean")
+    def there(slots: pd.Series) -> pd.Series:
+        at = slots.to_numpy(np.uint64)
+        hit = shared.value[at >> np.uint64(6)] >> (at & np.uint64(63))
+        return pd.Series((hit & np.uint64(1)).astype(bool))
+
+    return there(slot)
+
+
 def whole_groups(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[pa.Table]:
     """Tables of whole groups, from batches that are sorted by a key: many small, or one large."""
     waiting: list[pa.RecordBatch] = []
