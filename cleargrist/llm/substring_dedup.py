@@ -35,6 +35,11 @@ from cleargrist.llm.tables import keyed, possible_members, rows_between, sized,
 CELL = 16
 
 
+def _ends(firsts: np.ndarray, n: int) -> np.ndarray:
+    """The last of the n entries in each group, given the first of each."""
+    return np.append(firsts[1:], n)[: len(firsts)] - 1
+
+
 def anchors_of(block: A.Block, length: int, gram: int) -> tuple[np.ndarray, ...]:
     """(anchor, first window, last window, gram hash, region hash) of a block's anchors."""
     n = len(block.data)
@@ -65,7 +70,7 @@ def anchors_of(block: A.Block, length: int, gram: int) -> tuple[np.ndarray, ...]
     new = np.ones(len(at), bool)
     new[1:] = (at[1:] != at[:-1]) | (windows[1:] != windows[:-1] + 1)
     first = np.flatnonzero(new)
-    last = np.append(first[1:], len(at)) - 1
+    last = _ends(first, len(at))
     anchor, low, high = at[first], windows[first], windows[last]
     shape = ((anchor - low) * (length + 1) + high - low).astype(np.uint64)
     region = A.mix(hasher(low, high + length) + shape)
@@ -131,12 +136,12 @@ def _merged(per_doc: DataFrame) -> DataFrame:
             low, high = (f.to_numpy(False).astype(np.int64) for f in found.flatten().flatten())
             order = np.lexsort((low, of))
             of, low, high = of[order], low[order], high[order]
-            reach = np.maximum.accumulate(high + (of << 32)) if n else high
+            reach = np.maximum.accumulate(high + (of << 32))
             new = np.ones(len(of), bool)
             new[1:] = (low[1:] + (of[1:] << 32)) > reach[:-1] + 1
             first = np.flatnonzero(new)
-            last = np.append(first[1:], len(of)) - 1
-            ends = (reach[last] - (of[last] << 32)).astype(np.int32) if len(of) else high
+            last = _ends(first, len(of))
+            ends = (reach[last] - (of[last] << 32)).astype(np.int32)
             runs = pa.StructArray.from_arrays(
                 [pa.array(low[first].astype(np.int32)), pa.array(ends.astype(np.int32))], ["low", "high"]
             )
@@ -200,7 +205,7 @@ def _cells(regions: DataFrame, length: int) -> DataFrame:
                 of, offset = _offsets(block, back, length)
                 cell = offset // CELL
                 first = np.flatnonzero((np.diff(of, prepend=-1) != 0) | (np.diff(cell, prepend=-1) != 0))
-                last = np.append(first[1:], len(of)) - 1
+                last = _ends(first, len(of))
                 low, high = (back[of[x]] - offset[x] for x in (first, last))
                 of, cell = of[first], cell[first]
                 begin = block.starts[of] + back[of] - cell * CELL
@@ -274,15 +279,15 @@ def _refine(rows: DataFrame, bucket: str, finer: str, limit: int) -> tuple[DataF
     classes = stored(classes, f"{finer}-classes")
     whole = stored(classes.filter("n > 1").select(bucket, finer), f"{finer}-whole")
     split = stored(_several(classes, bucket), f"{bucket}-split")
-    reps = classes.join(sized(split, 16, limit), bucket).select("node", finer)
-    return sized(whole, 24, limit), stored(reps, f"{finer}-next")
+    reps = classes.join(sized(split, 32, limit), bucket).select("node", finer)
+    return sized(whole, 40, limit), stored(reps, f"{finer}-next")
 
 
 def repeated_spans(rows: DataFrame, length: int, gram: int, limit: int) -> DataFrame:
     """(id, key, low, high): first and last start of runs of repeated windows, several per text."""
     anchors = stored(_anchors(rows, length, gram), "anchors")
     live = stored(_several(anchors, "gram"), "live-grams")
-    if live.count() * 16 <= limit:
+    if live.count() * 32 <= limit:
         alive = anchors.join(F.broadcast(live), "gram")
     else:
         alive = anchors.filter(possible_members(live, "gram")).join(live, "gram")
@@ -290,10 +295,10 @@ def repeated_spans(rows: DataFrame, length: int, gram: int, limit: int) -> DataF
     whole, reps = _refine(alive, "gram", "region", limit)
     by_region = alive.join(whole, ["gram", "region"]).select("id", "key", "low", "high")
 
-    mixed = alive.join(sized(reps.select("node"), 16, limit), "node")
+    mixed = alive.join(sized(reps.select("node"), 32, limit), "node")
     mixed = stored(mixed.select("node", "id", "key", "anchor", "low", "high"), "mixed-regions")
     spots = stored(_per_document(mixed, ["node", "anchor", "low", "high"], "spots"), "spots")
-    size = 64 + 24 * mixed.count() // max(1, spots.count())
+    size = 64 + 48 * mixed.count() // max(1, spots.count())
     texts = _with_texts(rows, spots, size, "inner", limit)
     # A text that repeats in full gives its regions as often.
     regions = stored(_regions(texts, length), "region-bytes")
@@ -301,7 +306,7 @@ def repeated_spans(rows: DataFrame, length: int, gram: int, limit: int) -> DataF
     cells = stored(_cells(regions, length), "cells")
     whole, reps = _refine(cells, "core", "hull", limit)
     by_cell = cells.join(whole, ["core", "hull"]).select("node", "low", "high")
-    due = cells.join(sized(reps, 24, limit), ["node", "hull"])
+    due = cells.join(sized(reps, 40, limit), ["node", "hull"])
     due = stored(due.groupBy("node").agg(F.collect_set("cell").alias("cells")), "open-cells")
     windows = stored(_windows(regions.join(sized(due, 64, limit), "node"), length), "windows")
     again = windows.join(_several(windows, "string"), "string")
@@ -321,7 +326,7 @@ def remove_repeats(
     text_col: str = "text",
     length: int = 200,
     gram: int = 64,
-    broadcast_bytes: int = 48 << 20,
+    broadcast_bytes: int = 96 << 20,
 ) -> DataFrame:
     """One row per document: id, ``n_bytes``, ``spans``, ``n_removed`` and the ``kept`` bytes.
 
@@ -336,7 +341,7 @@ def remove_repeats(
     found = repeated_spans(rows, length, gram, broadcast_bytes)
     per_doc = stored(_merged(_per_document(found, ["low", "high"], "found")), "spans")
     total = per_doc.agg(F.sum(F.size("found"))).first()[0] or 0
-    size = 64 + 8 * total // max(1, per_doc.count())
+    size = 64 + 32 * total // max(1, per_doc.count())
     texts = _with_texts(rows, per_doc, size, "left", broadcast_bytes).select("id", "text", "found")
     names = ["id", "n_bytes", "spans", "n_removed", "kept"]
 
