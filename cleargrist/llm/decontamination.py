@@ -460,13 +460,15 @@ def _cut_joined(
 
     @F.udf("string")
     def without(value, runs):
+        # Spark may call this for every row, also where its result is not used.
+        if value is None or runs is None:
+            return value
         return cut(value.encode(), [(r[0], r[1]) for r in runs]).decode("utf-8", "replace")
 
     kept = joined.filter(
         F.col("n_hit").isNull() | (F.col("n_hit") <= max_coverage * F.col("n_words"))
     )
-    cleaned = F.when(F.col("n_hit").isNotNull(), without(F.col(f"row.`{text_col}`"), F.col("bytes")))
-    cleaned = F.coalesce(cleaned, F.col(f"row.`{text_col}`"))
+    cleaned = without(F.col(f"row.`{text_col}`"), F.col("bytes"))
     return kept.select(
         *(cleaned.alias(c) if c == text_col else F.col(f"row.`{c}`").alias(c) for c in docs.columns)
     )

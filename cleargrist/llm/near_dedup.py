@@ -281,7 +281,7 @@ def link_documents(
     with fewer words than ``size`` has one shingle, all its words; null, empty and blank texts
     have none and are linked with nothing, not even each other. ``component_id`` is the smallest
     id that a document is connected with, its own included, and ``kept`` marks the document of
-    that id; null ids count as larger than all others. Rows that repeat in full count as one
+    that id (of several, that of the smallest key); null ids count as larger than all others. Rows that repeat in full count as one
     document, and each gets the same answer. An empty table gives an empty table.
     """
     rows = keyed(docs, id_col, text_col)
@@ -316,18 +316,19 @@ def link_documents(
     found = components(links, "links")
 
     root = F.coalesce("component", "node").alias("root")
-    rooted = classes.join(found, "node", "left").select(root, "name_1", "name_2", "first.id")
-    lowest = rooted.groupBy("root").agg(F.min("id").alias("component_id"))
-    by_name = rooted.join(lowest, "root").select("name_1", "name_2", "component_id")
+    rooted = classes.join(found, "node", "left").select(root, "name_1", "name_2", "first")
+    own = F.struct(F.col("first.id").isNull(), "first.id", "first.key")
+    lowest = rooted.groupBy("root").agg(F.min_by("first", own).alias("lowest"))
+    by_name = rooted.join(lowest, "root").select("name_1", "name_2", "lowest")
     answer = sketched.drop("bands").join(by_name, ["name_1", "name_2"], "left")
     alone = F.col("n_shingles") == 0
-    answer = answer.withColumn("component_id", F.when(alone, F.col("id")).otherwise(F.col("component_id")))
+    first = F.col("id").eqNullSafe(F.col("lowest.id")) & (F.col("key") == F.col("lowest.key"))
     return answer.select(
         F.col("id").alias(id_col),
         "key",
         "n_shingles",
-        "component_id",
-        F.col("id").eqNullSafe(F.col("component_id")).alias("kept"),
+        F.when(alone, F.col("id")).otherwise(F.col("lowest.id")).alias("component_id"),
+        (alone | first).alias("kept"),
     )
 
 
@@ -345,17 +346,17 @@ def keep_one(
     """
     linked = stored(link_documents(docs, id_col, text_col, size, threshold), "near-dedup")
     gone = stored(linked.filter("not kept").select(F.col(id_col).alias("gone_id"), "key"), "gone")
-    twice = linked.filter("kept and n_shingles > 0").groupBy("component_id").count().filter("count > 1")
+    same_rows = linked.filter("kept and n_shingles > 0").groupBy(F.col(id_col).alias("twice_id"), "key")
+    twice = same_rows.count().filter("count > 1").select("twice_id", F.col("key").alias("twice_key"))
     text = F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit(""))
     own = docs.select(F.struct("*").alias("row"), F.xxhash64(F.col(f"`{id_col}`"), text).alias("key"))
     ids = F.col(f"row.`{id_col}`")
     same = (own["key"] == gone["key"]) & ids.eqNullSafe(gone["gone_id"])
-    left = own.join(sized(gone, 32), same, "left_anti").select("row.*")
+    left = own.join(sized(gone, 32), same, "left_anti")
+    twice = stored(twice, "twice")
     if not twice.isEmpty():
-        # Several rows bear a component's smallest id: one of them stays.
-        ids_twice = sized(stored(twice.select(F.col("component_id").alias("twice_id")), "twice"), 32)
-        is_twice = F.col(f"`{id_col}`") == F.col("twice_id")
-        single = left.join(ids_twice, is_twice, "left_anti")
-        one = left.join(ids_twice, is_twice, "left_semi").dropDuplicates([id_col])
-        left = single.unionByName(one)
-    return left
+        # A component's first document is there several times: one of those rows stays.
+        is_twice = (left["key"] == twice["twice_key"]) & ids.eqNullSafe(twice["twice_id"])
+        single = left.join(sized(twice, 32), is_twice, "left_anti")
+        left = single.unionByName(left.join(sized(twice, 32), is_twice, "left_semi").dropDuplicates(["key"]))
+    return left.select("row.*")
