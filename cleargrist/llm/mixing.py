@@ -108,14 +108,18 @@ def hypergeometric(total: Column, good: Column, draws: Column, uniform: Column)
         F.reverse(steps(low, mode)), one, lambda s, x: add(s, s["p"] / ratio(x))
     )
     wanted = uniform * (above["mass"] + below["mass"] + 1)
-    walk = F.struct(below["p"].alias("p"), below["p"].alias("mass"), low.alias("x"))
+    # The mass to reach is part of the state, so that it is worked out once for a draw.
+    walk = F.struct(
+        below["p"].alias("p"), below["p"].alias("mass"), low.alias("x"), wanted.alias("wanted")
+    )
 
     def climb(s: Column, x: Column) -> Column:
         p = s["p"] * ratio(x)
         return F.struct(
             p.alias("p"),
             (s["mass"] + p).alias("mass"),
-            F.when(s["mass"] < wanted, x + 1).otherwise(s["x"]).alias("x"),
+            F.when(s["mass"] < s["wanted"], x + 1).otherwise(s["x"]).alias("x"),
+            s["wanted"].alias("wanted"),
         )
 
     return F.aggregate(steps(low, high), walk, climb, lambda s: s["x"])
