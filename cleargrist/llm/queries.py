@@ -16,11 +16,14 @@ from cleargrist.llm import (
     quality_rules,
     secret_scan,
     substring_dedup,
+    token_counts,
 )
 from cleargrist.llm.line_dedup import LineIndex
 from cleargrist.llm.tables import documents
 from cleargrist.workspace import scratch_path
 
+VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
+
 
 def labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/labels.parquet")
@@ -66,6 +69,11 @@ def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    counted = token_counts.count_tokens(documents(spark, sf_dir), VOCABULARY, rule="most")
+    return counted.withColumn("n_tokens", F.col("n_tokens").cast("long"))
+
+
 def op5_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     linked = near_dedup.link_documents(documents(spark, sf_dir), size=4, threshold=80)
     return linked.drop("key")
@@ -134,6 +142,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_secret_scan": op1_secret_scan,
     "op2_quality_classifier": op2_quality_classifier,
     "op3_line_dedup": op3_line_dedup,
+    "op4_token_counts": op4_token_counts,
     "op5_near_dedup": op5_near_dedup,
     "op6_substring_dedup": op6_substring_dedup,
     "op7_decontamination": op7_decontamination,
