@@ -140,8 +140,9 @@ def count_tokens(
     if rule not in RULES:
         raise ValueError(f"unknown rule {rule!r}, use one of {', '.join(RULES)}")
     rows = keyed(docs, id_col, text_col).select("id", "text")
+    by_line = sections is None
     ranks = docs.sparkSession.sparkContext.broadcast(Path(vocabulary).read_bytes())
-    if sections is not None:
+    if not by_line:
         spans = F.struct(*(F.col(c).cast("long") for c in ("section", "start", "end")))
         known = sections.dropna(subset=[id_col, "section", "start", "end"])
         listed = known.groupBy(F.col(id_col).alias("own")).agg(F.collect_list(spans).alias("given"))
@@ -153,7 +154,7 @@ def count_tokens(
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for source in batches:
             for block in A.blocks(source.column("text")):
-                if sections is None:
+                if by_line:
                     of, number, bounds = _line_sections(block)
                 else:
                     given = rows_between(source, "given", block.first, len(block))
@@ -168,7 +169,7 @@ def count_tokens(
     id_type = rows.schema["id"].dataType.simpleString()
     schema = f"id {id_type}, section long, n_tokens double, n_crossing long"
     counted = rows.mapInArrow(count, schema)
-    if sections is not None:
+    if not by_line:
         # The gaps of a document are one section.
         outside = counted.filter(F.col("section") == OUTSIDE).groupBy("id", "section")
         outside = outside.agg(F.sum("n_tokens").alias("n_tokens"), F.sum("n_crossing").alias("n_crossing"))

@@ -178,3 +178,33 @@ def mixture_targets(sizes, weights=(1, 2, 3), most=3):
         if not over:
             return target
         full |= over
+
+
+def token_counts(text, encoding, sections, rule):
+    """{section: (tokens, crossing tokens)}; sections are (name, first byte, end), in order."""
+    counts = {name: [0.0, 0] for name, _, _ in sections}
+    at = 0
+    for token in encoding.encode_ordinary(text):
+        end = at + len(encoding.decode_single_token_bytes(token))
+        parts = [(name, min(end, high) - max(at, low)) for name, low, high in sections]
+        parts = [(name, size) for name, size in parts if size > 0]
+        for name, size in parts:
+            counts[name][1] += len(parts) > 1
+            if rule == "share":
+                counts[name][0] += size / (end - at)
+        if rule == "first":
+            counts[parts[0][0]][0] += 1
+        elif rule == "most":
+            counts[max(parts, key=lambda p: p[1])[0]][0] += 1
+        at = end
+    return {name: tuple(c) for name, c in counts.items()}
+
+
+def line_sections(text):
+    out, at = [], 0
+    lines = text.split("\n")
+    for i, line in enumerate(lines):
+        end = at + len(line.encode()) + (i + 1 < len(lines))
+        out.append((i, at, end))
+        at = end
+    return out

@@ -2,6 +2,7 @@
 
 import random
 from collections import Counter
+from pathlib import Path
 
 import numpy as np
 import pytest
@@ -17,7 +18,9 @@ from cleargrist.llm import (
     quality_rules,
     secret_scan,
     substring_dedup,
+    token_counts,
 )
+from cleargrist.llm.queries import VOCABULARY
 from cleargrist.llm.line_dedup import CuckooFilter, LineIndex
 
 PASSAGE = "the quick brown fox jumps over the lazy dog while seven wise men watch it from afar"
@@ -463,3 +466,41 @@ def test_trees_score_like_a_walk():
         return 1 / (1 + np.exp(-total))
 
     assert np.allclose(trees.score(x), [walk(row) for row in x])
+
+
+@pytest.mark.parametrize("rule", token_counts.RULES)
+def test_token_counts(spark, docs, none, rule):
+    encoding, _ = token_counts._encoding(Path(VOCABULARY).read_bytes(), token_counts.PATTERN)
+    small = docs.filter("text is null or length(text) < 5000")
+    counted = token_counts.count_tokens(small, VOCABULARY, rule=rule)
+    expected = Counter()
+    for i, text in TEXTS:
+        if text is None or len(text) < 5000:
+            found = brute.token_counts(text or "", encoding, brute.line_sections(text or ""), rule)
+            expected.update((i, n, round(c, 9), x) for n, (c, x) in found.items())
+    actual = Counter((r["doc_id"], r["section"], round(r["n_tokens"], 9), r["n_crossing"]) for r in counted.collect())
+    assert actual == expected
+    assert token_counts.count_tokens(none, VOCABULARY).count() == 0
+
+
+@pytest.mark.parametrize("rule", token_counts.RULES)
+def test_token_counts_of_given_sections(spark, frame, rule):
+    encoding, _ = token_counts._encoding(Path(VOCABULARY).read_bytes(), token_counts.PATTERN)
+    text = "Überschrift: \U0001f600 unbelievable  things\n\nhappen tokenizationally"
+    spans = [(1, 7, 2, 9), (1, 8, 6, 16), (1, 9, 16, 17), (1, 3, 30, 900), (5, 1, 0, 4), (1, None, 0, 3), (None, 1, 0, 3)]
+    table = spark.createDataFrame(spans, "doc_id long, section long, start long, end long")
+    docs = frame([(1, text), (2, "other"), (3, None)])
+    counted = token_counts.count_tokens(docs, VOCABULARY, table, rule)
+    at = [len(text[:i].encode()) for i in (0, 2, 9, 16, 17, 30, len(text))]
+    cut = list(zip((-1, 7, 8, 9, -1, 3), at, at[1:], strict=False))
+    pieces = [((n, low), low, high) for n, low, high in cut]
+    expected = Counter()
+    crossing = Counter()
+    for (n, _), (c, x) in brute.token_counts(text, encoding, pieces, rule).items():
+        expected[n] += c
+        crossing[n] += x
+    got = {r["section"]: r for r in counted.filter("doc_id = 1").collect()}
+    assert {n: pytest.approx(r["n_tokens"]) for n, r in got.items()} == dict(expected)
+    assert {n: r["n_crossing"] for n, r in got.items()} == dict(crossing)
+    others = {(r["doc_id"], r["section"], r["n_tokens"]) for r in counted.filter("doc_id > 1").collect()}
+    assert others == {(2, -1, 1.0), (3, -1, 0.0)}

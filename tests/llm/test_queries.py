@@ -2,11 +2,14 @@
 
 import zlib
 from collections import defaultdict
+from pathlib import Path
 
 import pytest
 
 import __spark_entry__ as contract
 import brute
+from cleargrist.llm import token_counts
+from cleargrist.llm.queries import VOCABULARY
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -73,6 +76,17 @@ def test_line_dedup(spark, docs):
     compare(run(spark, "op3_line_dedup"), "n_lines n_dropped kept_sha256", expected)
 
 
+def test_token_counts(spark, docs):
+    encoding, _ = token_counts._encoding(Path(VOCABULARY).read_bytes(), token_counts.PATTERN)
+    expected = {}
+    for i, text, _ in docs:
+        found = brute.token_counts(text or "", encoding, brute.line_sections(text or ""), "most")
+        expected.update({(i, n): c for n, c in found.items()})
+    rows = run(spark, "op4_token_counts")
+    assert {(r["doc_id"], r["section"]): (r["n_tokens"], r["n_crossing"]) for r in rows} == expected
+    assert len(rows) == len(expected)
+
+
 def test_near_dedup(spark, docs):
     found = brute.near_dedup([d[:2] for d in docs], 4)
     expected = {i: (n, root, root == i) for i, (n, root) in found.items()}
