@@ -143,7 +143,7 @@ def count_tokens(
     by_line = sections is None
     ranks = docs.sparkSession.sparkContext.broadcast(Path(vocabulary).read_bytes())
     if not by_line:
-        spans = F.struct(*(F.col(c).cast("long") for c in ("section", "start", "end")))
+        spans = F.struct(*(F.col(c).cast("long").alias(c) for c in ("section", "start", "end")))
         known = sections.dropna(subset=[id_col, "section", "start", "end"])
         listed = known.groupBy(F.col(id_col).alias("own")).agg(F.collect_list(spans).alias("given"))
         listed = stored(listed, "sections")
