@@ -15,7 +15,7 @@ sys.path.insert(0, sys.argv[1])
 from cleargrist import CurationOptions, ReadOptions, curate, write_table
 from cleargrist.suite.inputs import dirty_materials
 
-out, checkpointed = sys.argv[2], sys.argv[3] == "checkpoint"
+out, kind = sys.argv[2], sys.argv[3]
 spark = (
     SparkSession.builder.master("local[4]")
     .config("spark.sql.shuffle.partitions", "4")
@@ -28,7 +28,9 @@ spark = (
 write_table(dirty_materials(spark, "/root/testdata/sf0.01"), out + "/source", "csv")
 options = CurationOptions(
     out + "/source", out + "/clean", out + "/quarantine", out + "/stats",
-    checkpoint_path=out + "/kept" if checkpointed else None,
+    checkpoint_path=out + "/kept" if kind == "checkpoint" else None,
+    write_format=kind if kind in ("csv", "json") else "parquet",
+    mode="append" if kind == "append" else "overwrite",
 )
 for run in range(2):
     spark.sparkContext.setJobDescription(f"run {run}")
@@ -51,7 +53,10 @@ def scans_of_source(folder: Path) -> list[int]:
     return counts
 
 
-@pytest.mark.parametrize(("kind", "scans"), [("plain", [2, 2]), ("checkpoint", [1, 0])])
+@pytest.mark.parametrize(
+    ("kind", "scans"),
+    [("plain", [2, 2]), ("json", [2, 2]), ("csv", [3, 3]), ("append", [3, 3]), ("checkpoint", [1, 0])],
+)
 def test_scans(tmp_path, kind, scans):
     (tmp_path / "events").mkdir()
     repo = Path(__file__).resolve().parents[1]
