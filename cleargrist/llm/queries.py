@@ -11,6 +11,7 @@ from cleargrist.llm import (
     decontamination,
     mixing,
     near_dedup,
+    oracle,
     personal_data,
     quality_classifier,
     quality_rules,
@@ -99,7 +100,6 @@ def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.size("items").cast("long").alias("n_items"),
         digest(F.array_join("items", ",")).alias("items_sha256"),
         (F.col("n_hit") > 0).alias("contaminated"),
-        "longest",
     )
 
 
@@ -151,5 +151,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_quality_rules": op10_quality_rules,
 }
 
-#: Where SQL can express a query: the same rows in DuckDB.
-ORACLE_SQL: dict[str, str] = {}
+#: Where SQL can express a query over whole tables in fair time: the same rows in DuckDB.
+ORACLE_SQL: dict[str, str] = {
+    "op1_secret_scan": oracle.SECRETS,
+    "op3_line_dedup": oracle.LINES,
+    "op5_near_dedup": oracle.COPIES,
+    "op7_decontamination": oracle.LEAKS,
+}
