@@ -102,6 +102,7 @@ _words = sorted(DIGIT_WORDS, key=len, reverse=True)
 _DIGIT = f"(?:{'|'.join(_words)}|[0-9])"
 _ONE = re.compile(_DIGIT, re.IGNORECASE)
 _PLUS = re.compile(r"(?<!\w)plus (?=[0-9])", re.IGNORECASE)
+_LETTER_DIGIT = re.compile(r"(?<=[0-9])[OolI](?=[0-9])")
 _AFTER_PLUS = re.compile(r"(?:\+|\bplus) ?\Z", re.IGNORECASE)
 _OPEN, _CLOSE = r"[ ]?[\[({<][ ]?", r"[ ]?[\])}>][ ]?"
 _AT = re.compile(rf"{_OPEN}(?:{'|'.join(AT_WORDS)}|@){_CLOSE}", re.IGNORECASE)
@@ -116,19 +117,29 @@ _PLAIN = re.compile(
 )
 _PART = rf"{_DIGIT}(?:[ -]?{_DIGIT}){{0,2}}"
 _SPELLED = re.compile(
-    rf"(?<!\w){_PART}(?: (?:{_dot}) {_PART}){{3}}(?!\w)|(?<!\w){_DIGIT}(?:[ ,-]{{1,2}}{_DIGIT}){{3,}}(?!\w)",
+    rf"(?<!\w){_PART}(?: (?:{_dot}) {_PART}){{3}}(?!\w)|(?<!\w){_DIGIT}(?:[ ,()-]{{1,3}}{_DIGIT}){{3,}}(?!\w)",
     re.IGNORECASE,
 )
 _PLAIN_AT = re.compile(rf" (?:{_at}) ", re.IGNORECASE)
 _DOT_WORD = re.compile(rf" (?:{_dot}) ", re.IGNORECASE)
 
-_TRACE = re.compile(
-    "[­ɐ-￿\U00010000-\U0010ffff]"
-    rf"|[\[({{<][ ]?(?:{_at}|{_dot}|@|\.)[ ]?[\])}}>]"
-    rf"| (?:{_dot}) (?:[a-z0-9-]+|{_DIGIT})"
-    rf"|(?<!\w){_DIGIT}(?:[ ,-]{{1,2}}{_DIGIT}){{6}}",
-    re.IGNORECASE,
-)
+_FOREIGN = re.compile("[\u00ad\u0250-\U0010ffff]")
+_BRACKETED = re.compile(rf"[\[({{<][ ]?(?:{_at}|{_dot}|@|\.)[ ]?[\])}}>]")
+_MIXED = re.compile("[0-9][OolI][0-9]")
+_DOTS = tuple(f" {word} " for word in DOT_WORDS)
+_FEWEST_DIGIT_WORDS = 4
+
+
+def suspicious(text: str) -> bool:
+    """Whether a text shows a trace of a disguise; cheap, as nearly all texts show none."""
+    if not text.isascii() and _FOREIGN.search(text) or _MIXED.search(text):
+        return True
+    lowered = text.lower()
+    if _BRACKETED.search(lowered) or any(dot in lowered for dot in _DOTS):
+        return True
+    for mark in ",-()":
+        lowered = lowered.replace(mark, " ")
+    return sum(map(DIGIT_WORDS.__contains__, lowered.split())) >= _FEWEST_DIGIT_WORDS
 
 
 class Tape:
@@ -183,11 +194,16 @@ def deobfuscate(text: str) -> Tape:
             if not c.isascii() and (new := _plain_character(c)) != c
         ]
     )
+    tape.rewrite(
+        [(m.start(), m.end(), "01"[m[0] in "lI"]) for m in _LETTER_DIGIT.finditer(tape.text)]
+    )
     tape.rewrite([(m.start(), m.end(), "@") for m in _AT.finditer(tape.text)])
     tape.rewrite([(m.start(), m.end(), ".") for m in _DOT.finditer(tape.text)])
     edits = []
     for m in _SPELLED.finditer(tape.text):
         words = [(m.start() + w.start(), m.start() + w.end(), w[0]) for w in _ONE.finditer(m[0])]
+        if len({DIGIT_WORDS.get(word.lower(), word) for _, _, word in words}) < 2:
+            continue  # one word over and over is no number
         dots = {m.start() + d.start(): m.start() + d.end() for d in _DOT_WORD.finditer(m[0])}
         sign = ""
         if not dots and 10 <= len(words) <= 15 and not _AFTER_PLUS.search(tape.text[max(0, m.start() - 6) : m.start()]):
@@ -210,7 +226,7 @@ def deobfuscate(text: str) -> Tape:
 def find_spans(text: str) -> tuple[list[Span], list[Span]]:
     """Base spans of a text, and those that only its deobfuscated form shows."""
     base = detect(text)
-    if not _TRACE.search(text):
+    if not suspicious(text):
         return base, []
     tape = deobfuscate(text)
     if tape.text == text:

@@ -392,6 +392,9 @@ def test_personal_data_base_against_plain_patterns():
         ("me​@mail.org", ("email", "me​@mail.org")),
         ("call plus four nine one seven two five five five one two three four", ("phone", "plus four nine one seven two five five five one two three four")),
         ("four one one one one one one one one one one one one one one one", ("card", "four one one one one one one one one one one one one one one one")),
+        ("ring +49 (three zero) five five five one two three four", ("phone", "+49 (three zero) five five five one two three four")),
+        ("ring +1 (017) 555-77l3 now", ("phone", "+1 (017) 555-77l3")),
+        ("card 4111111111l11111 ok", ("card", "4111111111l11111")),
         ("host one nine two dot one six eight dot zero dot one.", ("ip", "one nine two dot one six eight dot zero dot one")),
     ],
 )
@@ -408,6 +411,7 @@ def test_disguises_map_back_to_the_source(text, found):
         "one two three four five, once I caught a fish alive",
         "Привет, это обычный русский текст без данных.",
         "eins zwei drei",
+        "un, un, un, un, un, un, un, un, un, un, un, un",
         "see (a.) and [b.] at the end",
     ],
 )
