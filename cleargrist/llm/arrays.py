@@ -17,7 +17,6 @@ BLOCK_BYTES = 1 << 18
 
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _BASE_2 = np.uint64(0xD1B54A32D192ED03)
-_MASK = (1 << 64) - 1
 
 
 def byte_table(members: bytes) -> np.ndarray:

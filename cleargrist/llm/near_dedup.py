@@ -31,7 +31,6 @@ from cleargrist.llm.tables import (
     group_bounds,
     keyed,
     rows_between,
-    same_row,
     sized,
     stored,
     whole_groups,
@@ -358,5 +357,6 @@ def keep_one(
         # A component's first document is there several times: one of those rows stays.
         is_twice = (left["key"] == twice["twice_key"]) & ids.eqNullSafe(twice["twice_id"])
         single = left.join(sized(twice, 32), is_twice, "left_anti")
-        left = single.unionByName(left.join(sized(twice, 32), is_twice, "left_semi").dropDuplicates(["key"]))
+        one = left.join(sized(twice, 32), is_twice, "left_semi").dropDuplicates(["key"])
+        left = single.unionByName(one)
     return left.select("row.*")

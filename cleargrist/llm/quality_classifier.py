@@ -3,8 +3,8 @@
 Tokens are runs of letters, of digits or of marks. Features are the hashes of single tokens, of
 pairs of tokens, and of triples of token shapes (how a word is cased, digits, or the marks
 themselves), each weighted by its share among the features of its kind; and one word each for
-how long the text is, how many of its triples repeat and how many tokens follow their like. A score is the logistic function of one sparse
-dot product.
+how long the text is, how many of its triples repeat and how many tokens follow their like. A
+score is the logistic function of one sparse dot product.
 """
 
 from __future__ import annotations
