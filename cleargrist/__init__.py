@@ -29,7 +29,7 @@ from cleargrist.plans.curate import (
     stage,
     write_quarantine,
 )
-from cleargrist.sinks.writers import write_jdbc, write_table
+from cleargrist.sinks.writers import partitioned_schema, restore_keys, write_jdbc, write_table
 from cleargrist.sources.contract import (
     MATERIALS_CONTRACT,
     ContractError,
@@ -59,11 +59,13 @@ __all__ = [
     "input_fingerprint",
     "materialize",
     "null_ratios",
+    "partitioned_schema",
     "preview_schema",
     "price_stats",
     "profile",
     "quarantine_rows",
     "read_table",
+    "restore_keys",
     "stage",
     "stamp",
     "tag",

@@ -237,7 +237,9 @@ def cleaning_summary(
         named(VALID_COUNT),
         (named(TOTAL) - named(VALID_COUNT)).alias("invalid_rows"),
         F.lit(float(threshold)).alias("null_threshold"),
-        names_where({name: ~c & (named(VALID_COUNT) > 0) for name, c in keep.items()}).alias("columns_removed_due_to_nulls"),
+        names_where({name: ~c & (named(VALID_COUNT) > 0) for name, c in keep.items()}).alias(
+            "columns_removed_due_to_nulls"
+        ),
         names_where(shown).alias("columns_retained"),
     )
 
