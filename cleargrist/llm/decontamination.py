@@ -204,8 +204,8 @@ class Lookup:
         alone = np.flatnonzero(member(hashes, self.automaton.single))
         if len(alone):
             inside = np.searchsorted(firsts, alone, side="right") - 1
-            outside = (inside < 0) | (alone >= ends[np.maximum(inside, 0)]) if len(ends) else True
-            alone = alone[outside]
+            if len(ends):
+                alone = alone[(inside < 0) | (alone >= ends[np.maximum(inside, 0)])]
             firsts = np.concatenate([firsts, alone])
             ends = np.concatenate([ends, alone + 1])
         return firsts, ends

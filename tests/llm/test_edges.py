@@ -297,6 +297,15 @@ def test_decontamination(spark, docs, none, block_words):
     assert decontamination.find_matches(docs, items.limit(0)).agg(F.sum("n_hit")).first()[0] == 0
 
 
+def test_items_of_one_word_alone(spark, frame):
+    items = spark.createDataFrame([("a", "seven"), ("b", "wise men")], "item_id string, text string")
+    texts = ["a seven b", "seven", "wise seven men", "seven wise men seven", ""]
+    expected = [(1, "a"), (1, "a"), (1, "a"), (4, "a,b"), (0, "")]
+    for part in [[i] for i in range(len(texts))] + [list(range(len(texts)))]:
+        found = decontamination.find_matches(frame([(i, texts[i]) for i in part]), items)
+        assert {r["doc_id"]: (r["n_hit"], ",".join(r["items"])) for r in found.collect()} == {i: expected[i] for i in part}
+
+
 def test_windows_at_every_overlap(spark, frame):
     rng = random.Random(4)
     items = [(str(i), " ".join(rng.choice("abc") for _ in range(rng.randint(1, 30)))) for i in range(25)]
