@@ -157,3 +157,9 @@ def test_null_predicates(spark):
         (False, True, True, False),
         (False, False, True, False),
     ]
+
+
+@pytest.mark.parametrize("end", ["\u0085", "\u2028", "\u2029"])
+def test_line_ends_beyond_ascii_are_no_part_of_a_number(spark, end):
+    frame = spark.createDataFrame([(f"12.5{end}",), (f".5{end}",), (f"12{end}",), ("12\n",)], "v string")
+    assert [r[0] for r in frame.select(tolerant_int("v")).collect()] == [None, None, None, 12]

@@ -157,3 +157,18 @@ def test_typed_columns(spark):
     frame = spark.createDataFrame(rows, "id double, code int, price int")
     good = valid_rows(tag(frame, rules), rules).collect()
     assert [tuple(r) for r in good] == [(10_000_000, "12", 3.0, "Y"), (12, None, None, "Y")]
+
+
+def test_quarantine_keeps_raw_columns_named_like_cleaned_ones(spark):
+    rules = CleaningRules(text=("a",), required=("a",), output=("a",))
+    frame = spark.createDataFrame([(None, "x")], "a string, note_cleaned string")
+    bad = quarantine_rows(tag(frame, rules), rules)
+    assert bad.columns == ["a", "note_cleaned", "is_valid"]
+    assert [tuple(r) for r in bad.collect()] == [(None, "x", "N")]
+
+
+@pytest.mark.parametrize("taken", ["a_cleaned", "is_valid"])
+def test_columns_that_cleaning_would_replace_are_refused(spark, taken):
+    rules = CleaningRules(text=("a",), required=("a",), output=("a",))
+    with pytest.raises(ValueError, match=taken):
+        tag(spark.createDataFrame([("x", "y")], f"a string, {taken} string"), rules)
