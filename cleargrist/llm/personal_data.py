@@ -126,7 +126,9 @@ _DOT_WORD = re.compile(rf" (?:{_dot}) ", re.IGNORECASE)
 _FOREIGN = re.compile("[\u00ad\u0250-\U0010ffff]")
 _BRACKETED = re.compile(rf"[\[({{<][ ]?(?:{_at}|{_dot}|@|\.)[ ]?[\])}}>]")
 _MIXED = re.compile("[0-9][OolI][0-9]")
-_DOTS = tuple(f" {word} " for word in DOT_WORDS)
+_ATS, _DOTS = (tuple(f" {word} " for word in words) for words in (AT_WORDS, DOT_WORDS))
+# What _PLAIN takes for a host after a plain "at"; hosts with a plain "dot" show that trace.
+_AT_HOST = re.compile(rf" (?:{_at}) {_LABEL}(?:\.{_LABEL}){{0,3}}\.(?:{TOP_DOMAINS})(?!\w)")
 _FEWEST_DIGIT_WORDS = 4
 
 
@@ -137,6 +139,8 @@ def suspicious(text: str) -> bool:
     lowered = text.lower()
     if _BRACKETED.search(lowered) or any(dot in lowered for dot in _DOTS):
         return True
+    if any(at in lowered for at in _ATS) and _AT_HOST.search(lowered):
+        return True
     for mark in ",-()":
         lowered = lowered.replace(mark, " ")
     return sum(map(DIGIT_WORDS.__contains__, lowered.split())) >= _FEWEST_DIGIT_WORDS

@@ -412,6 +412,18 @@ def test_disguises_map_back_to_the_source(text, found):
     assert found in [(k, text[s:e]) for s, e, k in more]
 
 
+def test_a_plain_at_needs_no_other_trace():
+    for text, own in [
+        ("write to jane at mail.org", "jane at mail.org"),
+        ("Jane.Doe AT mail.example.com, please", "Jane.Doe AT mail.example.com"),
+        ("jane arroba mail.es", "jane arroba mail.es"),
+        ("jane ät mail-2.de.", "jane ät mail-2.de"),
+    ]:
+        for around in ("", " it\u2019s \u2014"):
+            _, more = personal_data.find_spans(text + around)
+            assert [(k, text[s:e]) for s, e, k in more] == [("email", own)], text + around
+
+
 @pytest.mark.parametrize(
     "text",
     [
