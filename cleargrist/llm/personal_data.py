@@ -123,27 +123,16 @@ _SPELLED = re.compile(
 _PLAIN_AT = re.compile(rf" (?:{_at}) ", re.IGNORECASE)
 _DOT_WORD = re.compile(rf" (?:{_dot}) ", re.IGNORECASE)
 
-_FOREIGN = re.compile("[\u00ad\u0250-\U0010ffff]")
 _BRACKETED = re.compile(rf"[\[({{<][ ]?(?:{_at}|{_dot}|@|\.)[ ]?[\])}}>]")
 _MIXED = re.compile("[0-9][OolI][0-9]")
 _ATS, _DOTS = (tuple(f" {word} " for word in words) for words in (AT_WORDS, DOT_WORDS))
 # What _PLAIN takes for a host after a plain "at"; hosts with a plain "dot" show that trace.
 _AT_HOST = re.compile(rf" (?:{_at}) {_LABEL}(?:\.{_LABEL}){{0,3}}\.(?:{TOP_DOMAINS})(?!\w)")
-_FEWEST_DIGIT_WORDS = 4
-
-
-def suspicious(text: str) -> bool:
-    """Whether a text shows a trace of a disguise; cheap, as nearly all texts show none."""
-    if not text.isascii() and _FOREIGN.search(text) or _MIXED.search(text):
-        return True
-    lowered = text.lower()
-    if _BRACKETED.search(lowered) or any(dot in lowered for dot in _DOTS):
-        return True
-    if any(at in lowered for at in _ATS) and _AT_HOST.search(lowered):
-        return True
-    for mark in ",-()":
-        lowered = lowered.replace(mark, " ")
-    return sum(map(DIGIT_WORDS.__contains__, lowered.split())) >= _FEWEST_DIGIT_WORDS
+_PLUS_DIGIT = re.compile("plus [0-9]")
+# The second, third and fourth unit of what _SPELLED takes; the search stops at separators only.
+_RUN = re.compile(rf"[ ,()-]{_DIGIT}(?:[ ,()-]{{1,3}}{_DIGIT}){{2}}(?!\w)")
+_UNITS = frozenset(DIGIT_WORDS) | frozenset("0123456789")
+_SEPARATORS = str.maketrans(",-()", "    ")
 
 
 class Tape:
@@ -182,6 +171,34 @@ def _plain_character(c: str) -> str:
     return plain if len(plain) == 1 and plain.isascii() else c
 
 
+# All characters that _plain_character may change, and those that lower() or a search that
+# ignores case takes for other letters; beyond U+024F simply all.
+_FOREIGN = re.compile(
+    "[%s\u0130\u0131\u0250-\U0010ffff]"
+    % "".join(c for c in map(chr, range(0x80, 0x250)) if _plain_character(c) != c)
+)
+
+
+def suspicious(text: str) -> bool:
+    """Whether a text shows a trace of a disguise; cheap, as nearly all texts show none.
+
+    No transducer changes a text for which this is false: the first one to change something would
+    find it in the text as it is, so there is a test here for what each of them looks for.
+    """
+    if not text.isascii() and _FOREIGN.search(text) or _MIXED.search(text):
+        return True
+    lowered = text.lower()
+    if _BRACKETED.search(lowered) or any(dot in lowered for dot in _DOTS):
+        return True
+    if any(at in lowered for at in _ATS) and _AT_HOST.search(lowered):
+        return True
+    if _PLUS_DIGIT.search(lowered):
+        return True
+    # Units inside a run stand between separators; its first and last one need not.
+    units = sum(map(_UNITS.__contains__, lowered.translate(_SEPARATORS).split()))
+    return units >= 2 and _RUN.search(lowered) is not None
+
+
 def _plain_mail(found: str) -> list[tuple[int, int, str]]:
     edits = [(m.start(), m.end(), "@") for m in _PLAIN_AT.finditer(found)][:1]
     edits += [(m.start(), m.end(), ".") for m in _DOT_WORD.finditer(found)]

@@ -424,6 +424,51 @@ def test_a_plain_at_needs_no_other_trace():
             assert [(k, text[s:e]) for s, e, k in more] == [("email", own)], text + around
 
 
+DISGUISES = [
+    ("phone", "+1 five five five 0 1 2 3 4 5 6"),
+    ("phone", "plus 49 30 1234567"),
+    ("phone", "Plus 49 30 1234567"),
+    ("phone", "0 1 7 2, 5 5 5 (1 2) 3"),
+    ("card", "4, 1, 1, 1, 1, 1, 1, 1, 1, 1, 1, 1, 1, 1, 1, 1"),
+    ("card", "four one one one 1111 1111 1111"),
+    ("card", "4, 1, 1, 1 1111 1111 1111"),
+    ("card", "4111\u00a01111\u00a01111\u00a01111"),
+    ("phone", "+49\u00a030\u00a01234567"),
+    ("phone", "+49 30 \u00b923456\u00b2\u00b3"),
+    ("card", "4111 1111 1111 \u00b9\u00b9\u00b9\u00b9"),
+    ("email", "jane@ma\u017fter.org"),
+    ("email", "jane.\u00aa@mail.org"),
+    ("ip", "ten: one.two dot 10 dot 20 dot 30"),
+    ("ip", "192 dot 168 dot 0 dot 1"),
+    ("email", "jane [@] mail {dot} org"),
+    ("email", "jane@mail po\u0130nt org"),
+    ("card", "4111111111l11111"),
+    ("email", "jane at mail.org"),
+]
+
+
+def test_the_gate_shuts_out_nothing(monkeypatch):
+    """Spans equal those of deobfuscation without the gate, whatever stands around them."""
+    rng = random.Random(6)
+    pieces = [d for _, d in DISGUISES] + "a at in dot . , + plus one 1 2 11 see mail.org 3) é".split()
+    texts = [a + d + b for _, d in DISGUISES for a, b in (("", ""), ("(", ")."), ("x: \"", "\"\n"), ("see ", " now"))]
+    texts += ["".join(rng.choice(pieces) + rng.choice(" ,-(\n") for _ in range(rng.randint(1, 6))) for _ in range(3000)]
+    for text in " at | dot |one |1 |, |(|l|@|.org|plus |+".split("|"):
+        texts += ["".join(rng.choice([text, "two ", "3 ", "jane", "mail", " "]) for _ in range(12)) for _ in range(300)]
+    gated = [personal_data.find_spans(t) for t in texts]
+    assert all(personal_data.suspicious(t) for t in texts if personal_data.deobfuscate(t).text != t)
+    monkeypatch.setattr(personal_data, "suspicious", lambda text: True)
+    assert [t for t, g in zip(texts, gated, strict=True) if g != personal_data.find_spans(t)] == []
+
+
+@pytest.mark.parametrize(
+    ("kind", "text"), [d for d in DISGUISES if not d[1].startswith("ten") and "\u0130" not in d[1]]
+)
+def test_each_disguise_opens_the_gate(kind, text):
+    _, more = personal_data.find_spans("see " + text)
+    assert (4, 4 + len(text), kind) in more
+
+
 @pytest.mark.parametrize(
     "text",
     [
