@@ -10,7 +10,8 @@ reversible. Every change writes a new generation beside the old one, which stays
 Texts are cleaned without a shuffle: a task asks the filters, which never miss a common line. The
 few rare lines that they take for common ones are known beforehand, since every key in the counts
 is asked once (``exceptions``). Filters and exceptions are broadcast if they fit
-``max_broadcast_bytes``; beyond it, the keys of all lines are joined with the exact counts.
+``max_broadcast_bytes``; beyond it, the keys of all lines are shuffled by shard, a task asks the
+stored filter of one shard, and the keys that it lets pass are checked against the exact counts.
 """
 
 from __future__ import annotations
@@ -21,14 +22,15 @@ from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cleargrist.llm import arrays as A
-from cleargrist.llm.tables import keyed, rows_between, stored
+from cleargrist.llm.tables import keyed, rows_between, sized, stored
 
 SLOTS = 4
 _KEYS_PER_SHARD = 1 << 17
+_KEYS_PER_TASK = 1 << 20
 
 
 @dataclass(frozen=True)
@@ -239,20 +241,24 @@ class LineIndex:
         keys = texts.mapInArrow(distinct, "h1 long, h2 long")
         return keys.groupBy("h1", "h2").agg(F.count(F.lit(1)).alias("n_docs"))
 
+    def _shard(self) -> Column:
+        """``shard_of`` for a column h1."""
+        top = F.shiftrightunsigned("h1", 64 - self.bits) if self.bits else F.lit(0)
+        return top.cast("int")
+
     def _moved(self, counts: DataFrame) -> DataFrame:
         """The filters after the counts have become ``counts``: a task for each shard.
 
         A task gets the shard's common keys, old and new; it applies the crossings to the old
         filter, or builds a larger one from the exact keys if there is no room.
         """
-        bits, least = self.bits, self.min_docs
+        least = self.min_docs
 
         def common(table: DataFrame, name: str) -> DataFrame:
             return table.filter(F.col("n_docs") >= least).select("h1", "h2", F.lit(1).alias(name))
 
-        shard = F.shiftrightunsigned("h1", 64 - bits) if bits else F.lit(0)
         keys = common(self.counts, "before").join(common(counts, "now"), ["h1", "h2"], "full")
-        keys = keys.withColumn("shard", shard.cast("int"))
+        keys = keys.withColumn("shard", self._shard())
 
         def move(old: pa.Table, new: pa.Table) -> pa.Table:
             h1, h2 = _hashes(new)
@@ -313,7 +319,7 @@ class LineIndex:
         """
         known = self.loaded(max_broadcast_bytes)
         if known is None:
-            return self._clean_joined(docs, keep_columns)
+            return self._clean_dealt(docs, keep_columns)
         shared = docs.sparkSession.sparkContext.broadcast(known)
         min_chars = self.min_chars
 
@@ -329,10 +335,24 @@ class LineIndex:
         rows = keyed(docs, self.id_col, self.text_col).select("id", "text")
         return _cleaned(rows, self.id_col, lambda source, block: dropped(block))
 
-    def _clean_joined(self, docs: DataFrame, keep_columns: bool) -> DataFrame:
-        """The same by a join of all line keys with the counts."""
-        min_chars = self.min_chars
-        rows = keyed(docs, self.id_col, self.text_col)
+    def _slices(self) -> np.ndarray:
+        """In how many slices the keys of each shard are dealt; none where no key is common."""
+        loads = self.counts.withColumn("shard", self._shard()).groupBy("shard").agg(
+            F.ceil(F.sum("n_docs") / _KEYS_PER_TASK).cast("int").alias("n_slices")
+        )
+        rows = loads.join(self.filters.select("shard"), "shard", "left_semi").collect()
+        slices = np.zeros(1 << self.bits, np.int64)
+        slices[[r["shard"] for r in rows]] = [r["n_slices"] for r in rows]
+        return slices
+
+    def _common_in(self, rows: DataFrame) -> DataFrame:
+        """Common keys of rows (id, key, text), with the numbers of the lines that have them.
+
+        Each slice of a shard's keys meets a copy of the shard's filter in a task, so that a line
+        in very many documents, which is in one shard, is dealt to several tasks too.
+        """
+        min_chars, bits, slices = self.min_chars, self.bits, self._slices()
+        names = ["id", "key", "lines", "h1", "h2"]
 
         def numbered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for source in batches:
@@ -340,24 +360,58 @@ class LineIndex:
                     lines = line_keys(block, min_chars)
                     first = np.searchsorted(lines.spans.rows, np.arange(len(block)))
                     number = np.arange(len(lines.counts)) - first[lines.spans.rows]
-                    at = np.flatnonzero(lines.counts)
+                    shard = shard_of(lines.first, bits)
+                    at = np.flatnonzero(lines.counts & (slices[shard] > 0))
+                    at = at[np.lexsort((lines.second[at], lines.first[at], lines.spans.rows[at]))]
+                    h1, h2, own = lines.first[at], lines.second[at], lines.spans.rows[at]
+                    new = np.ones(len(at), bool)
+                    new[1:] = (h1[1:] != h1[:-1]) | (h2[1:] != h2[:-1]) | (own[1:] != own[:-1])
+                    heads = np.flatnonzero(new)
+                    cuts = np.append(heads, len(at)).astype(np.int32)
                     part = source.slice(block.first, len(block)).select(["id", "key"])
-                    part = part.take(pa.array(lines.spans.rows[at]))
+                    part = part.take(pa.array(own[heads]))
+                    # The row's key deals a line's rows to slices, whatever the line.
+                    keys = part.column("key").to_numpy().view(np.uint64)
+                    dealt = A.mix(keys) % slices[shard[at[heads]]].astype(np.uint64)
                     yield pa.RecordBatch.from_arrays(
                         [
                             *part.columns,
-                            pa.array(number[at].astype(np.int32)),
-                            *(pa.array(h[at].view(np.int64)) for h in (lines.first, lines.second)),
+                            pa.ListArray.from_arrays(cuts, pa.array(number[at].astype(np.int32))),
+                            *(pa.array(h[heads].view(np.int64)) for h in (h1, h2)),
+                            pa.array(shard[at[heads]].astype(np.int32)),
+                            pa.array(dealt.astype(np.int32)),
                         ],
-                        ["id", "key", "line", "h1", "h2"],
+                        [*names, "shard", "slice"],
                     )
 
-        id_type = rows.schema["id"].dataType.simpleString()
-        keys = rows.select("id", "key", "text").mapInArrow(
-            numbered, f"id {id_type}, key long, line int, h1 long, h2 long"
+        def ask(known: pa.Table, asked: pa.Table) -> pa.Table:
+            asked = asked.select(names)
+            if not known.num_rows or not asked.num_rows:
+                return asked.slice(0, 0)
+            kept = CuckooFilter(np.frombuffer(known["slots"][0].as_py(), np.uint32))
+            return asked.filter(pa.array(kept.contains(*_hashes(asked))))
+
+        schema = f"id {rows.schema['id'].dataType.simpleString()}, key long, lines array<int>, h1 long, h2 long"
+        keys = rows.select("id", "key", "text").mapInArrow(numbered, f"{schema}, shard int, slice int")
+        spark = rows.sparkSession
+        copies = spark.createDataFrame(
+            [(s, n) for s, n in enumerate(slices.tolist()) if n], "shard int, n_slices int"
         )
-        common = self.counts.filter(F.col("n_docs") >= self.min_docs).select("h1", "h2")
-        gone = keys.join(common, ["h1", "h2"]).groupBy("id", "key")
+        filters = self.filters.join(F.broadcast(copies), "shard").select(
+            "shard", "slots", F.explode(F.sequence(F.lit(0), F.col("n_slices") - 1)).alias("slice")
+        )
+        groups = filters.groupBy("shard", "slice").cogroup(keys.groupBy("shard", "slice"))
+        passed = stored(groups.applyInArrow(ask, schema), "line-keys")
+        common = self.counts.filter(F.col("n_docs") >= self.min_docs)
+        mistaken = passed.select("h1", "h2").distinct().join(common, ["h1", "h2"], "left_anti")
+        mistaken = sized(stored(mistaken, "line-mistakes"), 16)
+        return passed.join(mistaken, ["h1", "h2"], "left_anti")
+
+    def _clean_dealt(self, docs: DataFrame, keep_columns: bool) -> DataFrame:
+        """The same with filters that are too large to broadcast."""
+        min_chars = self.min_chars
+        common = self._common_in(keyed(docs, self.id_col, self.text_col))
+        gone = common.select("id", "key", F.explode("lines").alias("line")).groupBy("id", "key")
         gone = gone.agg(F.collect_set("line").alias("dropped_lines"))
         whole = docs.select(F.struct("*").alias("row"))
         ids, text = F.col(f"row.`{self.id_col}`"), F.col(f"row.`{self.text_col}`")

@@ -2,6 +2,7 @@
 
 import random
 from collections import Counter
+from dataclasses import replace
 from pathlib import Path
 
 import numpy as np
@@ -11,6 +12,7 @@ from pyspark.sql import functions as F
 import brute
 from cleargrist.llm import (
     decontamination,
+    line_dedup,
     mixing,
     near_dedup,
     personal_data,
@@ -153,6 +155,32 @@ def test_line_dedup(docs, none):
     assert LineIndex.build(none).clean(none).count() == 0
 
 
+@pytest.mark.parametrize("per_task", [1 << 20, 3])
+def test_large_filters_are_asked_in_their_shards(frame, monkeypatch, per_task):
+    monkeypatch.setattr(line_dedup, "_KEYS_PER_SHARD", 4)
+    monkeypatch.setattr(line_dedup, "_KEYS_PER_TASK", per_task)
+    texts = [f"hot\nline {i % 10}\nhot\nfew {i % 20}\n\nown {i}" for i in range(40)]
+    documents = list(enumerate(texts)) + [(1, None), (None, "hot"), (0, texts[0])]
+    docs = frame(documents)
+    asked = line_dedup.LineIndex.build(docs, min_docs=4)
+    assert asked.bits > 0
+
+    def expected(least):
+        lines = brute.line_dedup([t for _, t in documents], least)
+        return sorted(((i, *e) for (i, _), e in zip(documents, lines, strict=True)), key=repr)
+
+    def cleaned(index):
+        return rows(index.clean(docs, max_broadcast_bytes=-1), "doc_id", "n_lines", "n_dropped", "text")
+
+    assert cleaned(asked) == expected(4)
+    # Keys that pass a filter are checked against the counts: here the filter lets more pass.
+    loose = line_dedup.LineIndex.build(docs, min_docs=2)
+    assert cleaned(replace(loose, min_docs=4)) == expected(4)
+    # The filters are what is asked: without them nothing is common.
+    silent = replace(asked, filters=asked.filters.limit(0))
+    assert cleaned(silent) == expected(1000)
+
+
 def test_line_keys(frame):
     texts = ["  A b \x0b", "a B", "a b\r", "a b", "É", "é", "\n\n", "x\n a b"]
     docs = frame(list(enumerate(texts)))
