@@ -200,10 +200,7 @@ class LineIndex:
         none = docs.sparkSession.createDataFrame([], "shard int, slots binary")
         index = cls(empty, none, 0, min_docs, min_chars, id_col, text_col)
         counts = stored(index._counted(docs), "line-counts")
-        common = counts.filter(F.col("n_docs") >= min_docs).count()
-        bits = max(0, math.ceil(math.log2(max(1, common) / _KEYS_PER_SHARD)))
-        index = replace(index, bits=bits)
-        return replace(index, counts=counts, filters=index._moved(counts))
+        return index._with_counts(counts)
 
     def insert(self, docs: DataFrame) -> LineIndex:
         """The index with more documents."""
@@ -217,7 +214,20 @@ class LineIndex:
         delta = self._counted(docs).withColumn("n_docs", F.col("n_docs") * sign)
         merged = self.counts.unionByName(delta).groupBy("h1", "h2").agg(F.sum("n_docs").alias("n_docs"))
         counts = stored(merged.filter("n_docs > 0"), "line-counts")
-        return replace(self, counts=counts, filters=self._moved(counts))
+        return self._with_counts(counts)
+
+    def _with_counts(self, counts: DataFrame) -> LineIndex:
+        """The index after its counts have become ``counts``, with more shards if these are full.
+
+        More shards mean other keys in each of them, so all filters are built anew.
+        """
+        common = counts.filter(F.col("n_docs") >= self.min_docs).count()
+        bits = max(0, math.ceil(math.log2(max(1, common) / _KEYS_PER_SHARD)))
+        index = self
+        if bits > self.bits:
+            none = self.counts.limit(0), self.filters.limit(0)
+            index = replace(self, bits=bits, counts=none[0], filters=none[1])
+        return replace(index, counts=counts, filters=index._moved(counts))
 
     def _counted(self, docs: DataFrame) -> DataFrame:
         """Number of rows that hold each key."""

@@ -208,6 +208,28 @@ def test_insertions_and_deletions_are_reversible(frame):
     assert grown.delete(docs).delete(others).counts.count() == 0
 
 
+def test_a_grown_index_has_more_shards(frame, monkeypatch):
+    monkeypatch.setattr(line_dedup, "_KEYS_PER_SHARD", 8)
+    first = [(i, f"common\nown {i}") for i in range(4)]
+    more = [(100 + i, "\n".join(f"line {i // 2} {n}" for n in range(6))) for i in range(24)]
+    docs, others = frame(first), frame(more)
+    both = docs.unionByName(others)
+    expected = [e[2] for e in brute.line_dedup([t for _, t in first + more], 2)]
+    expected = sorted(zip([i for i, _ in first + more], expected, strict=True), key=repr)
+    for start in (docs, docs.limit(0)):
+        index = LineIndex.build(start, min_docs=2)
+        assert index.bits == 0
+        grown = index.insert(others) if start is docs else index.insert(both)
+        whole = LineIndex.build(both, min_docs=2)
+        assert grown.bits == whole.bits == 4
+        assert {r["shard"] for r in grown.filters.collect()} == {r["shard"] for r in whole.filters.collect()}
+        for limit in (-1, 1 << 20):
+            assert rows(grown.clean(both, max_broadcast_bytes=limit), "doc_id", "text") == expected
+        shrunk = grown.delete(others)
+        left = [e[2] for e in brute.line_dedup([t for _, t in first], 2)]
+        assert rows(shrunk.clean(docs), "doc_id", "text") == [(i, t) for (i, _), t in zip(first, left, strict=True)]
+
+
 def test_cuckoo_filter():
     rng = np.random.default_rng(3)
     first, second = (rng.integers(0, 1 << 63, 5000).astype(np.uint64) for _ in range(2))
