@@ -7,24 +7,29 @@ it lies in a window of ``window`` words that an item contains; an item of fewer
 window. Hit spans are cut out, and a text of which too much is hit is dropped.
 
 Items are taken in blocks of a bounded number of words, so that an automaton, which is
-broadcast, has a bounded size. Of a text, only stretches whose neighbouring words also neighbour
+broadcast, has a bounded size; a longer item is cut into stretches that overlap by half. Tasks
+build the automata and store them, and the driver passes their bytes on, one at a time. Of a text, only stretches whose neighbouring words also neighbour
 each other in some item are streamed; no window can lie anywhere else.
 """
 
 from __future__ import annotations
 
 import math
+import pickle
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cleargrist.llm import arrays as A
 from cleargrist.llm.tables import all_of, keyed, rows_between, same_row, stored
 
+_BLOCKS_PER_TASK = 2
+
 WORD_BYTES = (
     A.byte_table(b"0123456789abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ")
     | (np.arange(256) >= 128)
@@ -225,23 +230,102 @@ def item_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             )
 
 
-def automata(
+class Packed:
+    """The bytes of a stored automaton; a process that scans texts opens them once."""
+
+    def __init__(self, data: bytes):
+        self.data = data
+
+    def __getstate__(self) -> dict:
+        return {"data": self.data}
+
+    @cached_property
+    def lookup(self) -> Lookup:
+        return Lookup(pickle.loads(self.data))
+
+
+@dataclass(frozen=True)
+class Benchmark:
+    """Items as words (name, words), and the automata of their blocks (block, automaton)."""
+
+    items: DataFrame
+    blocks: DataFrame
+    most: int
+    overlap: int
+
+    def packed(self) -> Iterator[Packed]:
+        """The automata one by one; an empty one if there are no items."""
+        numbers = [r["block"] for r in self.blocks.select("block").distinct().collect()]
+        for number in sorted(numbers):
+            yield Packed(bytes(self.blocks.filter(F.col("block") == number).first()["automaton"]))
+        if not numbers:
+            yield Packed(pickle.dumps(Automaton([], 1)))
+
+
+def stretches_of(words: Column, most: int, overlap: int) -> Column:
+    """Stretches of at most ``most`` words; every ``overlap`` + 1 neighbours share one."""
+    step = most - overlap
+    last = F.ceil(F.greatest(F.size(words) - most, F.lit(0)) / step).cast("int")
+    return F.transform(F.sequence(F.lit(0), last), lambda i: F.slice(words, i * step + 1, most))
+
+
+def prepared(
     items: DataFrame, item_col: str, text_col: str, window: int, block_words: int
-) -> Iterator[Lookup]:
-    """The items block by block; a block has some ``block_words`` words, one long item apart."""
+) -> Benchmark:
+    """Store the items' words and the automata; one has ``block_words`` words at most.
+
+    That is, if it is at least two windows; a block of fewer words has two windows at most.
+    """
+    most = max(block_words, 2 * window)
+    overlap = max(window - 1, most // 2)
     rows = keyed(items, item_col, text_col).select(
         F.coalesce(F.col("id").cast("string"), F.lit("")).alias("name"), "text"
     )
     listed = rows.mapInArrow(item_words, "name string, words array<long>").distinct()
     listed = stored(listed.filter(F.size("words") > 0), "benchmark-words")
-    total = listed.agg(F.sum(F.size("words"))).first()[0] or 0
-    n_blocks = max(1, math.ceil(total / block_words))
-    for i in range(n_blocks):
-        block = listed.filter(F.pmod(F.xxhash64("name", "words"), F.lit(n_blocks)) == i)
-        taken = sorted((r["name"], r["words"]) for r in block.collect())
-        yield Lookup(
-            Automaton([(n, [w & 0xFFFFFFFFFFFFFFFF for w in ws]) for n, ws in taken], window)
-        )
+    pieces = listed.select("name", F.explode(stretches_of(F.col("words"), most, overlap)).alias("words"))
+    total = pieces.agg(F.sum(F.size("words"))).first()[0] or 0
+    n_groups = max(1, math.ceil(total / most / _BLOCKS_PER_TASK))
+    group = F.pmod(F.xxhash64("name", "words"), F.lit(n_groups)).cast("int")
+
+    def build(table: pa.Table) -> pa.Table:
+        number = table["group"][0].as_py()
+        rows = table.sort_by([("name", "ascending")])
+        sizes = np.array([len(words) for words in rows["words"]])
+        out, first = [], 0
+        while first < len(sizes):
+            end = first + max(1, int(np.searchsorted(np.cumsum(sizes[first:]), most, side="right")))
+            part = rows.slice(first, end - first)
+            taken = sorted(
+                (name, words.values.to_numpy().view(np.uint64).tolist())
+                for name, words in zip(part["name"].to_pylist(), part["words"], strict=True)
+            )
+            out.append(pickle.dumps(Automaton(taken, window)))
+            first = end
+        blocks = pa.array([number + n_groups * i for i in range(len(out))], pa.int32())
+        return pa.table({"block": blocks, "automaton": pa.array(out, pa.binary())})
+
+    built = pieces.withColumn("group", group).groupBy("group")
+    blocks = stored(built.applyInArrow(build, "block int, automaton binary"), "benchmark-automata")
+    return Benchmark(listed, blocks, most, overlap)
+
+
+def longest_shared(one: np.ndarray, two: np.ndarray) -> int:
+    """The most words in a row that two sequences share, by ranks of stretches of 2^k words."""
+    _, words = np.unique(np.concatenate([one, two]), return_inverse=True)
+    # A number of its own parts the two, so that no shared stretch crosses from one to the other.
+    ranks = [np.concatenate([words[: len(one)], [len(words)], words[len(one) :]]).astype(np.int64)]
+    n = len(ranks[0]) + 1
+    while 2 << len(ranks) - 1 <= min(len(one), len(two)):
+        last, half = ranks[-1], 1 << len(ranks) - 1
+        ranks.append(np.unique(last[:-half] * n + last[half:], return_inverse=True)[1])
+    length, own = 0, np.zeros(n, np.int64)
+    for k in reversed(range(len(ranks))):
+        after = ranks[k][length:]
+        longer = np.unique(own[: len(after)] * n + after, return_inverse=True)[1]
+        if len(np.intersect1d(longer[: len(one)], longer[len(one) + 1 :])):
+            length, own = length + (1 << k), longer
+    return length
 
 
 def scan_block(block: A.Block, lookup: Lookup):
@@ -274,14 +358,14 @@ def hit_runs(spans: A.Spans, hit: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.flatnonzero(begins), np.flatnonzero(closes)
 
 
-def _match(rows: DataFrame, lookup: Lookup) -> DataFrame:
+def _match(rows: DataFrame, packed: Packed) -> DataFrame:
     """Per row of (id, key, text): words, hit word runs with their bytes, items, longest match."""
-    shared = rows.sparkSession.sparkContext.broadcast(lookup)
+    shared = rows.sparkSession.sparkContext.broadcast(packed)
     names = ["id", "key", "n_words", "longest", "items", "runs"]
     run = pa.struct([(c, pa.int32()) for c in ("first", "end", "start_byte", "end_byte")])
 
     def match(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = shared.value
+        known = shared.value.lookup
         for source in batches:
             for block in A.blocks(source.column("text")):
                 n = len(block)
@@ -342,13 +426,8 @@ def find_matches(
     those named are not read.
     """
     rows = keyed(docs, id_col, text_col)
-    lookups = automata(items, item_col, item_text_col, window, block_words)
-    first = next(lookups)
-    parts = [_match(rows, first)]
-    for lookup in lookups:
-        parts = parts if len(parts) > 1 else [stored(parts[0], "matches")]
-        parts.append(stored(_match(rows, lookup), "matches"))
-    found = parts[0] if len(parts) == 1 else _merged(parts)
+    known = prepared(items, item_col, item_text_col, window, block_words)
+    found = _whole_runs(_found(rows, known), rows, known)
     n_hit = F.aggregate("runs", F.lit(0), lambda n, r: n + r["end"] - r["first"])
     return found.select(
         F.col("id").alias(id_col), "key", "n_words", n_hit.cast("long").alias("n_hit"),
@@ -356,6 +435,52 @@ def find_matches(
     )
 
 
+def _found(rows: DataFrame, known: Benchmark) -> DataFrame:
+    blocks = known.packed()
+    parts = [_match(rows, next(blocks))]
+    for packed in blocks:
+        parts = parts if len(parts) > 1 else [stored(parts[0], "matches")]
+        parts.append(stored(_match(rows, packed), "matches"))
+    return parts[0] if len(parts) == 1 else _merged(parts)
+
+
+def _whole_runs(found: DataFrame, rows: DataFrame, known: Benchmark) -> DataFrame:
+    """Matches whose ``longest`` also counts runs that no stretch of a cut item holds as a whole.
+
+    Such a run is longer than the overlap of stretches, and so is what was found of it.
+    """
+    cut_items = known.items.filter(F.size("words") > known.most)
+    if cut_items.isEmpty():
+        return found
+    found = stored(found, "matches")
+    long = found.filter(F.col("longest") > known.overlap)
+    long = long.select("id", "key", F.explode("items").alias("name")).distinct()
+    texts = rows.join(long.select("id", "key").distinct().alias("l"), ["key"], "left_semi").distinct()
+    pairs = texts.join(long.withColumnRenamed("id", "own").withColumnRenamed("key", "own_key"),
+        F.col("id").eqNullSafe(F.col("own")) & (F.col("key") == F.col("own_key"))
+    ).drop("own", "own_key").join(cut_items, "name")
+    pairs = pairs.withColumn("item", F.xxhash64("name", "words"))
+    id_type = rows.schema["id"].dataType.simpleString()
+
+    def measure(table: pa.Table) -> pa.Table:
+        longest = 0
+        for batch in table.to_batches():
+            for block in A.blocks(batch.column("text")):
+                spans, hashes = words_of(block)
+                for row in range(len(block)):
+                    words = batch.column("words")[block.first + row].values.to_numpy()
+                    own = hashes[spans.rows == row]
+                    longest = max(longest, longest_shared(own, words.view(np.uint64)))
+        return table.slice(0, 1).select(["id", "key"]).append_column("whole", pa.array([longest]))
+
+    schema = f"id {id_type}, key long, whole long"
+    measured = pairs.groupBy("id", "key", "item").applyInArrow(measure, schema)
+    measured = measured.groupBy("id", "key").agg(F.max("whole").alias("whole"))
+    joined = found.join(measured, same_row(found, measured), "left")
+    longest = F.greatest(found["longest"], F.coalesce("whole", F.lit(0))).alias("longest")
+    return joined.select(*(longest if c == "longest" else found[c] for c in found.columns))
+
+
 def _merged(parts: list[DataFrame]) -> DataFrame:
     """Matches with several blocks of items; runs that overlap or touch become one."""
     grouped = all_of(parts).groupBy("id", "key").agg(
@@ -405,12 +530,11 @@ def remove_matches(
     A document of which a larger share of words than ``max_coverage`` is hit is dropped. Texts
     without a hit, null ones included, stay as they are.
     """
-    lookups = automata(items, item_col, item_text_col, window, block_words)
-    first = next(lookups)
-    if next(lookups, None) is not None:
-        found = find_matches(
-            docs, items, id_col, text_col, item_col, item_text_col, window, block_words
-        )
+    known = prepared(items, item_col, item_text_col, window, block_words)
+    blocks = known.packed()
+    first = next(blocks)
+    if next(blocks, None) is not None:
+        found = _found(keyed(docs, id_col, text_col), known)
         return _cut_joined(docs, found, id_col, text_col, max_coverage)
     shared = docs.sparkSession.sparkContext.broadcast(first)
     position = docs.columns.index(text_col)
@@ -420,7 +544,7 @@ def remove_matches(
             for block in A.blocks(source.column(text_col)):
                 n = len(block)
                 part = source.slice(block.first, n)
-                spans, hit, _, _ = scan_block(block, shared.value)
+                spans, hit, _, _ = scan_block(block, shared.value.lookup)
                 begins, closes = hit_runs(spans, hit)
                 if not len(begins):
                     yield part
@@ -447,8 +571,9 @@ def _cut_joined(
     docs: DataFrame, found: DataFrame, id_col: str, text_col: str, max_coverage: float
 ) -> DataFrame:
     """The same with matches that lie in a table: it is joined to the documents."""
-    hits = found.filter("n_hit > 0").select(
-        F.col(id_col).alias("id"), "key", "n_words", "n_hit",
+    n_hit = F.aggregate("runs", F.lit(0), lambda n, r: n + r["end"] - r["first"])
+    hits = found.filter(F.size("runs") > 0).select(
+        "id", "key", "n_words", n_hit.alias("n_hit"),
         F.transform("runs", lambda r: F.struct(r["start_byte"], r["end_byte"])).alias("bytes"),
     ).dropDuplicates(["id", "key"])
     left = docs.select(F.struct("*").alias("row"))

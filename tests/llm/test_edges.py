@@ -356,6 +356,36 @@ def test_items_of_one_word_alone(spark, frame):
         assert {r["doc_id"]: (r["n_hit"], ",".join(r["items"])) for r in found.collect()} == {i: expected[i] for i in part}
 
 
+def test_long_items_are_cut_into_stretches(spark, frame):
+    rng = random.Random(7)
+    book = [rng.choice("abcdefghij") + rng.choice("klmnopqrst") for _ in range(300)]
+    other = [rng.choice("uvwxyz") * 2 for _ in range(90)]
+    items = [("book", " ".join(book)), ("other", " ".join(other)), ("tiny", "kk kl"), (None, "qq rr ss tt")]
+    texts = [" ".join(x) for x in (book, book[13:250], other[:50], ["x"], book[290:], other[3:] + book[:4], book[40:61])]
+    texts += ["kk kl", " ".join(book[100:130] + ["x"] + book[5:80]), None]
+    table = spark.createDataFrame(items, "item_id string, text string")
+    docs = frame(list(enumerate(texts)) + [(None, texts[1]), (None, texts[1])])
+    known = decontamination.prepared(table, "item_id", "text", 5, 40)
+    blocks = list(known.packed())
+    sizes = [b.lookup.automaton.length for b in blocks]
+    assert len(blocks) > 9 and max(map(max, sizes)) <= 40
+    found = {r["doc_id"]: r for r in decontamination.find_matches(docs, table, window=5, block_words=40).collect()}
+    plain = {r["doc_id"]: r for r in decontamination.find_matches(docs, table, window=5).collect()}
+    assert found[0]["longest"] == 300 and found[None]["longest"] == 237
+    assert found == plain
+    left = [decontamination.remove_matches(docs, table, window=5, block_words=n) for n in (40, 200_000)]
+    assert rows(left[0], "doc_id", "text") == rows(left[1], "doc_id", "text")
+
+
+def test_longest_shared():
+    rng = np.random.default_rng(2)
+    for n in range(200):
+        one, two = (rng.integers(0, 2 + n % 3, rng.integers(0, 25)).astype(np.uint64) for _ in range(2))
+        runs = {tuple(one[i:j]) for i in range(len(one)) for j in range(i + 1, len(one) + 1)}
+        shared = [j - i for i in range(len(two)) for j in range(i + 1, len(two) + 1) if tuple(two[i:j]) in runs]
+        assert decontamination.longest_shared(one, two) == max(shared, default=0)
+
+
 def test_windows_at_every_overlap(spark, frame):
     rng = random.Random(4)
     items = [(str(i), " ".join(rng.choice("abc") for _ in range(rng.randint(1, 30)))) for i in range(25)]
