@@ -119,7 +119,11 @@ class Spans:
 
 def runs(block: Block, member: np.ndarray) -> Spans:
     """Maximal runs of bytes that are members of a table, not crossing texts."""
-    inside = member[block.data]
+    return marked_runs(block, member[block.data])
+
+
+def marked_runs(block: Block, inside: np.ndarray) -> Spans:
+    """Maximal runs of bytes that a mask marks, not crossing texts."""
     n = len(inside)
     if not n:
         none = np.zeros(0, np.int64)

@@ -16,6 +16,7 @@ from cleargrist.llm import (
     quality_classifier,
     quality_rules,
     secret_scan,
+    spelling_variants,
     substring_dedup,
     token_counts,
 )
@@ -138,6 +139,10 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rated.select("doc_id", *quality_rules.BASE, "base_failed", "kept", "score")
 
 
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling_variants.group_variants(documents(spark, sf_dir), drop_every=31)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_secret_scan": op1_secret_scan,
     "op2_quality_classifier": op2_quality_classifier,
@@ -149,6 +154,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_mixing": op8_mixing,
     "op9_personal_data": op9_personal_data,
     "op10_quality_rules": op10_quality_rules,
+    "op11_spelling_variants": op11_spelling_variants,
 }
 
 #: Where SQL can express a query over whole tables in fair time: the same rows in DuckDB.
