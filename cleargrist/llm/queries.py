@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 
 from cleargrist.llm import (
     decontamination,
+    hard_negatives,
+    language_id,
     mixing,
     near_dedup,
     oracle,
@@ -143,6 +145,18 @@ def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling_variants.group_variants(documents(spark, sf_dir), drop_every=31)
 
 
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
+    shifted = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    vectors = vectors.withColumn("label", shifted)
+    return hard_negatives.mine_negatives(vectors, F.col("vec_id") % 100 == 0)
+
+
+def op13_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    return language_id.identify(docs, language_id.fit(docs))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_secret_scan": op1_secret_scan,
     "op2_quality_classifier": op2_quality_classifier,
@@ -155,6 +169,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_personal_data": op9_personal_data,
     "op10_quality_rules": op10_quality_rules,
     "op11_spelling_variants": op11_spelling_variants,
+    "op12_hard_negatives": op12_hard_negatives,
+    "op13_language_id": op13_language_id,
 }
 
 #: Where SQL can express a query over whole tables in fair time: the same rows in DuckDB.
