@@ -19,13 +19,14 @@ from cleargrist.operators.quality import (
     tag,
     valid_rows,
 )
-from cleargrist.operators.reuse import input_fingerprint, materialize
-from cleargrist.operators.stats import price_stats
+from cleargrist.operators.reuse import checkpoint, input_fingerprint, materialize
+from cleargrist.operators.stats import group_states, merge_states, price_stats, stats_of_states
 from cleargrist.plans.curate import (
     CurationOptions,
     Curated,
     Staged,
     curate,
+    current_release,
     stage,
     write_quarantine,
 )
@@ -36,7 +37,14 @@ from cleargrist.sources.contract import (
     SchemaReport,
     compare_schema,
 )
-from cleargrist.sources.tables import ReadOptions, contract_report, preview_schema, read_table
+from cleargrist.sources.tables import (
+    ReadOptions,
+    Watched,
+    contract_report,
+    preview_schema,
+    read_table,
+    read_watched,
+)
 
 __all__ = [
     "MATERIALS_CONTRACT",
@@ -49,15 +57,20 @@ __all__ = [
     "ReadOptions",
     "SchemaReport",
     "Staged",
+    "Watched",
+    "checkpoint",
     "clean",
     "cleaning_summary",
     "compare_schema",
     "contract_report",
     "curate",
+    "current_release",
     "drop_sparse",
     "flag_rows",
+    "group_states",
     "input_fingerprint",
     "materialize",
+    "merge_states",
     "null_ratios",
     "partitioned_schema",
     "preview_schema",
@@ -65,9 +78,11 @@ __all__ = [
     "profile",
     "quarantine_rows",
     "read_table",
+    "read_watched",
     "restore_keys",
     "stage",
     "stamp",
+    "stats_of_states",
     "tag",
     "valid_rows",
     "write_jdbc",

@@ -37,7 +37,8 @@ class CleaningRules:
     """Which columns to clean and how, which must have a value, and what to keep.
 
     ``required`` and ``output`` name raw columns; where a column is cleaned, the cleaned value
-    is the one that counts.
+    is the one that counts. ``bad_lines`` names the column that holds the raw line of rows that did
+    not fit the table (see ``ReadOptions``); such rows are invalid, and quarantined with their line.
     """
 
     text: tuple[str, ...] = ()
@@ -45,6 +46,7 @@ class CleaningRules:
     doubles: tuple[str, ...] = ()
     required: tuple[str, ...] = ()
     output: tuple[str, ...] = ()
+    bad_lines: str | None = None
 
     def is_cleaned(self, name: str) -> bool:
         return name in self.text or name in self.integers or name in self.doubles
@@ -127,13 +129,16 @@ def flag_rows(df: DataFrame, rules: CleaningRules = MATERIALS_RULES) -> DataFram
     """Add the cleaned numbers and the ``is_valid`` flag, Y or N: all that tells rows apart.
 
     A row is invalid if a required value is missing. Without required columns, it is invalid
-    if all its columns are null; with them, such a row is invalid already.
+    if all its columns are null; with them, such a row is invalid already. A row with a bad line is
+    invalid in any case.
     """
     rules.check(df.columns)
     if rules.required:
         invalid = any_null(map(rules.null_probe, rules.required))
     else:
-        invalid = all_null(df.columns)
+        invalid = all_null([c for c in df.columns if c != rules.bad_lines])
+    if rules.bad_lines:
+        invalid = invalid | named(rules.bad_lines).isNotNull()
     flag = F.when(invalid, INVALID).otherwise(VALID)
     return df.withColumns(rules.numeric_columns(df.schema)).withColumn(FLAG, flag)
 

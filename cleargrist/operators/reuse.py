@@ -7,13 +7,15 @@ import warnings
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 from hashlib import sha256
+from uuid import uuid4
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from cleargrist.operators.observed import PATIENCE, observed_metrics
+from cleargrist.workspace import scratch_path
 
 
 @dataclass(frozen=True)
@@ -52,11 +54,14 @@ def materialize(
     metrics: Sequence[Column] = (),
     still_true: Callable[[], bool] | None = None,
     patience: float = PATIENCE,
+    partition_by: str | None = None,
 ) -> Materialized:
     """Write a table as Parquet and read it back, which cuts its lineage; reuse it if present.
 
-    Every key has a folder of its own under the path, so a table that was returned before stays
-    readable. A stored table is reused only if its write ended and its key, schema and metrics
+    Every run that writes has a folder of its own, which no other run touches, so a table that was
+    returned before stays readable, and two runs of one key at a time do not disturb each other:
+    both write, and later ones all read the same one of the two. A table may be stored in
+    folders by the values of a column, which then comes last. A stored table is reused only if its write ended and its key, schema and metrics
     are the same: make the key from ``input_fingerprint``, taken before the input is read, and
     whatever else shapes the table. ``still_true`` is asked after the write whether the key still
     describes the input; if not, the table is returned but never reused. ``metrics`` are
@@ -65,39 +70,56 @@ def materialize(
     """
     spark = df.sparkSession
     schema = json.loads(df.schema.json())
-    wanted = {"key": key, "schema": schema, "metrics": [str(m) for m in metrics]}
+    wanted = {"key": key, "schema": schema, "metrics": [str(m) for m in metrics], "by": partition_by}
     folder = f"{path}/{sha256(json.dumps(wanted).encode()).hexdigest()[:32]}"
-    data, manifest_path = f"{folder}/data", f"{folder}/manifest"
+    manifest_path = f"{folder}/manifest"
 
-    def read_data() -> DataFrame:
-        return spark.read.schema(StructType.fromJson(schema)).parquet(data)
+    def read_data(name: str) -> DataFrame:
+        return spark.read.schema(StructType.fromJson(schema)).parquet(f"{folder}/{name}")
 
     known = _manifest(spark, manifest_path)
     if known is not None:
-        return Materialized(read_data(), known, True)
+        return Materialized(read_data(known["data"]), json.loads(known["content"]), True)
+    own = f"data-{uuid4().hex}"
     observation = Observation()
     rows = df.observe(observation, *metrics) if metrics else df
-    rows.write.mode("overwrite").parquet(data)
+    writer = rows.write.partitionBy(partition_by) if partition_by else rows.write
+    writer.parquet(f"{folder}/{own}")
     observed = {}
     if metrics:
         observed = observed_metrics(
-            observation, lambda: read_data().agg(*metrics).first(), patience
+            observation, lambda: read_data(own).agg(*metrics).first(), patience
         )
     if still_true is None or still_true():
-        # Written last, the manifest never vouches for unfinished data.
-        entry = spark.createDataFrame([(json.dumps(observed),)], "content string")
-        entry.coalesce(1).write.mode("overwrite").json(manifest_path)
+        # Written last, and only ever added to, the manifest never vouches for unfinished data.
+        entry = spark.createDataFrame([(own, json.dumps(observed))], _MANIFEST)
+        entry.coalesce(1).write.mode("append").json(manifest_path)
     else:
         warnings.warn("the input changed while it was stored; the table is not kept", stacklevel=2)
-    return Materialized(read_data(), observed, False)
+    return Materialized(read_data(own), observed, False)
 
 
-def _manifest(spark: SparkSession, path: str) -> dict | None:
-    """The metrics of a table whose write has ended."""
+def checkpoint(df: DataFrame, eager: bool = True) -> DataFrame:
+    """Spark's reliable checkpoint: the rows as files in a shared folder, which cuts their lineage.
+
+    They outlive executors but not the session, unlike those of ``materialize``, which later runs
+    can read. With ``eager=False`` they are written by the first query that needs them. The folder is
+    that of ``spark.checkpoint.dir``; only where none is set, a new one in the scratch folder.
+    """
+    context = df.sparkSession.sparkContext
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(scratch_path(df.sparkSession, "checkpoints"))
+    return df.checkpoint(eager)
+
+
+_MANIFEST = "data string, content string"
+
+
+def _manifest(spark: SparkSession, path: str) -> Row | None:
+    """The folder and metrics of a table whose write has ended: the first by name, if several."""
     try:
-        row = spark.read.schema("content string").json(path).first()
+        return spark.read.schema(_MANIFEST).json(path).orderBy("data").first()
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
         return None
-    return json.loads(row["content"]) if row else None

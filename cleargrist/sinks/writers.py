@@ -40,7 +40,9 @@ def write_table(
 
     A folder's name cannot tell an empty text from a missing one, so a row whose partition key is
     empty fails the write, unless ``key_copies`` stores text keys once more as columns of the
-    files; ``partitioned_schema`` and ``restore_keys`` read such a table.
+    files; ``partitioned_schema`` and ``restore_keys`` read such a table. A copy is the key after an
+    equals sign, since CSV cannot tell empty from missing either. It is named after the key, with
+    ``_key`` behind it; a column of the table that has this name already is refused.
     """
     name = checked_format(fmt)
     keys = [partition_by] if isinstance(partition_by, str) else list(partition_by or ())
@@ -61,6 +63,8 @@ def write_table(
 
 
 _COPY = "_key"
+# Before every key that is not null.
+_MARK = "="
 
 
 def _text_keys(schema: StructType, keys: Sequence[str]) -> list[str]:
@@ -76,7 +80,10 @@ def _without_blank_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 
 def _with_key_copies(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    return df.withColumns({key + _COPY: named(key) for key in _text_keys(df.schema, keys)})
+    copies = {key + _COPY: key for key in _text_keys(df.schema, keys)}
+    if taken := sorted(set(copies) & set(df.columns)):
+        raise ValueError(f"columns that copies of keys would replace: {', '.join(taken)}")
+    return df.withColumns({copy: F.concat(F.lit(_MARK), named(key)) for copy, key in copies.items()})
 
 
 def partitioned_schema(schema: StructType, keys: Sequence[str]) -> StructType:
@@ -86,10 +93,13 @@ def partitioned_schema(schema: StructType, keys: Sequence[str]) -> StructType:
 
 
 def restore_keys(stored: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """A table stored with ``key_copies``, its keys as they were written."""
-    copies = [key for key in keys if key + _COPY in stored.columns]
-    exact = stored.withColumns({key: named(key + _COPY) for key in copies})
-    return exact.drop(*(key + _COPY for key in copies))
+    """A table stored with ``key_copies``, its keys as they were written.
+
+    Only the copies of text keys go, which are no columns of the table that was written.
+    """
+    copies = {key: key + _COPY for key in _text_keys(stored.schema, keys)}
+    exact = {key: F.substr(named(copy), F.lit(len(_MARK) + 1)) for key, copy in copies.items()}
+    return stored.withColumns(exact).drop(*map(named, copies.values()))
 
 
 def write_jdbc(

@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
+from cleargrist.functions import named
 from cleargrist.operators.quality import CleaningRules
 from cleargrist.sinks.writers import write_table
 from cleargrist.workspace import scratch_path
@@ -56,6 +58,20 @@ def dirty_order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def ragged_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The dirty materials as lines of CSV without a header, some with too many or too few fields."""
+    source = dirty_materials(spark, sf_dir)
+    fields = [F.coalesce(named(c), F.lit("")) for c in source.columns]
+    key = F.col("manufacturer_part_id").cast("int")
+    line = F.concat_ws(",", *fields)
+    return source.select(
+        F.when(key % 29 == 0, F.concat(line, F.lit(",surplus,field")))
+        .when(key % 31 == 0, F.concat_ws(",", *fields[:-2]))
+        .otherwise(line)
+        .alias("value")
+    )
+
+
 ORDER_LINE_RULES = CleaningRules(
     text=("status", "note"),
     integers=("order_id", "quantity"),

@@ -130,6 +130,40 @@ def _ratios(columns: tuple[str, ...]) -> str:
     return ", ".join(f"count(*) filter ({c} is null) / count(*) as {c}" for c in (*columns, "is_valid"))
 
 
+_FIELDS = (
+    "Unnamed: 0",
+    "id",
+    "name",
+    "description",
+    "long_description",
+    "customer_part_id",
+    "manufacturer_name",
+    "manufacturer_part_id",
+    "competitor_name",
+    "competitor_part_name",
+    "competitor_part_id",
+    "category",
+    "unit_of_measure",
+    "unit_quantity",
+    "requested_quantity",
+    "requested_unit_price",
+)
+
+
+def _line(fields: tuple[str, ...]) -> str:
+    return "array_to_string([" + ", ".join(f"coalesce(\"{c}\", '')" for c in fields) + "], ',')"
+
+
+# Lines of a multiple of 29 are too long, those of a multiple of 31 lack two fields.
+_RAGGED = f"""{_TAGGED}, keyed as (select *, cast(manufacturer_part_id as int) as k from tagged),
+    ragged as (select * replace (
+        case when k % 31 = 0 and k % 29 <> 0 then null else requested_quantity end as requested_quantity,
+        case when k % 31 = 0 and k % 29 <> 0 then null else requested_unit_price end as requested_unit_price),
+        case when k % 29 = 0 then {_line(_FIELDS)} || ',surplus,field'
+             when k % 31 = 0 then {_line(_FIELDS[:-2])} end as raw_line from keyed)"""
+_RAGGED_COLUMNS = ", ".join(f'"{c}"' for c in (*_FIELDS, "raw_line"))
+
+
 _SUMMARY = f"""with {_TAGGED}, ratios as (select unnest([{", ".join(f"'{c}'" for c in _OUTPUT)}]) as c,
     unnest([{", ".join(f"count(*) filter ({c} is null) / count(*)" for c in _OUTPUT)}]) as ratio,
     generate_subscripts([{", ".join(f"'{c}'" for c in _OUTPUT)}], 1) as i
@@ -231,6 +265,17 @@ ORACLE_SQL: dict[str, str] = {
     "curated_appended_clean_rows": f"""with {_VALID} select id_cleaned,
         cast(null as varchar) as competitor_name_cleaned from valid
         union all select id_cleaned, 'Acme Corp' from valid""",
+    "csv_bad_lines_scan": f"with {_RAGGED} select {_RAGGED_COLUMNS} from ragged",
+    "curated_bad_lines_quarantine": f"""with {_RAGGED} select {_RAGGED_COLUMNS}, 'N' as is_valid
+        from ragged where is_valid = 'N' or raw_line is not null""",
+    "partitioned_blank_keys_csv": """select o_orderkey, case when o_orderkey % 5 = 0 then ''
+        when o_orderkey % 7 <> 0 then o_orderpriority end as priority from orders""",
+    "checkpointed_valid_rows": f"with {_VALID} select * from valid",
+    "curated_json_stats": _EXACT_CATEGORY_STATS,
+    "released_appended_stats": _EXACT_CATEGORY_STATS,
+    "released_order_line_stats": f"with {_LINES}, thrice as (select * from valid_lines, range(3)) "
+    + _stats("thrice", "supplier, status_cleaned", "price_cleaned", exact=True),
+    "released_rows_after_a_failed_run": f"with {_VALID} select {', '.join(_KEPT)}, true as failed from valid",
     "curated_order_line_stats": f"with {_LINES} "
     + _stats("valid_lines", "supplier, status_cleaned", "price_cleaned", exact=True),
 }

@@ -24,10 +24,16 @@ from cleargrist.operators.quality import (
     tag,
     valid_rows,
 )
-from cleargrist.operators.reuse import input_fingerprint, materialize
+from cleargrist.operators.reuse import checkpoint, input_fingerprint, materialize
 from cleargrist.operators.stats import price_stats
-from cleargrist.plans.curate import CurationOptions, curate, stage, write_quarantine
-from cleargrist.sinks.writers import write_table
+from cleargrist.plans.curate import (
+    CurationOptions,
+    curate,
+    current_release,
+    stage,
+    write_quarantine,
+)
+from cleargrist.sinks.writers import partitioned_schema, restore_keys, write_table
 from cleargrist.sources.contract import MATERIALS_CONTRACT
 from cleargrist.sources.tables import ReadOptions, contract_report, read_table
 from cleargrist.suite.inputs import (
@@ -35,6 +41,7 @@ from cleargrist.suite.inputs import (
     ORDER_LINE_RULES,
     dirty_materials,
     dirty_order_lines,
+    ragged_lines,
     stored,
     table,
 )
@@ -130,6 +137,21 @@ def csv_by_name_scan(spark, sf_dir):
     return read_table(spark, path, MATERIALS_CONTRACT, ReadOptions(check=False))
 
 
+RAGGED = ReadOptions(header=False, check=False, bad_lines="raw_line")
+
+
+def _ragged(spark, sf_dir) -> str:
+    path = scratch_path(spark, "ragged")
+    ragged_lines(spark, sf_dir).write.text(path)
+    return path
+
+
+@query("csv_bad_lines_scan")
+def csv_bad_lines_scan(spark, sf_dir):
+    """Rows with too many or too few fields keep their raw line."""
+    return read_table(spark, _ragged(spark, sf_dir), MATERIALS_CONTRACT, RAGGED)
+
+
 # A contract that the orders table breaks in each of the three ways.
 _ORDERS_CONTRACT = StructType(
     [
@@ -431,6 +453,17 @@ def partitioned_csv_roundtrip(spark, sf_dir):
     return read_table(spark, path, schema, ReadOptions(check=False))
 
 
+@query("partitioned_blank_keys_csv")
+def partitioned_blank_keys_csv(spark, sf_dir):
+    """Empty and missing partition keys, in text files, come back apart."""
+    priority = F.when(F.col("o_orderkey") % 5 == 0, "").when(F.col("o_orderkey") % 7 != 0, F.col("o_orderpriority"))
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", priority.alias("priority"))
+    path = scratch_path(spark, "blank-keys")
+    write_table(orders, path, "csv", partition_by="priority", key_copies=True)
+    schema = partitioned_schema(orders.schema, ["priority"])
+    return restore_keys(read_table(spark, path, schema, ReadOptions(check=False)), ["priority"])
+
+
 @query("append_mode")
 def append_mode(spark, sf_dir):
     source = dirty_materials(spark, sf_dir)
@@ -480,6 +513,12 @@ def stored_then_reused(spark, sf_dir):
     return again.table.withColumn("reused", F.lit(again.reused))
 
 
+@query("checkpointed_valid_rows")
+def checkpointed_valid_rows(spark, sf_dir):
+    """Spark's reliable checkpoint, written by the query that reads it."""
+    return checkpoint(valid_rows(tag(dirty_materials(spark, sf_dir))), eager=False)
+
+
 @query("staged_valid_rows")
 def staged_valid_rows(spark, sf_dir):
     """The valid half of order lines that were tagged and stored in one pass."""
@@ -578,3 +617,70 @@ def curated_order_line_stats(spark, sf_dir):
         exact_stats=True,
     )
     return curate(spark, options).stats
+
+
+@query("curated_bad_lines_quarantine")
+def curated_bad_lines_quarantine(spark, sf_dir):
+    """Lines with too many or too few fields reach the quarantine as they are."""
+    return curate(spark, _curation(spark, _ragged(spark, sf_dir), "curate-ragged", read=RAGGED)).quarantine
+
+
+@query("curated_json_stats")
+def curated_json_stats(spark, sf_dir):
+    """JSON input, whose field names are gathered as its rows are read."""
+    source = dirty_materials(spark, sf_dir)
+    path = scratch_path(spark, "curate-json-input")
+    write_table(source, path, "json", options={"ignoreNullFields": "false"})
+    return curate(spark, _curation(spark, path, "curate-json", read=ReadOptions(fmt="json"))).stats
+
+
+def _releases(spark, label: str, source: str, **settings) -> CurationOptions:
+    return CurationOptions(source, publish_path=scratch_path(spark, label), **settings)
+
+
+@query("released_appended_stats")
+def released_appended_stats(spark, sf_dir):
+    """Two appended releases: the statistics are those of all rows."""
+    source = dirty_materials(spark, sf_dir)
+    odd = F.col("manufacturer_part_id").cast("int") % 2 == 1
+    halves = [stored(source.filter(half), "csv", "release-input") for half in (odd, ~odd)]
+    options = _releases(spark, "release-append", halves[0], mode="append")
+    curate(spark, options)
+    return curate(spark, replace(options, input_path=halves[1])).stats
+
+
+@query("released_order_line_stats")
+def released_order_line_stats(spark, sf_dir):
+    """The same order lines appended three times, in CSV: three times the rows, the same averages."""
+    source = stored(dirty_order_lines(spark, sf_dir), "csv", "release-lines-input")
+    options = _releases(
+        spark,
+        "release-lines",
+        source,
+        contract=ORDER_LINE_CONTRACT,
+        rules=ORDER_LINE_RULES,
+        stats_keys=("supplier", "status_cleaned"),
+        stats_value="price_cleaned",
+        stats_partition="status_cleaned",
+        write_format="csv",
+        mode="append",
+    )
+    for _ in range(3):
+        curate(spark, options)
+    return current_release(spark, options.publish_path).stats
+
+
+@query("released_rows_after_a_failed_run")
+def released_rows_after_a_failed_run(spark, sf_dir):
+    """A run that fails after two of its outputs are written leaves all of the release before it."""
+    source = dirty_materials(spark, sf_dir)
+    options = _releases(spark, "release-failed", stored(source, "csv", "release-input"))
+    curate(spark, options)
+    other = stored(source.limit(10), "csv", "release-input")
+    failed = False
+    try:
+        curate(spark, replace(options, input_path=other, stats_keys=("no_such_column",)))
+    except AnalysisException:
+        failed = True
+    clean_rows = current_release(spark, options.publish_path).clean
+    return clean_rows.drop("ingestion_time").withColumn("failed", F.lit(failed))

@@ -1,3 +1,4 @@
+import json
 from dataclasses import replace
 from pathlib import Path
 
@@ -203,6 +204,77 @@ def test_contract_gate(spark, options, out):
         curate(spark, replace(options, input_path=out("short")))
 
 
+def write_json(frame, path):
+    write_table(frame, path, "json", options={"ignoreNullFields": "false"})
+    return path
+
+
+@pytest.mark.parametrize("checkpoint", [None, "kept"])
+def test_json_that_is_refused_replaces_nothing(spark, options, out, checkpoint):
+    """Its field names are known only once its rows have been read."""
+    source = dirty_materials(spark, SF_DIR)
+    kept = out(checkpoint) if checkpoint else None
+    good = replace(options, input_path=write_json(source, out("good")), read=ReadOptions(fmt="json"), checkpoint_path=kept)
+    result = curate(spark, good)
+    check(spark, result)
+    before = [rows(t) for t in (result.quarantine, result.clean, result.stats)]
+    for changed, message in (
+        (source.drop("category"), "missing column 'category'"),
+        (source.withColumn("colour", F.lit("red")), "unexpected column 'colour'"),
+    ):
+        path = write_json(changed, out(message))
+        for _ in range(2):  # nor is a refused table reused
+            with pytest.raises(ContractError, match=message):
+                curate(spark, replace(good, input_path=path))
+    assert [rows(t) for t in (result.quarantine, result.clean, result.stats)] == before
+
+
+@pytest.mark.parametrize("checkpoint", [None, "kept"])
+def test_json_numbers_are_quarantined_as_they_are_written(spark, options, out, checkpoint):
+    Path(out("in")).mkdir()
+    fields = {c: None for c in MATERIALS_CONTRACT.names}
+    lines = [json.dumps(fields | {"id": "x", "name": "n", "unit_quantity": "Q"}).replace('"Q"', "2.50")]
+    lines += [json.dumps(fields | {"id": i, "name": "n", "category": "c", "requested_unit_price": 1.5}) for i in range(3)]
+    Path(out("in"), "t.json").write_text("\n".join(lines))
+    kept = out(checkpoint) if checkpoint else None
+    options = replace(options, input_path=out("in"), read=ReadOptions(fmt="json"), checkpoint_path=kept)
+    for _ in range(2):
+        result = curate(spark, options)
+        assert rows(result.quarantine.select("id", "unit_quantity")) == [("x", "2.50")]
+        assert rows(result.stats.select("item_count", "avg_price")) == [(3, 1.5)]
+
+
+def test_bad_lines_are_quarantined(spark, options, out):
+    lines = ["a,b,c", "1,x,2.5", "2,y,3.5,surplus", "3", "4,,1", ",,"]
+    Path(out("in")).mkdir()
+    Path(out("in"), "t.csv").write_text("\n".join(lines) + "\n")
+    from cleargrist import CleaningRules
+    from pyspark.sql.types import StringType, StructField, StructType
+
+    contract = StructType([StructField(c, StringType()) for c in "abc"])
+    plain = replace(
+        options,
+        input_path=out("in"),
+        contract=contract,
+        rules=CleaningRules(integers=("a",), text=("b",), doubles=("c",), required=("a",), output=("a", "b", "c")),
+        stats_keys=("b_cleaned",),
+        stats_value="c_cleaned",
+        stats_partition=None,
+    )
+    assert rows(curate(spark, plain).clean.select("a_cleaned")) == [(1,), (2,), (3,), (4,)]
+    for checkpoint in (None, out("kept")):
+        strict = replace(plain, read=ReadOptions(bad_lines="raw"), checkpoint_path=checkpoint)
+        result = curate(spark, strict)
+        assert rows(result.clean.select("a_cleaned")) == [(1,), (4,)]
+        assert result.quarantine.columns == ["a", "b", "c", "raw", "is_valid"]
+        assert rows(result.quarantine) == [
+            ("2", "y", "3.5", "2,y,3.5,surplus", "N"),
+            ("3", None, None, "3", "N"),
+            (None, None, None, None, "N"),
+        ]
+        assert result.summary.first()["invalid_rows"] == 3
+
+
 def test_blank_keys_survive(spark, options, out):
     """A blank name is a value: it stays apart from a missing one in Parquet statistics."""
     blank = dirty_materials(spark, SF_DIR).withColumn("manufacturer_name", F.lit("   "))
@@ -211,7 +283,7 @@ def test_blank_keys_survive(spark, options, out):
     assert rows(result.stats.select("manufacturer_name_cleaned").distinct()) == [("",)]
 
 
-@pytest.mark.parametrize("fmt", ["parquet", "orc", "json"])
+@pytest.mark.parametrize("fmt", ["parquet", "orc", "json", "csv"])
 def test_a_blank_partition_key_survives(spark, options, out, fmt):
     blank = dirty_materials(spark, SF_DIR).withColumn("category", F.lit("   "))
     write_table(blank, out("blank"), "csv")

@@ -5,7 +5,7 @@ import re
 import pytest
 from pyspark.sql import Observation
 
-from cleargrist import MATERIALS_RULES, clean, flag_rows, price_stats, profile, quarantine_rows, tag, valid_rows, write_table
+from cleargrist import MATERIALS_RULES, clean, flag_rows, price_stats, profile, quarantine_rows, stage, tag, valid_rows, write_table
 from cleargrist.operators.quality import profile_measures
 from cleargrist.suite.inputs import dirty_materials
 
@@ -67,3 +67,10 @@ def test_stored_statistics_are_pruned_by_partition(spark, source, out):
 def test_a_round_trip_runs_no_python(source):
     text = plan(price_stats(valid_rows(tag(source)), exact=True))
     assert "Python" not in text and "Arrow" not in text
+
+
+def test_each_staged_half_is_read_by_its_folder(source, out):
+    staged = stage(source, out("staged"), "k")
+    for half, flag in ((staged.valid, "Y"), (staged.quarantine, "N")):
+        text = plan(half)
+        assert "PartitionFilters: [isnotnull(is_valid" in text and f"= {flag})" in text

@@ -4,7 +4,7 @@ from threading import Event
 import pytest
 from pyspark.sql import functions as F
 
-from cleargrist import input_fingerprint, materialize
+from cleargrist import checkpoint, input_fingerprint, materialize
 from cleargrist.operators.observed import observed_metrics
 from cleargrist.workspace import scratch_path
 
@@ -120,3 +120,41 @@ def test_a_cluster_without_shared_folder_is_refused():
     assert scratch_path(FakeSession(**local), "x").startswith("file:/w/cleargrist/x-")
     shared = {"spark.master": "yarn", "spark.checkpoint.dir": "hdfs://n/shared/"}
     assert scratch_path(FakeSession(**shared), "x").startswith("hdfs://n/shared/cleargrist/x-")
+
+
+def test_two_runs_of_one_key_do_not_disturb_each_other(spark, out):
+    """The second run begins before the first has ended, and writes while its table is in use."""
+    first = []
+
+    def slower_run():
+        first.append(materialize(spark.range(5), out("t"), "k", [count()]))
+        return True
+
+    second = materialize(spark.range(5).repartition(2), out("t"), "k", [count()], still_true=slower_run)
+    assert not first[0].reused and not second.reused
+    assert first[0].table.count() == second.table.count() == 5
+    files = [set(run.table.inputFiles()) for run in (*first, second)]
+    assert not files[0] & files[1]
+    third, fourth = (materialize(spark.range(9), out("t"), "k", [count()]) for _ in range(2))
+    assert third.reused and third.metrics == {"n": 5}
+    assert set(third.table.inputFiles()) == set(fourth.table.inputFiles()) in files
+
+
+def test_a_table_in_folders_by_a_value(spark, out):
+    frame = spark.range(6).select("id", F.when(F.col("id") % 3 == 0, "Y").otherwise("N").alias("flag"))
+    for reused in (False, True):
+        stored = materialize(frame, out("t"), "k", [count()], partition_by="flag")
+        assert (stored.reused, stored.metrics) == (reused, {"n": 6})
+        assert sorted(map(tuple, stored.table.collect())) == sorted(map(tuple, frame.collect()))
+    assert not materialize(frame, out("t"), "k", [count()]).reused
+
+
+@pytest.mark.parametrize("eager", [True, False])
+def test_reliable_checkpoint(spark, eager):
+    folder = Path(spark.sparkContext.getCheckpointDir().removeprefix("file:"))
+    before = len(list(folder.rglob("part-*")))
+    kept = checkpoint(spark.range(0, 20, 1, 2).withColumn("r", F.rand()), eager)
+    assert (len(list(folder.rglob("part-*"))) > before) == eager
+    assert kept.collect() == kept.collect()
+    assert len(list(folder.rglob("part-*"))) > before
+    assert "rand" not in kept._jdf.queryExecution().optimizedPlan().toString()

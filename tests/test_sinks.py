@@ -116,6 +116,33 @@ def test_an_empty_partition_key_is_refused_or_kept(spark, out):
     assert rows(restore_keys(read, ["k", "n"])) == rows(frame)
 
 
+@pytest.mark.parametrize("fmt", ["parquet", "orc", "json", "csv"])
+def test_blank_and_missing_keys_stay_apart(spark, out, fmt):
+    data = [("", "1"), (None, "2"), ("=", "3"), ("a", "4"), (" ", "5")]
+    frame = spark.createDataFrame(data, "k string, v string")
+    write_table(frame, out("t"), fmt, partition_by="k", key_copies=True)
+    schema = partitioned_schema(frame.schema, ["k"])
+    read = read_table(spark, out("t"), schema, ReadOptions(fmt=fmt, check=False))
+    assert rows(restore_keys(read, ["k"]).select("k", "v")) == sorted(data, key=repr)
+
+
+def test_a_column_named_like_a_copy_is_refused(spark, out):
+    frame = spark.createDataFrame([("data", "precious", 1)], "cat string, cat_key string, n int")
+    with pytest.raises(ValueError, match="cat_key"):
+        write_table(frame, out("t"), partition_by="cat", key_copies=True)
+    assert not Path(out("t")).exists()
+    write_table(frame, out("u"), partition_by="cat")
+    assert spark.read.parquet(out("u")).first()["cat_key"] == "precious"
+
+
+def test_restoring_drops_only_what_was_added(spark, out):
+    frame = spark.createDataFrame([("a", 1, "own")], "k string, n int, n_key string")
+    write_table(frame, out("t"), partition_by=["k", "n"], key_copies=True)
+    schema = partitioned_schema(frame.schema, ["k", "n"])
+    read = read_table(spark, out("t"), schema, ReadOptions(fmt="parquet", check=False))
+    assert rows(restore_keys(read, ["k", "n"]).select("k", "n", "n_key")) == rows(frame)
+
+
 def test_rebalancing_needs_adaptive_execution(spark, out):
     frame = spark.createDataFrame([("a", 1)], "k string, n int")
     spark.conf.set("spark.sql.adaptive.enabled", "false")

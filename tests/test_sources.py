@@ -14,6 +14,7 @@ from cleargrist import (
     contract_report,
     preview_schema,
     read_table,
+    read_watched,
 )
 
 ABC = StructType([StructField(c, StringType()) for c in ("a", "b", "c")])
@@ -57,6 +58,61 @@ def test_csv_dialect(spark, csv):
     assert read.count() == 6
 
 
+RAGGED = ReadOptions(multiline=True, bad_lines="raw")
+
+
+def test_bad_lines_are_kept(spark, csv):
+    read = read_table(spark, csv(DIALECT), ABC, RAGGED)
+    expected = [
+        ("1", 'x "q" y', "3", None),
+        (None, None, "z", None),
+        ("short", None, None, "short"),
+        ("long", "2", "3", "long,2,3,4,5"),
+        (None, None, None, None),
+        ("  pad ", " in ner ", "line\nbreak", None),
+    ]
+    assert read.columns == ["a", "b", "c", "raw"]
+    assert rows(read) == sorted(expected, key=repr)
+
+
+@pytest.mark.parametrize("multiline", [False, True])
+def test_bad_lines_do_not_depend_on_what_is_asked_for(spark, csv, multiline):
+    path = csv("c,a,b\n3,1,2\n6,4,5,surplus\n9\n,,\n")
+    read = read_table(spark, path, ABC, ReadOptions(multiline=multiline, bad_lines="raw"))
+    assert read.filter("raw is not null").count() == 2
+    assert rows(read.select("raw")) == [("6,4,5,surplus",), ("9",), (None,), (None,)]
+    assert rows(read.filter("raw is null").select("b")) == [("2",), (None,)]
+    assert rows(read.filter("raw is not null and c = '6'").select("b", "raw")) == [("5", "6,4,5,surplus")]
+
+
+def test_bad_lines_of_other_reads(spark, csv, out):
+    path = csv("1,2,3\n4,5,6,7\n")
+    read = read_table(spark, path, ABC, ReadOptions(header=False, bad_lines="raw"))
+    assert rows(read) == [("1", "2", "3", None), ("4", "5", "6", "4,5,6,7")]
+    inferred = read_table(spark, path, options=ReadOptions(header=False, infer=True, bad_lines="raw"))
+    assert inferred.dtypes == [("_c0", "int"), ("_c1", "int"), ("_c2", "int"), ("raw", "string")]
+    assert rows(inferred)[1] == (4, 5, 6, "4,5,6,7")
+    typed = StructType([StructField("a", IntegerType()), ABC["b"], ABC["c"]])
+    (Path(out("typed.csv"))).write_text("a,b,c\nx,y,z\n1,y,z\n")
+    read = read_table(spark, out("typed.csv"), typed, ReadOptions(bad_lines="raw"))
+    assert rows(read) == [(1, "y", "z", None), (None, "y", "z", "x,y,z")]
+
+
+def test_bad_json_records(spark, tmp_path):
+    (tmp_path / "t.json").write_text('{"a": "1", "b": "2", "c": "3"}\nbroken {\n\n{"a": "4", "b": null, "c": "5"}\n')
+    read = read_table(spark, str(tmp_path), ABC, ReadOptions(fmt="json", bad_lines="raw"))
+    assert rows(read) == [("1", "2", "3", None), ("4", None, "5", None), (None, None, None, "broken {")]
+
+
+def test_bad_lines_need_a_name_of_their_own_and_text(spark, csv, out):
+    path = csv("a,b,c\n1,2,3\n")
+    with pytest.raises(ValueError, match="'a' of its own"):
+        read_table(spark, path, ABC, ReadOptions(bad_lines="a"))
+    spark.range(1).write.parquet(out("t"))
+    with pytest.raises(ValueError, match="not of parquet"):
+        read_table(spark, out("t"), options=ReadOptions(fmt="parquet", bad_lines="raw"))
+
+
 def test_multiline_changes_the_row_count(spark, csv):
     assert read_table(spark, csv(DIALECT), ABC).count() == 7
 
@@ -151,6 +207,96 @@ def test_json_may_leave_out_nulls_when_unchecked(spark, out):
     assert rows(read_table(spark, out("t"), ABC, ReadOptions(fmt="json", check=False))) == [("1", None, "3")]
 
 
+JSON_LINES = [
+    '{"a": "1", "b": "2", "c": null}',
+    '{"a": "2.50", "b": null, "c": true}',
+    "",
+    "broken {",
+    " \t ",
+    '  {"b": "12345678901234567890", "a": "\\u00e9\\n"}  ',
+    '"text"',
+    '{"a": "{}", "b": "[1, 2]", "a": "twice"}',
+    "{}",
+    "null",
+]
+
+
+def watched(spark, folder, contract=ABC, **options):
+    return read_watched(spark, str(folder), contract, ReadOptions(fmt="json", **options))
+
+
+def unchecked(spark, folder, contract=ABC, **options):
+    return read_table(spark, str(folder), contract, ReadOptions(fmt="json", check=False, **options))
+
+
+@pytest.mark.parametrize(("bad_lines", "left_out"), [(None, [3, 6, 7]), ("raw", []), ("raw", [3, 6, 7])])
+def test_watched_json_gives_the_rows_of_the_json_source(spark, tmp_path, bad_lines, left_out):
+    lines = [line for i, line in enumerate(JSON_LINES) if i not in left_out]
+    (tmp_path / "t.json").write_text("\n".join(lines))
+    read = watched(spark, tmp_path, bad_lines=bad_lines)
+    assert read.waits
+    expected = rows(unchecked(spark, tmp_path, bad_lines=bad_lines))
+    assert rows(read.rows) == rows(read.again) == expected
+    assert read.judge()
+
+
+def test_watched_json_that_does_not_parse_is_refused_as_by_inference(spark, tmp_path):
+    (tmp_path / "t.json").write_text('{"a": "1", "b": "2", "c": "3"}\nbroken {\n')
+    read = watched(spark, tmp_path)
+    read.rows.collect()
+    for refused in (read.judge, lambda: read_table(spark, str(tmp_path), ABC, ReadOptions(fmt="json"))):
+        with pytest.raises(ContractError, match="unexpected column '_corrupt_record'"):
+            refused()
+
+
+@pytest.mark.parametrize("line", ['{"a": 2.50}', '{"a": {"x": 1}}', '{"a": -0}', '[{"a": "7"}, {"a": "8"}]', "[]"])
+def test_watched_json_in_another_notation_is_read_again(spark, tmp_path, line):
+    (tmp_path / "t.json").write_text('{"a": "1", "b": "2", "c": "3"}\n' + line + "\n")
+    read = watched(spark, tmp_path)
+    read.rows.collect()
+    assert not read.judge()
+    assert rows(read.again) == rows(unchecked(spark, tmp_path))
+
+
+def test_watched_json_is_refused_after_its_first_query(spark, tmp_path):
+    (tmp_path / "t.json").write_text('{"a": "1", "d.e": 1}\n{"b": "2", "f`g": null}\n')
+    read = watched(spark, tmp_path)
+    assert read.rows.count() == 2
+    with pytest.raises(ContractError, match="missing column 'c'.*unexpected column 'd.e'") as caught:
+        read.judge()
+    assert caught.value.report.columns("unexpected_column") == ["d.e", "f`g"]
+
+
+def test_watched_json_knows_types(spark, tmp_path):
+    (tmp_path / "t.json").write_text('{"a": 1, "b": "x", "c": 2.5}\n{"a": 2, "b": 1, "c": null}\n')
+    typed = StructType([StructField("a", IntegerType()), StructField("b", StringType()), StructField("c", StringType())])
+    read = watched(spark, tmp_path, coerce=False)
+    read.rows.collect()
+    with pytest.raises(ContractError, match=r"'a' \(expected string, got bigint\).*'c' \(expected string, got double\)"):
+        read.judge()
+    read = watched(spark, tmp_path, typed)
+    assert rows(read.rows) == rows(read.again) == [(1, "x", "2.5"), (2, "1", None)]
+    assert not read.judge()  # as 2.5 could have been written 2.50
+
+
+def test_watched_json_with_values_that_do_not_fit(spark, tmp_path):
+    (tmp_path / "t.json").write_text('{"a": "x", "b": "1", "c": "2"}\n{"a": 3, "b": "[1, 2]", "c": null}\n')
+    typed = StructType([StructField("a", IntegerType()), *ABC.fields[1:]])
+    read = watched(spark, tmp_path, typed)
+    assert rows(read.rows) == rows(read.again) == rows(read_table(spark, str(tmp_path), typed, ReadOptions(fmt="json")))
+    assert not watched(spark, tmp_path, typed, bad_lines="raw").waits
+
+
+def test_other_tables_are_judged_beforehand(spark, csv, tmp_path):
+    with pytest.raises(ContractError, match="missing column 'b'"):
+        read_watched(spark, csv("a,c\n1,2\n"), ABC)
+    (tmp_path / "j").mkdir()
+    (tmp_path / "j" / "t.json").write_text('[{"a": "1",\n "b": "2", "c": "3"}]')
+    read = watched(spark, tmp_path / "j", multiline=True)
+    assert not read.waits and rows(read.rows) == [("1", "2", "3")]
+    read.judge()
+
+
 def test_multiline_json(spark, tmp_path):
     (tmp_path / "t.json").write_text('[{"a": "1",\n "b": "2", "c": "3"},\n {"a": "4", "b": "5", "c": null}]')
     read = read_table(spark, str(tmp_path), ABC, ReadOptions(fmt="json", multiline=True))

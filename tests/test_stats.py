@@ -4,7 +4,7 @@ from decimal import ROUND_HALF_UP, Decimal
 
 import pytest
 
-from cleargrist import price_stats
+from cleargrist import group_states, merge_states, price_stats, stats_of_states
 
 
 def stats(spark, rows, **options):
@@ -79,3 +79,37 @@ def test_one_shuffle_after_partial_aggregation(spark):
     plan = frame._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange") == 1
     assert "partial_sum" in plan and "partial_avg" in plan
+
+
+VALUES = [("a", 1.005), ("a", 2.675), ("a", None), ("b", 1e17), ("b", 0.25), ("c", None), ("d", 0.1234), ("d", float("nan")), (None, -0.125)]
+
+
+@pytest.mark.parametrize("exact", [True, False])
+def test_merged_states_are_the_statistics_of_all_rows(spark, exact):
+    frame = spark.createDataFrame(VALUES * 3, "k string, v double")
+    parts = [spark.createDataFrame(VALUES[i::2] * 3, "k string, v double") for i in range(2)]
+    one, two = (group_states(p, ["k"], "v") for p in parts)
+    merged = merge_states(merge_states(one.unionByName(two), ["k"]), ["k"])
+    actual = stats_of_states(merged, ["k"], exact)
+    expected = price_stats(frame, ["k"], "v", exact)
+    assert actual.dtypes == expected.dtypes
+    assert sorted(map(repr, actual.collect())) == sorted(map(repr, expected.collect()))
+
+
+def test_merging_sums_exactly(spark):
+    """Sums beyond 2^53 of cents, in parts that a double would round."""
+    rows = [("a", 2.0**45 + 0.25 * i) for i in range(64)]
+    parts = [group_states(spark.createDataFrame(rows[i::8], "k string, v double"), ["k"], "v") for i in range(8)]
+    states = parts[0]
+    for part in parts[1:]:
+        states = states.unionByName(part)
+    stats = stats_of_states(merge_states(states, ["k"]), ["k"], exact=True).first()
+    assert stats["avg_price"] == round(2.0**45 + 0.25 * 63 / 2, 2)
+
+
+def test_states_of_other_types_and_odd_keys(spark):
+    frame = spark.createDataFrame([(1, 2), (1, 3), (None, 4)], "`a.b` int, n int")
+    stats = stats_of_states(group_states(frame, ["a.b"], "n"), ["a.b"])
+    assert sorted(map(repr, stats.collect())) == sorted(map(repr, price_stats(frame, ["a.b"], "n").collect()))
+    with pytest.raises(ValueError, match="group_state"):
+        group_states(frame.withColumnRenamed("n", "group_state"), ["group_state"], "a.b")
