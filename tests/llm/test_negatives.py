@@ -1,0 +1,120 @@
+"""Hard negatives against a plain model, and at their edges."""
+
+import random
+
+import numpy as np
+from pyspark.sql import functions as F
+
+import __spark_entry__ as contract
+import brute
+from cleargrist.llm import hard_negatives as hn
+
+SF_DIR = "/root/testdata/sf0.001"
+SCHEMA = "vec_id long, embedding array<float>, label int, row string, block string"
+
+
+def mined(df, **options):
+    return sorted(tuple(r) for r in hn.mine_negatives(df, F.col("vec_id") % 100 == 0, **options).collect())
+
+
+def vectors(spark, rows, parts=5):
+    return spark.createDataFrame([(*r, "x", None) for r in rows], SCHEMA).repartition(parts)
+
+
+def points(n, dims, labels, seed, spread=0.3):
+    rng = np.random.default_rng(seed)
+    middles = rng.normal(0, 1, (7, dims))
+    out = []
+    for i in range(n):
+        x = middles[rng.integers(7)] * rng.choice([0.2, 1]) + rng.normal(0, spread, dims)
+        out.append((i, [float(np.float32(v)) for v in x], int(rng.integers(labels))))
+    return out
+
+
+def test_query(spark):
+    rows = spark.read.parquet(f"{SF_DIR}/embeddings.parquet").select("vec_id", "embedding", "label")
+    triples = [(i, v, (c + 1) % 10 if i % 7 == 0 else c) for i, v, c in rows.collect()]
+    actual = contract.queries()["op12_hard_negatives"](spark, SF_DIR)
+    assert sorted(map(tuple, actual.collect())) == brute.hard_negatives(triples)
+
+
+def test_many_blocks(spark):
+    rows = points(1200, 6, 3, seed=1)
+    assert mined(vectors(spark, rows), block_rows=16) == brute.hard_negatives(rows)
+
+
+def test_ties_hot_vectors_and_rare_labels(spark):
+    rng = random.Random(3)
+    rows = [(i, [float(rng.randint(-1, 1)) / 4 for _ in range(3)], rng.choice([0, 0, 0, 1, i])) for i in range(500)]
+    rows += [(1000 + i, [0.5, 0.25, 0.0], 0) for i in range(300)]
+    assert mined(vectors(spark, rows), block_rows=8) == brute.hard_negatives(rows)
+
+
+def test_edges(spark):
+    inf, nan = float("inf"), float("nan")
+    rows = [
+        (0, [1.0, 0.5], 1),
+        (100, [1.0, 0.5], 1),
+        (1, None, 1),
+        (2, [1.0, None], 1),
+        (3, [nan, 1.0], 2),
+        (4, [inf, 1.0], 2),
+        (5, [1.0, 1.0], None),
+        (None, [1.0, 1.0], 2),
+        (6, [0.5, 0.4], 2),
+        (7, [0.5], 2),  # as if filled up with zeros
+        (8, [], 2),
+        (9, [0.5, 0.4], 2),
+        (200, [-1.0, -1.0], 3),  # no positive
+        (300, [-1.0, 0.0], 4),
+        (301, [1.0, 0.0], 4),  # a negative score: no window
+    ]
+    assert mined(vectors(spark, rows)) == brute.hard_negatives([(i, v and (v + [0.0] * 2)[:2], c) for i, v, c in rows])
+    assert mined(vectors(spark, rows).limit(0)) == []
+    assert mined(vectors(spark, [(1, [1.0], 1)])) == []
+    assert mined(vectors(spark, [(100, [], 1), (101, [], 1), (102, [], 2)])) == brute.hard_negatives(
+        [(100, [], 1), (101, [], 1), (102, [], 2)]
+    )
+
+
+def test_repeated_rows_are_rows_of_their_own(spark):
+    rows = points(60, 4, 2, seed=2)
+    rows += [r for r in rows if r[0] % 10 == 0]
+    assert mined(vectors(spark, rows), block_rows=8) == brute.hard_negatives(rows)
+
+
+def test_large_components(spark):
+    rows = [(i, [x * 300_000 for x in v], c) for i, v, c in points(300, 4, 2, seed=5)]
+    rows = [(i, [float(np.float32(x)) for x in v], c) for i, v, c in rows]
+    assert mined(vectors(spark, rows), block_rows=16) == brute.hard_negatives(rows)
+
+
+def test_bounds_hold():
+    rng = np.random.default_rng(1)
+    rows = rng.integers(-99, 99, (40, 5))
+    boxes = rows.reshape(8, 5, 5)
+    a = rng.integers(-99, 99, (10, 5))
+    least, most = hn.bounds(a, boxes.min(axis=1), boxes.max(axis=1))
+    scores = (a @ rows.T).reshape(10, 8, 5)
+    assert (least[:, :, None] <= scores).all() and (scores <= most[:, :, None]).all()
+
+
+def test_neighbours_on_the_curve_are_neighbours():
+    side = 8
+    grid = np.stack(np.meshgrid(*[np.arange(side)] * 3, indexing="ij"), -1).reshape(-1, 3)
+    keys = hn.hilbert_keys(grid, 3)
+    assert sorted(keys) == list(range(side**3))
+    walk = grid[np.argsort(keys)]
+    assert (np.abs(np.diff(walk, axis=0)).sum(axis=1) == 1).all()
+
+
+def test_zone_maps_spare_reading(spark):
+    """Tight clusters: an anchor's windows meet few blocks."""
+    rows = points(2000, 4, 1, seed=7, spread=0.01)
+    read, _ = hn.write_blocks(hn._numbers(vectors(spark, rows), F.lit(False), 256, ("vec_id", "embedding", "label")), 20)
+    blocks = read.collect()
+    lows, highs = (np.array([np.frombuffer(b[c], np.int32) for b in blocks]) for c in ("lows", "highs"))
+    a = np.floor(np.array([v for i, v, _ in rows if i % 100 == 0]) * 256)
+    _, most = hn.bounds(a, lows, highs)
+    best = np.sort(a @ np.floor(np.array([v for _, v, _ in rows]) * 256).T, axis=1)[:, -6]
+    assert (most >= best[:, None]).mean() < 0.3
