@@ -8,8 +8,10 @@ window. Hit spans are cut out, and a text of which too much is hit is dropped.
 
 Items are taken in blocks of a bounded number of words, so that an automaton, which is
 broadcast, has a bounded size; a longer item is cut into stretches that overlap by half. Tasks
-build the automata and store them, and the driver passes their bytes on, one at a time. Of a text, only stretches whose neighbouring words also neighbour
-each other in some item are streamed; no window can lie anywhere else.
+build the automata and store them, and the driver passes their bytes on, one at a time. Of a text,
+only stretches whose neighbouring words also neighbour each other in some item are streamed; no
+window can lie anywhere else. With several blocks the documents are scanned once, against a Bloom
+filter of the windows of all items, and only texts that it lets pass meet every block.
 """
 
 from __future__ import annotations
@@ -18,7 +20,9 @@ import math
 import pickle
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from fractions import Fraction
 from functools import cached_property
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -26,7 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cleargrist.llm import arrays as A
-from cleargrist.llm.tables import all_of, keyed, rows_between, same_row, stored
+from cleargrist.llm.tables import all_of, keyed, rows_between, same_row, sized, stored
 
 _BLOCKS_PER_TASK = 2
 
@@ -61,11 +65,13 @@ class Automaton:
             for token in words:
                 last = self._extend(last, token)
         del self._out
+        by_length = sorted(range(len(self.link)), key=self.length.__getitem__)
+        self.window_of = self._window_states(by_length)
         self.windows: dict[int, list[int]] = {}
         self.short: dict[int, list[tuple[int, int]]] = {}
         for item, words in enumerate(coded):
             self._register(item, words)
-        self.has_short = self._short_above()
+        self.short_above = self._short_states(by_length)
         pairs = {(a, b) for _, words in items for a, b in zip(words, words[1:], strict=False)}
         first, second = (np.array([p[i] for p in pairs], np.uint64) for i in (0, 1))
         self.pairs = np.sort(pair_keys(first, second))
@@ -120,30 +126,35 @@ class Automaton:
         for i, token in enumerate(words):
             state = self.next[state * self.width + token]
             if i + 1 >= self.window:
-                state = self.window_state(state)
-                found = self.windows.setdefault(state, [])
+                found = self.windows.setdefault(self.window_of[state], [])
                 if not found or found[-1] != item:
                     found.append(item)
         if 0 < len(words) < self.window:
             self.short.setdefault(state, []).append((len(words), item))
 
-    def window_state(self, state: int) -> int:
-        """The state that holds the last ``window`` words of a longer match."""
-        while self.length[self.link[state]] >= self.window:
-            state = self.link[state]
-        return state
-
-    def _short_above(self) -> bytearray:
-        marks = bytearray(len(self.link))
-        for state in sorted(range(len(self.link)), key=self.length.__getitem__):
-            above = self.link[state]
-            marks[state] = state in self.short or (above >= 0 and marks[above])
-        return marks
+    def _window_states(self, by_length: list[int]) -> list[int]:
+        """For each state, the one that holds the last ``window`` words of a longer match."""
+        out = list(range(len(self.link)))
+        for state in by_length[1:]:
+            if self.length[self.link[state]] >= self.window:
+                out[state] = out[self.link[state]]
+        return out
+
+    def _short_states(self, by_length: list[int]) -> list[int]:
+        """For each state, the nearest on the way to the root that is a whole short item, or 0."""
+        out = [0] * len(self.link)
+        for state in by_length[1:]:
+            out[state] = state if state in self.short else out[self.link[state]]
+        return out
 
     def stream(self, words: list[int]) -> tuple[list[tuple[int, int]], set[int], int]:
-        """Windows found as (first word, end), the items that have them, the longest match."""
+        """Windows found as (first word, end), the items that have them, the longest match.
+
+        A state's items are looked up once, and a word ends at most ``window`` short items of
+        different lengths, so the time is in proportion to the words.
+        """
         following, link, length, width = self.next, self.link, self.length, self.width
-        found, items, state, match, longest = [], set(), 0, 0, 0
+        found, seen, state, match, longest = [], set(), 0, 0, 0
         for i, word in enumerate(words):
             token = self.token.get(word)
             if token is None:
@@ -162,14 +173,17 @@ class Automaton:
             longest = max(longest, match)
             if match >= self.window:
                 found.append((i + 1 - self.window, i + 1))
-                items.update(self.windows.get(self.window_state(state), ()))
-            at = state
-            while at > 0 and self.has_short[at]:
-                for size, item in self.short.get(at, ()):
-                    if size <= match:
-                        found.append((i + 1 - size, i + 1))
-                        items.add(item)
-                at = link[at]
+                seen.add(self.window_of[state])
+            at = self.short_above[state]
+            while at:
+                size = self.short[at][0][0]
+                if size <= match:
+                    found.append((i + 1 - size, i + 1))
+                    seen.add(-at)
+                at = self.short_above[link[at]]
+        items: set[int] = set()
+        for at in seen:
+            items.update((item for _, item in self.short[-at]) if at < 0 else self.windows.get(at, ()))
         return found, items, longest
 
 
@@ -391,7 +405,7 @@ def _match(rows: DataFrame, packed: Packed) -> DataFrame:
                         rows_between(source, "id", block.first, n),
                         rows_between(source, "key", block.first, n),
                         pa.array(A.counts(spans.rows, n).astype(np.int64)),
-                        pa.array(longest),
+                        pa.array(np.where(np.diff(cuts) > 0, longest, 0)),
                         pa.array(named, pa.list_(pa.string())),
                         pa.ListArray.from_arrays(cuts, runs),
                     ],
@@ -418,16 +432,14 @@ def find_matches(
 ) -> DataFrame:
     """One row per document: ``n_words``, ``n_hit``, ``longest``, ``items`` and ``runs``.
 
-    ``longest`` is the longest run of words shared with one item, among the stretches that were
-    streamed; ``runs`` are the maximal runs of hit words, with word and byte offsets. A null text
+    ``longest`` is the longest run of words shared with one item, 0 where no window is hit; ``runs`` are the maximal runs of hit words, with word and byte offsets. A null text
     or item has no words; items without words and repeated items change nothing; repeated
-    documents are matched each for itself (together, if there are several blocks of items, then
-    given back as often as they occur); an empty table of items hits nothing. Columns other than
+    documents get a row each; an empty table of items hits nothing. Columns other than
     those named are not read.
     """
     rows = keyed(docs, id_col, text_col)
     known = prepared(items, item_col, item_text_col, window, block_words)
-    found = _whole_runs(_found(rows, known), rows, known)
+    found = _whole_runs(_found(rows, known, window), rows, known)
     n_hit = F.aggregate("runs", F.lit(0), lambda n, r: n + r["end"] - r["first"])
     return found.select(
         F.col("id").alias(id_col), "key", "n_words", n_hit.cast("long").alias("n_hit"),
@@ -435,13 +447,92 @@ def find_matches(
     )
 
 
-def _found(rows: DataFrame, known: Benchmark) -> DataFrame:
+def _found(rows: DataFrame, known: Benchmark, window: int) -> DataFrame:
     blocks = known.packed()
-    parts = [_match(rows, next(blocks))]
-    for packed in blocks:
-        parts = parts if len(parts) > 1 else [stored(parts[0], "matches")]
-        parts.append(stored(_match(rows, packed), "matches"))
-    return parts[0] if len(parts) == 1 else _merged(parts)
+    first, second = next(blocks), next(blocks, None)
+    if second is None:
+        return _match(rows, first)
+    marked = stored(_marked(rows, known, window), "marked")
+    due = stored(marked.filter("text is not null").dropDuplicates(["id", "key"]), "candidates")
+    parts = [stored(_match(due, packed), "matches") for packed in chain((first, second), blocks)]
+    found = _merged(parts)
+    found = stored(found.filter(F.size("runs") > 0), "matches")
+    found = found.withColumnRenamed("id", "own_id").withColumnRenamed("key", "own_key").drop("n_words")
+    size = F.size("items") * 32 + F.size("runs") * 32 + 96
+    total = found.agg(F.sum(size)).first()[0] or 0
+    same = (F.col("key") == F.col("own_key")) & F.col("id").eqNullSafe(F.col("own_id"))
+    joined = marked.join(sized(found, max(1, total // max(1, found.count()))), same, "left")
+    none = {f.name: F.array().cast(f.dataType) for f in found.schema.fields if f.name in ("items", "runs")}
+    return joined.select(
+        "id",
+        "key",
+        "n_words",
+        F.coalesce("longest", F.lit(0).cast("long")).alias("longest"),
+        *(F.coalesce(name, empty).alias(name) for name, empty in none.items()),
+    )
+
+
+_MOST_BLOCKS = 1 << 22
+
+
+def _window_hashes(hashes: np.ndarray, rows: np.ndarray, sizes: list[int]) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of all stretches of some numbers of words, and the row of each."""
+    found = [A.n_grams(hashes, rows, size) for size in sizes]
+    grams = [A.mix(g + np.uint64(size)) for size, (g, _) in zip(sizes, found, strict=True)]
+    return np.concatenate(grams), np.concatenate([rows[at] for _, at in found])
+
+
+def _window_filter(known: Benchmark, window: int) -> tuple[np.ndarray, list[int]]:
+    """A Bloom filter of the windows of all items, and the lengths that windows have.
+
+    It has 128 bits for four windows, at most 64 MB; a fuller one lets more texts pass.
+    """
+    sized_ = known.items.withColumn("n", F.least(F.size("words"), F.lit(window)))
+    counts = sized_.groupBy("n").agg(F.sum(F.greatest(F.size("words") - window + 1, F.lit(1)))).collect()
+    sizes = sorted(r[0] for r in counts)  # at most ``window`` of them
+    n_blocks = max(1, min(_MOST_BLOCKS, sum(r[1] for r in counts) // 4))
+
+    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for source in batches:
+            for words in source.column("words"):
+                own = words.values.to_numpy().view(np.uint64)
+                size = min(len(own), window)
+                hashes, _ = _window_hashes(own, np.zeros(len(own), np.int64), [size])
+                columns = [A.bit_block(hashes, n_blocks)]
+                columns += [m.view(np.int64) for m in (A.first_mask(hashes), A.second_mask(hashes))]
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["block", "one", "two"])
+
+    placed = known.items.select("words").mapInArrow(place, "block long, one long, two long")
+    bits = placed.groupBy("block").agg(F.expr("bit_or(one)").alias("one"), F.expr("bit_or(two)").alias("two"))
+    table = bits.toArrow()  # a row for each block
+    words = np.zeros((n_blocks, 2), np.uint64)
+    at = table["block"].to_numpy()
+    words[at, 0], words[at, 1] = (table[c].to_numpy().view(np.uint64) for c in ("one", "two"))
+    return words.ravel(), sizes
+
+
+def _marked(rows: DataFrame, known: Benchmark, window: int) -> DataFrame:
+    """(id, key, n_words, text): the text only of rows that may hold a window of some item."""
+    bits, sizes = _window_filter(known, window)
+    shared = rows.sparkSession.sparkContext.broadcast(bits)
+
+    def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for source in batches:
+            for block in A.blocks(source.column("text")):
+                n = len(block)
+                spans, hashes = words_of(block)
+                windows, of = _window_hashes(hashes, spans.rows, sizes)
+                due = np.zeros(n, bool)
+                due[of[A.in_bits(windows, shared.value)]] = True
+                own = source.slice(block.first, n)
+                text = own.column("text").take(pa.array(np.arange(n), mask=~due))
+                n_words = pa.array(A.counts(spans.rows, n).astype(np.int64))
+                columns = [own.column("id"), own.column("key"), n_words, text]
+                yield pa.RecordBatch.from_arrays(columns, ["id", "key", "n_words", "text"])
+
+    id_type = rows.schema["id"].dataType.simpleString()
+    schema = f"id {id_type}, key long, n_words long, text string"
+    return rows.select("id", "key", "text").mapInArrow(mark, schema)
 
 
 def _whole_runs(found: DataFrame, rows: DataFrame, known: Benchmark) -> DataFrame:
@@ -484,7 +575,6 @@ def _whole_runs(found: DataFrame, rows: DataFrame, known: Benchmark) -> DataFram
 def _merged(parts: list[DataFrame]) -> DataFrame:
     """Matches with several blocks of items; runs that overlap or touch become one."""
     grouped = all_of(parts).groupBy("id", "key").agg(
-        F.count(F.lit(1)).alias("rows"),
         F.max("n_words").alias("n_words"),
         F.max("longest").alias("longest"),
         F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"),
@@ -500,8 +590,7 @@ def _merged(parts: list[DataFrame]) -> DataFrame:
                  'end_byte', greatest(element_at(done, -1).end_byte, r.end_byte)))),
                concat(done, array(r))))"""
     )
-    copies = F.explode(F.sequence(F.lit(1), (F.col("rows") / len(parts)).cast("int")))
-    return grouped.withColumn("runs", joined).withColumn("copy", copies).drop("copy", "rows", "found")
+    return grouped.withColumn("runs", joined).drop("found")
 
 
 def cut(text: bytes, runs: list[tuple[int, int]]) -> bytes:
@@ -527,15 +616,17 @@ def remove_matches(
 ) -> DataFrame:
     """The documents, all columns as they were, without hit spans in their texts.
 
-    A document of which a larger share of words than ``max_coverage`` is hit is dropped. Texts
+    A document of which a larger share of words than ``max_coverage`` is hit is dropped; the share
+    is taken as the decimal number it is written as, and compared in whole numbers. Texts
     without a hit, null ones included, stay as they are.
     """
     known = prepared(items, item_col, item_text_col, window, block_words)
+    share = Fraction(str(max_coverage))
     blocks = known.packed()
     first = next(blocks)
     if next(blocks, None) is not None:
-        found = _found(keyed(docs, id_col, text_col), known)
-        return _cut_joined(docs, found, id_col, text_col, max_coverage)
+        found = _found(keyed(docs, id_col, text_col), known, window)
+        return _cut_joined(docs, found, id_col, text_col, share)
     shared = docs.sparkSession.sparkContext.broadcast(first)
     position = docs.columns.index(text_col)
 
@@ -546,54 +637,82 @@ def remove_matches(
                 part = source.slice(block.first, n)
                 spans, hit, _, _ = scan_block(block, shared.value.lookup)
                 begins, closes = hit_runs(spans, hit)
-                if not len(begins):
-                    yield part
-                    continue
-                share = A.counts(spans.rows[hit], n) / np.maximum(A.counts(spans.rows, n), 1)
-                texts = part.column(text_col).to_pylist()
                 of = spans.rows[begins]
-                for row in np.unique(of):
-                    at = block.starts[row]
-                    own = of == row
-                    bounds = zip(
-                        spans.starts[begins[own]] - at, spans.ends[closes[own]] - at, strict=True
-                    )
-                    texts[row] = cut(block.text(row), list(bounds)).decode("utf-8", "replace")
-                columns = list(part.columns)
-                columns[position] = pa.array(texts, part.schema.field(position).type)
-                out = pa.RecordBatch.from_arrays(columns, schema=part.schema)
-                yield out.filter(pa.array(share <= max_coverage))
+                cuts = np.searchsorted(of, np.arange(n + 1))
+                starts, ends = spans.starts[begins], spans.ends[closes]
+                yield _without(
+                    part,
+                    position,
+                    {
+                        int(row): list(zip(starts[own] - at, ends[own] - at, strict=True))
+                        for row in np.unique(of)
+                        for own in [slice(cuts[row], cuts[row + 1])]
+                        for at in [block.starts[row]]
+                    },
+                    A.counts(spans.rows[hit], n),
+                    A.counts(spans.rows, n),
+                    share,
+                )
 
     return docs.mapInArrow(clean, docs.schema)
 
 
+def _without(
+    rows: pa.RecordBatch,
+    position: int,
+    runs: dict[int, list[tuple[int, int]]],
+    n_hit: np.ndarray,
+    n_words: np.ndarray,
+    share: Fraction,
+) -> pa.RecordBatch:
+    """Rows without the runs of bytes in their texts, and without rows that are hit too much."""
+    if not runs:
+        return rows
+    keep = np.ones(rows.num_rows, bool)
+    texts = rows.column(position).to_pylist()
+    for row, own in runs.items():
+        keep[row] = int(n_hit[row]) * share.denominator <= share.numerator * int(n_words[row])
+        texts[row] = cut(texts[row].encode(), own).decode("utf-8", "replace")
+    columns = list(rows.columns)
+    columns[position] = pa.array(texts, rows.schema.field(position).type)
+    return pa.RecordBatch.from_arrays(columns, schema=rows.schema).filter(pa.array(keep))
+
+
 def _cut_joined(
-    docs: DataFrame, found: DataFrame, id_col: str, text_col: str, max_coverage: float
+    docs: DataFrame, found: DataFrame, id_col: str, text_col: str, share: Fraction
 ) -> DataFrame:
     """The same with matches that lie in a table: it is joined to the documents."""
     n_hit = F.aggregate("runs", F.lit(0), lambda n, r: n + r["end"] - r["first"])
     hits = found.filter(F.size("runs") > 0).select(
-        "id", "key", "n_words", n_hit.alias("n_hit"),
-        F.transform("runs", lambda r: F.struct(r["start_byte"], r["end_byte"])).alias("bytes"),
+        "id", "key", F.struct("n_words", n_hit.cast("long").alias("n_hit"), "runs").alias("hits"),
     ).dropDuplicates(["id", "key"])
+    hits = stored(hits, "hits")
+    total = hits.agg(F.sum(F.size("hits.runs"))).first()[0] or 0
     left = docs.select(F.struct("*").alias("row"))
     text = F.coalesce(F.col(f"row.`{text_col}`").cast("string"), F.lit(""))
     left = left.withColumn("id", F.col(f"row.`{id_col}`")).withColumn(
         "key", F.xxhash64(F.col("id"), text)
     )
-    joined = left.join(hits, same_row(left, hits), "left")
+    joined = left.join(sized(hits, 64 + 32 * total // max(1, hits.count())), same_row(left, hits), "left")
+    extra = "hits"
+    while extra in docs.columns:
+        extra += "_"
+    position, width = docs.columns.index(text_col), len(docs.columns)
 
-    @F.udf("string")
-    def without(value, runs):
-        # Spark may call this for every row, also where its result is not used.
-        if value is None or runs is None:
-            return value
-        return cut(value.encode(), [(r[0], r[1]) for r in runs]).decode("utf-8", "replace")
-
-    kept = joined.filter(
-        F.col("n_hit").isNull() | (F.col("n_hit") <= max_coverage * F.col("n_words"))
-    )
-    cleaned = without(F.col(f"row.`{text_col}`"), F.col("bytes"))
-    return kept.select(
-        *(cleaned.alias(c) if c == text_col else F.col(f"row.`{c}`").alias(c) for c in docs.columns)
-    )
+    def clean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for source in batches:
+            rows = source.select(list(range(width)))
+            own = source.column(width)
+            at = np.flatnonzero(own.is_valid().to_numpy(False))
+            listed = own.take(pa.array(at)).to_pylist()
+            counts = np.zeros((2, rows.num_rows), np.int64)
+            for row, hit in zip(at.tolist(), listed, strict=True):
+                counts[:, row] = hit["n_hit"], hit["n_words"]
+            runs = {
+                row: [(r["start_byte"], r["end_byte"]) for r in hit["runs"]]
+                for row, hit in zip(at.tolist(), listed, strict=True)
+            }
+            yield _without(rows, position, runs, *counts, share)
+
+    flat = joined.select(*(F.col(f"row.`{c}`").alias(c) for c in docs.columns), F.col("hits").alias(extra))
+    return flat.mapInArrow(clean, docs.schema)

@@ -120,6 +120,19 @@ _SPELLED = re.compile(
     rf"(?<!\w){_PART}(?: (?:{_dot}) {_PART}){{3}}(?!\w)|(?<!\w){_DIGIT}(?:[ ,()-]{{1,3}}{_DIGIT}){{3,}}(?!\w)",
     re.IGNORECASE,
 )
+# A plain "at" stands in much prose before a host. It makes an address only if something says so: a
+# mark or a digit in the name, a spelled "dot", a word about writing nearby, or a host for mail.
+_NEAR = 48
+_CONTACT = re.compile(
+    r"(?<!\w)(?:e-?mails?|mail|write|contact|reach|address|send|message|courriel|correo|schreib\w*|kontakt\w*)(?!\w)",
+    re.IGNORECASE,
+)
+_MAIL_HOST = re.compile(r"mail|outlook|yahoo|gmx|icloud|proton", re.IGNORECASE)
+# Numerals alone are lists or scores; these words make ten of them a number to call.
+_CALL = re.compile(
+    r"(?<!\w)(?:phone|tel|telephone|telefon|t[eé]l[eé]phone|tel[eé]fono|call|ring|dial|fax|mobile|cell|sms|text)(?!\w)",
+    re.IGNORECASE,
+)
 _PLAIN_AT = re.compile(rf" (?:{_at}) ", re.IGNORECASE)
 _DOT_WORD = re.compile(rf" (?:{_dot}) ", re.IGNORECASE)
 
@@ -199,6 +212,24 @@ def suspicious(text: str) -> bool:
     return units >= 2 and _RUN.search(lowered) is not None
 
 
+def _is_address(text: str, m: re.Match) -> bool:
+    """Whether what _PLAIN has found is an address and not a place where something is."""
+    at = _PLAIN_AT.search(m[0])
+    if at is None or at[0].strip().lower() != "at" or _DOT_WORD.search(m[0]):
+        return True
+    name, host = m[0][: at.start()], m[0][at.end() :]
+    if not name.isalpha() or _MAIL_HOST.search(host):
+        return True
+    near = text[max(0, m.start() - _NEAR) : m.start()], text[m.end() : m.end() + _NEAR]
+    return any(map(_CONTACT.search, near))
+
+
+def _is_number(text: str, m: re.Match) -> bool:
+    """Whether ten numerals or digit words in turn are a number to call and not a list."""
+    spelled = any(w[0].isalpha() for w in _ONE.finditer(m[0]))
+    return spelled or "(" in m[0] or _CALL.search(text[max(0, m.start() - _NEAR) : m.start()]) is not None
+
+
 def _plain_mail(found: str) -> list[tuple[int, int, str]]:
     edits = [(m.start(), m.end(), "@") for m in _PLAIN_AT.finditer(found)][:1]
     edits += [(m.start(), m.end(), ".") for m in _DOT_WORD.finditer(found)]
@@ -228,7 +259,7 @@ def deobfuscate(text: str) -> Tape:
         dots = {m.start() + d.start(): m.start() + d.end() for d in _DOT_WORD.finditer(m[0])}
         sign = ""
         if not dots and 10 <= len(words) <= 15 and not _AFTER_PLUS.search(tape.text[max(0, m.start() - 6) : m.start()]):
-            sign = "+"
+            sign = "+" if _is_number(tape.text, m) else ""
         at = m.start()
         for start, end, word in words:
             if at < start:
@@ -239,6 +270,8 @@ def deobfuscate(text: str) -> Tape:
     tape.rewrite([(m.start(), m.end(), "+") for m in _PLUS.finditer(tape.text)])
     edits = []
     for m in _PLAIN.finditer(tape.text):
+        if not _is_address(tape.text, m):
+            continue
         edits += [(m.start() + s, m.start() + e, new) for s, e, new in _plain_mail(m[0])]
     tape.rewrite(edits)
     return tape

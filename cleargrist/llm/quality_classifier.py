@@ -126,8 +126,9 @@ def fit(
     """Weights of a 0/1 label, ``dims`` floats, from at most ``max_rows`` rows of the fold.
 
     The rows are dealt to ``shards`` tasks by a hash of their id; each runs the online updates
-    over its own rows, and the weights are averaged. A task holds the distinct features of
-    ``max_rows / shards`` texts. Without any labelled row all weights are zero, so scores are 0.5.
+    over its own rows, and the weights of the tasks that had rows are averaged, in the order of the
+    shards. A task holds the distinct features of ``max_rows / shards`` texts. Without any labelled row
+    all weights are zero, so scores are 0.5.
     """
     rows = training_rows(docs, labels, id_col, text_col, label_col, max_rows)
     rank = F.xxhash64("id", "text")
@@ -171,16 +172,22 @@ def fit(
         ]
         weights = train_rows(examples, dims, epochs, alpha, beta, l1, l2)
         at = np.flatnonzero(weights)
-        return pa.table({"slot": pa.array(at, pa.int32()), "weight": weights[at]})
+        shard = np.full(len(at) + 1, table["shard"][0].as_py())
+        # The first row says that the shard had rows, whatever its weights.
+        slot = np.concatenate([[-1], at]).astype(np.int32)
+        return pa.table({"shard": shard, "slot": slot, "weight": np.concatenate([[1.0], weights[at]])})
 
     encoded = rows.mapInArrow(
         encode, "shard long, rank long, label int, slots array<int>, values array<float>"
     )
-    trained = encoded.groupBy("shard").applyInArrow(train, "slot int, weight double")
-    # At most one row for each of the dims slots.
-    means = trained.groupBy("slot").agg((F.sum("weight") / shards).alias("weight")).toArrow()
+    trained = encoded.groupBy("shard").applyInArrow(train, "shard long, slot int, weight double")
+    # At most one row for each of the dims slots, and as many numbers in it as there are shards.
+    listed = F.array_sort(F.collect_list(F.struct("shard", "weight")))
+    total = F.aggregate(listed, F.lit(0.0), lambda a, x: a + x["weight"])
+    sums = trained.groupBy("slot").agg(total.alias("weight")).toArrow()
+    slots, found = sums["slot"].to_numpy(), sums["weight"].to_numpy()
     weights = np.zeros(dims, np.float32)
-    weights[means["slot"].to_numpy()] = means["weight"].to_numpy()
+    weights[slots[slots >= 0]] = found[slots >= 0] / max(1.0, found[slots < 0].sum())
     return weights
 
 

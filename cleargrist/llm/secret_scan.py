@@ -11,7 +11,7 @@ pattern give pieces and matches in turn, and their lengths add up to code-point
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 from functools import reduce
 from operator import add
@@ -65,12 +65,17 @@ _SPANS = "array<struct<rule:string,start:int,end:int>>"
 _COLUMNS = (("blob", "binary"), ("rules", "array<string>"), ("spans", _SPANS))
 
 
-def find(rule: Rule, text: Column) -> Column:
-    """Spans of one rule in a text, an array of (rule, start, end) in order; null for none."""
-    pattern = F.lit(rule.pattern)
-    matches = F.regexp_extract_all(text, pattern, F.lit(0))
-    pieces = F.split(text, rule.pattern, -1)
-    kept = F.regexp_extract_all(text, pattern, F.lit(rule.group)) if rule.group else matches
+# So many matches are positioned at a time, as arrays that grow are copied at every step.
+_STRETCH = 256
+
+
+def _bound(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is worked out once, however often the body has it."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
+def _placed(items: Column, rule: Rule) -> Column:
+    """Spans of (piece, match, kept) in turn: running sums within stretches, then of stretches."""
     start = F.struct(F.lit(0).alias("at"), F.array().cast(_SPANS).alias("spans"))
 
     def step(done: Column, item: Column) -> Column:
@@ -82,19 +87,66 @@ def find(rule: Rule, text: Column) -> Column:
         ).otherwise(done["spans"])
         return F.struct(end.alias("at"), spans.alias("spans"))
 
+    def stretches(own: Column) -> Column:
+        last = F.floor((F.size(own) - 1) / _STRETCH).cast("int")
+        return F.transform(
+            F.sequence(F.lit(0), last),
+            lambda k: F.aggregate(F.slice(own, k * _STRETCH + 1, _STRETCH), start, step),
+        )
+
+    first = F.struct(F.lit(0).alias("at"), F.array().cast("array<int>").alias("offsets"))
+
+    def pass_on(done: Column, part: Column) -> Column:
+        offsets = F.concat(done["offsets"], F.array(done["at"]))
+        return F.struct((done["at"] + part["at"]).alias("at"), offsets.alias("offsets"))
+
+    def shifted(parts: Column, offsets: Column) -> Column:
+        def one(part: Column, k: Column) -> Column:
+            by = F.get(offsets, k)
+            return F.transform(
+                part["spans"],
+                lambda s: F.struct(s["rule"], (s["start"] + by).alias("start"), (s["end"] + by).alias("end")),
+            )
+
+        return F.flatten(F.transform(parts, one))
+
+    def whole(parts: Column) -> Column:
+        offsets = F.aggregate(parts, first, pass_on, lambda done: done["offsets"])
+        return _bound(offsets, lambda o: shifted(parts, o))
+
+    return _bound(items, lambda own: _bound(stretches(own), whole))
+
+
+def find(rule: Rule, text: Column) -> Column:
+    """Spans of one rule in a text, an array of (rule, start, end) in order; null for none.
+
+    The time is all but in proportion to the number of matches, whatever their number.
+    """
+    pattern = F.lit(rule.pattern)
+    matches = F.regexp_extract_all(text, pattern, F.lit(0))
+    pieces = F.split(text, rule.pattern, -1)
+    kept = F.regexp_extract_all(text, pattern, F.lit(rule.group)) if rule.group else matches
     items = F.arrays_zip(
         F.slice(pieces, 1, F.size(matches)).alias("piece"), matches.alias("match"), kept.alias("kept")
     )
-    found = F.aggregate(items, start, step, lambda done: done["spans"])
     there = F.rlike(text, pattern)
     if rule.hint:
         there = F.contains(text, F.lit(rule.hint)) & there
-    return F.when(there, found)
+    return F.when(there, _placed(items, rule))
+
+
+def _part(blob: Column) -> Column:
+    """The folder of the ledger that a blob is in, by its first four bits."""
+    return F.substring(F.hex(blob), 1, 1)
 
 
 @dataclass(frozen=True)
 class Ledger:
-    """The ledger at a path: rows (blob, rules, spans), a row for each scan of a blob."""
+    """The ledger at a path: rows (blob, rules, spans), a row for each scan of a blob.
+
+    They lie in 16 folders by the blob's first digit. A scan opens only the folders of its own
+    blobs, and leaves all other blobs' rows behind before it shuffles anything.
+    """
 
     spark: SparkSession
     path: str
@@ -102,32 +154,44 @@ class Ledger:
     def create(self) -> None:
         """Write an empty ledger, unless there is one."""
         none = self.spark.range(0).selectExpr(*(f"cast(null as {t}) as {c}" for c, t in _COLUMNS))
-        none.write.mode("ignore").parquet(self.path)
+        none.withColumn("part", F.lit("0")).write.partitionBy("part").mode("ignore").parquet(self.path)
+
+    def append(self, scanned: DataFrame) -> None:
+        dealt = scanned.withColumn("part", _part(F.col("blob"))).hint("rebalance", "part")
+        dealt.write.partitionBy("part").mode("append").parquet(self.path)
 
     def table(self) -> DataFrame:
-        schema = ", ".join(f"{c} {t}" for c, t in _COLUMNS)
+        schema = ", ".join(f"{c} {t}" for c, t in (*_COLUMNS, ("part", "string")))
         return self.spark.read.schema(schema).parquet(self.path)
 
-    def scanned(self) -> DataFrame:
-        """(blob, done): the rules that have been run over each blob."""
-        runs = self.table().groupBy("blob")
+    def about(self, blobs: DataFrame) -> DataFrame:
+        """The rows of some blobs, a stored table without repeats."""
+        parts = [r[0] for r in blobs.select(_part(F.col("blob"))).distinct().collect()]  # 16 at most
+        rows = self.table().filter(F.col("part").isin(parts)).drop("part")
+        return rows.join(sized(blobs.withColumnRenamed("blob", "own"), 48), F.col("blob") == F.col("own")).drop("own")
+
+    def scanned(self, blobs: DataFrame) -> DataFrame:
+        """(blob, done): the rules that have been run over each of some blobs."""
+        runs = self.about(blobs).groupBy("blob")
         return runs.agg(F.array_distinct(F.flatten(F.collect_list("rules"))).alias("done"))
 
-    def findings(self, rules: Sequence[Rule]) -> DataFrame:
-        """(blob, spans): what these versions of the rules found, where they found anything."""
-        names = F.array(*(F.lit(r.name) for r in rules))
-        order = {r.name: i for i, r in enumerate(rules)}
-        rank = F.create_map(*(x for n, i in order.items() for x in (F.lit(n), F.lit(i))))
-        wanted = F.filter("spans", lambda s: F.array_contains(names, s["rule"]))
-        found = self.table().select("blob", wanted.alias("spans")).filter(F.size("spans") > 0)
-        spans = F.transform(
-            F.flatten(F.collect_list("spans")),
-            lambda s: F.struct(
-                s["start"], rank[s["rule"]].alias("rank"), s["end"], s["rule"].alias("rule")
-            ),
-        )
-        # A retried or concurrent scan may have entered a pair twice; it found the same.
-        found = found.groupBy("blob").agg(F.array_sort(F.array_distinct(spans)).alias("spans"))
+    def findings(self, rules: Sequence[Rule], blobs: DataFrame) -> DataFrame:
+        """(blob, spans): what these versions of the rules found in some blobs, if anything."""
+        scans = self.about(blobs).filter(F.size("spans") > 0).groupBy("blob")
+        scans = scans.agg(F.collect_list(F.struct("rules", "spans")).alias("scans"))
+
+        def own(rule: Rule, rank: int) -> Column:
+            # A retried or concurrent scan may have entered a pair twice; it found the same.
+            having = F.filter("scans", lambda s: F.array_contains(s["rules"], F.lit(rule.name)))
+            spans = F.filter(F.get(having, F.lit(0))["spans"], lambda s: s["rule"] == rule.name)
+            listed = F.transform(
+                spans, lambda s: F.struct(s["start"], F.lit(rank).alias("rank"), s["end"], s["rule"])
+            )
+            none = F.array().cast("array<struct<start:int,rank:int,end:int,rule:string>>")
+            return F.coalesce(listed, none)
+
+        all_spans = F.flatten(F.array(*(own(rule, i) for i, rule in enumerate(rules))))
+        found = scans.select("blob", F.array_sort(all_spans).alias("spans")).filter(F.size("spans") > 0)
         plain = F.transform(
             "spans",
             lambda s: F.struct(
@@ -163,7 +227,9 @@ def scan_versions(
     # rules that it lacks are a bit set.
     ledger.create()
     first = F.min_by("path", F.struct(F.col("path").isNull(), "path")).alias("at")
-    todo = paths.groupBy("blob").agg(first).join(ledger.scanned(), "blob", "left")
+    own = stored(paths.groupBy("blob").agg(first), "blobs")
+    blobs = own.select("blob")
+    todo = own.join(ledger.scanned(blobs), "blob", "left")
     lacks = [
         F.when(F.array_contains("done", F.lit(r.name)), 0).otherwise(1 << i)
         for i, r in enumerate(rules)
@@ -184,9 +250,9 @@ def scan_versions(
         F.array_compact(F.array(*runs)).alias("rules"),
         F.flatten(F.array_compact(F.array(*spans))).cast(_SPANS).alias("spans"),
     )
-    scanned.write.mode("append").parquet(ledger_path)
+    ledger.append(scanned)
 
-    found = paths.join(ledger.findings(rules), "blob", "left")
+    found = paths.join(ledger.findings(rules, blobs), "blob", "left")
     return found.select(
         F.col("path").alias(path_col),
         F.lower(F.hex("blob")).alias("blob"),

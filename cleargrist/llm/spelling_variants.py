@@ -44,17 +44,7 @@ def _crc_table() -> np.ndarray:
     return table
 
 
-def _masks(n: int = 1 << 12) -> np.ndarray:
-    """Words with up to four bits set, by a rule."""
-    bits = A.mix(np.arange(1, n + 1, dtype=np.uint64) * _ODD)
-    masks = np.zeros(n, np.uint64)
-    for shift in (0, 6, 12, 18):
-        masks |= np.uint64(1) << (bits >> np.uint64(shift) & np.uint64(63))
-    return masks
-
-
 _CRC = _crc_table()
-_MASKS = _masks()
 
 
 def crc32s(seeds: np.ndarray, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
@@ -236,8 +226,7 @@ class Layout:
 
     def block(self, hashes: np.ndarray, length: int) -> np.ndarray:
         shard = min(length, _LONG)
-        scaled = (hashes >> np.uint64(32)) * np.uint64(self.blocks[shard]) >> np.uint64(32)
-        return scaled.astype(np.int64) + self.first[shard]
+        return A.bit_block(hashes, int(self.blocks[shard])) + self.first[shard]
 
     def meets(self, length: int, low: int, high: int) -> bool:
         """Whether some block of a length lies in a range of blocks."""
@@ -262,11 +251,11 @@ class Filters:
         first = int(self.layout.first[shard]) - self.low
         whole = first >= 0 and first + int(self.layout.blocks[shard]) <= n
         at = block if whole else np.clip(block, 0, n - 1)
-        mask = _MASKS[hashes & np.uint64(4095)]
+        mask = A.first_mask(hashes)
         hit = np.flatnonzero(self.words[2 * at] & mask == mask)
         if not whole:
             hit = hit[(block[hit] >= 0) & (block[hit] < n)]
-        mask = _MASKS[hashes[hit] >> np.uint64(12) & np.uint64(4095)]
+        mask = A.second_mask(hashes[hit])
         return hit[self.words[2 * at[hit] + 1] & mask == mask]
 
 
@@ -291,8 +280,8 @@ def build_filters(vocabulary: DataFrame, layout: Layout) -> DataFrame:
         block = table["block"].to_numpy()
         hashes = table["hash"].to_numpy().view(np.uint64)
         bits = np.zeros(2 * layout.part_blocks, np.uint64)
-        np.bitwise_or.at(bits, 2 * block, _MASKS[hashes & np.uint64(4095)])
-        np.bitwise_or.at(bits, 2 * block + 1, _MASKS[hashes >> np.uint64(12) & np.uint64(4095)])
+        np.bitwise_or.at(bits, 2 * block, A.first_mask(hashes))
+        np.bitwise_or.at(bits, 2 * block + 1, A.second_mask(hashes))
         return pa.table({"part": [table["part"][0].as_py()], "bits": [bits.tobytes()]})
 
     placed = vocabulary.mapInArrow(place, "part long, block long, hash long")

@@ -16,7 +16,9 @@ Under every rule a document's counts add up to its number of tokens.
 from __future__ import annotations
 
 import base64
+import re
 from collections.abc import Iterator
+from dataclasses import dataclass
 from functools import lru_cache
 from pathlib import Path
 
@@ -36,23 +38,54 @@ RULES = ("first", "most", "share")
 OUTSIDE = -1
 
 
+# The regular expression's matcher recurses over white space, and its stack ends before a million
+# characters do. What it makes of a long run is known: a piece of all of it, but for the last
+# character if something else follows. These are the characters that it takes for white space.
+_BLANK = "\t\n\x0b\x0c\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+LONG_RUN = 10_000
+
+
+@dataclass(frozen=True)
+class Encoder:
+    """An encoder of a vocabulary, the length in bytes of each token, and one that cuts no pieces."""
+
+    pieces: tiktoken.Encoding
+    whole: tiktoken.Encoding
+    lengths: np.ndarray
+    long_run: int = LONG_RUN
+
+    def sizes(self, text: str) -> np.ndarray:
+        """The length in bytes of each token of a text."""
+        found, at = [], 0
+        if len(text) >= self.long_run:
+            for run in re.finditer(f"[{_BLANK}]{{{self.long_run},}}", text):
+                end = run.end() if run.end() == len(text) else run.end() - 1
+                found += self.pieces.encode_ordinary(text[at : run.start()])
+                found += self.whole.encode_ordinary(text[run.start() : end])
+                at = end
+        found += self.pieces.encode_ordinary(text[at:])
+        return self.lengths[np.asarray(found, np.int64)]
+
+
 @lru_cache(maxsize=2)
-def _encoding(ranks: bytes, pattern: str) -> tuple[tiktoken.Encoding, np.ndarray]:
-    """The encoder of a vocabulary, and the length in bytes of each token."""
+def _encoder(ranks: bytes, pattern: str) -> Encoder:
     pairs = (line.split() for line in ranks.splitlines() if line)
     table = {base64.b64decode(token): int(rank) for token, rank in pairs}
     lengths = np.zeros(max(table.values()) + 1, np.int64)
     for token, rank in table.items():
         lengths[rank] = len(token)
-    encoding = tiktoken.Encoding("own", pat_str=pattern, mergeable_ranks=table, special_tokens={})
-    return encoding, lengths
+    pieces, whole = (
+        tiktoken.Encoding("own", pat_str=cut, mergeable_ranks=table, special_tokens={})
+        for cut in (pattern, r"(?s).+")
+    )
+    return Encoder(pieces, whole, lengths)
 
 
 def token_spans(block: A.Block, ranks: bytes, pattern: str) -> tuple[np.ndarray, np.ndarray]:
     """First byte and end of every token of a block's texts, in order."""
-    encoding, lengths = _encoding(ranks, pattern)
+    encoder = _encoder(ranks, pattern)
     sizes = [
-        lengths[np.asarray(encoding.encode_ordinary(block.text(row).decode("utf-8", "replace")))]
+        encoder.sizes(block.text(row).decode("utf-8", "replace"))
         if block.ends[row] > block.starts[row]
         else np.zeros(0, np.int64)
         for row in range(len(block))
@@ -135,7 +168,9 @@ def count_tokens(
     number from 0. ``n_tokens`` is a double, and whole but under the rule ``share``; ``n_crossing``
     counts the tokens that a section shares with another. A null or empty text has one section
     without tokens; sections of unknown ids, or with nulls, are left out; repeated rows count each
-    for itself; an empty table gives an empty table.
+    for itself; an empty table gives an empty table. A text of any length is encoded, whatever its
+    runs of white space; that holds for patterns which, like this one, make one piece of a long run
+    but for its last character before other text.
     """
     if rule not in RULES:
         raise ValueError(f"unknown rule {rule!r}, use one of {', '.join(RULES)}")

@@ -620,7 +620,7 @@ def test_trees_score_like_a_walk():
 
 @pytest.mark.parametrize("rule", token_counts.RULES)
 def test_token_counts(spark, docs, none, rule):
-    encoding, _ = token_counts._encoding(Path(VOCABULARY).read_bytes(), token_counts.PATTERN)
+    encoding = token_counts._encoder(Path(VOCABULARY).read_bytes(), token_counts.PATTERN).pieces
     small = docs.filter("text is null or length(text) < 5000")
     counted = token_counts.count_tokens(small, VOCABULARY, rule=rule)
     expected = Counter()
@@ -635,7 +635,7 @@ def test_token_counts(spark, docs, none, rule):
 
 @pytest.mark.parametrize("rule", token_counts.RULES)
 def test_token_counts_of_given_sections(spark, frame, rule):
-    encoding, _ = token_counts._encoding(Path(VOCABULARY).read_bytes(), token_counts.PATTERN)
+    encoding = token_counts._encoder(Path(VOCABULARY).read_bytes(), token_counts.PATTERN).pieces
     text = "Überschrift: \U0001f600 unbelievable  things\n\nhappen tokenizationally"
     spans = [(1, 7, 2, 9), (1, 8, 6, 16), (1, 9, 16, 17), (1, 3, 30, 900), (5, 1, 0, 4), (1, None, 0, 3), (None, 1, 0, 3)]
     table = spark.createDataFrame(spans, "doc_id long, section long, start long, end long")

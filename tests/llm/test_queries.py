@@ -77,7 +77,7 @@ def test_line_dedup(spark, docs):
 
 
 def test_token_counts(spark, docs):
-    encoding, _ = token_counts._encoding(Path(VOCABULARY).read_bytes(), token_counts.PATTERN)
+    encoding = token_counts._encoder(Path(VOCABULARY).read_bytes(), token_counts.PATTERN).pieces
     expected = {}
     for i, text, _ in docs:
         found = brute.token_counts(text or "", encoding, brute.line_sections(text or ""), "most")
