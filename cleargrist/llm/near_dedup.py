@@ -11,8 +11,16 @@ component, named by its smallest id.
 
 With 28 bands of 4 registers, two sets at a similarity of 0.8 miss each other in all bands with a
 probability of 4e-7, and their estimate falls below the cut (5 standard deviations) about as
-rarely. Buckets and families have no size limit: large ones are cut into blocks, every pair of
-blocks is a task's group, and tasks report a spanning forest of links instead of all pairs.
+rarely. Tasks report a spanning forest of links, not pairs, and no group has a size limit:
+
+- A bucket of more than ``BLOCK_CLASSES`` classes is cut into blocks, and every pair of blocks is a
+  task's group; one of more than ``HOT_CLASSES`` is one family without a comparison, which can
+  only add comparisons later on.
+- A family too large for one task is cut into blocks too. Each block is linked within itself, then
+  one class stands for all that are linked, and these meet in ever fewer blocks. Where all
+  become one, as with the near copies of one text, that is all. Else the classes outside the
+  largest linked group meet all others of the family, first as registers; texts are fetched only
+  for classes whose registers come near each other, and compared as in a block.
 """
 
 from __future__ import annotations
@@ -21,7 +29,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cleargrist.llm import arrays as A
@@ -44,6 +52,10 @@ MANTISSA = 10
 COLLISION = 2.0**-MANTISSA / 3
 #: A bucket is cut into blocks of about so many classes, a family into blocks of so many shingles.
 BLOCK_CLASSES, BLOCK_SHINGLES = 512, 1 << 17
+#: Buckets of more classes are one family, whatever their registers say.
+HOT_CLASSES = 8 * BLOCK_CLASSES
+#: Classes of one side of a group when registers are compared across a large family.
+BLOCK_SKETCHES = 4096
 
 
 def shingles(block: A.Block, size: int) -> list[np.ndarray]:
@@ -193,9 +205,14 @@ def families(classes: DataFrame, cut: float) -> DataFrame:
     bands = classes.select("node", F.posexplode("bands").alias("band", "value"))
     bands = bands.filter(F.col("value") != empty)
     bands = bands.select("node", F.xxhash64("band", "value").alias("bucket"))
-    shared = bands.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    shared = bands.groupBy("bucket").agg(
+        F.count(F.lit(1)).alias("n"), F.min("node").alias("least")
+    ).filter("n > 1")
+    bands = stored(bands.join(shared, "bucket"), "buckets")
+    hot = bands.filter((F.col("n") > HOT_CLASSES) & (F.col("node") != F.col("least")))
+    hot = hot.select(F.col("node").alias("u"), F.col("least").alias("v")).distinct()
     members = block_pairs(
-        bands.join(shared, "bucket"), "bucket", F.ceil(F.col("n") / BLOCK_CLASSES), "node"
+        bands.filter(F.col("n") <= HOT_CLASSES), "bucket", F.ceil(F.col("n") / BLOCK_CLASSES), "node"
     )
     members = members.select("node", "pair").join(classes.select("node", "bands"), "node")
 
@@ -216,7 +233,8 @@ def families(classes: DataFrame, cut: float) -> DataFrame:
             yield _stars(nodes, pairs)
 
     dealt = members.repartition("pair").sortWithinPartitions("pair")
-    return components(dealt.select("pair", "node", "bands").mapInArrow(tie, "u long, v long"), "family")
+    tied = dealt.select("pair", "node", "bands").mapInArrow(tie, "u long, v long")
+    return components(tied.unionByName(hot), "family")
 
 
 def _linked(members: DataFrame, size: int, threshold: int) -> DataFrame:
@@ -267,6 +285,104 @@ def _similar(sets: list[np.ndarray], threshold: int) -> Callable[[int, np.ndarra
     return linked
 
 
+def _blocks(texts: DataFrame, turn: int) -> DataFrame:
+    """Rows (node, component, total, text) with ``pair``: the one block of the family that a row is in."""
+    n_blocks = F.ceil(F.col("total") / BLOCK_SHINGLES)
+    block = F.pmod(F.xxhash64("node", F.lit(turn)), n_blocks)
+    return texts.withColumn("pair", F.xxhash64("component", block, F.lit(turn)))
+
+
+def _labelled(nodes: DataFrame, links: DataFrame) -> DataFrame:
+    """Nodes with ``label``: the same for all that links connect so far."""
+    joined = components(links, "joined").withColumnRenamed("component", "joined")
+    label = F.coalesce("joined", "node")
+    return stored(nodes.join(joined, "node", "left").withColumn("label", label).drop("joined"), "labels")
+
+
+def _links_across(
+    wide: DataFrame, links: DataFrame, sketches_of: DataFrame, size: int, threshold: int
+) -> DataFrame:
+    """Links of families whose blocks have each been linked within itself: all that connects them."""
+    nodes = stored(wide.select("node", "component", "n_shingles"), "family-nodes")
+    turn = 0
+    while True:
+        turn += 1
+        labels = _labelled(nodes, links)
+        # One class for all that are linked; the hash of the turn chooses another one every time.
+        heads = labels.groupBy("component", "label").agg(
+            F.min_by(F.struct("node", "n_shingles"), F.struct(F.xxhash64("node", F.lit(turn)), "node")).alias("head")
+        )
+        heads = heads.select("component", F.col("head.node").alias("node"), F.col("head.n_shingles").alias("n"))
+        left = heads.groupBy("component").agg(F.sum("n").alias("total"), F.count(F.lit(1)).alias("labels"))
+        left = stored(left.filter("labels > 1"), "open-families")
+        if left.isEmpty():
+            return links
+        heads = stored(heads.join(left, "component").select("node", "total"), "heads")
+        own = wide.drop("total").join(sized(heads, 32), "node")
+        found = _linked(_blocks(own, turn).withColumn("label", F.col("node")), size, threshold)
+        found = stored(found, "links")
+        if found.isEmpty():
+            break
+        links = stored(links.unionByName(found), "links")
+    open_nodes = labels.join(left.select("component"), "component", "left_semi")
+    near = _near_across(stored(open_nodes, "open-nodes"), sketches_of, threshold)
+    weight = near.join(nodes.select("node", "n_shingles"), "node").groupBy("pair")
+    weight = weight.agg(F.sum("n_shingles").alias("weight"))
+    near = near.withColumnRenamed("pair", "place").join(weight.withColumnRenamed("pair", "place"), "place")
+    dealt = block_pairs(near, "place", F.ceil(F.col("weight") / BLOCK_SHINGLES), "node")
+    dealt = dealt.select("pair", "node", "label").join(wide.select("node", "text"), "node")
+    return links.unionByName(stored(_linked(dealt, size, threshold), "links"))
+
+
+def _near_across(labels: DataFrame, sketches_of: DataFrame, threshold: int) -> DataFrame:
+    """(pair, node, label): classes of families (node, component, label) that come near one of another label.
+
+    Within a family, the classes outside the largest label meet all others, in blocks; ``pair`` is
+    a group in which two classes have met whose estimate reaches the cut.
+    """
+    cut = cut_for(threshold / 100)
+    counts = labels.groupBy("component", "label").agg(F.count(F.lit(1)).alias("n"))
+    families_of = counts.groupBy("component").agg(
+        F.max_by("label", F.struct("n", "label")).alias("major"), F.sum("n").alias("n"), F.max("n").alias("most")
+    )
+    n_all = F.ceil(F.col("n") / BLOCK_SKETCHES).cast("int")
+    n_minor = F.ceil((F.col("n") - F.col("most")) / BLOCK_SKETCHES).cast("int")
+    families_of = families_of.select("component", "major", n_all.alias("n_all"), n_minor.alias("n_minor"))
+    rows = labels.join(families_of, "component").join(sketches_of, "node")
+    own = F.pmod(F.xxhash64("node", F.lit("all")), F.col("n_all"))
+    lesser = F.pmod(F.xxhash64("node", F.lit("minor")), F.col("n_minor"))
+
+    def dealt(df: DataFrame, minor: Column, other: Column, asks: bool) -> DataFrame:
+        dealt_to = df.withColumns({"i": minor, "j": other})
+        pair = F.xxhash64("component", F.col("i").cast("long"), F.col("j").cast("long"))
+        return dealt_to.select(pair.alias("pair"), "node", "label", "bands", F.lit(asks).alias("asks"))
+
+    each = F.explode(F.sequence(F.lit(0), F.col("n_minor") - 1))
+    every = F.explode(F.sequence(F.lit(0), F.col("n_all") - 1))
+    met = dealt(rows, each, own, False).unionByName(
+        dealt(rows.filter(F.col("label") != F.col("major")), lesser, every, True)
+    )
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table in whole_groups(batches, "pair"):
+            flat = table["bands"].combine_chunks().flatten().to_numpy()
+            own = flat.reshape(-1, BANDS).view(np.uint16)
+            label, asks = table["label"].to_numpy(), table["asks"].to_numpy()
+            near = np.zeros(table.num_rows, bool)
+            for first, end in zip(*group_bounds(table["pair"].to_numpy()), strict=True):
+                part = slice(first, end)
+                for row in first + np.flatnonzero(asks[part]):
+                    others = first + np.flatnonzero(~asks[part] & (label[part] != label[row]))
+                    hit = others[similarity(own[row], own[others]) >= cut]
+                    near[hit] = True
+                    near[row] |= len(hit) > 0
+            yield from table.filter(pa.array(near)).select(["pair", "node", "label"]).to_batches()
+
+    sorted_ = met.repartition("pair").sortWithinPartitions("pair")
+    found = sorted_.mapInArrow(compare, "pair long, node long, label long").distinct()
+    return stored(found, "near-across")
+
+
 def link_documents(
     docs: DataFrame,
     id_col: str = "doc_id",
@@ -299,19 +415,12 @@ def link_documents(
     reps = stored(reps.join(total, "component"), "family-members")
     texts = rows.join(sized(reps.withColumnRenamed("id", "rep_id"), 64), ["key"])
     texts = texts.filter(F.col("id").eqNullSafe(F.col("rep_id"))).dropDuplicates(["node"])
-    texts = stored(texts.select("node", "component", "total", "text"), "family-texts")
+    texts = stored(texts.select("node", "component", "total", "n_shingles", "text"), "family-texts")
 
-    n_blocks = F.ceil(F.col("total") / BLOCK_SHINGLES)
-    dealt = block_pairs(texts, "component", n_blocks, "node").withColumn("label", F.col("node"))
-    inner = stored(_linked(dealt.filter("block = other"), size, threshold), "links")
-    links = inner
+    links = stored(_linked(_blocks(texts, 0).withColumn("label", F.col("node")), size, threshold), "links")
     wide = texts.filter(F.col("total") > BLOCK_SHINGLES)
     if not wide.isEmpty():
-        # Blocks are compared with each other once each is linked within itself.
-        joined = components(inner, "inner").select("node", F.col("component").alias("joined"))
-        labelled = wide.join(joined, "node", "left").withColumn("label", F.coalesce("joined", "node"))
-        across = block_pairs(labelled, "component", n_blocks, "node").filter("block != other")
-        links = inner.unionByName(stored(_linked(across, size, threshold), "links"))
+        links = _links_across(wide, links, classes.select("node", "bands"), size, threshold)
     found = components(links, "links")
 
     root = F.coalesce("component", "node").alias("root")
@@ -357,6 +466,6 @@ def keep_one(
         # A component's first document is there several times: one of those rows stays.
         is_twice = (left["key"] == twice["twice_key"]) & ids.eqNullSafe(twice["twice_id"])
         single = left.join(sized(twice, 32), is_twice, "left_anti")
-        one = left.join(sized(twice, 32), is_twice, "left_semi").dropDuplicates(["key"])
-        left = single.unionByName(one)
+        one = left.join(sized(twice, 32), is_twice, "left_semi").withColumn("id", ids)
+        left = single.unionByName(one.dropDuplicates(["key", "id"]).drop("id"))
     return left.select("row.*")

@@ -91,6 +91,55 @@ def test_different_bytes_are_no_repeats(frame):
     assert {r["doc_id"]: bytes(r["kept"]) for r in left} == {i: e[3] for i, e in enumerate(expected)}
 
 
+def copies_of(n, seed, words=40, edits=1):
+    rng = np.random.default_rng(seed)
+    base = [f"w{seed}x{i}" for i in range(words)]
+    for i in range(n):
+        text = list(base)
+        for at in rng.integers(0, words, edits):
+            text[at] = f"new{seed}x{i}"
+        yield " ".join(text)
+
+
+def small_blocks(monkeypatch):
+    for name, size in (("BLOCK_CLASSES", 7), ("HOT_CLASSES", 20), ("BLOCK_SHINGLES", 300), ("BLOCK_SKETCHES", 5)):
+        monkeypatch.setattr(near_dedup, name, size)
+
+
+def test_large_families_of_several_groups(frame, monkeypatch):
+    """Families cut into blocks: groups that are linked, that only come near, and chains of links."""
+    small_blocks(monkeypatch)
+    texts = [*copies_of(60, 1), *copies_of(40, 2), *copies_of(3, 3)]
+    # Chains: each text is linked with the next one only.
+    words = [f"c{i}" for i in range(400)]
+    texts += [" ".join(words[i * 5 : i * 5 + 60]) for i in range(60)]
+    # Texts that share a long part, but not enough of it to be linked.
+    part = " ".join(f"part{i}" for i in range(45))
+    texts += [f"{part} " + " ".join(f"own{i}x{j}" for j in range(14)) for i in range(50)]
+    expected = brute.near_dedup(list(enumerate(texts)), 4)
+    assert 40 < len({root for _, root in expected.values()}) < 120
+    linked = near_dedup.link_documents(frame(list(enumerate(texts))), size=4)
+    assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in linked.collect()} == expected
+
+
+def test_texts_compared_grow_with_the_family_not_its_square(frame, monkeypatch):
+    small_blocks(monkeypatch)
+    compare, rows = near_dedup._linked, []
+
+    def counted(members, size, threshold):
+        rows.append(members.count())
+        return compare(members, size, threshold)
+
+    monkeypatch.setattr(near_dedup, "_linked", counted)
+    totals = []
+    for n in (100, 400):
+        rows.clear()
+        linked = near_dedup.link_documents(frame(list(enumerate(copies_of(n, 5, 120)))), size=4).collect()
+        assert {r["component_id"] for r in linked} == {0}
+        totals.append(sum(rows))
+    assert totals[1] < 5 * totals[0]
+
+
 BLANK_RUNS = [" " * 1_000_000, "\t" * 2_000_000, "\n" * 1_000_000, " \n" * 600_000, "　 " * 500_000]
 
 
