@@ -1,23 +1,27 @@
-"""Repeated substrings across a corpus, by refinement of q-gram buckets.
+"""Repeated substrings across a corpus, by bucket-pointer refinement over sampled positions.
 
 A byte is removed if a string of ``length`` bytes that covers it also starts anywhere else. As in
-bucket-pointer refinement of suffix arrays, positions first fall into buckets by a short gram,
-and only buckets of several positions are refined, by identifiers of longer strings around the
-same positions; what a round has settled is never looked at again.
+bucket-pointer refinement of suffix arrays, positions first fall into buckets by a short gram;
+then a position is told apart from others of its bucket by the identifiers of the buckets at later
+offsets, and identifiers that a round has made for twice the reach are what the next round reads.
+Only buckets of several positions go on, and what a round has settled is never looked at again.
 
 1. Anchors. Of every window of ``length`` bytes the gram with the smallest hash is its anchor
    (the leftmost of equals), so equal windows have their anchors at equal offsets. A text has an
    anchor for some 70 bytes. Grams that occur once in the corpus end here.
-2. Regions. An anchor's region is the union of the windows it serves. Anchors whose gram and
-   region are equal repeat each other entirely: all their windows are settled.
+2. Regions. An anchor's region is the union of the windows it serves. Its identifier comes from the
+   buckets of the anchors inside it: one round joins an anchor's identifier with that of the next
+   anchor and the gap between them, the next round joins that with the one two anchors on,
+   then four. Bytes before the first, between and after the last gram go along as they are. Anchors
+   whose gram and region are equal repeat each other entirely: all their windows are settled.
 3. Cells. Where a gram has several regions, the windows of each are cut into cells by offset.
    Windows of one cell share a core, and a core that occurs once settles its cell as unique; cells
    whose hulls, all their windows together, are equal repeat each other entirely.
 4. Windows. Only where a core has several hulls are windows compared one by one.
 
-Identifiers are 64-bit hashes of the strings' bytes, from running sums, so the identifier of any
-longer string costs the same. All rounds are grouped counts and joins on them, which combine
-copies before they shuffle; no bucket is gathered in one place.
+Identifiers are 64-bit hashes, compared only within a bucket that another hash has made, so 128 bits
+decide. All rounds over the corpus are grouped counts and joins on them, which combine copies
+before they shuffle; no bucket is gathered in one place.
 """
 
 from __future__ import annotations
@@ -72,9 +76,46 @@ def anchors_of(block: A.Block, length: int, gram: int) -> tuple[np.ndarray, ...]
     first = np.flatnonzero(new)
     last = _ends(first, len(at))
     anchor, low, high = at[first], windows[first], windows[last]
-    shape = ((anchor - low) * (length + 1) + high - low).astype(np.uint64)
-    region = A.mix(hasher(low, high + length) + shape)
-    return anchor, low, high, grams[anchor], region
+    return anchor, low, high, grams[anchor], _region_names(block, anchor, low, high, length, gram)
+
+
+_JOIN = tuple(np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9))
+
+
+def _joined(one: np.ndarray, two: np.ndarray, gap: np.ndarray) -> np.ndarray:
+    """The identifier of two strings of known identifiers, the second one ``gap`` bytes on."""
+    return A.mix(one * _JOIN[0] + A.mix(two * _JOIN[1] + gap.astype(np.uint64) * _JOIN[2]))
+
+
+def _region_names(
+    block: A.Block, anchor: np.ndarray, low: np.ndarray, high: np.ndarray, length: int, gram: int
+) -> np.ndarray:
+    """Identifiers of the regions (``low`` to ``high`` + ``length``) of a block's anchors, in order."""
+    hasher = A.Hasher(block.data, second=True)
+    end = high + length
+    # An anchor's own region holds its gram, so there is a first and a last anchor inside.
+    first = np.searchsorted(anchor, low)
+    last = np.searchsorted(anchor, end - gram, side="right") - 1
+    level = np.frexp(last - first + 1)[1] - 1
+    names = hasher(anchor, anchor + gram)
+    # Between two grams there may be bytes that neither has.
+    between = np.minimum(anchor[:-1] + gram, anchor[1:])
+    between = hasher(between, anchor[1:])
+    out = np.zeros(len(anchor), np.uint64)
+    for k in range(int(level.max(initial=0)) + 1):
+        reach = 1 << k
+        own = np.flatnonzero(level == k)
+        back = last[own] - reach + 1
+        out[own] = _joined(names[first[own]], names[back], anchor[back] - anchor[first[own]])
+        # The next round's identifiers read this round's at a later anchor.
+        n = len(anchor) - 2 * reach + 1
+        if n <= 0:
+            break
+        gap = anchor[reach : reach + n] - anchor[:n]
+        names = _joined(names[:n] + between[reach - 1 : reach - 1 + n], names[reach : reach + n], gap)
+    edges = A.mix(hasher(low, anchor[first])) + A.mix(A.mix(hasher(anchor[last] + gram, end)) + _JOIN[1])
+    shape = (anchor - low) * (length + 1) + high - low
+    return _joined(out, edges, shape)
 
 
 def _anchors(rows: DataFrame, length: int, gram: int) -> DataFrame:
@@ -233,7 +274,7 @@ def _cells(regions: DataFrame, length: int) -> DataFrame:
 
 
 def _windows(regions: DataFrame, length: int) -> DataFrame:
-    """(node, step, string): identifiers of the windows of the cells listed with each region."""
+    """(node, step, string_1, string_2): names of the windows of the cells listed with each region."""
 
     def strings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for source in batches:
@@ -250,18 +291,18 @@ def _windows(regions: DataFrame, length: int) -> DataFrame:
                 of, offset = of[chosen], offset[chosen]
                 step = back[of] - offset
                 start = block.starts[of] + step
-                string = A.Hasher(block.data)(start, start + length)
-                string = A.mix(string + A.Hasher(block.data, second=True)(start, start + length))
+                one, two = (A.Hasher(block.data, s)(start, start + length) for s in (False, True))
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array(node[of]),
                         pa.array(step.astype(np.int32)),
-                        pa.array(string.view(np.int64)),
+                        pa.array(one.view(np.int64)),
+                        pa.array(two.view(np.int64)),
                     ],
-                    ["node", "step", "string"],
+                    ["node", "step", "string_1", "string_2"],
                 )
 
-    return regions.mapInArrow(strings, "node long, step int, string long")
+    return regions.mapInArrow(strings, "node long, step int, string_1 long, string_2 long")
 
 
 def _several(df: DataFrame, *keys: str) -> DataFrame:
@@ -309,7 +350,8 @@ def repeated_spans(rows: DataFrame, length: int, gram: int, limit: int) -> DataF
     due = cells.join(sized(reps, 40, limit), ["node", "hull"])
     due = stored(due.groupBy("node").agg(F.collect_set("cell").alias("cells")), "open-cells")
     windows = stored(_windows(regions.join(sized(due, 64, limit), "node"), length), "windows")
-    again = windows.join(_several(windows, "string"), "string")
+    string = ("string_1", "string_2")
+    again = windows.join(_several(windows, *string), list(string))
     by_window = again.select("node", F.col("step").alias("low"), F.col("step").alias("high"))
 
     steps = by_cell.unionByName(by_window).select("node", *(F.col(c).alias(f"{c}_step") for c in ("low", "high")))

@@ -330,3 +330,34 @@ def test_an_increment_reads_its_own_part_of_the_ledger(spark, frame, tmp_path):
     newer = [secret_scan.Rule("hex", r"[0-9a-f]{24,}+", version=2)]
     secret_scan.scan_versions(frame(again), path, newer)
     assert ledger.table().count() == 303
+
+
+def regions_of(texts, length=40, gram=16):
+    data = np.frombuffer(b"".join(texts), np.uint8)
+    ends = np.cumsum([len(t) for t in texts])
+    block = arrays.Block(0, data, ends - [len(t) for t in texts], ends)
+    anchor, low, high, grams, region = substring_dedup.anchors_of(block, length, gram)
+    return [
+        (bytes(data[a : a + gram]), bytes(data[lo : hi + length]), a - lo, int(g), int(r))
+        for a, lo, hi, g, r in zip(anchor, low, high, grams, region, strict=True)
+    ]
+
+
+def test_names_of_regions_stand_for_their_bytes():
+    """Equal names: equal bytes around equally placed anchors. Equal texts: equal names."""
+    rng = np.random.default_rng(3)
+    texts = [bytes(rng.choice(list(b"ab"), rng.integers(30, 300)).tolist()) for _ in range(40)]
+    shared = bytes(rng.choice(list(b"abcdefgh"), 400).tolist())
+    texts += [bytes(rng.choice(list(b"xyz"), k).tolist()) + shared[k : 300 + k] + b"tail" for k in range(0, 60, 3)]
+    texts += [b"a" * 200, b"a" * 200, b"ab" * 90, shared, shared, b"short"]
+    found = regions_of(texts)
+    by_name = {}
+    for gram, region, back, g, name in found:
+        assert by_name.setdefault((g, name), (gram, region, back)) == (gram, region, back)
+    assert regions_of([shared]) == regions_of([b"other text, long enough to have an anchor of its own", shared])[-len(regions_of([shared])) :]
+    # Most regions inside the shared part have the same name in every text that holds them whole.
+    inside = {}
+    for _, region, back, _, name in found:
+        if region in shared:
+            inside.setdefault((region, back), set()).add(name)
+    assert sum(len(names) == 1 for names in inside.values()) > 0.8 * len(inside)
