@@ -29,6 +29,7 @@ WINDOW = 256
 WIDTHS = (4, 3, 2)
 _REACH = max(WIDTHS)
 _WINDOWS_AT_ONCE = 32
+_PARTS = 64
 
 
 def fold(id_col: Column, n: int = 5) -> Column:
@@ -202,10 +203,13 @@ def fit(
     if not languages:
         return None
     each = max(1, max_rows // len(languages))
-    order = Window.partitionBy("lang").orderBy("key")
-    ranked = rows.filter(F.col("lang").isin(*languages)).select("lang", "key").distinct()
-    ranked = ranked.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= each)
-    chosen = ranked.select("lang", "key")  # max_rows rows at most
+    # In two steps, since a language may have most rows: the smallest keys of each of its parts first.
+    chosen = rows.filter(F.col("lang").isin(*languages)).select("lang", "key").distinct()
+    chosen = chosen.withColumn("part", F.pmod("key", F.lit(_PARTS)))
+    for columns in (("lang", "part"), ("lang",)):
+        order = Window.partitionBy(*columns).orderBy("key")
+        chosen = chosen.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= each)
+    chosen = chosen.select("lang", "key")  # max_rows rows at most
     sample = rows.join(F.broadcast(chosen), ["lang", "key"]).groupBy("lang", "key")
     sample = sample.agg(F.min("text").alias("text"))
 

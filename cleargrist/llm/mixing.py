@@ -129,27 +129,44 @@ def _uniform(*parts: Column) -> Column:
     return (F.shiftrightunsigned(F.xxhash64(*parts), 11) + 0.5) / float(1 << 53)
 
 
+#: Sources, or ranges of them, that one row of the tree has counts of.
+FAN_BITS = 5
+
+
 def split_quotas(sources: DataFrame, depth: int, seed: int) -> DataFrame:
     """(rank, cuts): for each source, the running sums of its blocks over the 2^depth shards.
 
-    A node is one row with an array of counts, an entry per source: the tree passes through tasks
-    as counts, never as blocks or documents.
+    A node of the tree has rows of counts, one for each range of 32 sources, and above them rows of
+    totals, one for each 32 ranges, and so on. A draw starts at the top: how many blocks come from
+    each range is a draw too, and then each range draws its own share among its sources. That is the
+    same distribution as one draw over all of them, but no row grows with the number of sources.
     """
-    ordered = F.array_sort(F.collect_list(F.struct("rank", "quota")))
-    nodes = sources.agg(F.transform(ordered, lambda q: q["quota"]).alias("counts"))
-    nodes = nodes.withColumn("node", F.lit(1).cast("long"))
-    for _ in range(depth):
-        total = F.aggregate("counts", F.lit(0).cast("long"), lambda a, c: a + c)
-        nodes = nodes.withColumn("total", total)
-        empty = F.array().cast("array<long>")
+    fan = 1 << FAN_BITS
+    n_sources = sources.count()
+    levels = 1
+    while n_sources > fan**levels:
+        levels += 1
+    zero = F.lit(0).cast("long")
+
+    def above(rows: DataFrame, part: Column) -> DataFrame:
+        """Rows of counts (node, range, counts) of rows (node, place, n)."""
+        listed = F.array_sort(F.collect_list(F.struct("place", "n")))
+        counts = F.transform(listed, lambda c: c["n"]).alias("counts")
+        return rows.groupBy("node", part.alias("range")).agg(counts)
+
+    def total(counts: Column | str) -> Column:
+        return F.aggregate(counts, zero, lambda a, c: a + c)
+
+    def drawn(rows: DataFrame, level: int) -> DataFrame:
+        """Rows (node, range, counts, draws) with ``left``: how many of the draws are of each entry."""
         start = F.struct(
-            F.col("total").alias("total"),
-            F.floor((F.col("total") + 1) / 2).cast("long").alias("draws"),
-            empty.alias("left"),
+            total("counts").alias("total"),
+            F.col("draws").alias("draws"),
+            F.array().cast("array<long>").alias("left"),
         )
 
         def draw(s: Column, count: Column) -> Column:
-            u = _uniform(F.lit(seed), F.col("node"), F.size(s["left"]))
+            u = _uniform(F.lit(seed), F.col("node"), F.lit(level), F.col("range"), F.size(s["left"]))
             got = hypergeometric(s["total"], count, s["draws"], u)
             return F.struct(
                 (s["total"] - count).alias("total"),
@@ -157,8 +174,23 @@ def split_quotas(sources: DataFrame, depth: int, seed: int) -> DataFrame:
                 F.concat(s["left"], F.array(got)).alias("left"),
             )
 
-        left = F.aggregate("counts", start, draw, lambda s: s["left"])
-        nodes = stored(nodes.withColumn("left", left), "quota-tree")
+        return rows.withColumn("left", F.aggregate("counts", start, draw, lambda s: s["left"]))
+
+    place = F.shiftright("place", FAN_BITS)
+    first = sources.select(F.lit(1).cast("long").alias("node"), F.col("rank").alias("place"), F.col("quota").alias("n"))
+    nodes = above(first, place)
+    for _ in range(depth):
+        rows = [nodes]
+        for _ in range(levels - 1):
+            ranges = rows[-1].select("node", F.col("range").alias("place"), total("counts").alias("n"))
+            rows.append(above(ranges, place))
+        half = F.floor((total("counts") + 1) / 2).cast("long")
+        split = drawn(rows[-1].withColumn("draws", half), levels - 1)
+        for level in reversed(range(levels - 1)):
+            shares = split.select("node", "range", F.posexplode("left").alias("i", "draws"))
+            shares = shares.select("node", (F.col("range") * fan + F.col("i")).alias("range"), "draws")
+            split = drawn(rows[level].join(shares, ["node", "range"]), level)
+        split = stored(split, "quota-tree")
         right = F.transform("counts", lambda c, i: c - F.get("left", i))
         pair = F.explode(
             F.array(
@@ -166,8 +198,9 @@ def split_quotas(sources: DataFrame, depth: int, seed: int) -> DataFrame:
                 F.struct((F.col("node") * 2 + 1).alias("node"), right.alias("counts")),
             )
         )
-        nodes = nodes.select(pair.alias("child")).select("child.*")
-    leaves = nodes.select("node", F.posexplode("counts").alias("rank", "count"))
+        nodes = split.select("range", pair.alias("child")).select("child.node", "range", "child.counts")
+    leaves = nodes.select("node", "range", F.posexplode("counts").alias("i", "count"))
+    leaves = leaves.select("node", (F.col("range") * fan + F.col("i")).alias("rank"), "count")
     ahead = Window.partitionBy("rank").orderBy("node").rowsBetween(Window.unboundedPreceding, 0)
     ends = leaves.select("rank", "node", F.sum("count").over(ahead).alias("end"))
     cuts = F.array_sort(F.collect_list(F.struct("node", "end")))
