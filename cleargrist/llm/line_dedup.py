@@ -52,7 +52,8 @@ def line_keys(block: A.Block, min_chars: int) -> Lines:
     starts, ends = np.zeros(len(low), np.int64), np.zeros(len(low), np.int64)
     starts[filled] = words.starts[low[filled]]
     ends[filled] = words.ends[high[filled]]
-    chars = np.concatenate([[0], np.cumsum(A.LEAD[block.data])])
+    chars = np.zeros(len(block.data) + 1, np.int32)
+    np.cumsum(A.LEAD[block.data], out=chars[1:])
     lowered = A.LOWER[block.data]
     return Lines(
         spans,

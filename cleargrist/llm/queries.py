@@ -26,6 +26,7 @@ from cleargrist.llm.line_dedup import LineIndex
 from cleargrist.llm.tables import documents
 from cleargrist.workspace import scratch_path
 
+#: The vocabulary's file, unless the session's setting ``spark.cleargrist.vocabulary`` names another.
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 
 
@@ -74,7 +75,8 @@ def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    counted = token_counts.count_tokens(documents(spark, sf_dir), VOCABULARY, rule="most")
+    vocabulary = spark.conf.get("spark.cleargrist.vocabulary", VOCABULARY)
+    counted = token_counts.count_tokens(documents(spark, sf_dir), vocabulary, rule="most")
     return counted.withColumn("n_tokens", F.col("n_tokens").cast("long"))
 
 

@@ -118,25 +118,44 @@ def _region_names(
     return _joined(out, edges, shape)
 
 
+#: A longer text is searched in stretches of so many windows.
+STRETCH = 1 << 20
+
+
+def _stretches(block: A.Block, length: int) -> Iterator[tuple[int, A.Block]]:
+    """A block as it is, or one long text in pieces that have each of its windows once.
+
+    An anchor whose windows two pieces share has a region in both, which changes no result.
+    """
+    n = len(block.data)
+    if len(block) > 1 or n < 2 * STRETCH:
+        yield 0, block
+        return
+    for at in range(0, n - length + 1, STRETCH):
+        piece = block.data[at : at + STRETCH + length - 1]
+        yield at, A.Block(0, piece, np.zeros(1, np.int64), np.array([len(piece)]))
+
+
 def _anchors(rows: DataFrame, length: int, gram: int) -> DataFrame:
     names = ["id", "key", "gram", "region", "anchor", "low", "high"]
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for source in batches:
             for block in A.blocks(source.column("text")):
-                anchor, low, high, grams, region = anchors_of(block, length, gram)
-                of = A.rows_of(block, anchor)
-                own = source.slice(block.first, len(block)).select(["id", "key"]).take(pa.array(of))
-                start = block.starts[of]
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        *own.columns,
-                        pa.array(grams.view(np.int64)),
-                        pa.array(region.view(np.int64)),
-                        *(pa.array((x - start).astype(np.int32)) for x in (anchor, low, high)),
-                    ],
-                    names,
-                )
+                for at, piece in _stretches(block, length):
+                    anchor, low, high, grams, region = anchors_of(piece, length, gram)
+                    of = A.rows_of(piece, anchor)
+                    own = source.slice(block.first, len(block)).select(["id", "key"]).take(pa.array(of))
+                    start = piece.starts[of] - at
+                    yield pa.RecordBatch.from_arrays(
+                        [
+                            *own.columns,
+                            pa.array(grams.view(np.int64)),
+                            pa.array(region.view(np.int64)),
+                            *(pa.array((x - start).astype(np.int32)) for x in (anchor, low, high)),
+                        ],
+                        names,
+                    )
 
     id_type = rows.schema["id"].dataType.simpleString()
     schema = f"id {id_type}, key long, gram long, region long, anchor int, low int, high int"
@@ -394,9 +413,10 @@ def remove_repeats(
                 found = rows_between(source, "found", block.first, n)
                 of = np.repeat(np.arange(n), found.value_lengths().fill_null(0).to_numpy(False))
                 low, high = (f.to_numpy(False) for f in found.flatten().flatten())
-                change = np.bincount(block.starts[of] + low, minlength=size + 1)
-                change -= np.bincount(block.starts[of] + high + length, minlength=size + 1)
-                gone = np.cumsum(change[:-1]) > 0
+                change = np.zeros(size + 1, np.int32)
+                np.add.at(change, block.starts[of] + low, 1)
+                np.subtract.at(change, block.starts[of] + high + length, 1)
+                gone = np.cumsum(change[:-1], out=change[:-1]) > 0
                 runs = A.runs(A.Block(0, gone.view(np.uint8), block.starts, block.ends), A.byte_table(b"\1"))
                 begin = block.starts[runs.rows]
                 spans = pa.StructArray.from_arrays(
@@ -404,8 +424,9 @@ def remove_repeats(
                     ["start", "end"],
                 )
                 cuts = np.searchsorted(runs.rows, np.arange(n + 1)).astype(np.int32)
-                left = np.concatenate([[0], np.cumsum(~gone)])
-                kept_at = np.append(left[block.starts], left[-1]).astype(np.int32)
+                left = np.zeros(size + 1, np.int32)
+                np.cumsum(~gone, out=left[1:])
+                kept_at = np.append(left[block.starts], left[-1])
                 kept = pa.Array.from_buffers(
                     pa.binary(),
                     n,

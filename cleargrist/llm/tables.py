@@ -10,6 +10,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import BinaryType, StringType
 
 from cleargrist.workspace import scratch_path
 
@@ -84,9 +85,18 @@ def all_of(parts: Iterator[DataFrame]) -> DataFrame:
 def sized(df: DataFrame, row_bytes: int, limit: int = 32 << 20) -> DataFrame:
     """A stored table to join texts with: broadcast if its rows fit the limit, by size in bytes.
 
-    Beyond the limit both sides are shuffled and this one is hashed, so texts are not sorted.
+    A row counts with ``row_bytes`` and the bytes of its texts, which are measured. Beyond the
+    limit both sides are shuffled and this one is hashed, so texts are not sorted.
     """
-    return F.broadcast(df) if df.count() * row_bytes <= limit else df.hint("shuffle_hash")
+    return F.broadcast(df) if size_of(df, row_bytes) <= limit else df.hint("shuffle_hash")
+
+
+def size_of(df: DataFrame, row_bytes: int) -> int:
+    """Bytes of a stored table: some for each row, and the lengths of its texts and binaries."""
+    wide = [f.name for f in df.schema.fields if isinstance(f.dataType, StringType | BinaryType)]
+    lengths = [F.coalesce(F.sum(F.octet_length(F.col(f"`{c}`"))), F.lit(0)) for c in wide]
+    n, *texts = df.agg(F.count(F.lit(1)), *lengths).first()
+    return n * row_bytes + sum(texts)
 
 
 def possible_members(df: DataFrame, column: str, bits: int = 27) -> Column:

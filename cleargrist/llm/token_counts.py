@@ -174,6 +174,8 @@ def count_tokens(
     """
     if rule not in RULES:
         raise ValueError(f"unknown rule {rule!r}, use one of {', '.join(RULES)}")
+    if not Path(vocabulary).is_file():
+        raise FileNotFoundError(f"no vocabulary at {vocabulary}")
     rows = keyed(docs, id_col, text_col).select("id", "text")
     by_line = sections is None
     ranks = docs.sparkSession.sparkContext.broadcast(Path(vocabulary).read_bytes())
