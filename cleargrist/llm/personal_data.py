@@ -184,6 +184,18 @@ def _plain_character(c: str) -> str:
     return plain if len(plain) == 1 and plain.isascii() else c
 
 
+class _Characters(dict):
+    """For str.translate: what _plain_character makes of each code point, worked out when first met."""
+
+    def __missing__(self, code: int) -> str:
+        c = chr(code)
+        self[code] = new = c if c.isascii() else _plain_character(c)
+        return new
+
+
+_PLAIN_CHARACTERS = _Characters()
+# Searches that ignore case take these for an i, lower() does not.
+_DOTLESS = re.compile("[\u0130\u0131]")
 # All characters that _plain_character may change, and those that lower() or a search that
 # ignores case takes for other letters; beyond U+024F simply all.
 _FOREIGN = re.compile(
@@ -198,7 +210,12 @@ def suspicious(text: str) -> bool:
     No transducer changes a text for which this is false: the first one to change something would
     find it in the text as it is, so there is a test here for what each of them looks for.
     """
-    if not text.isascii() and _FOREIGN.search(text) or _MIXED.search(text):
+    return not text.isascii() and _FOREIGN.search(text) is not None or _traces(text)
+
+
+def _traces(text: str) -> bool:
+    """The same for all transducers but the first, which changes single characters."""
+    if _MIXED.search(text):
         return True
     lowered = text.lower()
     if _BRACKETED.search(lowered) or any(dot in lowered for dot in _DOTS):
@@ -282,6 +299,11 @@ def find_spans(text: str) -> tuple[list[Span], list[Span]]:
     base = detect(text)
     if not suspicious(text):
         return base, []
+    if not text.isascii():
+        # Most texts in other scripts are prose: what the first transducer writes shows nothing either.
+        plain = text.translate(_PLAIN_CHARACTERS)
+        if not (_DOTLESS.search(plain) or _traces(plain) or detect(plain)):
+            return base, []
     tape = deobfuscate(text)
     if tape.text == text:
         return base, []

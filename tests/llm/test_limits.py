@@ -361,3 +361,33 @@ def test_names_of_regions_stand_for_their_bytes():
         if region in shared:
             inside.setdefault((region, back), set()).add(name)
     assert sum(len(names) == 1 for names in inside.values()) > 0.8 * len(inside)
+
+
+def spans_by_deobfuscation(text):
+    """Without any gate."""
+    base = personal_data.detect(text)
+    tape = personal_data.deobfuscate(text)
+    more = set()
+    for start, end, kind in personal_data.detect(tape.text):
+        span = (tape.starts[start], tape.ends[end - 1], kind)
+        if not any(k == kind and s <= span[0] and span[1] <= e for s, e, k in base):
+            more.add(span)
+    return base, sorted(more, key=lambda s: (s[0], personal_data.KINDS.index(s[2]), s[1]))
+
+
+def test_texts_in_other_scripts():
+    import random
+
+    rng = random.Random(4)
+    pieces = ["Привет", "мир", "и", "ещё", "東京", "１２３", "٤٥٦", "a", "jane", "@", "mail.org", "mаil.org", " at ", "plus 4", "poİnt"]
+    pieces += ["four", "one", "1", "７", "+４９", " ", "​", "(аt)", " dot ", "ﬁ", "ſ", "ı", "+49 30", "1.2.3.4", "²", "l", "."]
+    for _ in range(6000):
+        text = "".join(rng.choice(pieces) + rng.choice(["", " ", " ", "-"]) for _ in range(rng.randint(1, 14)))
+        assert personal_data.find_spans(text) == spans_by_deobfuscation(text), text
+
+
+def test_prose_in_other_scripts_is_cheap():
+    text = "Привет, это обычный русский текст без данных. 東京は日本の首都です。" * 20_000
+    started = time.monotonic()
+    assert personal_data.find_spans(text) == ([], [])
+    assert time.monotonic() - started < 2
