@@ -191,6 +191,9 @@ ORACLE_SQL: dict[str, str] = {
     "schema_report": _ISSUES,
     "headerless_csv_scan": _ALL_RAW,
     "csv_by_name_scan": _ALL_RAW,
+    "contract_gate_refusal": """select kind, "column", 'FAILED' as status, (select count(*) from part) as n_rows
+        from (values ('missing_column', 'category'), ('unexpected_column', 'colour')) t(kind, "column")""",
+    "unknown_format_refusal": "select s_suppkey, 2 as refused from supplier",
     "schema_report_orders": _ORDERS_ISSUES,
     "schema_report_document": f"""with issues as ({_ORDERS_ISSUES}) select 'FAILED' as status,
         (select string_agg("column", ',') from issues where kind = 'missing_column') as missing_columns,

@@ -34,7 +34,7 @@ from cleargrist.plans.curate import (
     write_quarantine,
 )
 from cleargrist.sinks.writers import partitioned_schema, restore_keys, write_table
-from cleargrist.sources.contract import MATERIALS_CONTRACT
+from cleargrist.sources.contract import MATERIALS_CONTRACT, ContractError
 from cleargrist.sources.tables import ReadOptions, contract_report, read_table
 from cleargrist.suite.inputs import (
     ORDER_LINE_CONTRACT,
@@ -191,6 +191,38 @@ def schema_report_document(spark, sf_dir):
     )
 
 
+@query("contract_gate_refusal")
+def contract_gate_refusal(spark, sf_dir):
+    """A table that is refused before its rows are read: why, and that the report says so."""
+    source = dirty_materials(spark, sf_dir).drop("category").withColumn("colour", F.lit("red"))
+    path = stored(source, "csv", "refused")
+    report_path = scratch_path(spark, "refused-report")
+    try:
+        read_table(spark, path, MATERIALS_CONTRACT, report_path=report_path)
+    except ContractError as error:
+        issues = error.report.issues_frame(spark)
+    status = spark.read.json(report_path).first()["status"]
+    return issues.select("kind", "column", F.lit(status).alias("status"), F.lit(source.count()).alias("n_rows"))
+
+
+@query("unknown_format_refusal")
+def unknown_format_refusal(spark, sf_dir):
+    """A format that is none, refused by the writer and the reader before they do anything."""
+    suppliers = table(spark, sf_dir, "supplier").select("s_suppkey")
+    path = scratch_path(spark, "unknown")
+    refused = 0
+    for attempt in (
+        lambda: write_table(suppliers, path, "xlsx"),
+        lambda: read_table(spark, path, options=ReadOptions(fmt="xlsx")),
+    ):
+        try:
+            attempt()
+        except ValueError:
+            refused += 1
+    write_table(suppliers, path, mode="errorifexists")  # nothing is there
+    return spark.read.parquet(path).withColumn("refused", F.lit(refused))
+
+
 # Expressions
 
 
