@@ -271,3 +271,28 @@ def hard_negatives(rows, every=100, n_positives=5, n_negatives=10):
             for rank, x in enumerate(fits[:n_negatives], 1):
                 out.append((anchor, good[p][0], rank, good[x][0], score[p], score[x]))
     return sorted(out)
+
+
+def document_features(text):
+    """The numbers that the trees of the quality rules look at, in their order."""
+    text = text or ""
+    words = WORD.findall(text)
+    n, chars, symbols, repeated, covered, _ = statistics(text)
+    lines = text.split("\n")
+    per_line = [len(WORD.findall(line)) for line in lines]
+    upper, digits = (sum(low <= c <= high for c in text) for low, high in (("A", "Z"), ("0", "9")))
+    marks = sum(c.isascii() and not c.isalnum() and c not in BLANKS and c not in "#*$%&|<>" for c in text)
+    return [
+        math.log1p(n),
+        chars / max(n, 1),
+        symbols / max(n, 1),
+        repeated / len(lines),
+        covered / max(n, 1),
+        upper / max(chars, 1),
+        digits / max(chars, 1),
+        marks / max(chars, 1),
+        len(set(words)) / max(n, 1),
+        n / len(lines),
+        sum(0 < k < 3 for k in per_line) / len(lines),
+        math.log1p(max((len(w.encode()) for w in words), default=0)),
+    ]

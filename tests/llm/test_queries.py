@@ -143,3 +143,24 @@ def test_quality_rules_follow_the_labels(spark):
     held = [r for r in rows if zlib.crc32(str(r["doc_id"]).encode()) % 4 == 2 and r["doc_id"] in labels]
     right = sum(r["kept"] == bool(labels[r["doc_id"]]) for r in held)
     assert right / len(held) > 0.99
+
+
+def test_quality_rules_decide_as_a_walk_through_the_trees(spark, docs):
+    """Every verdict from features counted one text at a time and trees walked node by node."""
+    import math
+
+    from cleargrist.llm import quality_rules
+    from cleargrist.llm.queries import labels
+    from cleargrist.llm.tables import documents
+
+    trees = quality_rules.fit(documents(spark, SF_DIR), labels(spark, SF_DIR))
+    rated = {r["doc_id"]: r for r in run(spark, "op10_quality_rules")}
+    for i, text, _ in docs:
+        row, total = brute.document_features(text), trees.start
+        for at in trees.roots.tolist():
+            while trees.feature[at] >= 0:
+                at = int(trees.left[at] + (row[trees.feature[at]] > trees.threshold[at]))
+            total += trees.value[at]
+        score = 1 / (1 + math.exp(-total))
+        assert rated[i]["score"] == pytest.approx(score)
+        assert rated[i]["kept"] == (score >= 0.5 and not rated[i]["base_failed"])

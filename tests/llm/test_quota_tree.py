@@ -50,3 +50,29 @@ def test_thousands_of_sources_take_seconds(spark):
     found = mixing.split_quotas(rows, 4, 7)
     assert found.agg(F.sum(F.element_at("cuts", -1))).first()[0] == sum(1 + i % 50 for i in range(3000))
     assert time.monotonic() - started < 60
+
+
+def test_taken_words_are_those_of_the_drawn_blocks(spark):
+    """Every document's ``taken`` from its place in its source and the blocks drawn there."""
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    mixture = mixing.mix(docs, shards=4, least_blocks=60, seed=7)
+    source = mixture.sources.select(
+        F.col("source").alias("of"), "quota", "n_blocks", F.pmod(F.xxhash64(F.lit(7), "source"), F.greatest("n_blocks", F.lit(1))).alias("shift")
+    )
+    rows = mixture.documents.join(source, F.col("source").eqNullSafe(F.col("of")))
+    rows = rows.withColumn("order", F.xxhash64(F.lit(7), "doc_id", "key")).collect()
+    n_docs = {}
+    for r in rows:
+        n_docs[r["source"]] = n_docs.get(r["source"], 0) + 1
+    assert max(n_docs.values()) < 2000  # so each source is one bucket, in the order of the hash
+    start = {}
+    for r in sorted(rows, key=lambda r: (r["order"], r["doc_id"], r["key"])):
+        low = start.get(r["source"], 0)
+        high = start[r["source"]] = low + r["size"]
+        n, total, taken = r["n_blocks"], r["source_size"], 0
+        for block in range(n):
+            first, end = block * total // n, (block + 1) * total // n
+            times = sum(turn * n + (block + r["shift"]) % n < r["quota"] for turn in range(4))
+            taken += times * max(0, min(high, end) - max(low, first))
+        assert r["taken"] == taken
+    assert sum(r["taken"] for r in rows) > 0
