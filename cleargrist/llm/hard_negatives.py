@@ -29,6 +29,8 @@ BLOCK_ROWS = 512
 _ANCHORS_PER_TEAM = 1 << 15
 _ZONES_PER_GROUP = 1 << 14
 _TILE = 2048
+#: One part in so many is searched first.
+_FIRST_SHARE = 16
 _CURVE_DIMS, _CURVE_BITS = 15, 4
 _MINED = (
     "anchor_id long, positive_id long, rank int, negative_id long, positive_score long,"
@@ -180,12 +182,13 @@ def write_blocks(rows: DataFrame, block_rows: int = BLOCK_ROWS) -> tuple[DataFra
     A block's number says which task has written it, and ``part`` which run of blocks it is in.
     """
     measured = _dimensions(rows)
-    dims = len(measured)
+    dims = max(1, len(measured))  # vectors without components are points at zero
     n = measured[0]["n"] if measured else 0
     total = max((r["n"] for r in measured), default=0)
     # Short vectors count as zeros: divide by all rows.
-    means = np.array([r["total"] / total for r in measured])
-    spreads = np.sqrt(np.array([max(r["squares"] / total, 0) for r in measured]) - means**2 + 1e-9)
+    means = np.array([r["total"] / total for r in measured] or [0.0])
+    squares = np.array([r["squares"] / total for r in measured] or [0.0])
+    spreads = np.sqrt(np.maximum(squares - means**2, 0) + 1e-9)
     chosen = np.sort(np.argsort(-spreads, kind="stable")[:_CURVE_DIMS])
     part_rows = min(1 << 18, max(8 * block_rows, n // 64))
 
@@ -369,8 +372,44 @@ def search(
     """The best ``k`` rows of each anchor's windows: ``row``, ``window``, ``rank``, ``score``, ``other``.
 
     ``anchors`` has ``row``, ``label``, ``vector``, ``lows`` and ``highs``, the last two packed and of
-    one length for all.
+    one length for all. A share of the parts is searched first: what a window has found there is the
+    least that rows of all other parts must score, so most of their blocks need not be read, and
+    the rows that tasks report do not grow with the number of parts.
     """
+    size = (dims, k, same, n_anchors, n_blocks)
+    ahead = F.pmod(F.xxhash64("part", F.lit("first")), F.lit(_FIRST_SHARE)) == 0
+    first = stored(_best(_found(blocks.filter(ahead), anchors, *size), k), "first-parts")
+    known = F.map_from_entries(F.collect_list(F.struct("window", "score")))  # one for each window
+    floors = first.filter(F.col("rank") == k).groupBy("row").agg(known.alias("floors"))
+    raised = anchors.join(floors, "row", "left")
+
+    def raise_lows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for source in batches:
+            lows = []
+            for packed, floor in zip(source.column("lows").to_pylist(), source.column("floors").to_pylist(), strict=True):
+                low = np.frombuffer(packed, np.int64).copy()
+                for window, score in floor or ():
+                    low[window] = max(low[window], score)
+                lows.append(low.tobytes())
+            kept = [source.column(c) for c in ("row", "label", "vector", "highs")]
+            yield pa.RecordBatch.from_arrays([*kept, pa.array(lows, pa.binary())], ["row", "label", "vector", "highs", "lows"])
+
+    schema = "row long, label long, vector binary, highs binary, lows binary"
+    columns = ("row", "label", "vector", "highs", "lows", "floors")
+    raised = stored(raised.select(*columns).mapInArrow(raise_lows, schema), "raised-anchors")
+    rest = _found(blocks.filter(~ahead), raised, *size)
+    return _best(first.drop("rank").unionByName(rest), k)
+
+
+def _best(found: DataFrame, k: int) -> DataFrame:
+    order = Window.partitionBy("row", "window").orderBy(F.col("score").desc(), "other")
+    return found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
+
+
+def _found(
+    blocks: DataFrame, anchors: DataFrame, dims: int, k: int, same: bool, n_anchors: int, n_blocks: int
+) -> DataFrame:
+    """Rows (row, window, score, other): the best of each window in each part of the blocks."""
     teams, zone_groups = -(-n_anchors // _ANCHORS_PER_TEAM), -(-n_blocks // _ZONES_PER_GROUP)
     team = F.pmod(F.xxhash64("row"), F.lit(teams)).cast("int").alias("team")
     anchors = anchors.select("row", "label", "vector", "lows", "highs", team)
@@ -410,9 +449,7 @@ def search(
     data = blocks.drop("anchors").join(chosen.drop("part"), "block")
     asking = anchors.join(chosen.select("team", "part").distinct(), "team")
     cells = asking.groupBy("team", "part").cogroup(data.groupBy("team", "part"))
-    found = cells.applyInArrow(read, "row long, window int, score long, other long")
-    order = Window.partitionBy("row", "window").orderBy(F.col("score").desc(), "other")
-    return found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
+    return cells.applyInArrow(read, "row long, window int, score long, other long")
 
 
 def _windows(low: int, high: int, n: int, scores: pa.ListArray) -> tuple[np.ndarray, np.ndarray]:
