@@ -40,7 +40,7 @@ def test_labels_are_no_input(spark):
 
 
 def test_edges(frame, network):
-    prose = "Der die einer nicht schein heit und ich. "
+    prose = "Ist der die einütz eine von enberein einverlich geheit sich lichäkeit. "
     texts = [
         (1, None),
         (2, ""),

@@ -82,7 +82,7 @@ def test_filters_in_passes(spark, frame):
     whole = sorted(map(tuple, sv.near_words(vocabulary).collect()))
     # Parts of two blocks, one part at a time.
     assert sorted(map(tuple, sv.near_words(vocabulary, 1, part_blocks=8).collect())) == whole
-    assert len(whole) > 100
+    assert len(whole) > 30
 
 
 def test_crc32s():
