@@ -9,10 +9,10 @@ Only buckets of several positions go on, and what a round has settled is never l
 1. Anchors. Of every window of ``length`` bytes the gram with the smallest hash is its anchor
    (the leftmost of equals), so equal windows have their anchors at equal offsets. A text has an
    anchor for some 70 bytes. Grams that occur once in the corpus end here.
-2. Regions. An anchor's region is the union of the windows it serves. Its identifier comes from the
-   buckets of the anchors inside it: one round joins an anchor's identifier with that of the next
-   anchor and the gap between them, the next round joins that with the one two anchors on,
-   then four. Bytes before the first, between and after the last gram go along as they are. Anchors
+2. Regions. An anchor's region is the union of the windows it serves. It is named from the grams at
+   all multiples of a gram's length before and after the anchor: one round joins a gram's identifier
+   with the one a gram further on, the next round joins what this one has made with that of two
+   grams further on, then four. The bytes that are left at both ends go along. Anchors
    whose gram and region are equal repeat each other entirely: all their windows are settled.
 3. Cells. Where a gram has several regions, the windows of each are cut into cells by offset.
    Windows of one cell share a core, and a core that occurs once settles its cell as unique; cells
@@ -90,32 +90,30 @@ def _joined(one: np.ndarray, two: np.ndarray, gap: np.ndarray) -> np.ndarray:
 def _region_names(
     block: A.Block, anchor: np.ndarray, low: np.ndarray, high: np.ndarray, length: int, gram: int
 ) -> np.ndarray:
-    """Identifiers of the regions (``low`` to ``high`` + ``length``) of a block's anchors, in order."""
+    """Identifiers of the regions (``low`` to ``high`` + ``length``) of a block's anchors."""
+    if not len(anchor):
+        return np.zeros(0, np.uint64)
     hasher = A.Hasher(block.data, second=True)
     end = high + length
-    # An anchor's own region holds its gram, so there is a first and a last anchor inside.
-    first = np.searchsorted(anchor, low)
-    last = np.searchsorted(anchor, end - gram, side="right") - 1
-    level = np.frexp(last - first + 1)[1] - 1
-    names = hasher(anchor, anchor + gram)
-    # Between two grams there may be bytes that neither has.
-    between = np.minimum(anchor[:-1] + gram, anchor[1:])
-    between = hasher(between, anchor[1:])
+    # The offsets from the anchor that are multiples of a gram, and whose grams lie in the region.
+    before = (anchor - low) // gram
+    n = before + (end - anchor) // gram
+    start = anchor - before * gram
+    level = np.frexp(n)[1] - 1
+    at = start[:, None] + gram * np.minimum(np.arange(n.max()), n[:, None] - 1)
+    names = hasher(at.ravel(), at.ravel() + gram).reshape(at.shape)
     out = np.zeros(len(anchor), np.uint64)
-    for k in range(int(level.max(initial=0)) + 1):
+    for k in range(int(level.max()) + 1):
         reach = 1 << k
         own = np.flatnonzero(level == k)
-        back = last[own] - reach + 1
-        out[own] = _joined(names[first[own]], names[back], anchor[back] - anchor[first[own]])
-        # The next round's identifiers read this round's at a later anchor.
-        n = len(anchor) - 2 * reach + 1
-        if n <= 0:
-            break
-        gap = anchor[reach : reach + n] - anchor[:n]
-        names = _joined(names[:n] + between[reach - 1 : reach - 1 + n], names[reach : reach + n], gap)
-    edges = A.mix(hasher(low, anchor[first])) + A.mix(A.mix(hasher(anchor[last] + gram, end)) + _JOIN[1])
-    shape = (anchor - low) * (length + 1) + high - low
-    return _joined(out, edges, shape)
+        # Two stretches of the last reach make up the whole; they may overlap.
+        rest = n[own] - reach
+        out[own] = _joined(names[own, 0], names[own, rest], rest)
+        if names.shape[1] > reach:
+            # This round reads the identifiers that the last one has made, its own reach further on.
+            names = _joined(names[:, :-reach], names[:, reach:], np.full(1, reach))
+    edges = A.mix(hasher(low, start)) + A.mix(A.mix(hasher(start + n * gram, end)) + _JOIN[1])
+    return _joined(out, edges, (anchor - low) * (length + 1) + high - low)
 
 
 #: A longer text is searched in stretches of so many windows.
