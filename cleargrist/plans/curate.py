@@ -15,6 +15,7 @@ from cleargrist.functions import named
 from cleargrist.operators.observed import PATIENCE, observed_metrics
 from cleargrist.operators.quality import (
     FLAG,
+    LOAD_TIME,
     MATERIALS_RULES,
     VALID,
     CleaningRules,
@@ -73,13 +74,15 @@ def stage(
     rules: CleaningRules = MATERIALS_RULES,
     still_true: Callable[[], bool] | None = None,
     patience: float = PATIENCE,
+    split: bool = True,
 ) -> Staged:
     """Tag rows and store them in one pass over the source, counting rows and nulls on the way.
 
     Everything after works on the stored table, as does a later run with the same key. Worth
     its write when the source is slow to read or runs repeat. A column that only one half uses
     is stored as null in the other, so a text is stored once, raw or cleaned. The halves lie in
-    folders of their own, so that reading one does not read the other.
+    folders of their own, so that reading one does not read the other; without ``split`` they lie
+    together, which saves sorting the rows for a table that is read once or twice.
     """
     tagged = tag(df, rules)
     output = rules.output_names
@@ -91,7 +94,8 @@ def stage(
         named(FLAG),
     )
     measures = profile_measures({c: named(c) for c in output})
-    stored = materialize(halves, path, key, measures, still_true, patience, partition_by=FLAG)
+    by = FLAG if split else None
+    stored = materialize(halves, path, key, measures, still_true, patience, partition_by=by)
     return Staged(
         valid=valid_rows(stored.table, rules),
         quarantine=quarantine_rows(stored.table, rules),
@@ -204,7 +208,9 @@ def curate(spark: SparkSession, options: CurationOptions) -> Curated:
     once for the quarantine and the profile, once for the clean rows. The second scan reads
     and normalises only the columns that stay. Statistics come from the stored clean table, where
     it holds just these rows unchanged. For CSV output, and where rows are added to others in one
-    folder, the clean rows are stored as Parquet first, in the scratch folder. The
+    folder, the clean rows are stored as Parquet first, in the scratch folder. A release in CSV, whose
+    outputs all wait to be published, scans the source once instead: its tagged rows are stored there
+    (see ``stage``), and the outputs come from them. The
     field names of JSON input are gathered by the first scan, and what it writes waits for them.
 
     If no row is valid, there is no clean table and there are no statistics; in overwrite mode
@@ -335,6 +341,14 @@ def _run(spark: SparkSession, options: CurationOptions, release: _Release | None
         write_table(df, path)
         return read_stored(spark, path, "parquet", df.schema)
 
+    def store_clean(df: DataFrame) -> DataFrame:
+        rows = df
+        if fmt == "csv":  # the load time as the writer would put it, but put so once for all rows
+            moment = F.lit(started).cast("timestamp").alias(LOAD_TIME)
+            rows = df.withColumn(LOAD_TIME, F.to_csv(F.struct(moment)))
+        write_table(rows, options.clean_path, fmt, options.mode)
+        return read_stored(spark, options.clean_path, fmt, df.schema)
+
     def write_stats(clean: DataFrame) -> tuple[StructType, StructType | None]:
         states = None
         if release is None:
@@ -349,7 +363,11 @@ def _run(spark: SparkSession, options: CurationOptions, release: _Release | None
         write_table(stats, options.stats_path, fmt, options.mode, keys, key_copies=True)
         return stats.schema, states.schema if states else None
 
-    if options.checkpoint_path is None:
+    # The stored clean table serves for the statistics, if it holds just these rows unchanged:
+    # other modes leave older rows, and CSV cannot tell an empty text from a missing one.
+    reusable = fmt != "csv" and not appends and options.mode.lower() != "ignore"
+    one_scan = options.checkpoint_path is not None or (release is not None and not reusable)
+    if not one_scan:
         # Rows of JSON records may still be refused, so they replace nothing yet.
         waits = watched.waits and release is None
         first = scratch_path(spark, "quarantine") if waits else options.quarantine_path
@@ -369,19 +387,21 @@ def _run(spark: SparkSession, options: CurationOptions, release: _Release | None
         valid = valid_rows(tag(source, rules), rules)
     else:
 
+        kept_for_later = options.checkpoint_path is not None
+
         def still_true() -> bool:
-            return options.checkpoint_key(spark) == key
+            return not kept_for_later or options.checkpoint_key(spark) == key
 
         def judged() -> bool:
             if not watched.judge():
                 raise _OtherNotation
             return still_true()
 
-        where = (options.checkpoint_path, key, rules)
+        where = (options.checkpoint_path or scratch_path(spark, "tagged"), key, rules)
         try:
-            staged = stage(watched.rows, *where, judged, options.patience)
+            staged = stage(watched.rows, *where, judged, options.patience, split=kept_for_later)
         except _OtherNotation:
-            staged = stage(watched.again, *where, still_true, options.patience)
+            staged = stage(watched.again, *where, still_true, options.patience, split=kept_for_later)
         profiled, valid = staged.profile, staged.valid
         quarantine = store(staged.quarantine, options.quarantine_path)
 
@@ -406,12 +426,9 @@ def _run(spark: SparkSession, options: CurationOptions, release: _Release | None
     if appends and fmt == "csv":
         protect = valid.columns
     kept = stamp(drop_sparse(valid, ratios, threshold, options.include_metadata, protect), started)
-    # The stored clean table serves for the statistics, if it holds just these rows unchanged:
-    # other modes leave older rows, and CSV cannot tell an empty text from a missing one.
-    reusable = fmt != "csv" and not appends and options.mode.lower() != "ignore"
-    if not reusable and options.checkpoint_path is None:
+    if not reusable and not one_scan:
         kept = staged_in_parquet(kept, "clean")
-    clean = store(kept, options.clean_path)
+    clean = store_clean(kept)
     if appends:
         clean = _all_runs(spark, options.clean_path, fmt, full.schema)
     stats, states = write_stats(clean if reusable else kept)

@@ -189,3 +189,13 @@ def test_checkpointed_releases(spark, options, out):
     curate(spark, options)
     second = everything(spark, options.publish_path)
     assert first[0] == second[0] and first[1] == second[1] and first[3] == second[3]
+
+
+def test_load_times_in_csv_are_those_that_spark_writes(spark, options, out):
+    released = curate(spark, replace(options, write_format="csv"))
+    folder = latest(spark, options.publish_path).tables["clean"].parts[0].folder
+    typed = released.clean.select("ingestion_time")
+    write_table(typed, out("times"), "csv")
+    texts = spark.read.option("header", True).csv(f"{options.publish_path}/{folder}").select("ingestion_time")
+    assert rows(texts) == rows(spark.read.option("header", True).csv(out("times")))
+    assert texts.distinct().count() == 1

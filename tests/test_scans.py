@@ -92,3 +92,17 @@ def test_scans(tmp_path, kind, scans):
         [sys.executable, "-c", JOB, str(repo), str(tmp_path), kind], check=True, timeout=300, capture_output=True
     )
     assert scans_of_source(tmp_path) == scans
+
+
+@pytest.mark.parametrize("mode", ["", "append "])
+def test_a_release_in_csv_reads_its_source_once(tmp_path, mode):
+    (tmp_path / "events").mkdir()
+    repo = Path(__file__).resolve().parents[1]
+    job = JOB.replace('kind.endswith("append")', '"append" in kind')
+    subprocess.run(
+        [sys.executable, "-c", job, str(repo), str(tmp_path), f"released {mode}csv"],
+        check=True,
+        timeout=300,
+        capture_output=True,
+    )
+    assert scans_of_source(tmp_path) == [1, 1]
