@@ -17,7 +17,8 @@ rarely. Tasks report a spanning forest of links, not pairs, and no group has a s
   task's group; one of more than ``HOT_CLASSES`` is one family without a comparison, which can
   only add comparisons later on.
 - A family too large for one task is cut into blocks too. Each block is linked within itself, then
-  one class stands for all that are linked, and these meet in ever fewer blocks. Where all
+  one class stands for all that are linked, and these meet in ever fewer blocks. A class is in one
+  block of a turn, so what a turn links are stars already and only renames groups. Where all
   become one, as with the near copies of one text, that is all. Else the classes outside the
   largest linked group meet all others of the family, first as registers; texts are fetched only
   for classes whose registers come near each other, and compared as in a block.
@@ -36,6 +37,7 @@ from cleargrist.llm import arrays as A
 from cleargrist.llm.components import components
 from cleargrist.llm.tables import (
     block_pairs,
+    fitting,
     group_bounds,
     keyed,
     rows_between,
@@ -238,11 +240,14 @@ def families(classes: DataFrame, cut: float) -> DataFrame:
 
 
 def _linked(members: DataFrame, size: int, threshold: int) -> DataFrame:
-    """Links (u, v) between the texts of each pair of blocks that have different labels."""
+    """Links (u, v) between labels, from the texts of each pair of blocks that have different ones.
+
+    If no label is in two pairs, these are stars: each ``u`` is there once, and is no ``v``.
+    """
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in whole_groups(batches, "pair"):
-            nodes, labels = table["node"].to_numpy(), table["label"].to_numpy()
+            labels = table["label"].to_numpy()
             texts = table["text"].combine_chunks()
             pairs = []
             for first, end in zip(*group_bounds(table["pair"].to_numpy()), strict=True):
@@ -252,9 +257,9 @@ def _linked(members: DataFrame, size: int, threshold: int) -> DataFrame:
                         sets += shingles(block, size)
                     found = forest(labels[first:end], _similar(sets, threshold))
                     pairs += [(first + a, first + b) for a, b in found]
-            yield _stars(nodes, pairs)
+            yield _stars(labels, pairs)
 
-    dealt = members.select("pair", "node", "label", "text")
+    dealt = members.select("pair", "label", "text")
     dealt = dealt.repartition("pair").sortWithinPartitions("pair")
     return dealt.mapInArrow(compare, "u long, v long")
 
@@ -292,38 +297,39 @@ def _blocks(texts: DataFrame, turn: int) -> DataFrame:
     return texts.withColumn("pair", F.xxhash64("component", block, F.lit(turn)))
 
 
-def _labelled(nodes: DataFrame, links: DataFrame) -> DataFrame:
-    """Nodes with ``label``: the same for all that links connect so far."""
-    joined = components(links, "joined").withColumnRenamed("component", "joined")
-    label = F.coalesce("joined", "node")
-    return stored(nodes.join(joined, "node", "left").withColumn("label", label).drop("joined"), "labels")
+def _relabelled(labels: DataFrame, links: DataFrame) -> DataFrame:
+    """Rows with ``label``, renamed by links (u, v) that are stars, stored."""
+    named = links.select(F.col("u").alias("label"), F.col("v").alias("root"))
+    joined = labels.join(sized(named, 16), "label", "left")
+    return stored(joined.withColumn("label", F.coalesce("root", "label")).drop("root"), "labels")
 
 
-def _links_across(
+def _labels_across(
     wide: DataFrame, links: DataFrame, sketches_of: DataFrame, size: int, threshold: int
 ) -> DataFrame:
-    """Links of families whose blocks have each been linked within itself: all that connects them."""
-    nodes = stored(wide.select("node", "component", "n_shingles"), "family-nodes")
+    """(node, label) of families whose blocks have each been linked within itself: one label for all that are connected."""
+    nodes = wide.select("node", "component", "n_shingles", F.col("node").alias("label"))
+    labels = _relabelled(nodes, links)
     turn = 0
     while True:
         turn += 1
-        labels = _labelled(nodes, links)
         # One class for all that are linked; the hash of the turn chooses another one every time.
         heads = labels.groupBy("component", "label").agg(
             F.min_by(F.struct("node", "n_shingles"), F.struct(F.xxhash64("node", F.lit(turn)), "node")).alias("head")
         )
-        heads = heads.select("component", F.col("head.node").alias("node"), F.col("head.n_shingles").alias("n"))
+        heads = heads.select("component", "label", "head.node", F.col("head.n_shingles").alias("n"))
+        heads = stored(heads, "heads")
         left = heads.groupBy("component").agg(F.sum("n").alias("total"), F.count(F.lit(1)).alias("labels"))
         left = stored(left.filter("labels > 1"), "open-families")
-        if left.isEmpty():
-            return links
-        heads = stored(heads.join(left, "component").select("node", "total"), "heads")
-        own = wide.drop("total").join(sized(heads, 32), "node")
-        found = _linked(_blocks(own, turn).withColumn("label", F.col("node")), size, threshold)
-        found = stored(found, "links")
+        n_heads = left.agg(F.sum("labels")).first()[0]
+        if not n_heads:
+            return labels.select("node", "label")
+        heads = heads.join(left, "component").select("node", "label", "total")
+        own = wide.drop("total").join(fitting(heads, 32 * n_heads), "node")
+        found = stored(_linked(_blocks(own, turn), size, threshold), "links")
         if found.isEmpty():
             break
-        links = stored(links.unionByName(found), "links")
+        labels = _relabelled(labels, found)
     open_nodes = labels.join(left.select("component"), "component", "left_semi")
     near = _near_across(stored(open_nodes, "open-nodes"), sketches_of, threshold)
     weight = near.join(nodes.select("node", "n_shingles"), "node").groupBy("pair")
@@ -331,7 +337,12 @@ def _links_across(
     near = near.withColumnRenamed("pair", "place").join(weight.withColumnRenamed("pair", "place"), "place")
     dealt = block_pairs(near, "place", F.ceil(F.col("weight") / BLOCK_SHINGLES), "node")
     dealt = dealt.select("pair", "node", "label").join(wide.select("node", "text"), "node")
-    return links.unionByName(stored(_linked(dealt, size, threshold), "links"))
+    found = stored(_linked(dealt, size, threshold), "links")
+    if not found.isEmpty():
+        # A label may be in several pairs here, so these links are no stars yet.
+        joined = components(found, "joined").select(F.col("node").alias("u"), F.col("component").alias("v"))
+        labels = _relabelled(labels, joined)
+    return labels.select("node", "label")
 
 
 def _near_across(labels: DataFrame, sketches_of: DataFrame, threshold: int) -> DataFrame:
@@ -419,11 +430,12 @@ def link_documents(
 
     links = stored(_linked(_blocks(texts, 0).withColumn("label", F.col("node")), size, threshold), "links")
     wide = texts.filter(F.col("total") > BLOCK_SHINGLES)
+    found = links.select(F.col("u").alias("node"), F.col("v").alias("label"))
     if not wide.isEmpty():
-        links = _links_across(wide, links, classes.select("node", "bands"), size, threshold)
-    found = components(links, "links")
+        labels = _labels_across(wide, links, classes.select("node", "bands"), size, threshold)
+        found = found.join(wide.select("node"), "node", "left_anti").unionByName(labels)
 
-    root = F.coalesce("component", "node").alias("root")
+    root = F.coalesce("label", "node").alias("root")
     rooted = classes.join(found, "node", "left").select(root, "name_1", "name_2", "first")
     own = F.struct(F.col("first.id").isNull(), "first.id", "first.key")
     lowest = rooted.groupBy("root").agg(F.min_by("first", own).alias("lowest"))

@@ -88,7 +88,12 @@ def sized(df: DataFrame, row_bytes: int, limit: int = 32 << 20) -> DataFrame:
     A row counts with ``row_bytes`` and the bytes of its texts, which are measured. Beyond the
     limit both sides are shuffled and this one is hashed, so texts are not sorted.
     """
-    return F.broadcast(df) if size_of(df, row_bytes) <= limit else df.hint("shuffle_hash")
+    return fitting(df, size_of(df, row_bytes), limit)
+
+
+def fitting(df: DataFrame, size: int, limit: int = 32 << 20) -> DataFrame:
+    """A table of that many bytes to join texts with, as ``sized`` has it."""
+    return F.broadcast(df) if size <= limit else df.hint("shuffle_hash")
 
 
 def size_of(df: DataFrame, row_bytes: int) -> int:

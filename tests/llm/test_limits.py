@@ -140,6 +140,22 @@ def test_texts_compared_grow_with_the_family_not_its_square(frame, monkeypatch):
     assert totals[1] < 5 * totals[0]
 
 
+def test_turns_of_a_large_family_need_no_rounds(frame, monkeypatch):
+    """What a turn links are stars: rounds of connected components run where families are made, and not again."""
+    small_blocks(monkeypatch)
+    find, labels = near_dedup.components, []
+
+    def noted(edges, label):
+        labels.append(label)
+        return find(edges, label)
+
+    monkeypatch.setattr(near_dedup, "components", noted)
+    texts = [*copies_of(60, 7, 120), *copies_of(3, 8, 120)]
+    linked = near_dedup.link_documents(frame(list(enumerate(texts))), size=4).collect()
+    assert {r["doc_id"]: r["component_id"] for r in linked} == {i: 0 if i < 60 else 60 for i in range(63)}
+    assert labels == ["family"]
+
+
 BLANK_RUNS = [" " * 1_000_000, "\t" * 2_000_000, "\n" * 1_000_000, " \n" * 600_000, "　 " * 500_000]
 
 
