@@ -14,10 +14,14 @@ probability of 4e-7, and their estimate falls below the cut (5 standard deviatio
 rarely. Tasks report a spanning forest of links, not pairs, and no group has a size limit:
 
 - A bucket of more than ``BLOCK_CLASSES`` classes is cut into blocks, and every pair of blocks is a
-  task's group; one of more than ``HOT_CLASSES`` is one family without a comparison, which can
-  only add comparisons later on.
+  task's group. A bucket of more than ``HOT_CLASSES`` holds near copies of one text, or texts that
+  share a line and little else: its classes meet in smaller buckets instead, by their rarest
+  registers, so many of them that any two whose estimate reaches the cut share one. If such a
+  bucket is as large again, it is one family without a comparison, which can only add comparisons
+  later on.
 - A family too large for one task is cut into blocks too. Each block is linked within itself, then
-  one class stands for all that are linked, and these meet in ever fewer blocks. A class is in one
+  one class stands for all that are linked, and these meet in ever fewer blocks, as long as that
+  makes them a quarter fewer; last, the large groups meet once more among themselves. A class is in one
   block of a turn, so what a turn links are stars already and only renames groups. Where all
   become one, as with the near copies of one text, that is all. Else the classes outside the
   largest linked group meet all others of the family, first as registers; texts are fetched only
@@ -54,8 +58,10 @@ MANTISSA = 10
 COLLISION = 2.0**-MANTISSA / 3
 #: A bucket is cut into blocks of about so many classes, a family into blocks of so many shingles.
 BLOCK_CLASSES, BLOCK_SHINGLES = 512, 1 << 17
-#: Buckets of more classes are one family, whatever their registers say.
+#: Classes of larger buckets meet by their rarest registers; if these buckets are larger too, each is one family.
 HOT_CLASSES = 8 * BLOCK_CLASSES
+#: Large are linked groups of at least this share of the classes that the family's largest group has.
+LARGE = 1 / 16
 #: Classes of one side of a group when registers are compared across a large family.
 BLOCK_SKETCHES = 4096
 
@@ -114,6 +120,23 @@ def cut_for(threshold: float) -> float:
     return threshold - 5 * (threshold * (1 - threshold) / REGISTERS) ** 0.5
 
 
+def rarest(own: np.ndarray, ranks: np.ndarray, cut: float) -> tuple[np.ndarray, np.ndarray]:
+    """(row, token) of the rarest registers of each row; two rows whose estimate reaches the cut share one.
+
+    A token is a place among the registers and the value there, and ``ranks`` tells how common
+    each is. If the estimate reaches the cut, at least a share of the registers that either row
+    has are equal. So if both leave out one register less than that share, the most common
+    ones in one order for all, what they keep still has a register in common.
+    """
+    tokens = np.arange(REGISTERS, dtype=np.int64) << 16 | own
+    order = np.where(own != EMPTY, ranks[tokens].astype(np.int64) << 32 | tokens, np.iinfo(np.int64).max)
+    order.sort(axis=1)
+    n = (own != EMPTY).sum(axis=1)
+    equal = np.maximum(np.ceil((cut * (1 - COLLISION) + COLLISION) * n - 1e-6), 1).astype(np.int64)
+    rows, at = np.nonzero(np.arange(REGISTERS) < (n - equal + 1)[:, None])
+    return rows, order[rows, at] & 0xFFFFFFFF
+
+
 def forest(
     labels: np.ndarray, linked: Callable[[int, np.ndarray], np.ndarray]
 ) -> list[tuple[int, int]]:
@@ -201,21 +224,68 @@ def sketches(rows: DataFrame, size: int) -> DataFrame:
     )
 
 
+def _shared(rows: DataFrame) -> DataFrame:
+    """Rows (node, bucket) of buckets of several rows, with their number ``n`` and their ``least`` node."""
+    shared = rows.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"), F.min("node").alias("least"))
+    return rows.join(shared.filter("n > 1"), "bucket")
+
+
+def _registers_of(source: pa.RecordBatch) -> np.ndarray:
+    return source.column("bands").flatten().to_numpy().reshape(-1, BANDS).view(np.uint16)
+
+
+def _by_rarest(classes: DataFrame, cut: float) -> DataFrame:
+    """(node, bucket) of stored classes (node, bands): two whose estimate reaches the cut share a bucket.
+
+    The driver gets a byte for each register's value that several classes have, and broadcasts
+    a table of 7 MB, however many classes there are.
+    """
+
+    def tally(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts = np.zeros(REGISTERS << 16, np.int32)
+        for source in batches:
+            own = _registers_of(source)
+            tokens, n = np.unique((np.arange(REGISTERS) << 16 | own)[own != EMPTY], return_counts=True)
+            counts[tokens] += n.astype(np.int32)
+        found = np.flatnonzero(counts)
+        for first in range(0, len(found), 1 << 16):
+            part = found[first : first + (1 << 16)]
+            yield pa.RecordBatch.from_arrays([pa.array(part), pa.array(counts[part].astype(np.int64))], ["token", "n"])
+
+    counts = classes.select("bands").mapInArrow(tally, "token long, n long").groupBy("token").agg(F.sum("n").alias("n"))
+    rank = F.floor(F.log2("n")).cast("byte").alias("rank")
+    found = counts.filter("n > 1").select(F.col("token").cast("int"), rank).toArrow()
+    ranks = np.zeros(REGISTERS << 16, np.uint8)
+    ranks[found["token"].to_numpy()] = found["rank"].to_numpy()
+    shared = classes.sparkSession.sparkContext.broadcast(ranks)
+
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for source in batches:
+            rows, tokens = rarest(_registers_of(source), shared.value, cut)
+            yield pa.RecordBatch.from_arrays(
+                [source.column("node").take(pa.array(rows)), pa.array(tokens)], ["node", "token"]
+            )
+
+    dealt = classes.mapInArrow(deal, "node long, token long")
+    return dealt.select("node", F.xxhash64(F.lit("rarest"), "token").alias("bucket"))
+
+
 def families(classes: DataFrame, cut: float) -> DataFrame:
     """(node, component): classes tied together by estimates that reach the cut."""
     empty = np.full(ROWS, EMPTY).view(np.int64)[0].item()
     bands = classes.select("node", F.posexplode("bands").alias("band", "value"))
     bands = bands.filter(F.col("value") != empty)
-    bands = bands.select("node", F.xxhash64("band", "value").alias("bucket"))
-    shared = bands.groupBy("bucket").agg(
-        F.count(F.lit(1)).alias("n"), F.min("node").alias("least")
-    ).filter("n > 1")
-    bands = stored(bands.join(shared, "bucket"), "buckets")
-    hot = bands.filter((F.col("n") > HOT_CLASSES) & (F.col("node") != F.col("least")))
+    bands = stored(_shared(bands.select("node", F.xxhash64("band", "value").alias("bucket"))), "buckets")
+    is_hot = F.col("n") > HOT_CLASSES
+    hot = bands.filter(is_hot)
+    met = bands.filter(~is_hot)
+    if not hot.isEmpty():
+        nodes = classes.join(hot.select("node").distinct(), "node", "left_semi").select("node", "bands")
+        again = stored(_shared(_by_rarest(stored(nodes, "hot-classes"), cut)), "hot-buckets")
+        hot = again.filter(is_hot & (F.col("node") != F.col("least")))
+        met = met.unionByName(again.filter(~is_hot))
     hot = hot.select(F.col("node").alias("u"), F.col("least").alias("v")).distinct()
-    members = block_pairs(
-        bands.filter(F.col("n") <= HOT_CLASSES), "bucket", F.ceil(F.col("n") / BLOCK_CLASSES), "node"
-    )
+    members = block_pairs(met, "bucket", F.ceil(F.col("n") / BLOCK_CLASSES), "node")
     members = members.select("node", "pair").join(classes.select("node", "bands"), "node")
 
     def tie(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -311,26 +381,26 @@ def _labels_across(
     nodes = wide.select("node", "component", "n_shingles", F.col("node").alias("label"))
     labels = _relabelled(nodes, links)
     turn = 0
-    while True:
-        turn += 1
-        # One class for all that are linked; the hash of the turn chooses another one every time.
-        heads = labels.groupBy("component", "label").agg(
-            F.min_by(F.struct("node", "n_shingles"), F.struct(F.xxhash64("node", F.lit(turn)), "node")).alias("head")
-        )
-        heads = heads.select("component", "label", "head.node", F.col("head.n_shingles").alias("n"))
-        heads = stored(heads, "heads")
-        left = heads.groupBy("component").agg(F.sum("n").alias("total"), F.count(F.lit(1)).alias("labels"))
-        left = stored(left.filter("labels > 1"), "open-families")
-        n_heads = left.agg(F.sum("labels")).first()[0]
-        if not n_heads:
-            return labels.select("node", "label")
-        heads = heads.join(left, "component").select("node", "label", "total")
-        own = wide.drop("total").join(fitting(heads, 32 * n_heads), "node")
-        found = stored(_linked(_blocks(own, turn), size, threshold), "links")
-        if found.isEmpty():
-            break
-        labels = _relabelled(labels, found)
-    open_nodes = labels.join(left.select("component"), "component", "left_semi")
+    for large in (False, True):
+        before = None
+        while True:
+            turn += 1
+            left, heads = _heads(labels, turn, large, before)
+            n_open, n_heads = left.agg(F.count(F.lit(1)), F.sum(F.when(F.col("going"), F.col("labels")))).first()
+            if not n_open and not large:
+                return labels.select("node", "label")
+            if not n_heads:
+                break
+            left = left.filter("going")
+            heads = heads.join(left, "component").select("node", "label", "total")
+            own = wide.drop("total").join(fitting(heads, 32 * n_heads), "node")
+            found = stored(_linked(_blocks(own, turn), size, threshold), "links")
+            if found.isEmpty():
+                break
+            labels = _relabelled(labels, found)
+            before = left.select("component", F.col("labels").alias("before"))
+    several = labels.groupBy("component").agg((F.min("label") != F.max("label")).alias("several")).filter("several")
+    open_nodes = labels.join(several, "component", "left_semi")
     near = _near_across(stored(open_nodes, "open-nodes"), sketches_of, threshold)
     weight = near.join(nodes.select("node", "n_shingles"), "node").groupBy("pair")
     weight = weight.agg(F.sum("n_shingles").alias("weight"))
@@ -345,6 +415,32 @@ def _labels_across(
     return labels.select("node", "label")
 
 
+def _heads(labels: DataFrame, turn: int, large: bool, before: DataFrame | None) -> tuple[DataFrame, DataFrame]:
+    """Families (component, total, labels, going) of several labels, and a class (node, n, component, label) for each label.
+
+    Of large labels alone, if so asked. A family is going on if it was before, and a quarter of
+    its labels are gone since. The hash of the turn chooses another class every time.
+    """
+    heads = labels.groupBy("component", "label").agg(
+        F.min_by(F.struct("node", "n_shingles"), F.struct(F.xxhash64("node", F.lit(turn)), "node")).alias("head"),
+        F.count(F.lit(1)).alias("members"),
+    )
+    heads = heads.select("component", "label", "members", "head.node", F.col("head.n_shingles").alias("n"))
+    heads = stored(heads, "heads")
+    if large:
+        most = heads.groupBy("component").agg(F.max("members").alias("most"))
+        least = F.greatest(F.lit(2), F.col("most") * LARGE)
+        heads = heads.join(most, "component").filter(F.col("members") >= least)
+    left = heads.groupBy("component").agg(F.sum("n").alias("total"), F.count(F.lit(1)).alias("labels"))
+    left = left.filter("labels > 1")
+    if before is None:
+        left = left.withColumn("going", F.lit(True))
+    else:
+        going = F.coalesce(F.expr("4 * labels <= 3 * before"), F.lit(False))
+        left = left.join(before, "component", "left").withColumn("going", going).drop("before")
+    return stored(left, "open-families"), heads
+
+
 def _near_across(labels: DataFrame, sketches_of: DataFrame, threshold: int) -> DataFrame:
     """(pair, node, label): classes of families (node, component, label) that come near one of another label.
 

@@ -156,6 +156,65 @@ def test_turns_of_a_large_family_need_no_rounds(frame, monkeypatch):
     assert labels == ["family"]
 
 
+def near_texts(n, shared, own):
+    """Texts that share a long part, but not enough of it to be linked."""
+    part = " ".join(f"part{i}" for i in range(shared))
+    return [f"{part} " + " ".join(f"own{i}x{j}" for j in range(own)) for i in range(n)]
+
+
+def test_turns_of_a_family_end_where_they_link_little(frame, monkeypatch):
+    """Pairs of near copies among texts that come near each other: in a turn only few pairs meet."""
+    small_blocks(monkeypatch)
+    compare, turns = near_dedup._linked, []
+
+    def counted(members, size, threshold):
+        turns.append(1)
+        return compare(members, size, threshold)
+
+    monkeypatch.setattr(near_dedup, "_linked", counted)
+    texts = [f"{text}{end}" for text in near_texts(50, 48, 14) for end in ("", " twice")]
+    linked = near_dedup.link_documents(frame(list(enumerate(texts))), size=4).collect()
+    assert {r["doc_id"]: r["component_id"] for r in linked} == {i: i // 2 * 2 for i in range(100)}
+    assert len(turns) <= 6
+
+
+def test_a_line_in_many_texts_makes_no_family(spark, frame, monkeypatch):
+    """Buckets of texts that share a line and little else: only near copies among them are a family."""
+    small_blocks(monkeypatch)
+    tie, sizes = near_dedup.families, []
+
+    def counted(classes, cut):
+        found = tie(classes, cut)
+        sizes.extend(r["count"] for r in found.groupBy("component").count().collect())
+        return found
+
+    monkeypatch.setattr(near_dedup, "families", counted)
+    texts = [f"{text}{end}" for text in near_texts(100, 8, 40) for end in ("", " twice")]
+    texts += [*copies_of(40, 11, 120)]
+    linked = near_dedup.link_documents(frame(list(enumerate(texts))), size=4).collect()
+    assert {r["doc_id"]: r["component_id"] for r in linked} == {i: i // 2 * 2 if i < 200 else 200 for i in range(240)}
+    assert sorted(sizes) == [2] * 100 + [40]
+
+
+@pytest.mark.parametrize("cut", [0.05, 0.6, 0.95])
+def test_rows_whose_estimate_reaches_the_cut_share_a_rare_register(cut):
+    rng = np.random.default_rng(6)
+    base = [rng.integers(0, 1 << 63, n).astype(np.uint64) for n in (3, 20, 60, 400)]
+    sets = []
+    for own in base:
+        for _ in range(40):
+            keep = own[rng.random(len(own)) < rng.uniform(0.7, 1)]
+            sets.append(np.unique(np.append(keep, rng.integers(0, 1 << 63, rng.integers(1, 1 + len(own) // 3)).astype(np.uint64))))
+    own = np.array([near_dedup.registers(s) for s in sets])
+    ranks = rng.integers(0, 5, near_dedup.REGISTERS << 16).astype(np.uint8)
+    rows, tokens = near_dedup.rarest(own, ranks, cut)
+    kept = [set(tokens[rows == i].tolist()) for i in range(len(own))]
+    near = [(i, int(j)) for i in range(len(own)) for j in np.flatnonzero(near_dedup.similarity(own[i], own) >= cut)]
+    assert len(near) > len(own) and all(kept[i] & kept[j] for i, j in near)
+    if cut > 0.5:
+        assert sum(map(len, kept)) < 0.55 * (own != near_dedup.EMPTY).sum()
+
+
 BLANK_RUNS = [" " * 1_000_000, "\t" * 2_000_000, "\n" * 1_000_000, " \n" * 600_000, "　 " * 500_000]
 
 
